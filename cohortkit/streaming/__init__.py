@@ -1,0 +1,6 @@
+"""Nothing here on purpose.
+
+The source project is batch only: every run reads whole extracts and
+overwrites its outputs; it has no watermark, window, state or late-data
+logic. No streaming operator is built, so none is invented.
+"""
