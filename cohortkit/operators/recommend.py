@@ -19,6 +19,7 @@ Shape of the work (no per-client Python loop):
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,17 +39,19 @@ def ownership_pairs(ownership: DataFrame, key: str = spec.KEY,
 
 
 def owned_sets(ownership: DataFrame, key: str = spec.KEY, product: str = spec.PRODUCT,
-               out: str = "owned") -> DataFrame:
+               out: str = "owned", pairs: DataFrame | None = None) -> DataFrame:
     """(key, sorted distinct products, their count). Works from the pairs, so
     a per-client set never exceeds the product catalogue."""
-    pairs = ownership_pairs(ownership, key, product)
+    if pairs is None:
+        pairs = ownership_pairs(ownership, key, product)
     return pairs.groupBy(key).agg(F.array_sort(F.collect_list(product)).alias(out),
                                   F.count(F.lit(1)).alias("n_owned"))
 
 
 def popularity(clusters: DataFrame, ownership: DataFrame, key: str = spec.KEY,
                product: str = spec.PRODUCT, cluster_col: str = spec.CLUSTER,
-               qty: str = spec.QTY, count_mode: str = "rows") -> DataFrame:
+               qty: str = spec.QTY, count_mode: str = "rows",
+               pairs: DataFrame | None = None) -> DataFrame:
     """(cluster, product, qty, rank): complete ranking per cluster.
 
     ``count_mode='rows'`` counts ownership rows (the source project's
@@ -57,7 +60,8 @@ def popularity(clusters: DataFrame, ownership: DataFrame, key: str = spec.KEY,
     """
     if count_mode not in ("rows", "clients"):
         raise ValueError("count_mode must be 'rows' or 'clients'")
-    pairs = ownership_pairs(ownership, key, product)
+    if pairs is None:
+        pairs = ownership_pairs(ownership, key, product)
     cl = clusters.select(key, cluster_col).dropna(subset=[key, cluster_col])
     j = pairs.join(cl, key)
     measure = F.sum("n") if count_mode == "rows" else F.count(F.lit(1))
@@ -80,9 +84,12 @@ def top_unowned(clusters: DataFrame, ownership: DataFrame, n: int = spec.TOP_N_C
     """(key, cluster, 'p1, p2, p3'): the cluster's best-ranked products the
     client does not own, in rank order; '' when there are none. Every client
     of ``clusters`` appears once."""
+    # The pairs feed both the ranking and the owned sets: aggregate them once.
+    pairs = ownership_pairs(ownership, key, product).persist(StorageLevel.MEMORY_AND_DISK)
     if ranking is None:
-        ranking = popularity(clusters, ownership, key, product, cluster_col, count_mode=count_mode)
-    owned = owned_sets(ownership, key, product)
+        ranking = popularity(clusters, ownership, key, product, cluster_col,
+                             count_mode=count_mode, pairs=pairs)
+    owned = owned_sets(ownership, key, product, pairs=pairs)
     cl = (clusters.select(key, cluster_col)
           .join(owned, key, "left")
           .select(key, cluster_col,

@@ -28,11 +28,20 @@ class DriverETL:
 
 
 def driver_etl(spark: SparkSession, sf_dir: str, as_of: str = T.AS_OF) -> DriverETL:
-    cl = jobs.clients(T.client_master(spark, sf_dir), T.client_since(spark, sf_dir),
-                      T.history(spark, sf_dir)).frame
+    master, since, hist = (T.client_master(spark, sf_dir), T.client_since(spark, sf_dir),
+                           T.history(spark, sf_dir))
+    cl = jobs.clients(master, since, hist).frame
     sa = jobs.sales(T.revenue(spark, sf_dir, as_of), T.contracts(spark, sf_dir)).frame
     sv = jobs.surveys(T.survey_sources(spark, sf_dir))
-    return DriverETL(cl, sa, sv, jobs.analytic_base(cl, sa, sv))
+    # The history side only adds product rows; when it carries no profile
+    # column, the base (first row per client over profile columns) is the same
+    # without it, and skipping it saves a line-item-sized join.
+    profile_cols = set(spec.CLIENT_COLUMNS) - {spec.KEY}
+    if profile_cols.isdisjoint(hist.columns):
+        cl_base = jobs.clients(master, since, None).frame
+    else:
+        cl_base = cl
+    return DriverETL(cl, sa, sv, jobs.analytic_base(cl_base, sa, sv))
 
 
 @dataclass

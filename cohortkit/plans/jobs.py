@@ -87,15 +87,19 @@ def sales(revenue: DataFrame, contracts: DataFrame, number_style: str = "comma")
     return JobResult(drop_empty(joined))
 
 
-def clients(master: DataFrame, since: DataFrame, history: DataFrame) -> JobResult:
+def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | None) -> JobResult:
     """Client master left-joined to client-since and history, each only when
-    keyed; an unkeyed side is quarantined. No key on the master: no result."""
-    master, since, history = unify_key(master), unify_key(since), unify_key(history)
+    keyed; an unkeyed side is quarantined. No key on the master: no result.
+    A side passed as None is left out."""
+    master = unify_key(master)
     if spec.KEY not in master.columns:
         return JobResult(None, {"dados_clientes": master})
     q: dict[str, DataFrame] = {}
     df = distinct_rows(master)
     for name, side in (("clientes_desde", since), ("historico", history)):
+        if side is None:
+            continue
+        side = unify_key(side)
         if spec.KEY in side.columns:
             df = left_join(df, distinct_rows(side), spec.KEY)
         else:
