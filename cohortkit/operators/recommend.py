@@ -96,12 +96,13 @@ def top_unowned(clusters: DataFrame, ownership: DataFrame, n: int = spec.TOP_N_C
                   F.coalesce("owned", F.array().cast("array<string>")).alias("owned"),
                   F.coalesce("n_owned", F.lit(0).cast("long")).alias("n_owned")))
     need = cl.groupBy(cluster_col).agg(F.max("n_owned").alias("max_owned"))
-    trimmed = (ranking.join(F.broadcast(need), cluster_col)  # one row per cluster
+    trimmed = (ranking.join(need, cluster_col)  # need: one row per cohort (AQE sizes it)
                .where(F.col(RANK) <= F.lit(n) + F.col("max_owned")))
     lists = (trimmed.groupBy(cluster_col)
              .agg(F.array_sort(F.collect_list(F.struct(F.col(RANK), F.col(product)))).alias("r"))
              .select(cluster_col, F.col("r")[product].alias("ranked"))).cache()
-    total = lists.agg(F.sum(F.size("ranked"))).first()[0] or 0
+    st = lists.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("ranked")).alias("entries")).first()
+    total = max(st["rows"], st["entries"] or 0)
     pick = join_list(F.slice(F.array_except(F.coalesce("ranked", F.array().cast("array<string>")),
                                             F.col("owned")), 1, n)).alias(out)
     if total <= broadcast_rows:

@@ -70,7 +70,8 @@ def box_stats(df: DataFrame, value: str = spec.MRR, cluster_col: str = spec.CLUS
     iqr = F.col("q3") - F.col("q1")
     fences = q.select("*", (F.col("q1") - whisker * iqr).alias("__lo"),
                       (F.col("q3") + whisker * iqr).alias("__hi"))
-    w = (vals.join(F.broadcast(fences), cluster_col)  # one row per cluster
+    # fences: one row per cohort; no hint, AQE broadcasts it after measuring it
+    w = (vals.join(fences, cluster_col)
          .groupBy(cluster_col)
          .agg(F.min(F.when(F.col("__v") >= F.col("__lo"), F.col("__v"))).alias("whisker_low"),
               F.max(F.when(F.col("__v") <= F.col("__hi"), F.col("__v"))).alias("whisker_high"),
@@ -127,6 +128,7 @@ def personas(base: DataFrame, clusters: DataFrame, key: str = spec.KEY,
         labels = profile.select(cluster_col, persona_label(pieces).alias(label))
     else:
         labels = profile.select(cluster_col, F.lit("").alias(label))
+    # labels: one row per cohort; AQE broadcasts it after measuring it
     return (df.select(key, cluster_col)
-            .join(F.broadcast(labels), cluster_col, "left")  # one row per cluster
+            .join(labels, cluster_col, "left")
             .select(key, cluster_col, label))
