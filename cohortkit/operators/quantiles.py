@@ -159,8 +159,72 @@ def _builtin(df, cols, probs, group_cols, name):
 
 def quantile_literals(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                       bracket: int = spec.QUANTILE_BRACKET) -> dict[str, list[float | None]]:
-    """Whole-table quantiles as Python numbers (one row comes back)."""
+    """Whole-table quantiles as Python numbers, in two aggregate jobs.
+
+    Same method as ``exact_quantiles`` without groups: job 1 returns counts
+    and a sketch; job 2 gathers either all values (when every column has at
+    most ``bracket``) or only the bracket interiors, and picks the ranks in
+    the aggregate's projection. One row comes back from each job.
+    """
     cols, probs = list(cols), list(probs)
-    row = exact_quantiles(df, cols, probs, bracket=bracket,
-                          name=lambda c, p: f"q{cols.index(c)}_{probs.index(p)}").first()
-    return {c: [row[f"q{j}_{i}"] for i in range(len(probs))] for j, c in enumerate(cols)}
+    xs = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    base_acc = 10_000
+    margin = 3.0 / base_acc
+    edges = []
+    for p in probs:
+        edges += [max(0.0, p - margin), min(1.0, p + margin)]
+    first = df.agg(*[F.count(x).alias(f"n{j}") for j, x in enumerate(xs)],
+                   *[F.percentile_approx(x, edges, base_acc).alias(f"a{j}") for j, x in enumerate(xs)]
+                   ).first()
+    ns = [first[f"n{j}"] for j in range(len(cols))]
+    n_max = max(ns + [0])
+    if n_max <= bracket:
+        row = df.agg(*[F.array_sort(F.collect_list(x)).alias(f"v{j}") for j, x in enumerate(xs)]).select(
+            *[_pick_sorted(F.col(f"v{j}"), ns[j], p).alias(f"q{j}_{i}")
+              for j in range(len(cols)) for i, p in enumerate(probs)]).first()
+        return {c: [row[f"q{j}_{i}"] for i in range(len(probs))] for j, c in enumerate(cols)}
+    accuracy = min(2**31 - 1, max(base_acc, math.ceil(8 * n_max / bracket)))
+    if accuracy > base_acc:
+        margin = 3.0 / accuracy
+        edges = []
+        for p in probs:
+            edges += [max(0.0, p - margin), min(1.0, p + margin)]
+        first = df.agg(*[F.percentile_approx(x, edges, accuracy).alias(f"a{j}")
+                         for j, x in enumerate(xs)]).first()
+    aggs, picks = [], []
+    for j, x in enumerate(xs):
+        for i, p in enumerate(probs):
+            tag = f"{j}_{i}"
+            if ns[j] == 0:
+                picks.append(F.lit(None).cast("double").alias(f"q{tag}"))
+                continue
+            lo, hi = first[f"a{j}"][2 * i], first[f"a{j}"][2 * i + 1]
+            aggs += [F.count_if(x < F.lit(lo)).alias(f"__below{tag}"),
+                     F.count_if(x == F.lit(lo)).alias(f"__eqlo{tag}"),
+                     F.count_if((x == F.lit(hi)) & F.lit(hi != lo)).alias(f"__eqhi{tag}"),
+                     F.array_sort(F.collect_list(F.when((x > F.lit(lo)) & (x < F.lit(hi)), x))
+                                  ).alias(f"__in{tag}"),
+                     F.first(F.lit(lo)).alias(f"__lo{tag}"), F.first(F.lit(hi)).alias(f"__hi{tag}")]
+            h = (ns[j] - 1) * float(p)
+            r0 = math.floor(h)
+            r1 = min(r0 + 1, ns[j] - 1)
+            v0, v1 = _rank_value(F.lit(r0), tag), _rank_value(F.lit(r1), tag)
+            picks.append((v0 + (v1 - v0) * F.lit(h - r0)).alias(f"q{tag}"))
+    row = df.agg(*aggs).select(*picks).first()  # n_max > bracket, so aggs is not empty
+    out = {c: [row[f"q{j}_{i}"] for i in range(len(probs))] for j, c in enumerate(cols)}
+    if any(v is None for j, c in enumerate(cols) if ns[j] > 0 for v in out[c]):
+        # a bracket missed its ranks (outside the sketch bound): exact rescue
+        r = _builtin(df, cols, probs, (), lambda c, p: f"q{cols.index(c)}_{probs.index(p)}").first()
+        out = {c: [r[f"q{j}_{i}"] for i in range(len(probs))] for j, c in enumerate(cols)}
+    return out
+
+
+def _pick_sorted(arr: Column, n: int, p: float) -> Column:
+    """Linear-interpolation quantile from a sorted array of the n values."""
+    if n == 0:
+        return F.lit(None).cast("double")
+    h = (n - 1) * float(p)
+    r0 = math.floor(h)
+    r1 = min(r0 + 1, n - 1)
+    v0, v1 = F.element_at(arr, r0 + 1), F.element_at(arr, r1 + 1)
+    return v0 + (v1 - v0) * F.lit(h - r0)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
@@ -56,4 +57,9 @@ def materialize(df: DataFrame) -> DataFrame:
     executor recomputes from the checkpoint, not from the source scans.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first: an eager checkpoint runs one job to compute the rows and
+    # another to write them, which would otherwise compute them twice.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out

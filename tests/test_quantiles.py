@@ -35,3 +35,15 @@ def test_global_median_heavy_ties(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     for br in (10, 10_000):
         assert quantile_literals(df, ["v"], [0.5, 0.9], bracket=br)["v"] == [0.0, 1.0]
+
+
+@pytest.mark.parametrize("bracket", [1_000_000, 40])
+def test_literals_match_pandas(data, bracket):
+    pdf, df = data
+    probs = [0.1, 0.5, 0.67]
+    got = quantile_literals(df, ["x", "y"], probs, bracket=bracket)
+    for c in ["x", "y"]:
+        exp = pdf[c].quantile(probs).values
+        assert np.allclose(got[c], exp, atol=1e-12), (c, got[c], exp)
+    nulls = quantile_literals(df.where("g = 2"), ["x"], [0.5], bracket=bracket)
+    assert nulls == {"x": [None]}
