@@ -10,6 +10,7 @@ and is not offered (see README).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,10 +23,17 @@ from .. import spec
 from ..session import materialize
 
 
-def kmeans_input(df: DataFrame, key: str, vector: str,
-                 partitions: int = spec.KMEANS_PARTITIONS) -> DataFrame:
-    """Fixed partition count and in-partition order by key: the fit then sees
-    the same layout whatever order the input arrived in (repeatable seeds)."""
+def kmeans_input(df: DataFrame, key: str, vector: str, partitions: int | None = None,
+                 rows_per_partition: int = spec.KMEANS_ROWS_PER_PARTITION) -> DataFrame:
+    """Hash partitions by key, sorted by key inside each: the fit then sees
+    the same layout whatever order the input arrived in (repeatable seeds).
+
+    The partition count comes from the row count (``rows_per_partition``)
+    unless given, so it depends on the data only, never on the cluster.
+    """
+    if partitions is None:
+        n = df.count()
+        partitions = max(1, math.ceil(n / rows_per_partition))
     return df.select(key, vector).repartition(partitions, key).sortWithinPartitions(key)
 
 
@@ -39,7 +47,7 @@ class BestK:
 
 def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features",
                ks: Sequence[int] = spec.K_GRID, seed: int = spec.SEED,
-               partitions: int = spec.KMEANS_PARTITIONS, max_iter: int = 100,
+               partitions: int | None = None, max_iter: int = 100,
                n_starts: int = 1, cluster_col: str = spec.CLUSTER) -> BestK:
     """Fit k-means for each k, score by silhouette, keep the first best (strict >).
 

@@ -16,7 +16,7 @@ from .. import spec
 from ..functions.columns import require_columns, unify_key
 from ..functions.labels import bucket3, persona_label
 from ..functions.numbers import to_double
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, quantile_literals
 
 
 def with_clusters(base: DataFrame, clusters: DataFrame, key: str = spec.KEY,
@@ -119,11 +119,11 @@ def personas(base: DataFrame, clusters: DataFrame, key: str = spec.KEY,
     profile = cluster_profile(df, cols, cluster_col, number_style)
     used = [(c, prefix) for c, prefix in parts if c in cols]
     if used:
-        t = exact_quantiles(profile, [c for c, _ in used], list(probs),
-                            name=lambda c, p: f"{c}__t{list(probs).index(p)}")
-        thresholds = t.first()  # one row: two numbers per metric
-        pieces = [(prefix, bucket3(F.col(c), F.lit(thresholds[f"{c}__t0"]).cast("double"),
-                                   F.lit(thresholds[f"{c}__t1"]).cast("double")))
+        # one row per cohort: persist so the thresholds and the labels read it once
+        profile = profile.persist()
+        t = quantile_literals(profile, [c for c, _ in used], list(probs))  # two numbers per metric
+        pieces = [(prefix, bucket3(F.col(c), F.lit(t[c][0]).cast("double"),
+                                   F.lit(t[c][1]).cast("double")))
                   for c, prefix in used]
         labels = profile.select(cluster_col, persona_label(pieces).alias(label))
     else:

@@ -57,7 +57,7 @@ class CohortRun:
 
 def run_clustering(base: DataFrame, ownership: DataFrame, as_of: str,
                    ks=spec.K_GRID, seed: int = spec.SEED, count_mode: str = "rows",
-                   partitions: int = spec.KMEANS_PARTITIONS) -> CohortRun:
+                   partitions: int | None = None) -> CohortRun:
     """Entry B: features -> k chosen by silhouette -> cluster tables ->
     in-cohort recommendations. ``ownership`` has (key, product) rows."""
     feats = prepare_features(base, as_of)

@@ -172,6 +172,11 @@ FROM orders""",
     "q_surveys": SURVEYS_SQL,
     "q_telemetry": TELEMETRY_SQL,
 
+    "q_tickets": f"""SELECT DISTINCT c.c_nationkey AS CODIGO_ORGANIZACAO, e.event_id AS BK_TICKET,
+       e.event_type AS STATUS_TICKET, {r6('e.value')} AS "Tempo de Resolução", e.user_id AS IdCliente,
+       {r6('coalesce(e.value, 0.0)')} AS TempoResolucao, e.user_id AS CD_CLIENTE
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey""",
+
     "q_tickets_by_org": f"""SELECT c.c_nationkey AS CODIGO_ORGANIZACAO, count(e.event_id) AS QTD_CHAMADOS,
        CAST(count_if(upper(e.event_type) = 'ERROR') AS BIGINT) AS CHAMADOS_ABERTOS,
        {r6('avg(coalesce(e.value, 0.0))')} AS TEMPO_MEDIO_RES

@@ -106,6 +106,10 @@ def q_telemetry(spark, sf):
     return jobs.telemetry(T.telemetry_sources(spark, sf)).select(*TELEMETRY_COLUMNS)
 
 
+def q_tickets(spark, sf):
+    return rounded(jobs.tickets(T.tickets_raw(spark, sf)))
+
+
 def q_tickets_by_org(spark, sf):
     t = jobs.tickets(T.tickets_raw(spark, sf))
     return rounded(jobs.tickets_by_org(t, open_status=T.TICKET_OPEN))
@@ -260,6 +264,24 @@ def q_kmeans_recommend(spark, sf):
     return _run(spark, sf).recommendations
 
 
+def q_kmeans_profile(spark, sf):
+    """Cluster profile over the model features (dummies included)."""
+    return rounded(_run(spark, sf).profile)
+
+
+def q_kmeans_segments(spark, sf):
+    return _run(spark, sf).segments
+
+
+def q_kmeans_personas(spark, sf):
+    run = _run(spark, sf)
+    return RP.personas(driver_etl(spark, sf).base, run.clusters)
+
+
+def q_kmeans_top_products(spark, sf):
+    return RC.top_products(_run(spark, sf).ranking)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)
 }

@@ -118,7 +118,9 @@ BOX_WHISKER = 1.5
 BROADCAST_ROWS = 200_000
 # Largest bracket of values gathered per group for an exact quantile.
 QUANTILE_BRACKET = 200_000
-# Fixed partition count for k-means input: keeps fits repeatable run to run.
-KMEANS_PARTITIONS = 16
+# K-means input layout: one partition per this many rows. The count follows
+# the data, not the cluster, so the same data always gets the same layout
+# (repeatable fits) and large data still spreads over many tasks.
+KMEANS_ROWS_PER_PARTITION = 1_000_000
 # Most levels a one-hot column may have before we refuse to expand it.
 MAX_LEVELS = 1_000
