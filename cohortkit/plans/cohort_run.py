@@ -94,3 +94,34 @@ def run_reports(base: DataFrame, clusters: DataFrame, ranking: DataFrame,
 
 def driver_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.ownership_rows(spark, sf_dir).select(spec.KEY, F.col(spec.PRODUCT))
+
+
+def run_all(spark: SparkSession, sf_dir: str, out_root: str, as_of: str = T.AS_OF,
+            ks=spec.K_GRID, seed: int = spec.SEED, fmt: str = "parquet") -> dict[str, str]:
+    """Driver tables -> analytic base -> cohorts -> recommendations -> reports,
+    every output written under ``out_root`` (local, HDFS or s3a:// path).
+    Returns {table: path}."""
+    from ..sources.sinks import write_table
+    out = out_root.rstrip("/")
+    paths: dict[str, str] = {}
+    etl = driver_etl(spark, sf_dir, as_of)
+    paths["base_analitica"] = write_table(etl.base, f"{out}/base_analitica", fmt)
+    base = spark.read.format(fmt).load(paths["base_analitica"])
+    run = run_clustering(base, driver_ownership(spark, sf_dir), as_of, ks=ks, seed=seed)
+    paths["clusters_clientes"] = write_table(run.clusters, f"{out}/clusters_clientes", fmt)
+    clusters = spark.read.format(fmt).load(paths["clusters_clientes"])
+    paths["metricas_medias"] = write_table(run.profile, f"{out}/cluster_summary/metricas_medias", fmt)
+    if run.segments is not None:
+        paths["segmento_contagem"] = write_table(run.segments, f"{out}/cluster_summary/segmento_contagem", fmt)
+    paths["recomendacoes_por_cluster"] = write_table(
+        run.ranking.orderBy(spec.CLUSTER, F.col(spec.QTY).desc(), spec.PRODUCT),
+        f"{out}/recomendacoes_por_cluster", fmt)
+    paths["recomendacoes_por_cliente"] = write_table(run.recommendations,
+                                                     f"{out}/recomendacoes_por_cliente", fmt)
+    scores = spark.createDataFrame(
+        [(s["k"], s.get("silhouette"), s.get("cost"), s.get("skipped")) for s in run.best.scores],
+        "k int, silhouette double, cost double, skipped string")
+    paths["k_scores"] = write_table(scores, f"{out}/k_scores", fmt)
+    for name, df in run_reports(base, clusters, run.ranking, run.profile).items():
+        paths[name] = write_table(df, f"{out}/reports/{name}", fmt)
+    return paths

@@ -76,3 +76,14 @@ def test_load_or_build(spark, tmp_path):
     assert jobs.load_or_build(spark, p, build).count() == 3
     assert jobs.load_or_build(spark, p, build).count() == 3
     assert len(calls) == 1
+
+
+def test_run_all_on_driver_tables(spark, tmp_path):
+    from cohortkit.plans.cohort_run import run_all
+    paths = run_all(spark, "/root/testdata/sf0.001", str(tmp_path / "out"), ks=(3, 4))
+    recs = spark.read.parquet(paths["recomendacoes_por_cliente"])
+    base = spark.read.parquet(paths["base_analitica"])
+    assert recs.count() == base.count() == base.select("CD_CLIENTE").distinct().count()
+    for name in ("cluster_sizes", "top_products", "personas", "top_features", "score_by_cluster",
+                 "box_stats", "segment_mix", "metricas_medias", "segmento_contagem", "k_scores"):
+        assert spark.read.parquet(paths[name]).count() > 0, name
