@@ -66,8 +66,27 @@ def popularity(clusters: DataFrame, ownership: DataFrame, key: str = spec.KEY,
     j = pairs.join(cl, key)
     measure = F.sum("n") if count_mode == "rows" else F.count(F.lit(1))
     agg = j.groupBy(cluster_col, product).agg(measure.cast("long").alias(qty))
-    w = Window.partitionBy(cluster_col).orderBy(F.col(qty).desc(), F.col(product).asc())
-    return agg.withColumn(RANK, F.row_number().over(w).cast("long"))
+    return rank_by_quantity(agg, cluster_col, product, qty)
+
+
+def rank_by_quantity(agg: DataFrame, cluster_col: str = spec.CLUSTER, product: str = spec.PRODUCT,
+                     qty: str = spec.QTY) -> DataFrame:
+    """Rank products in each cluster by quantity desc, then product asc.
+
+    rank = (products of the cluster with a larger quantity)
+           + (position among products with the same quantity, by name).
+    The first term comes from a per-cluster histogram of quantities (one row
+    per distinct quantity), the second from a window over one (cluster,
+    quantity) tie group, so no task has to sort a cluster's whole catalogue.
+    """
+    hist = agg.groupBy(cluster_col, qty).agg(F.count(F.lit(1)).alias("__n_at"))
+    desc_q = Window.partitionBy(cluster_col).orderBy(F.col(qty).desc()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    hist = hist.select(cluster_col, qty, F.coalesce(F.sum("__n_at").over(desc_q), F.lit(0)).alias("__above"))
+    ties = Window.partitionBy(cluster_col, qty).orderBy(F.col(product).asc())
+    return (agg.join(hist, [cluster_col, qty])
+            .select(cluster_col, product, qty,
+                    (F.col("__above") + F.row_number().over(ties)).cast("long").alias(RANK)))
 
 
 def top_products(ranking: DataFrame, n: int = spec.TOP_N_CLUSTER,

@@ -45,3 +45,45 @@ def test_owned_sets_and_top_products(case):
     assert s[2] == (["a", "b"], 2)
     top = top_products(popularity(clusters, own), n=1).collect()
     assert sorted((r.cluster, r.DS_PROD) for r in top) == [(0, "a"), (1, "y")]
+
+
+def _brute(clusters, own, n):
+    """Reference semantics in plain Python: rows counted, ties by product."""
+    from collections import Counter
+    cl = dict(clusters)
+    cnt = Counter()
+    owned = {}
+    for k, p in own:
+        if k is None or p is None:
+            continue
+        owned.setdefault(k, set()).add(p)
+        if k in cl:
+            cnt[(cl[k], p)] += 1
+    rank = {}
+    for c in set(cl.values()):
+        items = sorted(((-q, p) for (cc, p), q in cnt.items() if cc == c))
+        rank[c] = [p for _, p in items]
+    return {k: ", ".join([p for p in rank[c] if p not in owned.get(k, set())][:n]) for k, c in cl.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_top_unowned_random_vs_bruteforce(spark, seed):
+    import random
+    rng = random.Random(seed)
+    clusters = [(k, rng.randrange(3)) for k in range(60)]
+    products = [f"p{i:02d}" for i in range(15)]
+    own = [(rng.randrange(70), rng.choice(products)) for _ in range(600)]  # some keys without cluster
+    cdf = spark.createDataFrame(clusters, "CD_CLIENTE long, cluster int")
+    odf = spark.createDataFrame(own, "CD_CLIENTE long, DS_PROD string")
+    exp = _brute(clusters, own, 4)
+    for kw in ({}, {"broadcast_rows": 0, "salt": 5}):
+        got = {r.CD_CLIENTE: r.RECOMENDACOES for r in top_unowned(cdf, odf, n=4, **kw).collect()}
+        assert got == exp
+    ranks = popularity(cdf, odf).collect()
+    by_c = {}
+    for r in ranks:
+        by_c.setdefault(r.cluster, []).append((r.rank_in_cluster, -r.QTD, r.DS_PROD))
+    for c, rows in by_c.items():
+        rows.sort()
+        assert [x[0] for x in rows] == list(range(1, len(rows) + 1))
+        assert [x[1:] for x in rows] == sorted(x[1:] for x in rows)
