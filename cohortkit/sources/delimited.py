@@ -23,11 +23,38 @@ OVERFLOW = "_overflow"
 ENCODINGS = {"utf-8": "UTF-8", "latin-1": "ISO-8859-1"}
 
 
-def header_columns(spark: SparkSession, path: str, sep: str = ";",
+def header_columns(spark: SparkSession, path, sep: str = ";",
                    encoding: str = "UTF-8") -> list[str]:
-    """Column names from the header line (schema only; no data job)."""
-    return (spark.read.option("header", True).option("sep", sep)
-            .option("encoding", encoding).csv(path).columns)
+    """Column names from the header line, made unique ignoring case.
+
+    Spark resolves names case-insensitively, so a header with both 'NPS' and
+    'nps' (or a repeated name) would make every later reference ambiguous;
+    later duplicates get a '__2', '__3', ... suffix.
+    """
+    first = (spark.read.option("header", False).option("sep", sep).option("quote", '"')
+             .option("escape", '"').option("encoding", encoding).csv(path).first())
+    if first is None:
+        return []
+    return unique_names([v if v is not None else f"_c{i}" for i, v in enumerate(first)])
+
+
+def unique_names(names: list[str]) -> list[str]:
+    seen: dict[str, int] = {}
+    out = []
+    for n in names:
+        k = n.lower()
+        if k in seen:
+            seen[k] += 1
+            cand = f"{n}__{seen[k]}"
+            while cand.lower() in seen:
+                seen[k] += 1
+                cand = f"{n}__{seen[k]}"
+            seen[cand.lower()] = 1
+            out.append(cand)
+        else:
+            seen[k] = 1
+            out.append(n)
+    return out
 
 
 def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, str]:

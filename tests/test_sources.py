@@ -42,3 +42,11 @@ def test_write_and_quarantine(spark, tmp_path):
     assert q.endswith("quarantine/bad") and spark.read.parquet(q).count() == 1
     c = write_table(df, str(tmp_path / "c"), fmt="csv")
     assert spark.read.option("header", True).csv(c).columns == ["k", "v"]
+
+
+def test_case_insensitive_header_collisions(spark, tmp_path):
+    path = _write(tmp_path / "d.csv", b"k;NPS;nps;k\n1;9;8;x\n")
+    df = read_delimited(spark, path)
+    assert df.columns == ["k", "NPS", "nps__2", "k__2"]
+    r = df.first()
+    assert (r["NPS"], r["nps__2"], r["k__2"]) == ("9", "8", "x")
