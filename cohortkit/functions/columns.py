@@ -95,12 +95,21 @@ def rename_clashes(left: DataFrame, right: DataFrame, on: Sequence[str],
     return left, right
 
 
-def numeric_columns(df: DataFrame, exclude: Iterable[str] = (), style: str = "br") -> list[str]:
-    """Columns where at least one value parses as a number (one aggregate pass)."""
+def numeric_column_counts(df: DataFrame, exclude: Iterable[str] = (), style: str = "br") -> DataFrame:
+    """(column_name, n_numeric): how many values of each column parse as a
+    number (text through ``parse_number``); one aggregate pass, long form."""
     exclude = set(exclude)
     cands = [c for c in df.columns if c not in exclude]
     if not cands:
-        return []
-    row = df.agg(*[F.count(to_double(df, c, style)).alias(f"_{i}")
-                   for i, c in enumerate(cands)]).first()
-    return [c for i, c in enumerate(cands) if row[f"_{i}"] > 0]
+        return df.sparkSession.createDataFrame([], "column_name string, n_numeric long")
+    counts = df.agg(*[F.count(to_double(df, c, style)).alias(f"_{i}") for i, c in enumerate(cands)])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("n_numeric"))
+        for i, c in enumerate(cands)])).alias("r")).select("r.*")
+
+
+def numeric_columns(df: DataFrame, exclude: Iterable[str] = (), style: str = "br") -> list[str]:
+    """Columns where at least one value parses as a number (one row of counts
+    per column comes back)."""
+    rows = numeric_column_counts(df, exclude, style).collect()
+    return [r["column_name"] for r in rows if r["n_numeric"] > 0]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .. import spec
-from ..functions.columns import numeric_columns
+from ..functions.columns import numeric_column_counts
 from ..functions.dates import parse_date, tenure_months
 from ..functions.numbers import parse_number, to_double
 from ..operators import cluster as CL
@@ -219,10 +219,7 @@ def q_personas(spark, sf):
 
 
 def q_numeric_columns(spark, sf):
-    base = driver_etl(spark, sf).base
-    cols = [c for c in base.columns if c != spec.KEY]
-    counts = base.agg(*[F.count(to_double(base, c, "br")).alias(c) for c in cols])
-    return counts.unpivot([], cols, "column_name", "n_numeric")
+    return numeric_column_counts(driver_etl(spark, sf).base, exclude=[spec.KEY])
 
 
 # --- clustering -----------------------------------------------------------------
