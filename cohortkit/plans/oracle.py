@@ -90,11 +90,11 @@ REPORT_METRICS = ["MRR_12M", "QTD_CONTRATACOES_12M", "VLR_CONTRATACOES_12M", "NP
                   "VL_TOTAL_CONTRATO"]
 
 
-def r6(expr: str) -> str:
-    """12 significant digits, the same rule as the Spark side."""
+def r6(expr: str, digits: int = 12) -> str:
+    """``digits`` significant digits (12 by default), the same rule as the Spark side."""
     e = f"({expr})"
     scale = f"pow(10.0, floor(log10(abs({e}))))"
-    return f"(CASE WHEN {e} IS NULL OR {e} = 0 THEN {e} ELSE round({e} / {scale}, 11) * {scale} END)"
+    return f"(CASE WHEN {e} IS NULL OR {e} = 0 THEN {e} ELSE round({e} / {scale}, {digits - 1}) * {scale} END)"
 
 
 def _sources(layout: list[tuple[str, str, str]], key_aliases: list[str], extra: str,
@@ -256,7 +256,7 @@ FROM q JOIN v ON q.cluster = v.cluster GROUP BY q.cluster, q.n, q.q1, q.median,
 prof AS (SELECT cl.cluster, {', '.join(f'avg(f.{c}) AS {c}' for c in MODEL)}
          FROM feats f JOIN cl ON f.CD_CLIENTE = cl.CD_CLIENTE WHERE cl.cluster IS NOT NULL GROUP BY cl.cluster),
 var AS ({_var_union('prof', MODEL)})
-SELECT feature, {r6('variance')} AS variance FROM var ORDER BY variance DESC NULLS LAST, feature LIMIT 8""",
+SELECT feature, {r6('variance', 9)} AS variance FROM var ORDER BY variance DESC NULLS LAST, feature LIMIT 8""",
 
     "q_personas": f"""WITH {BASE_CHAIN}, {CL}, {BC},
 prof AS (SELECT cluster, avg(MRR_12M) AS m, avg(NPS_MEDIO) AS s, avg(QTD_CONTRATACOES_12M) AS a

@@ -211,7 +211,8 @@ def q_top_features(spark, sf):
     feats = FE.prepare_features(driver_etl(spark, sf).base, T.AS_OF)
     df = feats.frame.join(T.region_cohorts(spark, sf), spec.KEY)
     profile = RP.cluster_profile(df, feats.names)
-    return rounded(RP.top_features(profile, feats.names))
+    # a variance of means loses ~4 digits to cancellation: compare 9 significant digits
+    return rounded(RP.top_features(profile, feats.names), 9)
 
 
 def q_personas(spark, sf):
