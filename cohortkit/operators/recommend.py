@@ -99,12 +99,15 @@ def top_unowned(clusters: DataFrame, ownership: DataFrame, n: int = spec.TOP_N_C
                 key: str = spec.KEY, product: str = spec.PRODUCT,
                 cluster_col: str = spec.CLUSTER, out: str = spec.RECOMMENDATIONS,
                 ranking: DataFrame | None = None, count_mode: str = "rows",
-                broadcast_rows: int = spec.BROADCAST_ROWS, salt: int = 64) -> DataFrame:
+                broadcast_rows: int = spec.BROADCAST_ROWS, salt: int = 64,
+                pairs: DataFrame | None = None) -> DataFrame:
     """(key, cluster, 'p1, p2, p3'): the cluster's best-ranked products the
     client does not own, in rank order; '' when there are none. Every client
-    of ``clusters`` appears once."""
+    of ``clusters`` appears once. ``pairs`` (from ``ownership_pairs``) may be
+    passed when the caller already has them."""
     # The pairs feed both the ranking and the owned sets: aggregate them once.
-    pairs = ownership_pairs(ownership, key, product).persist(StorageLevel.MEMORY_AND_DISK)
+    if pairs is None:
+        pairs = ownership_pairs(ownership, key, product).persist(StorageLevel.MEMORY_AND_DISK)
     if ranking is None:
         ranking = popularity(clusters, ownership, key, product, cluster_col,
                              count_mode=count_mode, pairs=pairs)

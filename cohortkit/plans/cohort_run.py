@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import spec
 from ..operators.cluster import BestK, fit_best_k
 from ..operators.features import Features, prepare_features
-from ..operators.recommend import popularity, top_products, top_unowned
+from ..operators.recommend import ownership_pairs, popularity, top_products, top_unowned
 from ..operators.reports import (box_stats, cluster_profile, cluster_sizes, personas,
                                  score_by_cluster, segment_counts, segment_mix, top_features,
                                  with_clusters)
@@ -66,8 +67,9 @@ def run_clustering(base: DataFrame, ownership: DataFrame, as_of: str,
     labelled = feats.frame.join(clusters, spec.KEY)
     profile = cluster_profile(labelled, feats.names)
     segments = segment_counts(labelled) if spec.SEGMENT in labelled.columns else None
-    ranking = popularity(clusters, ownership, count_mode=count_mode)
-    recs = top_unowned(clusters, ownership, ranking=ranking)
+    pairs = ownership_pairs(ownership).persist(StorageLevel.MEMORY_AND_DISK)  # shared by both
+    ranking = popularity(clusters, ownership, count_mode=count_mode, pairs=pairs)
+    recs = top_unowned(clusters, ownership, ranking=ranking, pairs=pairs)
     return CohortRun(feats, best, clusters, profile, segments, ranking, recs)
 
 
