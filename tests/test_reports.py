@@ -33,3 +33,20 @@ def test_sizes_mix_and_top_features(spark):
     assert wide[1] == (0.0, 1.0)
     prof = spark.createDataFrame([(0, 1.0, 10.0, 5.0), (1, 2.0, 30.0, 5.0)], "cluster int, a double, b double, c double")
     assert [r.feature for r in top_features(prof, ["a", "b", "c"], n=2).collect()] == ["b", "a"]
+
+
+def test_run_reports_recomputes_profile_when_missing(spark):
+    from cohortkit.plans.cohort_run import driver_etl, run_reports
+    from cohortkit.operators.recommend import popularity
+    from cohortkit.sources import tables as T
+    sf = "/root/testdata/sf0.001"
+    base = driver_etl(spark, sf).base
+    clusters = T.region_cohorts(spark, sf)
+    ranking = popularity(clusters, T.ownership_rows(spark, sf))
+    out = run_reports(base, clusters, ranking, profile=None)
+    feats = {r.feature for r in out["top_features"].collect()}
+    # numeric columns of the base only: text, date and key columns are not features
+    assert feats <= {"VL_TOTAL_CONTRATO", "MRR_12M", "QTD_CONTRATACOES_12M",
+                     "VLR_CONTRATACOES_12M", "NPS_MEDIO"} and len(feats) == 5
+    assert out["cluster_sizes"].count() == 5
+    assert {r.cluster for r in out["personas"].collect()} == {0, 1, 2, 3, 4}
