@@ -27,6 +27,8 @@ from .. import spec
 from ..functions.text import join_list
 
 RANK = "rank_in_cluster"
+# Upper bound on the text broadcast with the ranking arrays (characters).
+BROADCAST_CHARS = 32 * 1024 * 1024
 
 
 def ownership_pairs(ownership: DataFrame, key: str = spec.KEY,
@@ -123,11 +125,14 @@ def top_unowned(clusters: DataFrame, ownership: DataFrame, n: int = spec.TOP_N_C
     lists = (trimmed.groupBy(cluster_col)
              .agg(F.array_sort(F.collect_list(F.struct(F.col(RANK), F.col(product)))).alias("r"))
              .select(cluster_col, F.col("r")[product].alias("ranked"))).cache()
-    st = lists.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("ranked")).alias("entries")).first()
+    st = lists.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("ranked")).alias("entries"),
+                   F.sum(F.aggregate("ranked", F.lit(0).cast("long"),
+                                     lambda acc, x: acc + F.length(x))).alias("chars")).first()
     total = max(st["rows"], st["entries"] or 0)
+    small = total <= broadcast_rows and (st["chars"] or 0) <= BROADCAST_CHARS
     pick = join_list(F.slice(F.array_except(F.coalesce("ranked", F.array().cast("array<string>")),
                                             F.col("owned")), 1, n)).alias(out)
-    if total <= broadcast_rows:
+    if small:
         joined = cl.join(F.broadcast(lists), cluster_col, "left")
     else:
         salted = cl.withColumn("__s", F.pmod(F.xxhash64(key), F.lit(salt)))
