@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .. import spec
 from ..functions.text import join_list
+from .relational import checked_broadcast
 
 RANK = "rank_in_cluster"
 # Upper bound on the text broadcast with the ranking arrays (characters).
@@ -120,7 +121,7 @@ def top_unowned(clusters: DataFrame, ownership: DataFrame, n: int = spec.TOP_N_C
                   F.coalesce("owned", F.array().cast("array<string>")).alias("owned"),
                   F.coalesce("n_owned", F.lit(0).cast("long")).alias("n_owned")))
     need = cl.groupBy(cluster_col).agg(F.max("n_owned").alias("max_owned"))
-    trimmed = (ranking.join(need, cluster_col)  # need: one row per cohort (AQE sizes it)
+    trimmed = (ranking.join(checked_broadcast(need), cluster_col)  # one row per cohort
                .where(F.col(RANK) <= F.lit(n) + F.col("max_owned")))
     lists = (trimmed.groupBy(cluster_col)
              .agg(F.array_sort(F.collect_list(F.struct(F.col(RANK), F.col(product)))).alias("r"))

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import spec
 from ..functions.columns import rename_clashes
 
 
@@ -78,6 +79,18 @@ def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
 
 
+def checked_broadcast(small: DataFrame, limit: int = spec.BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a side whose row count was just checked.
+
+    For per-cohort tables (one row per cluster): joining them on the cohort
+    key by shuffle would put each cohort's rows in one task, so they are
+    broadcast when within ``limit`` rows; beyond it the plain join stands and
+    AQE handles skew. The side is cached, so the count is not paid twice.
+    """
+    small = small.cache()
+    return F.broadcast(small) if small.count() <= limit else small
+
+
 def exclude_pairs(rows: DataFrame, pairs: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose (on...) tuple is not in ``pairs`` (NOT EXISTS)."""
     return rows.join(pairs.select(*on).dropDuplicates(), list(on), "left_anti")

@@ -17,6 +17,7 @@ from ..functions.columns import require_columns, unify_key
 from ..functions.labels import bucket3, persona_label
 from ..functions.numbers import to_double
 from .quantiles import exact_quantiles, quantile_literals
+from .relational import checked_broadcast
 
 
 def with_clusters(base: DataFrame, clusters: DataFrame, key: str = spec.KEY,
@@ -70,8 +71,7 @@ def box_stats(df: DataFrame, value: str = spec.MRR, cluster_col: str = spec.CLUS
     iqr = F.col("q3") - F.col("q1")
     fences = q.select("*", (F.col("q1") - whisker * iqr).alias("__lo"),
                       (F.col("q3") + whisker * iqr).alias("__hi"))
-    # fences: one row per cohort; no hint, AQE broadcasts it after measuring it
-    w = (vals.join(fences, cluster_col)
+    w = (vals.join(checked_broadcast(fences), cluster_col)  # one row per cohort
          .groupBy(cluster_col)
          .agg(F.min(F.when(F.col("__v") >= F.col("__lo"), F.col("__v"))).alias("whisker_low"),
               F.max(F.when(F.col("__v") <= F.col("__hi"), F.col("__v"))).alias("whisker_high"),
@@ -128,7 +128,6 @@ def personas(base: DataFrame, clusters: DataFrame, key: str = spec.KEY,
         labels = profile.select(cluster_col, persona_label(pieces).alias(label))
     else:
         labels = profile.select(cluster_col, F.lit("").alias(label))
-    # labels: one row per cohort; AQE broadcasts it after measuring it
     return (df.select(key, cluster_col)
-            .join(labels, cluster_col, "left")
+            .join(checked_broadcast(labels), cluster_col, "left")  # one row per cohort
             .select(key, cluster_col, label))
