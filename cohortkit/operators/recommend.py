@@ -87,7 +87,7 @@ def rank_by_quantity(agg: DataFrame, cluster_col: str = spec.CLUSTER, product: s
         Window.unboundedPreceding, -1)
     hist = hist.select(cluster_col, qty, F.coalesce(F.sum("__n_at").over(desc_q), F.lit(0)).alias("__above"))
     ties = Window.partitionBy(cluster_col, qty).orderBy(F.col(product).asc())
-    return (agg.join(hist, [cluster_col, qty])
+    return (agg.join(checked_broadcast(hist), [cluster_col, qty])  # distinct quantities only
             .select(cluster_col, product, qty,
                     (F.col("__above") + F.row_number().over(ties)).cast("long").alias(RANK)))
 
