@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import spec
+from ..functions.columns import require_columns
 from ..functions.text import join_list
 from .relational import checked_broadcast
 
@@ -36,6 +37,7 @@ def ownership_pairs(ownership: DataFrame, key: str = spec.KEY,
                     product: str = spec.PRODUCT) -> DataFrame:
     """Distinct (key, product-as-text) pairs with their row count ``n``;
     rows with a NULL key or product are dropped."""
+    require_columns(ownership, key, product, what="ownership")
     return (ownership.select(F.col(key), F.col(product).cast("string").alias(product))
             .dropna(how="any", subset=[key, product])
             .groupBy(key, product).agg(F.count(F.lit(1)).alias("n")))
@@ -95,6 +97,7 @@ def rank_by_quantity(agg: DataFrame, cluster_col: str = spec.CLUSTER, product: s
 def top_products(ranking: DataFrame, n: int = spec.TOP_N_CLUSTER,
                  qty: str = spec.QTY) -> DataFrame:
     """First ``n`` products per cluster (NULL quantity counts as 0)."""
+    require_columns(ranking, qty, RANK, what="ranking")
     return ranking.withColumn(qty, F.coalesce(F.col(qty), F.lit(0).cast("long"))).where(F.col(RANK) <= n)
 
 

@@ -87,3 +87,12 @@ def test_top_unowned_random_vs_bruteforce(spark, seed):
         rows.sort()
         assert [x[0] for x in rows] == list(range(1, len(rows) + 1))
         assert [x[1:] for x in rows] == sorted(x[1:] for x in rows)
+
+
+def test_contract_errors(spark):
+    clusters = spark.createDataFrame([(1, 0)], "CD_CLIENTE long, cluster int")
+    no_product = spark.createDataFrame([(1,)], "CD_CLIENTE long")
+    with pytest.raises(ValueError, match="DS_PROD"):
+        top_unowned(clusters, no_product)
+    with pytest.raises(ValueError, match="QTD"):
+        top_products(spark.createDataFrame([(0, "a")], "cluster int, DS_PROD string"))
