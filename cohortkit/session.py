@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:  # classic sessions: make the folder the context's checkpoint folder
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext; the conf is used
+        pass
     return path
 
 
