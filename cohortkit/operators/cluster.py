@@ -55,8 +55,10 @@ def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features
     fit yields a single non-empty cluster: the silhouette is undefined there.
     ``n_starts`` > 1 tries seeds seed, seed+1, ... and keeps the lowest cost.
     """
+    n = features.count()
+    if partitions is None:
+        partitions = max(1, math.ceil(n / spec.KMEANS_ROWS_PER_PARTITION))
     data = materialize(kmeans_input(features, key, vector, partitions))
-    n = data.count()
     evaluator = ClusteringEvaluator(featuresCol=vector, predictionCol="__pred",
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
     best, best_score, best_k, scores = None, -1.0, None, []
