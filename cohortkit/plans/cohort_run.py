@@ -60,7 +60,9 @@ def run_clustering(base: DataFrame, ownership: DataFrame, as_of: str,
                    ks=spec.K_GRID, seed: int = spec.SEED, count_mode: str = "rows",
                    partitions: int | None = None) -> CohortRun:
     """Entry B: features -> k chosen by silhouette -> cluster tables ->
-    in-cohort recommendations. ``ownership`` has (key, product) rows."""
+    in-cohort recommendations. ``ownership`` has (key, product) rows: the
+    cleaned clients table (one row per client and product after the full-row
+    dedupe), as the source project reads it."""
     feats = prepare_features(base, as_of)
     best = fit_best_k(feats.frame, ks=ks, seed=seed, partitions=partitions)
     clusters = best.assignments
@@ -109,7 +111,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_root: str, as_of: str = T.AS_O
     etl = driver_etl(spark, sf_dir, as_of)
     paths["base_analitica"] = write_table(etl.base, f"{out}/base_analitica", fmt)
     base = spark.read.format(fmt).load(paths["base_analitica"])
-    run = run_clustering(base, driver_ownership(spark, sf_dir), as_of, ks=ks, seed=seed)
+    run = run_clustering(base, etl.clients, as_of, ks=ks, seed=seed)
     paths["clusters_clientes"] = write_table(run.clusters, f"{out}/clusters_clientes", fmt)
     clusters = spark.read.format(fmt).load(paths["clusters_clientes"])
     paths["metricas_medias"] = write_table(run.profile, f"{out}/cluster_summary/metricas_medias", fmt)

@@ -245,7 +245,7 @@ def q_silhouette(spark, sf):
 
 def _run(spark, sf):
     etl = driver_etl(spark, sf)
-    return run_clustering(etl.base, driver_ownership(spark, sf), T.AS_OF)
+    return run_clustering(etl.base, etl.clients, T.AS_OF)
 
 
 def q_kmeans_clusters(spark, sf):
