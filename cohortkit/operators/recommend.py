@@ -70,7 +70,10 @@ def popularity(clusters: DataFrame, ownership: DataFrame, key: str = spec.KEY,
     cl = clusters.select(key, cluster_col).dropna(subset=[key, cluster_col])
     j = pairs.join(cl, key)
     measure = F.sum("n") if count_mode == "rows" else F.count(F.lit(1))
-    agg = j.groupBy(cluster_col, product).agg(measure.cast("long").alias(qty))
+    # one row per (cluster, product); persisted because the ranking reads it
+    # twice (histogram check, then the ranked rows)
+    agg = (j.groupBy(cluster_col, product).agg(measure.cast("long").alias(qty))
+           .persist(StorageLevel.MEMORY_AND_DISK))
     return rank_by_quantity(agg, cluster_col, product, qty)
 
 
@@ -122,7 +125,8 @@ def top_unowned(clusters: DataFrame, ownership: DataFrame, n: int = spec.TOP_N_C
           .join(owned, key, "left")
           .select(key, cluster_col,
                   F.coalesce("owned", F.array().cast("array<string>")).alias("owned"),
-                  F.coalesce("n_owned", F.lit(0).cast("long")).alias("n_owned")))
+                  F.coalesce("n_owned", F.lit(0).cast("long")).alias("n_owned"))
+          .persist(StorageLevel.MEMORY_AND_DISK))  # read by the bound, the arrays and the result
     need = cl.groupBy(cluster_col).agg(F.max("n_owned").alias("max_owned"))
     trimmed = (ranking.join(checked_broadcast(need), cluster_col)  # one row per cohort
                .where(F.col(RANK) <= F.lit(n) + F.col("max_owned")))
