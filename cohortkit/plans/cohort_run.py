@@ -109,9 +109,11 @@ def run_all(spark: SparkSession, sf_dir: str, out_root: str, as_of: str = T.AS_O
     out = out_root.rstrip("/")
     paths: dict[str, str] = {}
     etl = driver_etl(spark, sf_dir, as_of)
+    paths["clientes_tratado"] = write_table(etl.clients, f"{out}/clientes_tratado", fmt)
     paths["base_analitica"] = write_table(etl.base, f"{out}/base_analitica", fmt)
     base = spark.read.format(fmt).load(paths["base_analitica"])
-    run = run_clustering(base, etl.clients, as_of, ks=ks, seed=seed)
+    clients = spark.read.format(fmt).load(paths["clientes_tratado"])
+    run = run_clustering(base, clients, as_of, ks=ks, seed=seed)
     paths["clusters_clientes"] = write_table(run.clusters, f"{out}/clusters_clientes", fmt)
     clusters = spark.read.format(fmt).load(paths["clusters_clientes"])
     paths["metricas_medias"] = write_table(run.profile, f"{out}/cluster_summary/metricas_medias", fmt)
