@@ -87,3 +87,18 @@ def test_run_all_on_driver_tables(spark, tmp_path):
     for name in ("cluster_sizes", "top_products", "personas", "top_features", "score_by_cluster",
                  "box_stats", "segment_mix", "metricas_medias", "segmento_contagem", "k_scores"):
         assert spark.read.parquet(paths[name]).count() > 0, name
+
+
+def test_command_line_etl(spark, tmp_path, capsys):
+    import json
+
+    from cohortkit.__main__ import main
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "dados_clientes.csv").write_text("CLIENTE;DS_SEGMENTO\n1;A\n2;B\n")
+    (raw / "clientes_desde.csv").write_text("CD_CLIENTE;DT_ASSINATURA_CONTRATO\n1;01/02/2020\n")
+    (raw / "historico.csv").write_text("CD_CLIENTE;DS_PROD\n1;X\n")
+    main(["--master", "local[2]", "etl", str(raw), str(tmp_path / "out")])
+    out = json.loads(capsys.readouterr().out)
+    assert spark.read.parquet(out["base_analitica"]).count() == 2
+    assert "skipped:nps_relacional" in out
