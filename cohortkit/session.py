@@ -8,8 +8,8 @@ entry: it sets a scratch checkpoint folder only when the session has none.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
@@ -54,15 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's checkpoint folder.
+    """Cut lineage by writing ``df`` as a Parquet table under the session's
+    checkpoint folder and reading it back.
 
-    Used before loops that reuse one input many times (the k grid), so a lost
-    executor recomputes from the checkpoint, not from the source scans.
+    Used before loops that reuse one input many times (the k grid, the
+    feature statistics): a lost executor then re-reads the table instead of
+    re-running the source scans and joins. One job writes it; the read-back
+    is columnar, so later projections prune.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    # Persist first: an eager checkpoint runs one job to compute the rows and
-    # another to write them, which would otherwise compute them twice.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/cohortkit-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
