@@ -40,16 +40,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder; create a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a session without it (local tests) gets a fresh local folder.
+    is (it is a static setting, read here, never changed). A session without
+    one (local tests) gets a fresh local folder as its context's checkpoint
+    folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        pass
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:  # classic sessions: make the folder the context's checkpoint folder
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext; the conf is used
-        pass
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 

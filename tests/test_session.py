@@ -3,16 +3,14 @@ from pathlib import Path
 from cohortkit.session import ensure_checkpoint_dir, materialize
 
 
-def test_checkpoint_folder_from_session_and_materialize(spark, tmp_path):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path / "shared"))
-        assert ensure_checkpoint_dir(spark) == str(tmp_path / "shared")  # existing setting kept
-        df = materialize(spark.range(10).withColumnRenamed("id", "k"))
-        assert df.count() == 10
-        written = list(Path(tmp_path / "shared").glob("cohortkit-*"))
-        assert len(written) == 1 and any(written[0].glob("*.parquet"))
-    finally:
-        if old:
-            spark.conf.set("spark.checkpoint.dir", old)
-            ensure_checkpoint_dir(spark)
+def test_checkpoint_folder_from_session_and_materialize(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    path = ensure_checkpoint_dir(spark)
+    if configured:
+        assert path == configured  # a configured folder is used as is
+    assert ensure_checkpoint_dir(spark) == path  # stable
+    before = set(Path(path.removeprefix("file:")).glob("cohortkit-*"))
+    df = materialize(spark.range(10).withColumnRenamed("id", "k"))
+    assert df.count() == 10
+    new = set(Path(path.removeprefix("file:")).glob("cohortkit-*")) - before
+    assert len(new) == 1 and any(next(iter(new)).glob("*.parquet"))
