@@ -206,6 +206,17 @@ SELECT CD_CLIENTE, DS_SEGMENTO, FAT_FAIXA, UF, {r6('VL_TOTAL_CONTRATO')} AS VL_T
        {r6('VLR_CONTRATACOES_12M')} AS VLR_CONTRATACOES_12M, {r6('NPS_MEDIO')} AS NPS_MEDIO
 FROM base""",
 
+    "q_drop_empty": f"""WITH {BASE_CHAIN}
+SELECT CD_CLIENTE, {r6('MRR_12M')} AS MRR_12M, {r6('QTD_CONTRATACOES_12M')} AS QTD_CONTRATACOES_12M,
+       {r6('VLR_CONTRATACOES_12M')} AS VLR_CONTRATACOES_12M, {r6('NPS_MEDIO')} AS NPS_MEDIO
+FROM base
+WHERE NOT (MRR_12M IS NULL AND QTD_CONTRATACOES_12M IS NULL AND VLR_CONTRATACOES_12M IS NULL
+           AND NPS_MEDIO IS NULL)""",
+
+    "q_drop_incomplete": f"""WITH {BASE_CHAIN}
+SELECT CD_CLIENTE, {r6('MRR_12M')} AS MRR_12M, {r6('NPS_MEDIO')} AS NPS_MEDIO
+FROM base WHERE MRR_12M IS NOT NULL AND NPS_MEDIO IS NOT NULL""",
+
     "q_impute_median": f"""WITH {BASE_CHAIN}, {TYPED}, {MED}, {FILLED}
 SELECT CD_CLIENTE, {', '.join(f"{r6(c)} AS {c}" for c in NUMERIC)} FROM filled""",
 

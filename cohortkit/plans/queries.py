@@ -137,6 +137,22 @@ def q_analytic_base(spark, sf):
     return rounded(driver_etl(spark, sf).base)
 
 
+MEASURES = [spec.MRR, spec.N_CONTRACTS, spec.CONTRACTS_VALUE, spec.SCORE_MEAN]
+
+
+def q_drop_empty(spark, sf):
+    """Clients with at least one sales or score value (all-NULL rows dropped)."""
+    base = driver_etl(spark, sf).base
+    return rounded(RL.drop_empty(base.select(spec.KEY, *MEASURES), subset=MEASURES))
+
+
+def q_drop_incomplete(spark, sf):
+    """Clients with both a revenue and a score (rows with any NULL dropped)."""
+    base = driver_etl(spark, sf).base
+    return rounded(RL.drop_incomplete(base.select(spec.KEY, spec.MRR, spec.SCORE_MEAN),
+                                      [spec.MRR, spec.SCORE_MEAN]))
+
+
 # --- features -------------------------------------------------------------------
 
 def _typed_base(spark, sf):
