@@ -75,16 +75,23 @@ def one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = True,
     return df.select("*", *exprs), names
 
 
-def standardise(df: DataFrame, cols: Sequence[str], suffix: str = "") -> tuple[DataFrame, dict]:
+def standardise(df: DataFrame, cols: Sequence[str], suffix: str = "",
+                shift: dict | None = None) -> tuple[DataFrame, dict]:
     """(x - mean) / population sd; a constant column maps to 0.
 
     With ``suffix`` the scaled columns are added as ``<col><suffix>``;
-    without, they replace the originals in place.
+    without, they replace the originals in place. ``shift`` (column -> a
+    typical value such as the median) makes each mean ``shift + avg(x -
+    shift)``: the summed terms are small, so the mean carries far less
+    rounding error and depends far less on the summation order.
     """
     cols = list(cols)
     if not cols:
         return df, {}
-    row = df.agg(*[F.avg(c).alias(f"m{j}") for j, c in enumerate(cols)],
+    shift = shift or {}
+    means = [(F.lit(float(shift[c])) + F.avg(F.col(c) - F.lit(float(shift[c])))) if c in shift
+             else F.avg(c) for c in cols]
+    row = df.agg(*[m.alias(f"m{j}") for j, m in enumerate(means)],
                  *[F.stddev_pop(c).alias(f"s{j}") for j, c in enumerate(cols)]).first()
     stats = {c: (row[f"m{j}"], row[f"s{j}"]) for j, c in enumerate(cols)}
     scaled = {}
@@ -136,7 +143,7 @@ def prepare_features(base: DataFrame, as_of: str, key: str = spec.KEY,
     cats = [c for c in categorical if c in df.columns]
     df, dummies = one_hot(df, cats)
     names = num + dummies
-    df, scaling = standardise(df, names, suffix="__z")
+    df, scaling = standardise(df, names, suffix="__z", shift=medians)
     scaled = [c + "__z" for c in names]
     df = assemble(df, scaled, vector).drop(*scaled)
     return Features(df, names, dropped, medians, scaling)

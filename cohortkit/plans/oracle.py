@@ -225,7 +225,7 @@ SELECT CD_CLIENTE, {', '.join(f"CAST({e.split(' AS ')[0]} AS DOUBLE) AS {e.split
                                for e in DUMMY_EXPRS)} FROM master""",
 
     "q_standardise": f"""WITH {FEATURE_CHAIN}
-SELECT CD_CLIENTE, {', '.join(f"{r6('z_' + c)} AS z_{c}" for c in MODEL)} FROM z""",
+SELECT CD_CLIENTE, {', '.join(f"round(z_{c}, 9) AS z_{c}" for c in MODEL)} FROM z""",
 
     "q_cluster_sizes": f"""WITH {CL}
 SELECT cluster, count(*) AS n FROM cl WHERE cluster IS NOT NULL GROUP BY cluster""",

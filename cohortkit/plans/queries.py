@@ -182,7 +182,11 @@ def _scaled(spark, sf):
 
 
 def q_standardise(spark, sf):
-    return rounded(_scaled(spark, sf)[1])
+    # z = (x - mean) / sd carries an absolute error from the whole-table mean
+    # and sd (summation order differs by engine and layout), largest where x
+    # is close to the mean: compare z-scores at 9 decimal places
+    z = _scaled(spark, sf)[1]
+    return z.select(spec.KEY, *[F.round(c, 9).alias(c) for c in z.columns if c != spec.KEY])
 
 
 # --- reports over the region cohorts ----------------------------------------------
