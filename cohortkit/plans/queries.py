@@ -46,24 +46,29 @@ def rounded(df: DataFrame, digits: int = SIGNIFICANT) -> DataFrame:
 # --- recommendation -------------------------------------------------------
 
 def q_recommend(spark, sf):
+    """SRT2, FLT5, JN7, SET2, SCL11, ML7: top-3 unowned products per client in its cohort."""
     return RC.top_unowned(T.region_cohorts(spark, sf), driver_ownership(spark, sf),
                           n=spec.TOP_N_CLIENT)
 
 
 def q_popularity(spark, sf):
+    """AGG5, SRT1: complete per-cohort ranking, ownership rows counted."""
     return RC.popularity(T.region_cohorts(spark, sf), driver_ownership(spark, sf), count_mode="rows")
 
 
 def q_popularity_clients(spark, sf):
+    """AGG5 with distinct clients counted (D8 'clients' mode)."""
     return RC.popularity(T.region_cohorts(spark, sf), driver_ownership(spark, sf),
                          count_mode="clients")
 
 
 def q_top_products(spark, sf):
+    """SRT3: top 10 products per cohort."""
     return RC.top_products(q_popularity(spark, sf), n=spec.TOP_N_CLUSTER)
 
 
 def q_owned_set(spark, sf):
+    """AGG6: each client's owned products as sorted text."""
     own = RC.owned_sets(driver_ownership(spark, sf))
     return own.select(spec.KEY, F.concat_ws(spec.LIST_SEP, "owned").alias("owned"), "n_owned")
 
@@ -71,6 +76,7 @@ def q_owned_set(spark, sf):
 # --- scalar parsing ---------------------------------------------------------
 
 def q_locale_number(spark, sf):
+    """SCL1-4: locale text numbers parsed in plain, comma and br styles."""
     o = T.table(spark, sf, "orders", "o_orderkey", "o_totalprice")
     text = F.translate(F.format_number("o_totalprice", 2), ",.", ".,")
     o = o.select("o_orderkey", text.alias("price_text"))
@@ -81,6 +87,7 @@ def q_locale_number(spark, sf):
 
 
 def q_tenure(spark, sf):
+    """SCL7-8: explicit-format dates and tenure in months."""
     o = T.table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus")
     text = (F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd/MM/yyyy"))
              .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd"))
@@ -99,41 +106,50 @@ TELEMETRY_COLUMNS = ["event_id", "props", spec.KEY, "ID_CLIENTE", "CODIGO_CLIENT
 
 
 def q_surveys(spark, sf):
+    """JOB1: SRC3, PRJ1-2, PRJ5, SET1, FLT1, DED1, SCL1."""
     return rounded(jobs.surveys(T.survey_sources(spark, sf)).select(*SURVEY_COLUMNS))
 
 
 def q_telemetry(spark, sf):
+    """JOB5: SRC4, PRJ1, SET1, FLT1, DED1."""
     return jobs.telemetry(T.telemetry_sources(spark, sf)).select(*TELEMETRY_COLUMNS)
 
 
 def q_tickets(spark, sf):
+    """JOB2: PRJ3-4, SCL1, SCL9, PRJ1 (cleaned tickets)."""
     return rounded(jobs.tickets(T.tickets_raw(spark, sf)))
 
 
 def q_tickets_by_org(spark, sf):
+    """AGG1, FLT6, SCL6: tickets per organisation."""
     t = jobs.tickets(T.tickets_raw(spark, sf))
     return rounded(jobs.tickets_by_org(t, open_status=T.TICKET_OPEN))
 
 
 def q_sales(spark, sf):
+    """JOB3, JN1, PRJ9, SCL2: revenue joined to contracts."""
     return rounded(jobs.sales(T.revenue(spark, sf), T.contracts(spark, sf)).frame)
 
 
 def q_clients(spark, sf):
+    """JOB4, JN2: client master joined to client-since and history."""
     return rounded(jobs.clients(T.client_master(spark, sf), T.client_since(spark, sf),
                                 T.history(spark, sf)).frame)
 
 
 def q_score_by_client(spark, sf):
+    """AGG2: mean survey score per client."""
     return rounded(jobs.score_by_client(jobs.surveys(T.survey_sources(spark, sf))))
 
 
 def q_first_per_key(spark, sf):
+    """DED2: first row per key under an explicit order."""
     o = T.table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     return rounded(RL.first_per_key(o, "o_custkey", ["o_orderdate", "o_orderkey"]))
 
 
 def q_analytic_base(spark, sf):
+    """JOB6, JN3, PRJ6, DED2, AGG2: one row per client."""
     return rounded(driver_etl(spark, sf).base)
 
 
@@ -163,12 +179,14 @@ def _typed_base(spark, sf):
 
 
 def q_impute_median(spark, sf):
+    """AGG10, SCL10: exact whole-table medians fill NULLs."""
     df, num = _typed_base(spark, sf)
     filled, _, _ = FE.impute_median(df, num)
     return rounded(filled.select(spec.KEY, *num))
 
 
 def q_one_hot(spark, sf):
+    """ML1: sorted levels, first dropped, NULL all zeros."""
     base = driver_etl(spark, sf).base
     out, names = FE.one_hot(base, list(spec.CATEGORICAL))
     return out.select(spec.KEY, *names)
@@ -182,6 +200,7 @@ def _scaled(spark, sf):
 
 
 def q_standardise(spark, sf):
+    """ML2, ML6: full feature preparation, scaled columns."""
     # z = (x - mean) / sd carries an absolute error from the whole-table mean
     # and sd (summation order differs by engine and layout), largest where x
     # is close to the mean: compare z-scores at 9 decimal places
@@ -200,34 +219,42 @@ REPORT_METRICS = [spec.MRR, spec.N_CONTRACTS, spec.CONTRACTS_VALUE, spec.SCORE_M
 
 
 def q_cluster_sizes(spark, sf):
+    """AGG7, SRT5: clients per cohort."""
     return RP.cluster_sizes(T.region_cohorts(spark, sf))
 
 
 def q_cluster_profile(spark, sf):
+    """AGG3: mean of each metric per cohort."""
     return rounded(RP.cluster_profile(_base_with_regions(spark, sf), REPORT_METRICS))
 
 
 def q_segment_counts(spark, sf):
+    """AGG4: clients per (cohort, segment)."""
     return RP.segment_counts(_base_with_regions(spark, sf))
 
 
 def q_segment_mix(spark, sf):
+    """AGG14-15: segment counts and shares per cohort."""
     return rounded(RP.segment_mix(_base_with_regions(spark, sf)))
 
 
 def q_segment_mix_wide(spark, sf):
+    """AGG14-15, wide form."""
     return rounded(RP.segment_mix(_base_with_regions(spark, sf), wide=True))
 
 
 def q_score_by_cluster(spark, sf):
+    """AGG8: mean score per cohort."""
     return rounded(RP.score_by_cluster(_base_with_regions(spark, sf)))
 
 
 def q_box_stats(spark, sf):
+    """AGG13: quartiles and whiskers of revenue per cohort."""
     return rounded(RP.box_stats(_base_with_regions(spark, sf), spec.MRR))
 
 
 def q_top_features(spark, sf):
+    """AGG9, SRT4: features whose cohort means vary most."""
     feats = FE.prepare_features(driver_etl(spark, sf).base, T.AS_OF)
     df = feats.frame.join(T.region_cohorts(spark, sf), spec.KEY)
     profile = RP.cluster_profile(df, feats.names)
@@ -236,10 +263,12 @@ def q_top_features(spark, sf):
 
 
 def q_personas(spark, sf):
+    """ML8, AGG11, SCL12-13: persona label per client."""
     return RP.personas(driver_etl(spark, sf).base, T.region_cohorts(spark, sf))
 
 
 def q_numeric_columns(spark, sf):
+    """PRJ10, AGG16: parseable values per base column."""
     return numeric_column_counts(driver_etl(spark, sf).base, exclude=[spec.KEY])
 
 
@@ -251,6 +280,7 @@ def _scaled_with_regions(spark, sf):
 
 
 def q_assign_nearest(spark, sf):
+    """ML3 (predict half): nearest cohort centre per client."""
     feats, z = _scaled_with_regions(spark, sf)
     zc = [c for c in z.columns if c.startswith("z_")]
     centres = z.groupBy(spec.CLUSTER).agg(*[F.avg(c).alias(c) for c in zc])
@@ -258,6 +288,7 @@ def q_assign_nearest(spark, sf):
 
 
 def q_silhouette(spark, sf):
+    """ML4: squared-Euclidean silhouette of the region cohorts."""
     feats, z = _scaled_with_regions(spark, sf)
     zc = [c for c in z.columns if c.startswith("z_")]
     return rounded(CL.silhouette(z, zc))
@@ -269,16 +300,19 @@ def _run(spark, sf):
 
 
 def q_kmeans_clusters(spark, sf):
+    """ML3, ML5: client -> cluster for the best k."""
     return _run(spark, sf).clusters
 
 
 def q_kmeans_scores(spark, sf):
+    """ML5: silhouette and cost per k, chosen k flagged."""
     run = _run(spark, sf)
     rows = [(s["k"], s.get("silhouette"), s.get("cost"), s["k"] == run.best.k) for s in run.best.scores]
     return spark.createDataFrame(rows, "k int, silhouette double, cost double, chosen boolean")
 
 
 def q_kmeans_recommend(spark, sf):
+    """ML7 on the fitted cohorts."""
     return _run(spark, sf).recommendations
 
 
