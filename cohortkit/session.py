@@ -7,11 +7,17 @@ entry: it sets a scratch checkpoint folder only when the session has none.
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: One folder per driver process, so that its tables can be removed together.
+_RUN = uuid.uuid4().hex
+_ROOTS: dict[str, SparkSession] = {}
+
 _LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -37,12 +43,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; create a scratch one only if unset.
+    """Return the session's shared checkpoint folder; create a scratch one
+    only for a local master that names none.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is (it is a static setting, read here, never changed). A session without
-    one (local tests) gets a fresh local folder as its context's checkpoint
-    folder.
+    is (it is a static setting, read here, never changed). A cluster session
+    without one raises: a machine-local folder there would leave each
+    executor's files where the others cannot read them.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -53,22 +60,51 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A new path under this application's folder in the shared checkpoint
+    folder. The folder is removed by :func:`release` or when the driver's
+    Python ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cohortkit-{_RUN}"
+    if root not in _ROOTS:
+        _ROOTS[root] = spark
+        atexit.register(release, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release(spark: SparkSession, root: str | None = None) -> None:
+    """Remove the tables that :func:`materialize` and ``scratch_path`` wrote.
+
+    DataFrames that still read them fail afterwards, so call it when their
+    results are written.
+    """
+    for path in [root] if root else list(_ROOTS):
+        if _ROOTS.pop(path, None) is None:
+            continue
+        try:
+            jvm = spark.sparkContext._jvm
+            hadoop = jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        except Exception:  # noqa: BLE001 - the context is gone: a shared folder's own cleaner is left to do it
+            pass
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Cut lineage by writing ``df`` as a Parquet table under the session's
     checkpoint folder and reading it back.
 
-    Used before loops that reuse one input many times (the k grid, the
-    feature statistics): a lost executor then re-reads the table instead of
-    re-running the source scans and joins. One job writes it; the read-back
-    is columnar, so later projections prune.
+    Used before loops and passes that reuse one input many times: a lost
+    executor then re-reads the table instead of re-running the source scans
+    and joins. One job writes it; the read-back is columnar, so later
+    projections prune.
     """
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/cohortkit-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
