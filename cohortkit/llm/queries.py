@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from .license_scan import op10_license_scan
 from .line_dedup import OP6_SQL, op6_line_dedup
+from .packing import op9_mixture_packing
+from .quality_rules import op1_quality_rules
+from .sharding import op5_rendezvous_shards
+from .token_files import op4_token_files
+from .url_filter import op2_url_filter
+from .warc import op3_warc_archives
 
-QUERIES = {
-    "op6_line_dedup": op6_line_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_url_filter, op3_warc_archives, op4_token_files, op5_rendezvous_shards, op6_line_dedup,
+    op9_mixture_packing, op10_license_scan)}
 
 SQL = {
     "op6_line_dedup": OP6_SQL,
