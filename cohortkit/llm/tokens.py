@@ -1,7 +1,7 @@
 """Tokenizing inside tasks.
 
 A byte-level tokenizer cuts texts before each space that a non-space follows,
-whatever else it does, so a text's ids are those of its pieces, and the pieces
+whatever else it does. So a text's ids are those of its pieces, and the pieces
 of a corpus repeat. The encoder keeps the ids of pieces it has met, within a
 fixed number of entries, and gives the library only new ones.
 """
@@ -10,19 +10,40 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?=\s)| $")
 _LONGEST_KEPT = 48
-_ENTRIES = 300_000
+#: Entries of a generation; a cache has two.
+_ENTRIES = 400_000
 
 
-def default_tokenizer() -> str:
-    import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+class _Generations:
+    """A bounded cache: when the young entries are too many they become the
+    old ones, and what is used of these returns."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.young) > _ENTRIES:
+            self.young, self.old = {}, self.young
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys in neither generation; those of the old one return."""
+        out = []
+        for k in filterfalse(self.young.__contains__, keys):
+            if k in self.old:
+                self.young[k] = self.old[k]
+            else:
+                out.append(k)
+        return out
 
 
 class Encoder:
@@ -38,27 +59,13 @@ class Encoder:
         pre = spec["pre_tokenizer"] or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space") and not spec["normalizer"] and not spec["truncation"])
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}  # without the space before it
+        self.pieces = _Generations()
 
     def _direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes()
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(kind, e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str], space: str, kept: dict[str, bytes]) -> dict[str, bytes]:
-        new = [p for p in pieces if p not in kept]
-        if not new:
-            return kept
-        ids = dict(zip(new, self._direct([space + p for p in new])))
-        if len(kept) + len(ids) > _ENTRIES:
-            kept.clear()
-        long = {p for p in new if len(p) > _LONGEST_KEPT}
-        kept.update((p, x) for p, x in ids.items() if p not in long)
-        missing = [p for p in pieces if p not in kept and p not in ids]
-        if missing:  # known until the clearing above
-            ids.update(zip(missing, self._direct([space + p for p in missing])))
-        return {p: ids[p] if p in ids else kept[p] for p in pieces} if long or missing else kept
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_piece:
             return [np.frombuffer(x, self.dtype) for x in self._direct(texts)]
@@ -77,13 +84,20 @@ class Encoder:
         return [np.frombuffer(x, self.dtype) for x in out]
 
     def _fill(self, todo: list, out: list) -> None:
-        first = self._learn({pieces[0] for _, pieces in todo}, "", self.first)
-        rest: set[str] = set()
+        self.pieces.turn()
+        first = self._direct([pieces[0] for _, pieces in todo])
+        new: set[str] = set()
         for _, pieces in todo:
-            rest.update(pieces[1:])
-        ids = self._learn(rest, " ", self.rest)
-        for i, pieces in todo:
-            out[i] = first[pieces[0]] + b"".join(map(ids.__getitem__, pieces[1:]))
+            del pieces[0]
+            new.update(filterfalse(self.pieces.young.__contains__, pieces))
+        unknown = self.pieces.missing(new)
+        ids = self.pieces.young
+        ids.update(zip(unknown, self._direct([" " + p for p in unknown])))
+        for (i, pieces), head in zip(todo, first):
+            out[i] = head + b"".join(map(ids.__getitem__, pieces))
+        for p in unknown:
+            if len(p) > _LONGEST_KEPT:
+                del ids[p]
 
 
 @lru_cache(maxsize=2)
@@ -95,6 +109,11 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def default_tokenizer() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def crc32(ids: np.ndarray) -> int:
     """Of the ids as little-endian unsigned 32-bit integers."""
     import zlib
