@@ -42,6 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("base_path")
     c.add_argument("clients_path")
     c.add_argument("out_root")
+    c.add_argument("--tables", help="folder of vendas_tratado and nps_tratado: builds BASE_PATH where it is absent")
     d = sub.add_parser("driver")
     d.add_argument("sf_dir")
     d.add_argument("out_root")
@@ -61,21 +62,22 @@ def main(argv: list[str] | None = None) -> None:
         out = run_all(spark, a.sf_dir, a.out_root, as_of=a.as_of or AS_OF,
                       ks=tuple(int(k) for k in a.ks.split(",")), seed=a.seed)
     else:
-        from .plans.cohort_run import run_clustering, run_reports
+        from .plans.cohort_run import run_clustering, run_reports, stored_profile, write_cohorts
+        from .plans.jobs import analytic_base, load_or_build
         from .sources.sinks import write_table
-        base = spark.read.parquet(a.base_path)
         clients = spark.read.parquet(a.clients_path)
+
+        def build():
+            side = lambda name: spark.read.parquet(f"{a.tables.rstrip('/')}/{name}")
+            return analytic_base(clients, side("vendas_tratado"), side("nps_tratado"))
+
+        base = load_or_build(spark, a.base_path, build) if a.tables else spark.read.parquet(a.base_path)
         run = run_clustering(base, clients, a.as_of, ks=tuple(int(k) for k in a.ks.split(",")),
                              seed=a.seed)
         root = a.out_root.rstrip("/")
-        out = {"clusters_clientes": write_table(run.clusters, f"{root}/clusters_clientes"),
-               "recomendacoes_por_cluster": write_table(run.ranking, f"{root}/recomendacoes_por_cluster"),
-               "recomendacoes_por_cliente": write_table(run.recommendations,
-                                                        f"{root}/recomendacoes_por_cliente"),
-               "metricas_medias": write_table(run.profile, f"{root}/cluster_summary/metricas_medias")}
-        if run.segments is not None:
-            out["segmento_contagem"] = write_table(run.segments, f"{root}/cluster_summary/segmento_contagem")
-        for name, df in run_reports(base, run.clusters, run.ranking, run.profile).items():
+        out = write_cohorts(run, root)
+        profile = stored_profile(spark, out["metricas_medias"])
+        for name, df in run_reports(base, run.clusters, run.ranking, profile).items():
             out[name] = write_table(df, f"{root}/reports/{name}")
     print(json.dumps(out, indent=2))
 

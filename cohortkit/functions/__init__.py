@@ -2,15 +2,15 @@
 
 from .numbers import parse_number, to_double
 from .dates import parse_date, tenure_months
-from .text import fold_accents, fold_name, join_list, is_open_status
-from .columns import (unify_key, resolve_score, find_duration_column, with_default,
+from .text import fold_name, join_list, is_open_status
+from .columns import (unify_key, resolve_score, find_duration_column,
                       select_present, require_columns, rename_clashes, numeric_columns,
                       numeric_column_counts)
 from .labels import bucket3, persona_label
 
 __all__ = [
-    "parse_number", "to_double", "parse_date", "tenure_months", "fold_accents",
+    "parse_number", "to_double", "parse_date", "tenure_months",
     "fold_name", "join_list", "is_open_status", "unify_key", "resolve_score",
-    "find_duration_column", "with_default", "select_present", "require_columns",
+    "find_duration_column", "select_present", "require_columns",
     "rename_clashes", "numeric_columns", "numeric_column_counts", "bucket3", "persona_label",
 ]

@@ -53,10 +53,6 @@ def find_duration_column(columns: Iterable[str], stem: str = spec.DURATION_STEM,
     return None
 
 
-def with_default(df: DataFrame, name: str, value) -> DataFrame:
-    return df.withColumn(name, F.lit(value))
-
-
 def select_present(df: DataFrame, wanted: Sequence[str], order: str = "table",
                    fallback: Sequence[str] | None = (spec.KEY,)) -> DataFrame:
     """Project the wanted columns that exist.

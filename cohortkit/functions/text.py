@@ -13,11 +13,6 @@ def fold_name(name: str) -> str:
     return name.lower().translate(str.maketrans(spec.ACCENT_FROM, spec.ACCENT_TO))
 
 
-def fold_accents(col: Column) -> Column:
-    """Data form of ``fold_name``: lower first, then translate."""
-    return F.translate(F.lower(col), spec.ACCENT_FROM, spec.ACCENT_TO)
-
-
 def join_list(arr: Column, sep: str = spec.LIST_SEP) -> Column:
     """Array -> 'a, b, c' (an empty or NULL array gives '')."""
     return F.coalesce(F.concat_ws(sep, arr), F.lit(""))

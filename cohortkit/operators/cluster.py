@@ -16,25 +16,31 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec
 from ..session import materialize
+from .relational import checked_broadcast
 
 
 def kmeans_input(df: DataFrame, key: str, vector: str, partitions: int | None = None,
                  rows_per_partition: int = spec.KMEANS_ROWS_PER_PARTITION) -> DataFrame:
-    """Hash partitions by key, sorted by key inside each: the fit then sees
-    the same layout whatever order the input arrived in (repeatable seeds).
+    """Hash partitions by key, sorted inside each: the fit then sees the same
+    layout whatever order the input arrived in (repeatable seeds).
 
     The partition count comes from the row count (``rows_per_partition``)
-    unless given, so it depends on the data only, never on the cluster.
+    unless given, so it depends on the data only, never on the cluster. The
+    layout must be the last thing before the fit: a table that is written and
+    read again is packed into partitions by the cluster's core count.
     """
     if partitions is None:
-        n = df.count()
-        partitions = max(1, math.ceil(n / rows_per_partition))
-    return df.select(key, vector).repartition(partitions, key).sortWithinPartitions(key)
+        partitions = max(spec.KMEANS_LEAST_PARTITIONS, math.ceil(df.count() / rows_per_partition))
+    return (df.select(key, vector).repartition(partitions, key)
+            .sortWithinPartitions(key, F.xxhash64(vector_to_array(vector))))
 
 
 @dataclass
@@ -43,6 +49,8 @@ class BestK:
     k: int
     scores: list[dict]           # one dict per k tried: k, silhouette, cost, sizes / skipped reason
     assignments: DataFrame       # key, cluster (renumbered: size desc, then first centre coordinate)
+    labelled: DataFrame | None = None  # the fitted rows with all their columns, and their cluster
+    centres: list | None = None  # by renumbered cluster
 
 
 def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features",
@@ -55,10 +63,16 @@ def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features
     fit yields a single non-empty cluster: the silhouette is undefined there.
     ``n_starts`` > 1 tries seeds seed, seed+1, ... and keeps the lowest cost.
     """
-    n = features.count()
-    if partitions is None:
-        partitions = max(1, math.ceil(n / spec.KMEANS_ROWS_PER_PARTITION))
-    data = materialize(kmeans_input(features, key, vector, partitions))
+    stored = materialize(features.drop(cluster_col), "kmeans-features")
+    n = stored.count()
+    data = kmeans_input(stored, key, vector, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_col)
+    finally:
+        data.unpersist()
+
+
+def _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_col) -> BestK:
     evaluator = ClusteringEvaluator(featuresCol=vector, predictionCol="__pred",
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
     best, best_score, best_k, scores = None, -1.0, None, []
@@ -84,79 +98,81 @@ def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features
             best, best_score, best_k = model, score, k
     if best is None:
         raise ValueError(f"no k in {list(ks)} could be scored: {scores}")
-    assignments = renumber(best, best.transform(data).select(key, "__pred"), cluster_col)
-    return BestK(best, best_k, scores, assignments)
+    labelled = renumber(best, best.transform(stored), cluster_col)
+    centres = [best.clusterCenters()[i] for i in _order(best)]
+    return BestK(best, best_k, scores, labelled.select(key, cluster_col), labelled, centres)
+
+
+def _order(model: KMeansModel) -> list[int]:
+    sizes, centres = model.summary.clusterSizes, model.clusterCenters()
+    return sorted(range(len(sizes)), key=lambda i: (-sizes[i], float(centres[i][0]), i))
 
 
 def renumber(model: KMeansModel, labelled: DataFrame, cluster_col: str = spec.CLUSTER) -> DataFrame:
     """Stable cluster ids: by size descending, then first centre coordinate."""
-    sizes = model.summary.clusterSizes
-    centres = model.clusterCenters()
-    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], float(centres[i][0]), i))
-    new_id = {old: new for new, old in enumerate(order)}
+    new_id = {old: new for new, old in enumerate(_order(model))}
     mapping = F.create_map(*[x for old, new in new_id.items() for x in (F.lit(old), F.lit(new))])
     return labelled.select(*[c for c in labelled.columns if c != "__pred"],
                            mapping[F.col("__pred")].cast("int").alias(cluster_col))
 
 
-def _collect_small(df: DataFrame, limit: int, what: str) -> list:
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{what}: {n} rows exceed the bound {limit}")
-    return df.collect()
+def _one_row(rows: DataFrame, to_side: DataFrame, *fields: Column) -> DataFrame:
+    """``to_side`` with all rows of a checked small table as one array column ``__all``.
+
+    The table has a row per cluster; what is attached grows with clusters and
+    columns in data, never in the size of the plan.
+    """
+    packed = rows.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__all")).withColumn("__one", F.lit(1))
+    return to_side.withColumn("__one", F.lit(1)).join(checked_broadcast(packed), "__one").drop("__one")
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
 
 def nearest_centre(df: DataFrame, cols: Sequence[str], centres: DataFrame,
-                   cluster_col: str = spec.CLUSTER, out: str = spec.CLUSTER,
-                   max_centres: int = 256) -> DataFrame:
+                   cluster_col: str = spec.CLUSTER, out: str = spec.CLUSTER) -> DataFrame:
     """Label each row with its nearest centre (squared Euclidean; ties go to
-    the smaller id). Centres are k rows, checked, and inlined as literals."""
-    rows = _collect_small(centres.select(cluster_col, *cols), max_centres, "centres")
-    cands = []
-    for r in rows:
-        d = None
-        for c in cols:
-            term = (F.col(c) - F.lit(r[c])) * (F.col(c) - F.lit(r[c]))
-            d = term if d is None else d + term
-        cands.append(F.struct(d.alias("d"), F.lit(r[cluster_col]).alias("c")))
-    return df.withColumn(out, F.array_min(F.array(*cands))["c"])
-
-
-def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str = spec.CLUSTER,
-               max_clusters: int = 256) -> DataFrame:
+    the smaller id)."""
+    point = F.array(*[F.col(c).cast("double") for c in cols])
+    own = centres.select(F.col(cluster_col).alias("c"), point.alias("v"))
+    joined = _one_row(own, df.withColumn("__x", point), F.col("c"), F.col("v"))
+
+    def far(r: Column) -> Column:
+        return F.aggregate(F.zip_with(F.col("__x"), r["v"], lambda a, b: (a - b) * (a - b)),
+                           F.lit(0.0), lambda s, v: s + v)
+
+    best = F.array_min(F.transform("__all", lambda r: F.struct(far(r).alias("d"), r["c"].alias("c"))))["c"]
+    return joined.select(*[F.col(c) for c in df.columns if c != out], best.alias(out))
+
+
+def silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str = spec.CLUSTER) -> DataFrame:
     """Mean squared-Euclidean silhouette over rows, from per-cluster sums.
 
     For row x and cluster C: D(x, C) = |x|^2 + sum|y|^2/n_C - 2 x.sum(y)/n_C.
     Own cluster: a = D * n/(n-1); others: b = min D; s = 1-a/b, b/a-1 or 0;
     singleton clusters score 0. Same definition as Spark's ClusteringEvaluator.
-    Returns one row: silhouette, n_rows, n_clusters.
+    The sums are one Summarizer aggregate. Returns one row: silhouette,
+    n_rows, n_clusters.
     """
-    sq = None
-    for c in cols:
-        sq = F.col(c) * F.col(c) if sq is None else sq + F.col(c) * F.col(c)
-    pts = df.select(F.col(cluster_col).alias("__c"), *[F.col(c) for c in cols], sq.alias("__sq"))
-    stats = pts.groupBy("__c").agg(F.count(F.lit(1)).alias("n"), F.sum("__sq").alias("psi"),
-                                   *[F.sum(c).alias(f"s{j}") for j, c in enumerate(cols)])
-    rows = _collect_small(stats, max_clusters, "clusters")
-
-    def dist(r) -> Column:
-        dot = None
-        for j, c in enumerate(cols):
-            t = F.col(c) * F.lit(r[f"s{j}"])
-            dot = t if dot is None else dot + t
-        return F.col("__sq") + F.lit(r["psi"] / r["n"]) - F.lit(2.0) * dot / F.lit(float(r["n"]))
-
-    own_n = F.create_map(*[x for r in rows for x in (F.lit(r["__c"]), F.lit(float(r["n"])))])[F.col("__c")]
-    a = None
-    b = None
-    for r in rows:
-        d = dist(r)
-        is_own = F.col("__c") == F.lit(r["__c"])
-        a = F.when(is_own, d) if a is None else F.when(is_own, d).otherwise(a)
-        other = F.when(~is_own, d)
-        b = other if b is None else F.least(b, other)
-    a = a * own_n / (own_n - F.lit(1.0))
-    s = (F.when(own_n <= 1, 0.0).when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0))
-    return pts.select(s.alias("s")).agg(F.avg("s").alias("silhouette"),
-                                         F.count(F.lit(1)).alias("n_rows"),
-                                         F.lit(len(rows)).cast("long").alias("n_clusters"))
+    point = F.array(*[F.col(c).cast("double") for c in cols])
+    pts = materialize(df.select(F.col(cluster_col).alias("__c"), point.alias("__x"))
+                      .withColumn("__sq", _dot(F.col("__x"), F.col("__x"))), "points")
+    stats = (pts.groupBy("__c").agg(F.count(F.lit(1)).alias("n"), F.sum("__sq").alias("psi"),
+                                    Summarizer.sum(array_to_vector("__x")).alias("s"))
+             .select("__c", "n", "psi", vector_to_array("s").alias("s")))
+    joined = _one_row(stats, pts, F.col("__c").alias("c"), F.col("n").cast("double").alias("n"), F.col("psi"),
+                      F.col("s"))
+
+    def dist(r: Column) -> Column:
+        return F.col("__sq") + r["psi"] / r["n"] - F.lit(2.0) * _dot(F.col("__x"), r["s"]) / r["n"]
+
+    far = F.transform("__all", lambda r: F.struct(r["c"].eqNullSafe(F.col("__c")).alias("own"), dist(r).alias("d"),
+                                                  r["n"].alias("n")))
+    parts = joined.select(F.filter(far, lambda r: r["own"])[0].alias("own"), F.size("__all").alias("k"),
+                          F.array_min(F.transform(F.filter(far, lambda r: ~r["own"]), lambda r: r["d"])).alias("b"))
+    n, b = F.col("own.n"), F.col("b")
+    a = F.when(n > 1, F.col("own.d") * n / (n - 1))
+    s = F.when(n <= 1, 0.0).when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
+    return parts.select(s.alias("s"), "k").agg(F.avg("s").alias("silhouette"), F.count(F.lit(1)).alias("n_rows"),
+                                               F.max("k").cast("long").alias("n_clusters"))

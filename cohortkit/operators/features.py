@@ -37,35 +37,27 @@ def impute_median(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict,
     return out, {c: v for c, v in med.items() if v is not None}, dropped
 
 
-def category_levels(df: DataFrame, cols: Sequence[str],
-                    max_levels: int = spec.MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct non-NULL text levels per column, in two small jobs
-    (exact level counts first, so an unexpectedly wide column is refused
-    before anything is gathered)."""
+def category_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-NULL text levels per column: the model has a column
+    for each, so the model's own width bounds what is gathered."""
     cols = list(cols)
     if not cols:
         return {}
-    counts = df.agg(*[F.count_distinct(F.col(c).cast("string")).alias(f"n{j}")
-                      for j, c in enumerate(cols)]).first()
-    for j, c in enumerate(cols):
-        if counts[f"n{j}"] > max_levels:
-            raise ValueError(f"{c} has {counts[f'n{j}']} levels (> {max_levels}); not one-hot encoding it")
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(j).alias("c"), F.col(c).cast("string").alias("v")) for j, c in enumerate(cols)
     ])).alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull()).distinct()
     levels: dict[str, list[str]] = {c: [] for c in cols}
-    for r in pairs.collect():  # at most len(cols) * max_levels rows, checked above
+    for r in pairs.collect():  # one row per model column
         levels[cols[r["c"]]].append(r["v"])
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = True,
-            max_levels: int = spec.MAX_LEVELS) -> tuple[DataFrame, list[str]]:
+def one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> tuple[DataFrame, list[str]]:
     """0/1 DOUBLE columns ``<col>_<level>`` per sorted level, first level
     dropped; NULL gives all zeros (same as the dropped level)."""
     names: list[str] = []
     exprs = []
-    all_levels = category_levels(df, cols, max_levels)
+    all_levels = category_levels(df, cols)
     for c in cols:
         levels = all_levels[c]
         for lv in (levels[1:] if drop_first else levels):

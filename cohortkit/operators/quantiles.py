@@ -28,11 +28,11 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec
+from ..session import materialize
 
 
 def _default_name(c: str, p: float) -> str:
@@ -54,13 +54,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                       for j, c in enumerate(cols)])
     if not group_cols:
         src = src.withColumn("__g", F.lit(0))
-    # Two or three passes read this projection: compute the input once. It
-    # spills to disk when large and is recomputed from lineage if an executor
-    # holding blocks is lost.
-    src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    # Two or three passes read this projection: compute the input once, as a table.
+    src = materialize(src, "quantile-input")
 
     counts = src.groupBy(*g).agg(*[F.count(f"__x{j}").alias(f"__n{j}") for j in range(len(cols))])
-    counts = counts.cache()
+    counts = materialize(counts, "quantile-counts")
     st = counts.agg(F.count(F.lit(1)).alias("groups"),
                     *[F.max(f"__n{j}").alias(f"m{j}") for j in range(len(cols))]).first()
     n_groups = st["groups"]
@@ -124,10 +122,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ok = ok_terms[0]
     for t in ok_terms[1:]:
         ok = ok & t
-    result = picked.select(*out_cols, ok.alias("__ok")).cache()
+    result = materialize(picked.select(*out_cols, ok.alias("__ok")), "quantiles")
     missed = result.filter(~F.col("__ok")).limit(1).count() > 0
-    counts.unpersist()
-    src.unpersist()
     if missed:  # bracket missed the ranks: exact rescue with Spark's percentile
         return _builtin(df, cols, probs, group_cols, name)
     return result.drop("__ok")

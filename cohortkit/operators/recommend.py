@@ -6,26 +6,27 @@ Shape of the work (no per-client Python loop):
    with a row count (map-side combine: a client holding a third of all rows
    shrinks to at most one row per product before any shuffle);
 2. popularity = pairs joined to the client->cluster map, summed per
-   (cluster, product), ranked by quantity desc then product asc;
+   (cluster, product), ranked by quantity desc then product asc through a
+   range partitioning, so that neither a cluster nor a tie is sorted in one task;
 3. a client owning m products finds its n suggestions among the first n + m
-   ranked products of its cluster, so each cluster's ranking is trimmed to
-   n + (largest m in that cluster) entries -- exact, not a cap -- and kept as
-   one ordered array per cluster;
-4. each client gets ``slice(array_except(ranking, owned), 1, n)``: a map-side
-   projection once the arrays are next to the client rows. The arrays are
-   broadcast when their total length is within a checked bound, and otherwise
-   joined with a salted key so no cluster lands in one task.
+   ranked products of its cluster -- exact, not a cap;
+4. when the rankings' heads are small by a check of their size, they are
+   broadcast as one ordered array per cluster and each client takes
+   ``slice(array_except(first n + m, owned), 1, n)``. Otherwise each client
+   makes its n + m (cluster, rank) rows, which join the ranking (the first n
+   ranks salted), lose the owned pairs and keep the n best: rows follow the
+   clients' holdings, and no row or task holds a catalogue.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import spec
 from ..functions.columns import require_columns
 from ..functions.text import join_list
+from ..session import materialize
 from .relational import checked_broadcast
 
 RANK = "rank_in_cluster"
@@ -70,10 +71,7 @@ def popularity(clusters: DataFrame, ownership: DataFrame, key: str = spec.KEY,
     cl = clusters.select(key, cluster_col).dropna(subset=[key, cluster_col])
     j = pairs.join(cl, key)
     measure = F.sum("n") if count_mode == "rows" else F.count(F.lit(1))
-    # one row per (cluster, product); persisted because the ranking reads it
-    # twice (histogram check, then the ranked rows)
-    agg = (j.groupBy(cluster_col, product).agg(measure.cast("long").alias(qty))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    agg = j.groupBy(cluster_col, product).agg(measure.cast("long").alias(qty))
     return rank_by_quantity(agg, cluster_col, product, qty)
 
 
@@ -81,20 +79,20 @@ def rank_by_quantity(agg: DataFrame, cluster_col: str = spec.CLUSTER, product: s
                      qty: str = spec.QTY) -> DataFrame:
     """Rank products in each cluster by quantity desc, then product asc.
 
-    rank = (products of the cluster with a larger quantity)
-           + (position among products with the same quantity, by name).
-    The first term comes from a per-cluster histogram of quantities (one row
-    per distinct quantity), the second from a window over one (cluster,
-    quantity) tie group, so no task has to sort a cluster's whole catalogue.
+    The rows are range-partitioned and sorted by (cluster, quantity, product).
+    A row's rank is its place among the cluster's rows of its partition, plus
+    the rows of the cluster in the partitions before.
     """
-    hist = agg.groupBy(cluster_col, qty).agg(F.count(F.lit(1)).alias("__n_at"))
-    desc_q = Window.partitionBy(cluster_col).orderBy(F.col(qty).desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    hist = hist.select(cluster_col, qty, F.coalesce(F.sum("__n_at").over(desc_q), F.lit(0)).alias("__above"))
-    ties = Window.partitionBy(cluster_col, qty).orderBy(F.col(product).asc())
-    return (agg.join(checked_broadcast(hist), [cluster_col, qty])  # distinct quantities only
+    order = [F.col(cluster_col), F.col(qty).desc(), F.col(product)]
+    ids = F.monotonically_increasing_id()  # partition and place in it
+    rows = materialize(agg.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", ids), "ranking")
+    rows = rows.withColumn("__part", F.shiftright("__at", 33))
+    before = Window.partitionBy(cluster_col).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy(cluster_col, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+              .select(cluster_col, "__part", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__above")))
+    return (rows.join(checked_broadcast(starts), [cluster_col, "__part"])  # a row per partition and cluster in it
             .select(cluster_col, product, qty,
-                    (F.col("__above") + F.row_number().over(ties)).cast("long").alias(RANK)))
+                    (F.col("__above") + F.col("__at") - F.col("__first") + 1).cast("long").alias(RANK)))
 
 
 def top_products(ranking: DataFrame, n: int = spec.TOP_N_CLUSTER,
@@ -116,35 +114,48 @@ def top_unowned(clusters: DataFrame, ownership: DataFrame, n: int = spec.TOP_N_C
     passed when the caller already has them."""
     # The pairs feed both the ranking and the owned sets: aggregate them once.
     if pairs is None:
-        pairs = ownership_pairs(ownership, key, product).persist(StorageLevel.MEMORY_AND_DISK)
+        pairs = materialize(ownership_pairs(ownership, key, product), "pairs")
     if ranking is None:
         ranking = popularity(clusters, ownership, key, product, cluster_col,
                              count_mode=count_mode, pairs=pairs)
-    owned = owned_sets(ownership, key, product, pairs=pairs)
-    cl = (clusters.select(key, cluster_col)
-          .join(owned, key, "left")
-          .select(key, cluster_col,
-                  F.coalesce("owned", F.array().cast("array<string>")).alias("owned"),
-                  F.coalesce("n_owned", F.lit(0).cast("long")).alias("n_owned"))
-          .persist(StorageLevel.MEMORY_AND_DISK))  # read by the bound, the arrays and the result
+    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n_owned"))
+    cl = materialize(clusters.select(key, cluster_col).join(counts, key, "left")
+                     .select(key, cluster_col, F.coalesce("n_owned", F.lit(0).cast("long")).alias("n_owned")), "clients")
     need = cl.groupBy(cluster_col).agg(F.max("n_owned").alias("max_owned"))
-    trimmed = (ranking.join(checked_broadcast(need), cluster_col)  # one row per cohort
-               .where(F.col(RANK) <= F.lit(n) + F.col("max_owned")))
+    trimmed = materialize(ranking.join(checked_broadcast(need), cluster_col)  # one row per cohort
+                          .where(F.col(RANK) <= F.lit(n) + F.col("max_owned"))
+                          .select(cluster_col, product, RANK), "ranking-heads")
+    st = trimmed.agg(F.count(F.lit(1)).alias("entries"), F.sum(F.length(product)).alias("chars")).first()
+    if st["entries"] <= broadcast_rows and (st["chars"] or 0) <= BROADCAST_CHARS:
+        return _pick_from_arrays(cl, pairs, trimmed, n, key, product, cluster_col, out)
+    return _pick_from_rows(cl, pairs, trimmed, n, key, product, cluster_col, out, salt)
+
+
+def _pick_from_arrays(cl, pairs, trimmed, n, key, product, cluster_col, out):
+    none = F.array().cast("array<string>")
+    owned = pairs.groupBy(key).agg(F.collect_list(product).alias("owned"))
     lists = (trimmed.groupBy(cluster_col)
              .agg(F.array_sort(F.collect_list(F.struct(F.col(RANK), F.col(product)))).alias("r"))
-             .select(cluster_col, F.col("r")[product].alias("ranked"))).cache()
-    st = lists.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("ranked")).alias("entries"),
-                   F.sum(F.aggregate("ranked", F.lit(0).cast("long"),
-                                     lambda acc, x: acc + F.length(x))).alias("chars")).first()
-    total = max(st["rows"], st["entries"] or 0)
-    small = total <= broadcast_rows and (st["chars"] or 0) <= BROADCAST_CHARS
-    pick = join_list(F.slice(F.array_except(F.coalesce("ranked", F.array().cast("array<string>")),
-                                            F.col("owned")), 1, n)).alias(out)
-    if small:
-        joined = cl.join(F.broadcast(lists), cluster_col, "left")
-    else:
-        salted = cl.withColumn("__s", F.pmod(F.xxhash64(key), F.lit(salt)))
-        copies = lists.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                              F.lit(salt - 1).cast("long"))))
-        joined = salted.join(copies, [cluster_col, "__s"], "left")
-    return joined.select(key, cluster_col, pick)
+             .select(cluster_col, F.col("r")[product].alias("ranked")))
+    joined = cl.join(owned, key, "left").join(F.broadcast(lists), cluster_col, "left")  # its size was checked
+    head = F.slice(F.coalesce("ranked", none), F.lit(1), (F.lit(n) + F.col("n_owned")).cast("int"))
+    picked = F.slice(F.array_except(head, F.coalesce("owned", none)), 1, n)
+    return joined.select(key, cluster_col, join_list(picked).alias(out))
+
+
+def _pick_from_rows(cl, pairs, trimmed, n, key, product, cluster_col, out, salt):
+    known = cl.where(F.col(key).isNotNull())
+    wanted = known.select(key, cluster_col, F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n) + F.col("n_owned")))
+                          .alias(RANK))
+    # The first n ranks are wanted by every client of a cohort: they are salted.
+    hot, zero = F.col(RANK) <= n, F.lit(0).cast("long")
+    wanted = wanted.withColumn("__s", F.when(hot, F.pmod(F.xxhash64(key), F.lit(salt))).otherwise(zero))
+    copies = trimmed.withColumn("__s", F.explode(F.when(hot, F.sequence(zero, F.lit(salt - 1).cast("long")))
+                                                 .otherwise(F.array(zero))))
+    left = wanted.join(copies, [cluster_col, RANK, "__s"]).join(pairs.select(key, product), [key, product], "left_anti")
+    best = (left.groupBy(key, cluster_col)
+            .agg(F.slice(F.array_sort(F.collect_list(F.struct(F.col(RANK), F.col(product)))), 1, n).alias("r"))
+            .select(key, F.col(cluster_col).alias("__c"), F.col("r")[product].alias("picked")))
+    none = F.array().cast("array<string>")
+    joined = cl.join(best.withColumnRenamed(key, "__k"), (F.col(key) == F.col("__k")) & (F.col(cluster_col) == F.col("__c")), "left")
+    return joined.select(key, cluster_col, join_list(F.coalesce("picked", none)).alias(out))

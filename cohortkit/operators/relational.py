@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import spec
 from ..functions.columns import rename_clashes
+from ..session import materialize
 
 
 def drop_empty(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -57,7 +58,6 @@ def union_sources(frames: Mapping[str, DataFrame], origin_col: str | None = None
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
     return out
 
-
 def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
               null_safe: bool = False, suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Left join on key column(s); clashing non-key columns get suffixes.
@@ -79,18 +79,20 @@ def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
     return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
 
 
-def checked_broadcast(small: DataFrame, limit: int = spec.BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side whose row count was just checked.
+def stored_bytes(written: DataFrame) -> int:
+    """Size of the files that a just written table reads."""
+    return int(written._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def checked_broadcast(small: DataFrame, limit: int = spec.BROADCAST_ROWS,
+                      max_bytes: int = spec.BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint for a side whose rows and bytes were just checked.
 
     For per-cohort tables (one row per cluster): joining them on the cohort
     key by shuffle would put each cohort's rows in one task, so they are
-    broadcast when within ``limit`` rows; beyond it the plain join stands and
-    AQE handles skew. The side is cached, so the count is not paid twice.
+    broadcast when within the bounds; beyond them the plain join stands and
+    AQE handles skew. The side is written as a table, so that it is computed
+    once and nothing stays cached.
     """
-    small = small.cache()
-    return F.broadcast(small) if small.count() <= limit else small
-
-
-def exclude_pairs(rows: DataFrame, pairs: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose (on...) tuple is not in ``pairs`` (NOT EXISTS)."""
-    return rows.join(pairs.select(*on).dropDuplicates(), list(on), "left_anti")
+    small = materialize(small, "side")
+    return F.broadcast(small) if stored_bytes(small) <= max_bytes and small.count() <= limit else small

@@ -16,6 +16,7 @@ from .. import spec
 from ..functions.columns import require_columns, unify_key
 from ..functions.labels import bucket3, persona_label
 from ..functions.numbers import to_double
+from ..session import materialize
 from .quantiles import exact_quantiles, quantile_literals
 from .relational import checked_broadcast
 
@@ -61,11 +62,13 @@ def score_by_cluster(df: DataFrame, score: str = spec.SCORE_MEAN,
 def box_stats(df: DataFrame, value: str = spec.MRR, cluster_col: str = spec.CLUSTER,
               whisker: float = spec.BOX_WHISKER, number_style: str = "br") -> DataFrame:
     """Per cluster with at least one value: q1, median, q3 (linear), and the
-    whiskers: the most extreme values within ``whisker`` x IQR of the box."""
+    whiskers: the most extreme values within ``whisker`` x IQR of the box. A
+    whisker whose nearest value lies inside the box ends at the box's edge."""
     require_columns(df, value, what="base")
     vals = (df.where(F.col(cluster_col).isNotNull())
             .select(cluster_col, to_double(df, value, number_style).alias("__v"))
             .where(F.col("__v").isNotNull()))
+    vals = materialize(vals, "box-values")  # read for the quantiles and for the whiskers
     q = exact_quantiles(vals, ["__v"], [0.25, 0.5, 0.75], [cluster_col],
                         name=lambda c, p: {0.25: "q1", 0.5: "median", 0.75: "q3"}[p])
     iqr = F.col("q3") - F.col("q1")
@@ -76,8 +79,9 @@ def box_stats(df: DataFrame, value: str = spec.MRR, cluster_col: str = spec.CLUS
          .agg(F.min(F.when(F.col("__v") >= F.col("__lo"), F.col("__v"))).alias("whisker_low"),
               F.max(F.when(F.col("__v") <= F.col("__hi"), F.col("__v"))).alias("whisker_high"),
               F.count(F.lit(1)).alias("n")))
-    return q.join(w, cluster_col).select(cluster_col, "n", "whisker_low", "q1", "median", "q3",
-                                         "whisker_high")
+    return q.join(w, cluster_col).select(
+        cluster_col, "n", F.least("whisker_low", "q1").alias("whisker_low"), "q1", "median", "q3",
+        F.greatest("whisker_high", "q3").alias("whisker_high"))
 
 
 def segment_mix(df: DataFrame, cluster_col: str = spec.CLUSTER, segment: str = spec.SEGMENT,
@@ -119,8 +123,8 @@ def personas(base: DataFrame, clusters: DataFrame, key: str = spec.KEY,
     profile = cluster_profile(df, cols, cluster_col, number_style)
     used = [(c, prefix) for c, prefix in parts if c in cols]
     if used:
-        # one row per cohort: persist so the thresholds and the labels read it once
-        profile = profile.persist()
+        # one row per cohort, read by the thresholds and the labels
+        profile = materialize(profile, "profile")
         t = quantile_literals(profile, [c for c, _ in used], list(probs))  # two numbers per metric
         pieces = [(prefix, bucket3(F.col(c), F.lit(t[c][0]).cast("double"),
                                    F.lit(t[c][1]).cast("double")))

@@ -4,8 +4,9 @@ driver-table ETL that feeds them."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,10 @@ from ..operators.recommend import ownership_pairs, popularity, top_products, top
 from ..operators.reports import (box_stats, cluster_profile, cluster_sizes, personas,
                                  score_by_cluster, segment_counts, segment_mix, top_features,
                                  with_clusters)
+from ..functions.columns import require_columns
+from ..session import materialize
 from ..sources import tables as T
+from ..sources.sinks import write_table
 from . import jobs
 
 
@@ -47,13 +51,49 @@ def driver_etl(spark: SparkSession, sf_dir: str, as_of: str = T.AS_OF) -> Driver
 
 @dataclass
 class CohortRun:
+    """A fit and what follows from it; each table is made when it is asked for."""
+
     features: Features
     best: BestK
-    clusters: DataFrame        # key, cluster
-    profile: DataFrame         # cluster, mean of every model feature (unscaled, dummies included)
-    segments: DataFrame        # cluster, segment, QTD
-    ranking: DataFrame         # cluster, product, QTD, rank
-    recommendations: DataFrame  # key, cluster, RECOMENDACOES
+    ownership: DataFrame
+    count_mode: str = "rows"
+
+    @cached_property
+    def clusters(self) -> DataFrame:
+        """key, cluster"""
+        return self.best.assignments
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        """cluster, mean of every model feature (unscaled, dummies included)"""
+        return cluster_profile(self.best.labelled, self.features.names)
+
+    @cached_property
+    def segments(self) -> DataFrame | None:
+        """cluster, segment, QTD"""
+        labelled = self.best.labelled
+        return segment_counts(labelled) if spec.SEGMENT in labelled.columns else None
+
+    @cached_property
+    def _pairs(self) -> DataFrame:
+        return materialize(ownership_pairs(self.ownership), "pairs")
+
+    @cached_property
+    def ranking(self) -> DataFrame:
+        """cluster, product, QTD, rank"""
+        return popularity(self.clusters, self.ownership, count_mode=self.count_mode, pairs=self._pairs)
+
+    @cached_property
+    def recommendations(self) -> DataFrame:
+        """key, cluster, RECOMENDACOES"""
+        return top_unowned(self.clusters, self.ownership, ranking=self.ranking, pairs=self._pairs)
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        """k, silhouette, cost and why a k was skipped"""
+        rows = [(s["k"], s.get("silhouette"), s.get("cost"), s.get("skipped")) for s in self.best.scores]
+        return self.ownership.sparkSession.createDataFrame(
+            rows, "k int, silhouette double, cost double, skipped string")
 
 
 def run_clustering(base: DataFrame, ownership: DataFrame, as_of: str,
@@ -62,17 +102,35 @@ def run_clustering(base: DataFrame, ownership: DataFrame, as_of: str,
     """Entry B: features -> k chosen by silhouette -> cluster tables ->
     in-cohort recommendations. ``ownership`` has (key, product) rows: the
     cleaned clients table (one row per client and product after the full-row
-    dedupe), as the source project reads it."""
+    dedupe), as the source project reads it. Labels stay on the fitted rows,
+    so a client with a NULL key keeps its own."""
     feats = prepare_features(base, as_of)
     best = fit_best_k(feats.frame, ks=ks, seed=seed, partitions=partitions)
-    clusters = best.assignments
-    labelled = feats.frame.join(clusters, spec.KEY)
-    profile = cluster_profile(labelled, feats.names)
-    segments = segment_counts(labelled) if spec.SEGMENT in labelled.columns else None
-    pairs = ownership_pairs(ownership).persist(StorageLevel.MEMORY_AND_DISK)  # shared by both
-    ranking = popularity(clusters, ownership, count_mode=count_mode, pairs=pairs)
-    recs = top_unowned(clusters, ownership, ranking=ranking, pairs=pairs)
-    return CohortRun(feats, best, clusters, profile, segments, ranking, recs)
+    return CohortRun(feats, best, ownership, count_mode)
+
+
+def write_cohorts(run: CohortRun, out_root: str, fmt: str = "parquet") -> dict[str, str]:
+    """The tables of entry B; the ranking in its own order."""
+    out = out_root.rstrip("/")
+    tables = {"clusters_clientes": run.clusters, "cluster_summary/metricas_medias": run.profile,
+              "cluster_summary/segmento_contagem": run.segments,
+              "recomendacoes_por_cluster": run.ranking.orderBy(spec.CLUSTER, F.col(spec.QTY).desc(), spec.PRODUCT),
+              "recomendacoes_por_cliente": run.recommendations, "k_scores": run.scores}
+    return {name.rpartition("/")[2]: write_table(df, f"{out}/{name}", fmt)
+            for name, df in tables.items() if df is not None}
+
+
+def stored_profile(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The profile that entry B stored, or None where there is none; one
+    without its cluster column raises."""
+    try:
+        profile = spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    require_columns(profile, spec.CLUSTER, what="stored profile")
+    return profile
 
 
 def run_reports(base: DataFrame, clusters: DataFrame, ranking: DataFrame,
@@ -105,7 +163,6 @@ def run_all(spark: SparkSession, sf_dir: str, out_root: str, as_of: str = T.AS_O
     """Driver tables -> analytic base -> cohorts -> recommendations -> reports,
     every output written under ``out_root`` (local, HDFS or s3a:// path).
     Returns {table: path}."""
-    from ..sources.sinks import write_table
     out = out_root.rstrip("/")
     paths: dict[str, str] = {}
     etl = driver_etl(spark, sf_dir, as_of)
@@ -114,20 +171,9 @@ def run_all(spark: SparkSession, sf_dir: str, out_root: str, as_of: str = T.AS_O
     base = spark.read.format(fmt).load(paths["base_analitica"])
     clients = spark.read.format(fmt).load(paths["clientes_tratado"])
     run = run_clustering(base, clients, as_of, ks=ks, seed=seed)
-    paths["clusters_clientes"] = write_table(run.clusters, f"{out}/clusters_clientes", fmt)
+    paths |= write_cohorts(run, out, fmt)
     clusters = spark.read.format(fmt).load(paths["clusters_clientes"])
-    paths["metricas_medias"] = write_table(run.profile, f"{out}/cluster_summary/metricas_medias", fmt)
-    if run.segments is not None:
-        paths["segmento_contagem"] = write_table(run.segments, f"{out}/cluster_summary/segmento_contagem", fmt)
-    paths["recomendacoes_por_cluster"] = write_table(
-        run.ranking.orderBy(spec.CLUSTER, F.col(spec.QTY).desc(), spec.PRODUCT),
-        f"{out}/recomendacoes_por_cluster", fmt)
-    paths["recomendacoes_por_cliente"] = write_table(run.recommendations,
-                                                     f"{out}/recomendacoes_por_cliente", fmt)
-    scores = spark.createDataFrame(
-        [(s["k"], s.get("silhouette"), s.get("cost"), s.get("skipped")) for s in run.best.scores],
-        "k int, silhouette double, cost double, skipped string")
-    paths["k_scores"] = write_table(scores, f"{out}/k_scores", fmt)
-    for name, df in run_reports(base, clusters, run.ranking, run.profile).items():
+    profile = stored_profile(spark, paths["metricas_medias"], fmt)
+    for name, df in run_reports(base, clusters, run.ranking, profile).items():
         paths[name] = write_table(df, f"{out}/reports/{name}", fmt)
     return paths

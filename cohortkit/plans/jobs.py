@@ -71,7 +71,9 @@ def tickets_by_org(df: DataFrame, open_status: str = spec.OPEN_STATUS) -> DataFr
 def sales(revenue: DataFrame, contracts: DataFrame, number_style: str = "comma") -> JobResult:
     """Revenue left-joined to contracts on the client key (n:m kept).
 
-    Without a key on either side nothing is joined; both go to quarantine.
+    ``number_style`` types the text amounts: 'comma' as the source project
+    does, 'br' where they carry thousands separators. Without a key on either
+    side nothing is joined; both go to quarantine.
     """
     revenue, contracts = unify_key(revenue), unify_key(contracts)
     if spec.MRR in revenue.columns:
@@ -87,11 +89,15 @@ def sales(revenue: DataFrame, contracts: DataFrame, number_style: str = "comma")
     return JobResult(drop_empty(joined))
 
 
-def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | None) -> JobResult:
+def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | None,
+            number_style: str = "comma") -> JobResult:
     """Client master left-joined to client-since and history, each only when
     keyed; an unkeyed side is quarantined. No key on the master: no result.
-    A side passed as None is left out."""
+    A side passed as None is left out. A text contract value is typed here,
+    once: later stages see a number and never guess its style."""
     master = unify_key(master)
+    if spec.CONTRACT_VALUE in master.columns:
+        master = master.withColumn(spec.CONTRACT_VALUE, to_double(master, spec.CONTRACT_VALUE, number_style))
     if spec.KEY not in master.columns:
         return JobResult(None, {"dados_clientes": master})
     q: dict[str, DataFrame] = {}
@@ -108,8 +114,8 @@ def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | Non
 
 
 def telemetry(frames: Mapping[str, DataFrame], origin_col: str = spec.TELEMETRY_ORIGIN) -> DataFrame:
-    """Union of telemetry extracts, each keyed on its own, tagged by source."""
-    prepared = {name: unify_key(drop_empty(df)) for name, df in frames.items()}
+    """Union of telemetry extracts, each keyed on its own, tagged by its file name."""
+    prepared = {f"{name}{spec.EXTRACT_SUFFIX}": unify_key(drop_empty(df)) for name, df in frames.items()}
     return distinct_rows(union_sources(prepared, origin_col))
 
 
@@ -145,33 +151,42 @@ def analytic_base(clients_df: DataFrame, sales_df: DataFrame | None, surveys_df:
 
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                   reuse: bool = True, fmt: str = "parquet") -> DataFrame:
-    """Read the table at ``path`` if present (and ``reuse``), else build,
-    write and read it back."""
+    """Read the table at ``path`` if there is one (and ``reuse``), else build,
+    write and read it back. Only an absent path leads to building: a table
+    that is there and cannot be read raises, and is not overwritten."""
     if reuse:
         try:
             return spark.read.format(fmt).load(path)
-        except AnalysisException:
-            pass
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     write_table(build(), path, fmt)
     return spark.read.format(fmt).load(path)
 
 
-def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None) -> dict[str, str]:
+def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
+            number_style: str = "comma") -> dict[str, str]:
     """Entry A: every extract under ``raw_root`` -> cleaned tables and the
-    analytic base under ``out_root``. Returns {table: path or reason}."""
+    analytic base under ``out_root``. Returns {table: path or reason}: each
+    extract that is absent or unreadable is named as ``skipped:<name>`` with
+    the reason, and each table that cannot be built without it as
+    ``missing:<table>``; all others are built."""
     from ..sources.delimited import read_delimited, read_sources
     reader = reader or read_delimited
     done: dict[str, str] = {}
     out = out_root.rstrip("/")
 
-    sv, skipped = read_sources(spark, raw_root, spec.SURVEY_SOURCES, reader=reader)
-    for name, why in skipped.items():
-        done[f"skipped:{name}"] = why
+    def read(names: Sequence[str]) -> dict[str, DataFrame]:
+        frames, skipped = read_sources(spark, raw_root, names, reader=reader)
+        done.update({f"skipped:{name}": why for name, why in skipped.items()})
+        return frames
+
+    sv = read(spec.SURVEY_SOURCES)
     sv_df = surveys(sv) if sv else None
     if sv_df is not None:
         done["nps_tratado"] = write_table(sv_df, f"{out}/nps_tratado")
 
-    tk, skipped = read_sources(spark, raw_root, ["tickets"], reader=reader)
+    tk = read(["tickets"])
     if tk:
         t = tickets(tk["tickets"])
         done["tickets_tratado"] = write_table(t, f"{out}/tickets_tratado")
@@ -179,26 +194,30 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None) -> d
             done["tickets_agg_organizacao"] = write_table(tickets_by_org(t),
                                                           f"{out}/tickets_agg_organizacao")
 
-    sa, _ = read_sources(spark, raw_root, ["mrr", "contratacoes_ultimos_12_meses"], reader=reader)
+    sa = read(spec.SALES_SOURCES)
     sales_df = None
-    if len(sa) == 2:
-        r = sales(sa["mrr"], sa["contratacoes_ultimos_12_meses"])
+    if len(sa) < 2:
+        done["missing:vendas_tratado"] = "needs " + " and ".join(spec.SALES_SOURCES)
+    else:
+        r = sales(*[sa[name] for name in spec.SALES_SOURCES], number_style=number_style)
         for name, q in r.quarantined.items():
             done[f"quarantine:{name}"] = quarantine(q, out, name)
         if r.frame is not None:
             sales_df = r.frame
             done["vendas_tratado"] = write_table(sales_df, f"{out}/vendas_tratado")
 
-    cl, _ = read_sources(spark, raw_root, ["dados_clientes", "clientes_desde", "historico"],
-                         reader=reader)
-    if len(cl) == 3:
-        r = clients(cl["dados_clientes"], cl["clientes_desde"], cl["historico"])
+    master, since, history = spec.CLIENT_SOURCES
+    cl = read(spec.CLIENT_SOURCES)
+    if master not in cl:
+        done["missing:clientes_tratado"] = f"needs {master}"
+    else:
+        r = clients(cl[master], cl.get(since), cl.get(history), number_style)
         for name, q in r.quarantined.items():
             done[f"quarantine:{name}"] = quarantine(q, out, name)
         if r.frame is not None:
             done["clientes_tratado"] = write_table(r.frame, f"{out}/clientes_tratado")
 
-    te, _ = read_sources(spark, raw_root, spec.TELEMETRY_SOURCES, reader=reader)
+    te = read(spec.TELEMETRY_SOURCES)
     if te:
         done["telemetria_tratado"] = write_table(telemetry(te), f"{out}/telemetria_tratado")
 
@@ -207,4 +226,6 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None) -> d
                              spark.read.parquet(done["vendas_tratado"]) if "vendas_tratado" in done else None,
                              spark.read.parquet(done["nps_tratado"]) if "nps_tratado" in done else None)
         done["base_analitica"] = write_table(base, f"{out}/base_analitica")
+    else:
+        done["missing:base_analitica"] = "needs clientes_tratado"
     return done

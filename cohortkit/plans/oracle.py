@@ -100,15 +100,19 @@ def r6(expr: str, digits: int = 12) -> str:
 def _sources(layout: list[tuple[str, str, str]], key_aliases: list[str], extra: str,
              origin: str, score: str | None) -> str:
     parts = []
+    named = ", ".join(f"'{etype}'" for etype, _, _ in layout if etype and "(" not in etype)
     for etype, name, alias in layout:
-        cols = [f"event_id", f"user_id AS {spec.KEY}"]
+        cols = ["event_id", "ts", f"user_id AS {spec.KEY}"]
         if score:
             cols.append(f"{r6('value')} AS {score}")
         cols.append(f"'{name}' AS {origin}")
         cols += [(f"user_id AS {a}" if a == alias else f"CAST(NULL AS BIGINT) AS {a}") for a in key_aliases]
         if extra:
             cols.append(extra)
-        parts.append(f"SELECT {', '.join(cols)} FROM events WHERE event_type = '{etype}'")
+        own = f"event_type = '{etype}'"
+        if etype is None or "(" in etype:
+            own = f"(event_type IS NULL OR event_type NOT IN ({named}))" + (f" AND {etype}" if etype else "")
+        parts.append(f"SELECT {', '.join(cols)} FROM events WHERE {own}")
     return "SELECT DISTINCT * FROM (" + "\nUNION ALL\n".join(parts) + ")"
 
 
@@ -116,13 +120,14 @@ SURVEYS_SQL = _sources(
     [("view", "nps_relacional", "CD_CLIENTE"), ("click", "nps_transacional_aquisicao", "IdCliente"),
      ("purchase", "nps_transacional_produto", "CLIENTE"),
      ("signup", "nps_transacional_onboarding", "metadata_codcliente"),
-     ("error", "nps_transacional_suporte", "COD_CLIENTE")],
-    ["IdCliente", "CLIENTE", "metadata_codcliente", "COD_CLIENTE"], "", "origem_nps", "NPS")
+     ("error", "nps_transacional_suporte", "COD_CLIENTE"), (None, "nps_transacional_implantacao", "CD_CLI")],
+    ["IdCliente", "CLIENTE", "metadata_codcliente", "COD_CLIENTE", "CD_CLI"], "", "origem_nps", "NPS")
 TELEMETRY_SQL = _sources(
-    [("click", "telemetria_1", "CD_CLIENTE"), ("view", "telemetria_2", "ID_CLIENTE"),
-     ("purchase", "telemetria_3", "CODIGO_CLIENTE"), ("signup", "telemetria_4", "CD_CLI"),
-     ("error", "telemetria_5", "metadata_codcliente")],
-    ["ID_CLIENTE", "CODIGO_CLIENTE", "CD_CLI", "metadata_codcliente"], "props", "fonte", None)
+    [("click", "telemetria_1.csv", "CD_CLIENTE"), ("view", "telemetria_2.csv", "ID_CLIENTE"),
+     ("purchase", "telemetria_3.csv", "CODIGO_CLIENTE"), ("signup", "telemetria_4.csv", "CD_CLI"),
+     ("error", "telemetria_5.csv", "metadata_codcliente")]
+    + [(f"coalesce(length(event_type), 0) % 6 = {i}", f"telemetria_{6 + i}.csv", "CLIENTE") for i in range(6)],
+    ["ID_CLIENTE", "CODIGO_CLIENTE", "CD_CLI", "metadata_codcliente", "CLIENTE"], "props", "fonte", None)
 
 
 def _var_union(table: str, cols: list[str]) -> str:
@@ -155,14 +160,18 @@ FROM own GROUP BY CD_CLIENTE""",
 
     "q_locale_number": f"""SELECT o_orderkey, translate(format('{{:,.2f}}', o_totalprice), ',.', '.,') AS price_text,
        {r6('o_totalprice')} AS value_br,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'n.d.' ELSE ' ' || format('{{:.2f}}', o_totalprice) END AS plain_text,
        {r6('CASE WHEN o_totalprice < 1000 THEN o_totalprice END')} AS value_comma,
-       CAST(NULL AS DOUBLE) AS value_plain
+       CAST(NULL AS DOUBLE) AS value_none,
+       {r6('CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END')} AS value_plain
 FROM orders""",
 
     "q_tenure": f"""SELECT o_orderkey,
-       CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%d/%m/%Y')
-                          WHEN 'O' THEN strftime(o_orderdate, '%Y-%m-%d')
-                          ELSE 'x' || strftime(o_orderdate, '%d%m%Y') END AS date_text,
+       CASE WHEN o_orderstatus = 'F' AND o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%d/%m/%Y %H:%M:%S')
+            WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+            WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%d/%m/%Y')
+            WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d')
+            ELSE 'x' || strftime(o_orderdate, '%d%m%Y') END AS date_text,
        CASE WHEN o_orderstatus IN ('F', 'O') THEN CAST(o_orderdate AS DATE) END AS signed,
        CASE WHEN o_orderstatus IN ('F', 'O') THEN
          round_even(date_diff('day', CAST(o_orderdate AS DATE), DATE '{AS_OF}') / 30.44::DOUBLE, 1) END
@@ -258,9 +267,10 @@ SELECT cluster, {r6('avg(NPS_MEDIO)')} AS NPS_MEDIO FROM bc WHERE cluster IS NOT
 v AS (SELECT cluster, MRR_12M AS x FROM bc WHERE cluster IS NOT NULL AND MRR_12M IS NOT NULL),
 q AS (SELECT cluster, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
              quantile_cont(x, 0.75) AS q3, count(*) AS n FROM v GROUP BY cluster)
-SELECT q.cluster, q.n, {r6('min(CASE WHEN v.x >= q.q1 - 1.5 * (q.q3 - q.q1) THEN v.x END)')} AS whisker_low,
+SELECT q.cluster, q.n,
+       {r6('least(min(CASE WHEN v.x >= q.q1 - 1.5 * (q.q3 - q.q1) THEN v.x END), q.q1)')} AS whisker_low,
        {r6('q.q1')} AS q1, {r6('q.median')} AS median, {r6('q.q3')} AS q3,
-       {r6('max(CASE WHEN v.x <= q.q3 + 1.5 * (q.q3 - q.q1) THEN v.x END)')} AS whisker_high
+       {r6('greatest(max(CASE WHEN v.x <= q.q3 + 1.5 * (q.q3 - q.q1) THEN v.x END), q.q3)')} AS whisker_high
 FROM q JOIN v ON q.cluster = v.cluster GROUP BY q.cluster, q.n, q.q1, q.median, q.q3""",
 
     "q_top_features": f"""WITH {FEATURE_CHAIN}, {CL},
@@ -313,4 +323,36 @@ s AS (SELECT CASE WHEN own_n <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b
       FROM ab)
 SELECT {r6('avg(s)')} AS silhouette, count(*) AS n_rows, CAST((SELECT count(*) FROM st) AS BIGINT) AS n_clusters
 FROM s""",
+
+    "q_sales_many": f"""WITH r AS (SELECT DISTINCT o_custkey AS CLIENTE, o_orderstatus, o_totalprice AS MRR_12M FROM orders
+                   WHERE o_orderkey % 3 = 0),
+c AS (SELECT DISTINCT o_custkey AS ID_CLIENTE, o_orderstatus, o_totalprice AS VLR_CONTRATACOES_12M FROM orders
+      WHERE o_orderkey % 3 = 1)
+SELECT r.CLIENTE, r.CLIENTE AS CD_CLIENTE, r.o_orderstatus AS o_orderstatus_x, {r6('r.MRR_12M')} AS MRR_12M,
+       c.ID_CLIENTE, c.o_orderstatus AS o_orderstatus_y, {r6('c.VLR_CONTRATACOES_12M')} AS VLR_CONTRATACOES_12M
+FROM r LEFT JOIN c ON r.CLIENTE = c.ID_CLIENTE""",
+
+    "q_tickets_no_duration": f"""SELECT event_id AS BK_TICKET, CAST(0 AS DOUBLE) AS without,
+       {r6('CASE WHEN event_id % 3 > 0 THEN coalesce(value, 0.0) ELSE 0.0 END')} AS filled,
+       {r6('CASE WHEN event_id % 3 > 0 THEN value END')} AS kept FROM events""",
+
+    "q_quantiles_bracketed": f"""SELECT o_orderstatus, {r6('quantile_cont(o_totalprice, 0.25)')} AS o_totalprice_q0_25,
+       {r6('quantile_cont(o_totalprice, 0.5)')} AS o_totalprice_q0_5,
+       {r6('quantile_cont(o_totalprice, 0.67)')} AS o_totalprice_q0_67 FROM orders GROUP BY o_orderstatus""",
+
+    "q_kmeans_clusters": """SELECT c_custkey AS CD_CLIENTE, CAST(1 AS BIGINT) AS n_labels, true AS labelled,
+       true AS in_range, true AS nearest_own FROM customer""",
+    "q_kmeans_scores": """SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM customer) AS clients, true AS consistent
+FROM (VALUES (3), (4), (5), (6)) t(k)""",
+    "q_kmeans_recommend": """SELECT c_custkey AS CD_CLIENTE, CAST(0 AS BIGINT) AS already_owned,
+       CAST(0 AS BIGINT) AS twice, true AS within_n FROM customer""",
+    "q_kmeans_profile": f"""WITH {FEATURE_CHAIN}
+SELECT {', '.join(f"{r6(f'avg({c})', 9)} AS {c}" for c in MODEL)} FROM feats""",
+    "q_kmeans_segments": """SELECT c_mktsegment AS DS_SEGMENTO, count(*) AS QTD FROM customer
+WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment""",
+    "q_kmeans_personas": """SELECT c_custkey AS CD_CLIENTE, 'Receita, Satisfação, Aquisição' AS parts FROM customer""",
+    "q_kmeans_top_products": f"""WITH {HIST}
+SELECT DS_PROD, count(*) AS QTD FROM hist JOIN customer c ON hist.CD_CLIENTE = c.c_custkey
+WHERE DS_PROD IS NOT NULL GROUP BY DS_PROD""",
 }
+SQL["q_recommend_rows"] = SQL["q_recommend"]

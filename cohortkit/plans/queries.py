@@ -25,6 +25,7 @@ from ..operators import features as FE
 from ..operators import recommend as RC
 from ..operators import relational as RL
 from ..operators import reports as RP
+from ..operators.quantiles import exact_quantiles
 from ..sources import tables as T
 from . import jobs
 from .cohort_run import driver_etl, driver_ownership, run_clustering
@@ -51,6 +52,12 @@ def q_recommend(spark, sf):
                           n=spec.TOP_N_CLIENT)
 
 
+def q_recommend_rows(spark, sf):
+    """SRT2, FLT5, JN7, SET2 by (cluster, rank) rows: the plan for rankings too large to broadcast."""
+    return RC.top_unowned(T.region_cohorts(spark, sf), driver_ownership(spark, sf),
+                          n=spec.TOP_N_CLIENT, broadcast_rows=0)
+
+
 def q_popularity(spark, sf):
     """AGG5, SRT1: complete per-cohort ranking, ownership rows counted."""
     return RC.popularity(T.region_cohorts(spark, sf), driver_ownership(spark, sf), count_mode="rows")
@@ -76,20 +83,29 @@ def q_owned_set(spark, sf):
 # --- scalar parsing ---------------------------------------------------------
 
 def q_locale_number(spark, sf):
-    """SCL1-4: locale text numbers parsed in plain, comma and br styles."""
+    """SCL1-4: locale text numbers parsed in plain, comma and br styles, and
+    plain decimal text in plain style."""
     o = T.table(spark, sf, "orders", "o_orderkey", "o_totalprice")
     text = F.translate(F.format_number("o_totalprice", 2), ",.", ".,")
-    o = o.select("o_orderkey", text.alias("price_text"))
-    return rounded(o.select("o_orderkey", "price_text",
+    o = o.select("o_orderkey", text.alias("price_text"),
+                 F.when(F.col("o_orderkey") % 5 == 0, F.lit("n.d.")).otherwise(
+                     F.concat(F.lit(" "), F.replace(F.format_number("o_totalprice", 2), F.lit(","), F.lit(""))))
+                 .alias("plain_text"))
+    return rounded(o.select("o_orderkey", "price_text", "plain_text",
                             parse_number("price_text", "br").alias("value_br"),
                             parse_number("price_text", "comma").alias("value_comma"),
-                            parse_number("price_text", "plain").alias("value_plain")))
+                            parse_number("price_text", "plain").alias("value_none"),
+                            parse_number("plain_text", "plain").alias("value_plain")))
 
 
 def q_tenure(spark, sf):
     """SCL7-8: explicit-format dates and tenure in months."""
     o = T.table(spark, sf, "orders", "o_orderkey", "o_orderdate", "o_orderstatus")
-    text = (F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd/MM/yyyy"))
+    text = (F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 2 == 0),
+                   F.date_format("o_orderdate", "dd/MM/yyyy HH:mm:ss"))
+             .when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 2 == 0),
+                   F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+             .when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "dd/MM/yyyy"))
              .when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd"))
              .otherwise(F.concat(F.lit("x"), F.date_format("o_orderdate", "ddMMyyyy"))))
     o = o.select("o_orderkey", text.alias("date_text"))
@@ -99,20 +115,14 @@ def q_tenure(spark, sf):
 
 # --- ETL jobs -------------------------------------------------------------------
 
-SURVEY_COLUMNS = ["event_id", spec.KEY, spec.SCORE, spec.SURVEY_ORIGIN,
-                  "IdCliente", "CLIENTE", "metadata_codcliente", "COD_CLIENTE"]
-TELEMETRY_COLUMNS = ["event_id", "props", spec.KEY, "ID_CLIENTE", "CODIGO_CLIENTE", "CD_CLI",
-                     "metadata_codcliente", spec.TELEMETRY_ORIGIN]
-
-
 def q_surveys(spark, sf):
     """JOB1: SRC3, PRJ1-2, PRJ5, SET1, FLT1, DED1, SCL1."""
-    return rounded(jobs.surveys(T.survey_sources(spark, sf)).select(*SURVEY_COLUMNS))
+    return rounded(jobs.surveys(T.survey_sources(spark, sf)))
 
 
 def q_telemetry(spark, sf):
     """JOB5: SRC4, PRJ1, SET1, FLT1, DED1."""
-    return jobs.telemetry(T.telemetry_sources(spark, sf)).select(*TELEMETRY_COLUMNS)
+    return jobs.telemetry(T.telemetry_sources(spark, sf))
 
 
 def q_tickets(spark, sf):
@@ -131,6 +141,26 @@ def q_sales(spark, sf):
     return rounded(jobs.sales(T.revenue(spark, sf), T.contracts(spark, sf)).frame)
 
 
+def q_sales_many(spark, sf):
+    """JN1, PRJ9: revenue and contracts with several rows per client each, and a column name on both sides."""
+    o = T.table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderkey")
+    revenue = o.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("CLIENTE"), "o_orderstatus",
+                                                   F.col("o_totalprice").alias(spec.MRR))
+    contracts = o.where("o_orderkey % 3 = 1").select(F.col("o_custkey").alias("ID_CLIENTE"), "o_orderstatus",
+                                                     F.col("o_totalprice").alias(spec.CONTRACTS_VALUE))
+    return rounded(jobs.sales(revenue, contracts).frame)
+
+
+def q_tickets_no_duration(spark, sf):
+    """PRJ4, SCL9: tickets without a duration column, and with missing durations."""
+    raw = T.tickets_raw(spark, sf)
+    plain = jobs.tickets(raw.drop(T.DURATION_NAME)).select(spec.TICKET, F.col(spec.DURATION).alias("without"))
+    some = raw.withColumn(T.DURATION_NAME, F.when(F.col(spec.TICKET) % 3 > 0, F.col(T.DURATION_NAME)))
+    filled = jobs.tickets(some).select(spec.TICKET, F.col(spec.DURATION).alias("filled"))
+    kept = jobs.tickets(some, on_missing="null").select(spec.TICKET, F.col(spec.DURATION).alias("kept"))
+    return rounded(plain.join(filled, spec.TICKET).join(kept, spec.TICKET))
+
+
 def q_clients(spark, sf):
     """JOB4, JN2: client master joined to client-since and history."""
     return rounded(jobs.clients(T.client_master(spark, sf), T.client_since(spark, sf),
@@ -185,6 +215,12 @@ def q_impute_median(spark, sf):
     return rounded(filled.select(spec.KEY, *num))
 
 
+def q_quantiles_bracketed(spark, sf):
+    """AGG10-11, AGG13 by brackets: the plan for groups too large to gather."""
+    o = T.table(spark, sf, "orders", "o_orderstatus", "o_totalprice")
+    return rounded(exact_quantiles(o, ["o_totalprice"], [0.25, 0.5, 0.67], ["o_orderstatus"], bracket=100))
+
+
 def q_one_hot(spark, sf):
     """ML1: sorted levels, first dropped, NULL all zeros."""
     base = driver_etl(spark, sf).base
@@ -299,39 +335,67 @@ def _run(spark, sf):
     return run_clustering(etl.base, etl.clients, T.AS_OF)
 
 
+# A fit has no SQL; these queries return what must hold of it whatever its labels are.
+
 def q_kmeans_clusters(spark, sf):
-    """ML3, ML5: client -> cluster for the best k."""
-    return _run(spark, sf).clusters
+    """ML3, ML5: per client, its labels and whether its own cluster's centre is its nearest."""
+    best = _run(spark, sf).best
+    k = best.k
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(best.centres)],
+                                    "c int, v array<double>")
+    z = best.labelled.select(spec.KEY, spec.CLUSTER, vector_to_array("features").alias("x"))
+    far = F.aggregate(F.zip_with("x", "v", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda t, d: t + d)
+    d = z.join(F.broadcast(centres)).select(spec.KEY, spec.CLUSTER, "c", far.alias("d"))  # k rows, k in the grid
+    own = F.min(F.when(F.col("c") == F.col(spec.CLUSTER), F.col("d")))
+    return (d.groupBy(spec.KEY).agg(
+        F.count_distinct(spec.CLUSTER).alias("n_labels"),
+        (F.min(F.col(spec.CLUSTER)) >= 0).alias("labelled"), (F.max(F.col(spec.CLUSTER)) < k).alias("in_range"),
+        (own <= F.min("d") + 1e-9).alias("nearest_own")))
 
 
 def q_kmeans_scores(spark, sf):
-    """ML5: silhouette and cost per k, chosen k flagged."""
-    run = _run(spark, sf)
-    rows = [(s["k"], s.get("silhouette"), s.get("cost"), s["k"] == run.best.k) for s in run.best.scores]
-    return spark.createDataFrame(rows, "k int, silhouette double, cost double, chosen boolean")
+    """ML5: every k was fitted on all clients, and the chosen one has the first best score."""
+    best = _run(spark, sf).best
+    first = max(best.scores, key=lambda s: (s["silhouette"], -s["k"]))["k"]
+    return spark.createDataFrame([(s["k"], int(sum(s["sizes"])), (s["k"] == best.k) == (s["k"] == first))
+                                  for s in best.scores], "k int, clients long, consistent boolean")
 
 
 def q_kmeans_recommend(spark, sf):
-    """ML7 on the fitted cohorts."""
-    return _run(spark, sf).recommendations
+    """ML7 on the fitted cohorts: per client, how many of its products it owns already, or gets twice."""
+    run = _run(spark, sf)
+    each = run.recommendations.select(spec.KEY, F.explode(F.split(spec.RECOMMENDATIONS, spec.LIST_SEP)).alias("p"))
+    owned = run.ownership.select(spec.KEY, F.col(spec.PRODUCT).alias("p"), F.lit(1).alias("own")).dropna().distinct()
+    per = each.join(owned, [spec.KEY, "p"], "left").groupBy(spec.KEY).agg(
+        F.count("own").alias("already_owned"), (F.count("p") - F.count_distinct("p")).alias("twice"),
+        (F.count("p") <= spec.TOP_N_CLIENT).alias("within_n"))
+    return run.clusters.select(spec.KEY).join(per, spec.KEY, "left")
 
 
 def q_kmeans_profile(spark, sf):
-    """Cluster profile over the model features (dummies included)."""
-    return rounded(_run(spark, sf).profile)
+    """JOB7, AGG3: the clusters' means, weighted by their sizes, are the means over all clients."""
+    run = _run(spark, sf)
+    sizes = run.clusters.groupBy(spec.CLUSTER).agg(F.count(F.lit(1)).alias("__n"))
+    j = run.profile.join(sizes, spec.CLUSTER)
+    return rounded(j.agg(*[(F.sum(F.col(c) * F.col("__n")) / F.sum("__n")).alias(c) for c in run.features.names]), 9)
 
 
 def q_kmeans_segments(spark, sf):
-    return _run(spark, sf).segments
+    """JOB7, AGG4: clients per segment over all clusters."""
+    return _run(spark, sf).segments.groupBy(spec.SEGMENT).agg(F.sum(spec.QTY).alias(spec.QTY))
 
 
 def q_kmeans_personas(spark, sf):
+    """ML8 on the fitted cohorts: per client, its labels' parts, in their order."""
     run = _run(spark, sf)
-    return RP.personas(driver_etl(spark, sf).base, run.clusters)
+    p = RP.personas(driver_etl(spark, sf).base, run.clusters)
+    parts = F.transform(F.split(spec.LABEL, spec.LIST_SEP), lambda x: F.split(x, " ")[0])
+    return p.select(spec.KEY, F.array_join(parts, spec.LIST_SEP).alias("parts"))
 
 
 def q_kmeans_top_products(spark, sf):
-    return RC.top_products(_run(spark, sf).ranking)
+    """SRT1, AGG5 on the fitted cohorts: per product, its rows over all clusters' rankings."""
+    return _run(spark, sf).ranking.groupBy(spec.PRODUCT).agg(F.sum(spec.QTY).alias(spec.QTY))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

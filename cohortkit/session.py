@@ -89,9 +89,7 @@ def release(spark: SparkSession, root: str | None = None) -> None:
         if _ROOTS.pop(path, None) is None:
             continue
         try:
-            jvm = spark.sparkContext._jvm
-            hadoop = jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001 - the context is gone: a shared folder's own cleaner is left to do it
             pass
 
@@ -107,4 +105,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables of :func:`materialize` that nothing reads any more."""
+    for df in written:
+        _delete(df.sparkSession, df._scratch_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

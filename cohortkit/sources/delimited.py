@@ -1,13 +1,15 @@
 """Delimited extracts: ';'-separated text with a header, UTF-8 or Latin-1.
 
-Row rules: a line with more fields than the header is skipped; a shorter
-line is padded with NULL; quoted fields may hold the separator. Every raw
-column is read as STRING; typing happens later with explicit parsers.
+Row rules: a line with more fields than the header is skipped, also when the
+fields too many are empty; a shorter line is padded with NULL; quoted fields may
+hold the separator; empty fields, quoted or not, and the usual words for a
+missing value are NULL. Every raw column is read as STRING; typing happens
+later with explicit parsers.
 
 Long lines are caught with one extra trailing ``_overflow`` column in the read
-schema: a non-NULL value there means the line had too many fields. (A long
-line whose extra fields are all empty cannot be told apart from a normal one
-by the CSV reader; it is kept.)
+schema and the reader's raw line: normal lines have a field too few for that
+schema, so their raw line is there, and its separators outside quotes are
+counted; a line without a raw line filled the extra column.
 """
 
 from __future__ import annotations
@@ -19,8 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import spec
+
 OVERFLOW = "_overflow"
+RAW = "_raw"
 ENCODINGS = {"utf-8": "UTF-8", "latin-1": "ISO-8859-1"}
+# Texts that a lenient reader takes for a missing value.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+           "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def header_columns(spark: SparkSession, path, sep: str = ";",
@@ -57,54 +65,63 @@ def unique_names(names: list[str]) -> list[str]:
     return out
 
 
-def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, str]:
-    """Per file: 'utf-8' when every line is valid UTF-8, else 'latin-1'.
+def file_layouts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(encoding, header, files): the files that share both. A file is 'utf-8'
+    when every line of it is valid UTF-8, else 'latin-1'.
 
-    The check runs line by line in tasks (the text reader keeps raw bytes);
-    only one flag per file comes back.
+    The lines are read once in tasks (the text reader keeps raw bytes); the
+    aggregate keeps a flag and the first line of each file.
     """
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    flags = (lines.select(F.col("_metadata.file_path").alias("f"),
-                          F.is_valid_utf8("value").alias("ok"))
-             .groupBy("f").agg(F.bool_and("ok").alias("ok")))
-    return {r["f"]: ("utf-8" if r["ok"] else "latin-1") for r in flags.collect()}
+    per_file = (lines.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("at"),
+                             F.monotonically_increasing_id().alias("n"), F.is_valid_utf8("value").alias("ok"),
+                             F.col("value").cast("binary").alias("line"))
+                .groupBy("f").agg(F.bool_and("ok").alias("ok"), F.min_by("line", F.struct("at", "n")).alias("header")))
+    encoding = F.when(F.col("ok"), "utf-8").otherwise("latin-1")
+    return per_file.groupBy(encoding.alias("encoding"), "header").agg(F.collect_list("f").alias("files"))
+
+
+def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, str]:
+    """{file: encoding}"""
+    return {f: r["encoding"] for r in file_layouts(spark, paths).collect() for f in r["files"]}
 
 
 def _read(spark, paths, columns, sep, encoding, multi_line):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(OVERFLOW, T.StringType())])
+                          + [T.StructField(OVERFLOW, T.StringType()), T.StructField(RAW, T.StringType())])
     df = (spark.read.schema(schema)
           .option("header", True).option("enforceSchema", True)
           .option("sep", sep).option("quote", '"').option("escape", '"')
-          .option("encoding", encoding).option("mode", "PERMISSIVE")
+          .option("encoding", encoding).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
           .option("multiLine", multi_line)
           .csv(paths))
-    return df.where(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
+    outside = F.regexp_replace(RAW, '"[^"]*"', "")
+    fields = F.length(outside) - F.length(F.replace(outside, F.lit(sep), F.lit(""))) + 1
+    rows = df.where(F.col(OVERFLOW).isNull() & F.col(RAW).isNotNull() & (fields <= len(columns)))
+    return rows.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in columns])
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str | None = None,
                    multi_line: bool = False) -> DataFrame:
-    """Read one extract (a file, or a folder of files sharing one header).
+    """Read one extract: a file, or a folder of files.
 
-    ``encoding=None`` decides per file (UTF-8 if valid, else Latin-1) and
-    unions the two groups; pass 'UTF-8' or 'ISO-8859-1' to force one.
+    ``encoding=None`` decides per file (UTF-8 if valid, else Latin-1); pass
+    'UTF-8' or 'ISO-8859-1' to force one. Files are read in groups of one
+    encoding and one header line, and put together by column name: columns
+    may stand in another order in another file.
     """
-    if encoding is not None:
-        return _read(spark, path, header_columns(spark, path, sep, encoding), sep, encoding, multi_line)
-    groups: dict[str, list[str]] = {}
-    for f, enc in file_encodings(spark, path).items():
-        groups.setdefault(enc, []).append(f)
-    if not groups:  # empty input: header only gives the columns
+    groups = [(r["encoding"], r["files"]) for r in file_layouts(spark, path).orderBy("encoding", "header").collect()]
+    if not groups:  # no lines at all
         return _read(spark, path, header_columns(spark, path, sep), sep, "UTF-8", multi_line)
     out = None
-    for enc, files in sorted(groups.items()):
-        cs = ENCODINGS[enc]
+    for enc, files in groups:
+        cs = encoding or ENCODINGS[enc]
         part = _read(spark, files, header_columns(spark, files[0], sep, cs), sep, cs, multi_line)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def read_sources(spark: SparkSession, root: str, names: Iterable[str], suffix: str = ".csv",
+def read_sources(spark: SparkSession, root: str, names: Iterable[str], suffix: str = spec.EXTRACT_SUFFIX,
                  reader=read_delimited, **kw) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Read each named extract under ``root``; a missing or unreadable one is
     skipped and reported (name -> error), not fatal."""

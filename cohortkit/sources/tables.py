@@ -4,12 +4,14 @@
   client since    first order date per customer (key under the alias IdCliente)
   history         one row per line item: (CD_CLI, product name)
   revenue         orders of the 12 months before ``as_of``: MRR = total / 12 (alias CLIENTE)
-  contracts       all orders per customer: count and total value (alias ID_CLIENTE)
+  contracts       orders per customer, of all years: count and total value (alias
+                  ID_CLIENTE), under the column names of the 12-month extract
   survey extracts events, one extract per event type, each with its own key
-                  and score column names; one extract has no events at all
+                  and score column names; the sixth holds all other events
   tickets         events: ticket id, type as status, value as resolution time,
                   organisation = the customer's nation
-  telemetry       events split per type into numbered extracts
+  telemetry       events split per type into numbered extracts, 6 to 11 by the
+                  length of any other type
 
 Scans name their columns, so Parquet reads only those.
 """
@@ -26,12 +28,14 @@ from .. import spec
 AS_OF = "2002-01-01"
 
 # Survey extracts: event type -> (extract name, key alias, score column name).
+# None stands for every other type, and for no type.
 SURVEY_LAYOUT = {
     "view": ("nps_relacional", "CD_CLIENTE", "nps"),
     "click": ("nps_transacional_aquisicao", "IdCliente", "NOTA_NPS"),
     "purchase": ("nps_transacional_produto", "CLIENTE", "resposta_nps"),
     "signup": ("nps_transacional_onboarding", "metadata_codcliente", "Nps"),
     "error": ("nps_transacional_suporte", "COD_CLIENTE", "nota_nps"),
+    None: ("nps_transacional_implantacao", "CD_CLI", "NPS"),
 }
 # Telemetry extracts: event type -> (extract name, key alias).
 TELEMETRY_LAYOUT = {
@@ -41,6 +45,8 @@ TELEMETRY_LAYOUT = {
     "signup": ("telemetria_4", "CD_CLI"),
     "error": ("telemetria_5", "metadata_codcliente"),
 }
+# All other events, by the length of their type: extracts 6 to 11.
+TELEMETRY_REST = [(f"telemetria_{6 + i}", "CLIENTE") for i in range(6)]
 TICKET_OPEN = "error"
 DURATION_NAME = "Tempo de Resolução"
 
@@ -109,11 +115,17 @@ def _events(spark, sf_dir, *cols) -> DataFrame:
     return table(spark, sf_dir, "events", *cols)
 
 
+def _of_type(etype, layout) -> F.Column:
+    if etype is not None:
+        return F.col("event_type") == etype
+    return ~F.coalesce(F.col("event_type").isin([t for t in layout if t]), F.lit(False))
+
+
 def survey_sources(spark, sf_dir) -> dict[str, DataFrame]:
     ev = _events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "value")
     out = {}
     for etype, (name, key_alias, score_name) in SURVEY_LAYOUT.items():
-        out[name] = (ev.where(F.col("event_type") == etype)
+        out[name] = (ev.where(_of_type(etype, SURVEY_LAYOUT))
                      .select("event_id", "ts", F.col("user_id").alias(key_alias),
                              F.col("value").alias(score_name)))
     return out
@@ -130,9 +142,12 @@ def tickets_raw(spark, sf_dir) -> DataFrame:
 
 def telemetry_sources(spark, sf_dir) -> dict[str, DataFrame]:
     ev = _events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "props")
-    return {name: ev.where(F.col("event_type") == etype)
-            .select("event_id", "ts", F.col("user_id").alias(alias), "props")
-            for etype, (name, alias) in TELEMETRY_LAYOUT.items()}
+    out = {name: (alias, _of_type(etype, TELEMETRY_LAYOUT)) for etype, (name, alias) in TELEMETRY_LAYOUT.items()}
+    size = F.coalesce(F.length("event_type"), F.lit(0)) % len(TELEMETRY_REST)
+    for i, (name, alias) in enumerate(TELEMETRY_REST):
+        out[name] = (alias, _of_type(None, TELEMETRY_LAYOUT) & (size == i))
+    return {name: ev.where(own).select("event_id", "ts", F.col("user_id").alias(alias), "props")
+            for name, (alias, own) in out.items()}
 
 
 def region_cohorts(spark, sf_dir, key: str = spec.KEY, cluster_col: str = spec.CLUSTER) -> DataFrame:

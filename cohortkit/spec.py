@@ -39,6 +39,9 @@ SURVEY_SOURCES = (
 SURVEY_ORIGIN = "origem_nps"
 TELEMETRY_SOURCES = tuple(f"telemetria_{i}" for i in range(1, 12))
 TELEMETRY_ORIGIN = "fonte"
+EXTRACT_SUFFIX = ".csv"
+SALES_SOURCES = ("mrr", "contratacoes_ultimos_12_meses")
+CLIENT_SOURCES = ("dados_clientes", "clientes_desde", "historico")
 
 # Client master columns kept in the analytic base (in this order of preference).
 CLIENT_COLUMNS = (
@@ -81,8 +84,14 @@ TENURE = "ANTIGUIDADE_MESES"
 DAYS_PER_MONTH = 30.44
 FEATURES = (MRR, N_CONTRACTS, CONTRACTS_VALUE, SCORE_MEAN, CONTRACT_VALUE, TENURE)
 CATEGORICAL = (SEGMENT, BAND)
-# Day-first date text first, ISO second.
-DATE_FORMATS = ("d/M/yyyy", "yyyy-MM-dd")
+# Day-first date text first, ISO second; each also with a time of day.
+DATE_FORMATS = (
+    "d/M/yyyy",
+    "yyyy-MM-dd",
+    "d/M/yyyy H:mm[:ss]",
+    "yyyy-MM-dd H:mm[:ss][.SSSSSS][.SSS]",
+    "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][.SSS]",
+)
 
 # Clustering.
 CLUSTER = "cluster"
@@ -116,11 +125,12 @@ BOX_WHISKER = 1.5
 
 # Largest side we broadcast by explicit hint, in rows, after counting it.
 BROADCAST_ROWS = 200_000
+# ... and in bytes as stored.
+BROADCAST_BYTES = 32 * 1024 * 1024
 # Largest bracket of values gathered per group for an exact quantile.
 QUANTILE_BRACKET = 200_000
-# K-means input layout: one partition per this many rows. The count follows
-# the data, not the cluster, so the same data always gets the same layout
-# (repeatable fits) and large data still spreads over many tasks.
-KMEANS_ROWS_PER_PARTITION = 1_000_000
-# Most levels a one-hot column may have before we refuse to expand it.
-MAX_LEVELS = 1_000
+# K-means input layout: one partition per this many rows, and this many at
+# least. The count follows the data, not the cluster, so the same data always
+# gets the same layout (repeatable fits) and spreads over many tasks.
+KMEANS_ROWS_PER_PARTITION = 50_000
+KMEANS_LEAST_PARTITIONS = 16

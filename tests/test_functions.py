@@ -90,11 +90,3 @@ def test_bucket3_order_of_tests(spark):
     assert got == ["Médio", "Baixo", "Alto", "Médio"]
     eq = [r.b for r in df.select(bucket3(F.col("v"), F.lit(3.0), F.lit(3.0)).alias("b")).collect()]
     assert eq == ["Médio", "Baixo", "Alto", "Baixo"]
-
-
-def test_fold_accents_data_form(spark):
-    from cohortkit.functions import fold_accents, fold_name
-    df = spark.createDataFrame([("Tempo de Resolução",), ("ÓTIMO Ação",), (None,)], "s string")
-    got = [r.f for r in df.select(fold_accents(F.col("s")).alias("f")).collect()]
-    assert got == ["tempo de resolucao", "otimo acao", None]
-    assert fold_name("Tempo de Resolução") == "tempo de resolucao"

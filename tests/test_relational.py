@@ -1,4 +1,4 @@
-from cohortkit.operators.relational import (distinct_rows, drop_empty, drop_incomplete, exclude_pairs,
+from cohortkit.operators.relational import (distinct_rows, drop_empty, drop_incomplete,
                                             first_per_key, left_join, union_sources)
 
 
@@ -34,9 +34,3 @@ def test_left_join_null_keys(spark):
     assert default == {("l1", None), ("l2", "r2")}
     safe = {(x.v_x, x.v_y) for x in left_join(l, r, "k", null_safe=True).collect()}
     assert safe == {("l1", "r1"), ("l2", "r2")}
-
-
-def test_exclude_pairs(spark):
-    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a")], "k long, p string")
-    pairs = spark.createDataFrame([(1, "a"), (1, "a")], "k long, p string")
-    assert sorted(tuple(r) for r in exclude_pairs(rows, pairs, ["k", "p"]).collect()) == [(1, "b"), (2, "a")]
