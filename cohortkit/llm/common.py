@@ -41,7 +41,7 @@ def create(uri: str):
     """An output stream for a new file, its folder made first."""
     store, path = open_store(uri)
     store.create_dir(os.path.dirname(path), recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)
 
 
 def task_file(folder: str, suffix: str) -> str:

@@ -70,7 +70,8 @@ def embed(windows: np.ndarray, walk: int) -> np.ndarray:
 
 
 def _sampled(m: int, walk: int, tables: int, bits: int) -> np.ndarray:
-    return np.random.default_rng([m, walk]).integers(0, 3 * m, (tables, bits))
+    """Steps to compare; after about 2 m of them a walk is at the window's end."""
+    return np.random.default_rng([m, walk]).integers(0, 2 * m, (tables, bits))
 
 
 def lsh_keys(windows: np.ndarray, walk: int, tables: int, bits: int) -> np.ndarray:
@@ -175,7 +176,7 @@ class ItemIndex:
         for g, (hashes, owners) in self.segments.items():
             if len(ids) < g:
                 continue
-            whole = np.flatnonzero(np.convolve(known, np.ones(g, np.int64), "valid") == g) if g > 1 else np.flatnonzero(known)
+            whole = np.flatnonzero(np.convolve(known, np.ones(g, np.int64), "valid") == g)
             if not len(whole):
                 continue
             h = gram_hashes(ids, g)[whole]

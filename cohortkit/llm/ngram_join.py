@@ -14,7 +14,7 @@ Of the sets that stay, small ones are light: they enumerate all 2-subsets of
 their first p + 1 grams, and share a subset with each partner. Large sets are
 heavy: their first p grams are looked up in inverted lists. Small sets within
 reach of a large one are listed too. The size that parts the two is the one of
-least cost, counted in subset rows against list entries scanned.
+least cost, counted in subset rows against list entries made and scanned.
 
 Sets with a key in common are compared with the key's pivot, the set with the
 smallest share of grams of its own. Links join components; keys whose sets are
@@ -26,6 +26,7 @@ link between different sets is lost that the components depend on.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.relational import checked_broadcast
-from ..session import materialize
+from ..session import discard, materialize
 from . import common
 
 _LOWEST = -(2 ** 63)
@@ -42,39 +43,85 @@ _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np
 #: The part of the hash space whose grams are listed for every set.
 _LISTED = 0.18
 _PIVOT_ROUNDS = 3
+#: Cost of a list entry, in subset rows.
+_SCAN = 2.0
+#: All pairs of different components follow when they are at most so many per key entry.
+_PAIRS_PER_ENTRY = 4
 
 
-class _WordHashes(dict):
-    """64-bit hashes of words, kept within a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= 300_000:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 32:
-            self[word] = h
-        return h
+#: Bytes whose powers are at hand; words are hashed in runs of about so many.
+_RUN = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[list(common.SPACE)] = True
 
 
-_HASHES = _WordHashes()
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """K ** i and K ** -i modulo 2 ** 64."""
+    inverse = np.uint64(pow(int(_K1), -1, 2 ** 64))
+    both = []
+    for base in (_K1, inverse):
+        x = np.full(n, base)
+        x[0] = 1
+        both.append(np.cumprod(x))
+    return both[0], both[1]
 
 
-def gram_set(text: bytes, n: int) -> np.ndarray:
-    """Sorted hashes of the distinct n-grams; of all words as one if there are fewer; none without words."""
-    words = text.lower().split()  # both know ASCII only
-    if not words:
-        return np.zeros(0, np.uint64)
-    codes = np.fromiter((_HASHES[w] for w in words), np.uint64, len(words))
-    k = min(n, len(words))
-    h = np.full(len(words) - k + 1, np.uint64(k))
-    for i in range(k):
-        h = (h ^ codes[i:len(words) - k + 1 + i]) * _K1
-        h ^= h >> np.uint64(29)
+def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * _K2
     h = (h ^ (h >> np.uint64(27))) * _K3
-    return np.unique(h ^ (h >> np.uint64(31)))
+    return h ^ (h >> np.uint64(31))
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of the words data[start:end]: polynomials of their bytes from one running sum, mixed."""
+    out = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        begin = int(starts[at])
+        stop = max(at + 1, int(np.searchsorted(ends, begin + _RUN, "right")))
+        size = int(ends[stop - 1]) - begin
+        up, down = _powers(max(_RUN, 1 << (size - 1).bit_length()))
+        total = np.zeros(size + 1, np.uint64)
+        np.cumsum(data[begin:begin + size] * up[:size], out=total[1:])
+        s, e = starts[at:stop] - begin, ends[at:stop] - begin
+        out[at:stop] = (total[e] - total[s]) * down[s]
+        at = stop
+    return _mix(out)
+
+
+def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """Per text: the sorted hashes of its distinct n-grams; of all words as
+    one if there are fewer; none without words. texts: binary, without nulls."""
+    wide = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    offsets = np.frombuffer(texts.buffers()[1], wide)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].copy()
+    offsets -= offsets[0]
+    data[(data >= 65) & (data <= 90)] += 32
+    word = ~_SPACE[data]
+    first, last = word.copy(), word.copy()
+    first[1:] &= ~word[:-1]
+    last[:-1] &= ~word[1:]
+    cuts = offsets[(offsets > 0) & (offsets < len(data))]  # words end with their text, too
+    first[cuts] = word[cuts]
+    last[cuts - 1] = word[cuts - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    codes = _word_hashes(data, starts, ends)
+    bounds = np.searchsorted(starts, offsets)
+
+    def grams(codes: np.ndarray, k: int) -> np.ndarray:
+        h = np.full(max(0, len(codes) - k + 1), np.uint64(k))
+        for i in range(k):
+            h = (h ^ codes[i:i + len(h)]) * _K1
+            h ^= h >> np.uint64(29)
+        return _mix(h)
+
+    every = grams(codes, n)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if b - a >= n:
+            yield np.unique(every[a:b - n + 1])
+        else:
+            yield grams(codes[a:b], b - a) if b > a else np.zeros(0, np.uint64)
 
 
 def _least(n, percent: int):
@@ -92,15 +139,14 @@ def _sets(n: int, percent: int):
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
                 sizes, low, f1, f2, grams = [], [], [], [], []
-                for text in part["text"].to_pylist():
-                    s = gram_set(text, n)
+                for s in gram_sets(part["text"], n):
                     fp = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
                     listed = int(np.searchsorted(s, bound))
                     sizes.append(len(s))
                     low.append(listed)
                     f1.append(int(fp[0]))
                     f2.append(int(fp[1]))
-                    grams.append(s[:max(listed, len(s) - _least(len(s), percent) + 2)].view(np.int64))
+                    grams.append(s[:_listed(len(s), listed, percent)].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], part["rid"], pa.array(sizes, pa.int64()), pa.array(low, pa.int64()),
                      pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(grams, pa.list_(pa.int64()))],
@@ -108,23 +154,36 @@ def _sets(n: int, percent: int):
     return run
 
 
-def _whole_sets(n: int):
+def _listed(n: int, low: int, percent: int) -> int:
+    """How many of its n grams a set gives to the join."""
+    return max(low, n - _least(n, percent) + 2)
+
+
+def _whole_sets(n: int, percent: int):
+    bound = np.uint64(int(_LISTED * 2 ** 64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
+                sets = list(gram_sets(part["text"], n))
+                listed = [_listed(len(s), int(np.searchsorted(s, bound)), percent) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part["set"], pa.array([gram_set(t, n).tobytes() for t in part["text"].to_pylist()], pa.binary())],
-                    names=["set", "whole"])
+                    [part["set"], pa.array(listed, pa.int32()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    names=["set", "listed", "whole"])
     return run
 
 
 def _link(percent: int):
+    def lists(column: pa.ListArray):
+        values = column.values.to_numpy().view(np.uint64)
+        ends = column.offsets.to_numpy()
+        return [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch["x"], batch["y"]):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for a, b in zip(lists(batch["x"]), lists(batch["y"])):
                 if len(a) > len(b):
                     a, b = b, a
                 at = np.searchsorted(b, a)
@@ -157,8 +216,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
 
-def _reach(a: Column, b: Column, percent: int) -> Column:
-    return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
+def _single_holders(grams: DataFrame, name: str) -> DataFrame:
+    """(set, name): how many of its grams no other set of (set, gram) holds."""
+    held = grams.groupBy("gram").agg(F.count("*").alias("c"), F.min("set").alias("set"))
+    return held.filter("c = 1").groupBy("set").agg(F.count("*").alias(name))
 
 
 class JaccardJoin:
@@ -176,19 +237,24 @@ class JaccardJoin:
             F.first("grams").alias("grams")).withColumn("set", F.xxhash64("f1", "f2", "n")), "gram-classes")
 
     def prefixes(self) -> DataFrame:
-        """(set, n, part, gram, held, place) for the sets that may have a
+        """(set, n, part, gram, place, inner) for the sets that may have a
         partner: their first grams, those with a single holder left out.
         ``place`` is the gram's place in the set's order, ``part`` the share
         of the set's listed grams that are its own."""
-        grams = self.classes.select("set", F.explode("grams").alias("gram"))
-        held = grams.groupBy("gram").agg(F.count("*").alias("held")).filter("held > 1")
-        shared = materialize(grams.join(held, "gram"), "shared-grams")
-        info = self.classes.select("set", "n", "low")
         bound = F.lit(int(_LISTED * 2 ** 64))
         # Hashes are unsigned: the listed ones are those from 0, in signed longs, up to the bound.
         listed = (F.col("gram") >= 0) & (F.col("gram") < bound)
-        counts = shared.groupBy("set").agg(F.count_if(listed).alias("common"))
         size = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
+        own = _single_holders(self.classes.select("set", F.explode("grams").alias("gram")).filter(listed), "own")
+        active = (self.classes.join(own, "set", "left").filter(F.coalesce("own", F.lit(0)) < size)
+                  .select("set", "n", "low", "grams"))
+        active = materialize(active, "active-sets")
+        # Only the sets that stay can be partners: holders are counted among them.
+        grams = active.select("set", F.explode("grams").alias("gram"))
+        held = grams.groupBy("gram").agg(F.count("*").alias("held")).filter("held > 1")
+        shared = materialize(grams.join(held, "gram"), "shared-grams")
+        info = active.select("set", "n", "low")
+        counts = shared.groupBy("set").agg(F.count_if(listed).alias("common"))
         stay = (info.join(counts, "set").withColumn("own", F.col("low") - F.col("common"))
                 .withColumn("first", F.floor(size - F.col("own")).cast("long")).filter("first > 0")
                 .withColumn("part", F.col("own") / F.greatest(F.col("low"), F.lit(1))))
@@ -196,24 +262,26 @@ class JaccardJoin:
         order = W.partitionBy("set").orderBy((~listed).cast("int"), F.when(listed, F.col("held")).otherwise(
             (F.col("gram") < 0).cast("long")), "gram")
         rows = shared.join(stay.select("set", "n", "own", "first", "part"), "set")
-        return materialize(rows.withColumn("k", F.row_number().over(order)).filter("k <= first + 1")
-                           .select("set", "n", "part", "gram", "held", (F.col("own") + F.col("k") - 1).alias("place"),
-                                   (F.col("k") <= F.col("first")).alias("inner")), "prefixes")
+        prefixes = materialize(rows.withColumn("k", F.row_number().over(order)).filter("k <= first + 1")
+                               .select("set", "n", "part", "gram", (F.col("own") + F.col("k") - 1).alias("place"),
+                                       (F.col("k") <= F.col("first")).alias("inner")), "prefixes")
+        discard(shared, active)
+        return prefixes
 
     def boundary(self, prefixes: DataFrame) -> int:
         """The size up to which sets enumerate subsets, by cost. Sizes are
         counted in steps of the ratio that linked sets may have: a few hundred rows."""
         ratio = float(np.log(100 / self.percent))
-        per_set = prefixes.groupBy("set", "n").agg(F.count("*").alias("s"), F.sum(F.col("inner").cast("int")).alias("p"),
-                                                   F.sum(F.when(F.col("inner"), F.col("held"))).alias("scan"))
+        per_set = prefixes.groupBy("set", "n").agg(F.count("*").alias("s"), F.sum(F.col("inner").cast("int")).alias("p"))
         rows = (per_set.groupBy(F.floor(F.log("n") / ratio).cast("int").alias("step"))
-                .agg(F.sum(F.col("s") * (F.col("s") - 1) / 2).alias("subsets"), F.sum("p").alias("lists"),
-                     F.sum("scan").alias("scan")).orderBy("step").collect())
-        # A subset row costs about four list entries: it is made, moved and sorted.
-        best, best_cost = 0, sum(r["lists"] * 4 + r["scan"] for r in rows)
+                .agg(F.sum(F.col("s") * (F.col("s") - 1) / 2).alias("subsets"), F.sum("p").alias("lists"))
+                .orderBy("step").collect())
+        # A row of either kind is made, moved and sorted; a list entry is also
+        # scanned with the pivots, and meets sets there that share one gram only.
+        best, best_cost = 0, sum(_SCAN * r["lists"] for r in rows)
         for i, r in enumerate(rows):
-            light = sum(4 * x["subsets"] for x in rows[:i + 1])
-            heavy = sum(4 * x["lists"] + x["scan"] for x in rows[i:])  # the last light step is listed as well
+            light = sum(x["subsets"] for x in rows[:i + 1])
+            heavy = _SCAN * sum(x["lists"] for x in rows[i:])  # the last light step is listed as well
             if light + heavy < best_cost:
                 best, best_cost = int(np.exp((r["step"] + 1) * ratio)), light + heavy
         return best
@@ -248,60 +316,91 @@ class JaccardJoin:
         own = (self.classes.join(keys.select("set").distinct(), "set", "left_semi")
                .select(F.col("id").alias("__id"), F.col("rid").alias("__rid"), "set"))
         texts = self.docs.join(checked_broadcast(own), (F.col("id") == F.col("__id")) & (F.col("rid") == F.col("__rid")))
-        wholes = materialize(texts.select("set", "text").mapInArrow(_whole_sets(self.n), "set long, whole binary"),
-                             "whole-sets")
-        tried: DataFrame | None = None
+        wholes = materialize(texts.select("set", "text").mapInArrow(
+            _whole_sets(self.n, self.percent), "set long, listed int, whole array<long>"), "whole-sets")
+        tried: list[DataFrame] = []
         edges: DataFrame | None = None
-        roots = keys.select(F.col("set").alias("id"), F.col("set").alias("root")).distinct().limit(0)
+        roots = None
+        left = keys.withColumn("root", F.col("set"))
         for turn in range(_PIVOT_ROUNDS + 1):
-            at = roots.select(F.col("id").alias("set"), F.col("root"))
-            left = keys.join(at, "set", "left").withColumn("root", F.coalesce("root", "set"))
-            mixed = left.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2")
-            left = materialize(left.join(mixed.select("key"), "key"), "mixed-keys")
-            if left.isEmpty():
-                break
-            if turn < _PIVOT_ROUNDS:
-                rank = F.col("part") if turn == 0 else F.xxhash64("set", F.lit(turn)).cast("double")
-                pivots = left.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), F.col("set").alias("p"),
-                                                                F.col("n").alias("pn"), F.col("root").alias("pr"))).alias("x"))
-                pairs = (left.join(pivots.select("key", "x.*"), "key").filter("set <> p AND root <> pr")
-                         .filter(_reach(F.col("n"), F.col("pn"), self.percent))
-                         .select(F.least("set", "p").alias("a"), F.greatest("set", "p").alias("b")))
-            else:
-                other = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("set", "n", "root", "place")])
-                # The first key in common bounds what the sets can share: what lies before it, they do not.
-                both = (left.join(other, "key").filter("set < set2 AND root <> root2")
-                        .filter(_reach(F.col("n"), F.col("n2"), self.percent))
-                        .groupBy(F.col("set").alias("a"), F.col("set2").alias("b"), "n", "n2")
-                        .agg(F.min("place").alias("i"), F.min("place2").alias("j")))
-                most = F.least(F.col("n") - F.col("i"), F.col("n2") - F.col("j"))
-                pairs = both.filter((100 + self.percent) * most >= self.percent * (F.col("n") + F.col("n2"))).select("a", "b")
-            pairs = pairs.distinct()
-            if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = materialize(pairs, "pairs")
-            new = materialize(self.verify(pairs, wholes), "links")
-            tried = pairs if tried is None else tried.unionByName(pairs)
+            if turn:
+                at = roots.select(F.col("id").alias("set"), "root")
+                named = left.drop("root").join(at, "set", "left").withColumn("root", F.coalesce("root", "set"))
+                mixed = (named.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+                         .filter("r1 <> r2").select("key"))
+                left = materialize(named.join(mixed, "key"), "mixed-keys")
+                if turn == 1:
+                    left = materialize(self._placed(left, wholes), "placed-keys")
+                if left.isEmpty():
+                    break
+            few = turn and self._cross_pairs(left) <= _PAIRS_PER_ENTRY
+            pairs = self._all_pairs(left) if few or turn == _PIVOT_ROUNDS else self._pivot_pairs(left, turn)
+            for done in tried:
+                pairs = pairs.join(done, ["a", "b"], "left_anti")
+            tried.append(materialize(pairs, "pairs"))
+            new = materialize(self.verify(tried[-1], wholes), "links")
             edges = new if edges is None else edges.unionByName(new)
             roots = connected_components(edges)
+            if few:
+                break
         return roots
 
+    def _placed(self, left: DataFrame, wholes: DataFrame) -> DataFrame:
+        """Key entries with their places in the order that has all grams with a
+        single holder first, also those that were not listed: what is then
+        beyond a set's first grams goes."""
+        here = left.select("set").distinct()
+        rest = (wholes.join(here, "set", "left_semi")
+                .select("set", F.explode(F.slice("whole", F.col("listed") + 1, F.size("whole"))).alias("gram")))
+        more = left.join(_single_holders(rest, "more"), "set", "left")
+        return (more.withColumn("place", F.col("place") + F.coalesce("more", F.lit(0))).drop("more")
+                .filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * self.percent / 100)))
+
+    def _can_share(self, n: str, place: str, n2: str, place2: str) -> Column:
+        """Whether sets whose first gram in common has these places can link:
+        what lies before it, they do not share."""
+        most = F.least(F.col(n) - F.col(place), F.col(n2) - F.col(place2))
+        return (100 + self.percent) * most >= self.percent * (F.col(n) + F.col(n2))
+
+    def _pivot_pairs(self, left: DataFrame, turn: int) -> DataFrame:
+        """Each key's sets with the key's pivot."""
+        rank = F.col("part") if turn == 0 else F.xxhash64("set", F.lit(turn)).cast("double")
+        pivots = left.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), F.col("set").alias("p"), F.col("n").alias("pn"),
+                                                        F.col("place").alias("pp"), F.col("root").alias("pr"))).alias("x"))
+        return (left.join(pivots.select("key", "x.*"), "key").filter("set <> p AND root <> pr")
+                .filter(self._can_share("n", "place", "pn", "pp"))
+                .select(F.least("set", "p").alias("a"), F.greatest("set", "p").alias("b")).distinct())
+
+    def _cross_pairs(self, left: DataFrame) -> float:
+        """Pairs of different components per key entry."""
+        each = left.groupBy("key", "root").agg(F.count("*").alias("c"))
+        per_key = each.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c").cast("double") * F.col("c")).alias("q"))
+        r = per_key.agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("q")) / 2).alias("pairs"), F.sum("m").alias("m")).first()
+        return r["pairs"] / r["m"]
+
+    def _all_pairs(self, left: DataFrame) -> DataFrame:
+        """The pairs of different components with a key in common that may be their first."""
+        other = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("set", "n", "root", "place")])
+        return (left.join(other, "key").filter("set < set2 AND root <> root2")
+                .filter(self._can_share("n", "place", "n2", "place2"))
+                .select(F.col("set").alias("a"), F.col("set2").alias("b")).distinct())
+
     def components(self) -> DataFrame:
-        """(id, rid, n, component_id) per row."""
+        """(id, rid, n, group, component_id) per row; sets without a link are groups of their own."""
         roots = self.links()
         at = roots.select(F.col("id").alias("set"), "root")
         classes = self.classes.join(at, "set", "left").withColumn("root", F.coalesce("root", "set"))
         smallest = classes.groupBy("root").agg(F.min("id").alias("component_id"))
-        named = classes.join(smallest, "root").select("f1", "f2", "n", "component_id")
+        named = classes.join(smallest, "root").select("f1", "f2", "n", F.col("root").alias("group"), "component_id")
         rows = self.sets.select("id", "rid", "n", "f1", "f2")
         return (rows.join(named, ["f1", "f2", "n"], "left")
-                .select("id", "rid", "n", F.coalesce("component_id", "id").alias("component_id")))
+                .select("id", "rid", "n", "group", F.coalesce("component_id", "id").alias("component_id")))
 
 
 def similar_groups(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """(id, rid, n, component_id) per row: the size of its set of word
-    ``n``-grams, and the smallest id that links lead to.
+    """(id, rid, n, group, component_id) per row: the size of its set of word
+    ``n``-grams, its group, and the smallest id in that, where links lead to.
 
     Two rows link when their sets' Jaccard similarity is ``percent`` percent
     or more. Null, empty and wordless texts have the empty set, link with
@@ -317,8 +416,8 @@ def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     """``docs`` with one row of each group, one with the smallest id; rows without words all stay."""
     groups = similar_groups(docs, n, percent, id_col, text_col)
     # Rows of a group that share the smallest id: the one of the smallest text hash, once.
-    first = (groups.filter("n > 0 AND id = component_id").groupBy("component_id").agg(F.min("rid").alias("__rid"))
-             .select(F.col("component_id").alias("__id"), "__rid"))
+    first = (groups.filter("n > 0 AND id = component_id").groupBy("group")
+             .agg(F.first("id").alias("__id"), F.min("rid").alias("__rid")).drop("group"))
     wordless = groups.filter("n = 0").select(F.col("id").alias("__id"), F.col("rid").alias("__rid")).distinct()
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
     key = [own.alias("__own"), common.row_hash(text_col).alias("__hash")]

@@ -15,7 +15,6 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +23,6 @@ from ..session import materialize, scratch_path
 from . import common
 
 CHUNK = 64 * 1024
-_CHUNKS = "id long, chunk_no int, last boolean, offset long, data binary, digest string"
 #: A fixed date: writing the same pages again gives the same archives.
 _DATE = "2000-01-01T00:00:00Z"
 
@@ -55,7 +53,8 @@ def chunk_records(records: DataFrame, id_col: str = "page_id", payload_col: str
     size = F.octet_length("payload")
     chunks = F.greatest(F.lit(1), F.ceil(size / chunk)).cast("int")
     rows = records.select(F.col(id_col).cast("long").alias("id"), common.utf8(payload_col).alias("payload"), *extra)
-    rows = rows.select("id", "payload", chunks.alias("n"), *extra, F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk_no"))
+    rows = rows.select("id", "payload", chunks.alias("n"), *extra,
+                       F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk_no"))
     rows = rows.select("id", "chunk_no", (F.col("chunk_no") == F.col("n") - 1).alias("last"),
                        (F.col("chunk_no") * F.lit(chunk).cast("long")).alias("offset"),
                        F.col("payload").substr(F.col("chunk_no") * chunk + 1, F.lit(chunk)).alias("data"), *extra)
@@ -234,7 +233,7 @@ def _read(chunk: int, with_data: bool):
             for path in batch["path"].to_pylist():
                 store, at = common.open_store(path)
                 rows: list[tuple] = []
-                with store.open_input_stream(at) as file:
+                with store.open_input_stream(at, compression=None) as file:
                     for r, no, offset, data, digest, last in read_records(_Members(file), chunk):
                         size = int(r.http.rpartition(b"Content-Length: ")[2])
                         rows.append((r.id, r.type, r.refers_to, r.digest, size, no, last, offset, len(data), digest)

@@ -72,7 +72,7 @@ def test_embedding_keeps_near_windows_near():
     near = base.copy()
     near[7] = 501
     far = rng.integers(2, 500, 40)
-    same = lambda a, b: np.mean([(D.embed(a[None], r) == D.embed(b[None], r)).mean() for r in range(20)])
+    same = lambda a, b: np.mean([(D.embed(a[None], r) == D.embed(b[None], r))[:, :80].mean() for r in range(20)])
     assert same(base, base) == 1 and same(base, near) > 0.6 > 0.1 > same(base, far)
 
 
