@@ -75,3 +75,37 @@ def test_fit_best_k_skips_undefined_k(spark):
     feats = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
     best = fit_best_k(feats, ks=(2, 3, 4), partitions=2)
     assert best.k == 2 and [s.get("skipped") is not None for s in best.scores] == [False, True, True]
+
+
+def test_fit_does_not_depend_on_how_files_are_packed(spark, tmp_path):
+    """Core counts change how a stored table is split for reading; labels and the chosen k stay."""
+    df, _, _ = _points(spark, n=900, seed=8)
+    feats = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.drop("cluster"))
+    found = []
+    for packing, cores in (("2", "2"), ("8", "8")):
+        spark.conf.set("spark.sql.files.minPartitionNum", packing)
+        spark.conf.set("spark.sql.shuffle.partitions", cores)
+        try:
+            best = fit_best_k(feats, ks=(2, 3, 4, 5), partitions=8)
+            found.append((best.k, {r.CD_CLIENTE: r.cluster for r in best.assignments.collect()}))
+        finally:
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert found[0] == found[1]
+
+
+def test_client_without_key_keeps_its_label(spark):
+    df, _, _ = _points(spark, n=60)
+    rows = df.drop("cluster").withColumn("CD_CLIENTE", F.when(F.col("CD_CLIENTE") != 5, F.col("CD_CLIENTE")))
+    feats = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    best = fit_best_k(feats, ks=(3,))
+    assert best.labelled.filter("cluster IS NOT NULL").count() == 60
+    assert {"a", "b", "cluster"} <= set(best.labelled.columns)
+
+
+def test_nothing_stays_cached(spark):
+    from cohortkit.plans import queries as Q
+    spark.catalog.clearCache()
+    for name in ("q_recommend", "q_personas", "q_box_stats", "q_silhouette"):
+        getattr(Q, name)(spark, "/root/testdata/sf0.001").collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

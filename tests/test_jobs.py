@@ -102,3 +102,42 @@ def test_command_line_etl(spark, tmp_path, capsys):
     out = json.loads(capsys.readouterr().out)
     assert spark.read.parquet(out["base_analitica"]).count() == 2
     assert "skipped:nps_relacional" in out
+
+
+def test_absent_extracts_are_reported_and_the_rest_is_built(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "dados_clientes.csv").write_text("CLIENTE;DS_SEGMENTO;VL_TOTAL_CONTRATO\n1;A;1234.5\n2;B;999,9\n")
+    (raw / "mrr.csv").write_text("CLIENTE;MRR_12M\n1;10\n")
+    (raw / "telemetria_1.csv").write_text("CLIENTE;x\n1;2\n")
+    out = jobs.run_etl(spark, str(raw), str(tmp_path / "out"))
+    for name in ("historico", "clientes_desde", "contratacoes_ultimos_12_meses", "tickets", "telemetria_2"):
+        assert f"skipped:{name}" in out
+    assert "missing:vendas_tratado" in out
+    base = {r.CD_CLIENTE: r for r in spark.read.parquet(out["base_analitica"]).collect()}
+    assert (base["1"].VL_TOTAL_CONTRATO, base["2"].VL_TOTAL_CONTRATO) == (1234.5, 999.9)
+    assert [r.fonte for r in spark.read.parquet(out["telemetria_tratado"]).collect()] == ["telemetria_1.csv"]
+
+
+def test_load_or_build_does_not_overwrite_what_it_cannot_read(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    (tmp_path / "empty").mkdir()  # a folder without a table: there, but of no schema
+    with pytest.raises(AnalysisException):
+        jobs.load_or_build(spark, str(tmp_path / "empty"), lambda: spark.range(1))
+    assert not list((tmp_path / "empty").iterdir())
+
+
+def test_events_of_other_types_stay(spark):
+    from cohortkit.sources import tables as T
+    kinds = {None, *T.SURVEY_LAYOUT}
+    rows = spark.createDataFrame([(t,) for t in ["view", "other", "longer type", None]], "event_type string")
+    found = [rows.where(T._of_type(t, T.SURVEY_LAYOUT)).count() for t in kinds]
+    assert sum(found) == 4 and rows.where(T._of_type(None, T.SURVEY_LAYOUT)).count() == 3
+
+
+def test_one_hot_past_a_thousand_levels(spark):
+    from cohortkit.operators.features import one_hot
+    df = spark.range(1100).selectExpr("id", "concat('l', id) AS c")
+    out, names = one_hot(df, ["c"])
+    assert len(names) == 1099 and out.filter("id = 7").first()["c_l7"] == 1.0

@@ -50,3 +50,10 @@ def test_run_reports_recomputes_profile_when_missing(spark):
                      "VLR_CONTRATACOES_12M", "NPS_MEDIO"} and len(feats) == 5
     assert out["cluster_sizes"].count() == 5
     assert {r.cluster for r in out["personas"].collect()} == {0, 1, 2, 3, 4}
+
+
+def test_whiskers_end_at_the_box(spark):
+    from cohortkit.operators.reports import box_stats
+    df = spark.createDataFrame([(0, float(v)) for v in (0, 10, 10, 10)], "cluster int, MRR_12M double")
+    r = box_stats(df, "MRR_12M").first()
+    assert (r.q1, r.whisker_low, r.whisker_high) == (7.5, 7.5, 10.0)

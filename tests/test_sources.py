@@ -50,3 +50,23 @@ def test_case_insensitive_header_collisions(spark, tmp_path):
     assert df.columns == ["k", "NPS", "nps__2", "k__2"]
     r = df.first()
     assert (r["NPS"], r["nps__2"], r["k__2"]) == ("9", "8", "x")
+
+
+def test_missing_words_and_quoted_empties(spark, tmp_path):
+    path = _write(tmp_path / "n.csv", b'k;v;w\n1;NA;null\n2;"";N/A\n3;nan;x\n4;Nada;NAN\n')
+    rows = read_delimited(spark, path).orderBy("k").collect()
+    assert [tuple(r) for r in rows] == [("1", None, None), ("2", None, None), ("3", None, "x"), ("4", "Nada", "NAN")]
+
+
+def test_long_line_with_empty_tail_is_skipped(spark, tmp_path):
+    path = _write(tmp_path / "t.csv", b'k;v;w\n1;a;b\n3;x;y;\n4;"p;q";r\n5;"p;q";r;\n6;;\n7\n')
+    assert [r.k for r in read_delimited(spark, path).orderBy("k").collect()] == ["1", "4", "6", "7"]
+
+
+def test_header_order_per_file(spark, tmp_path):
+    d = tmp_path / "orders"
+    d.mkdir()
+    _write(d / "a.csv", b"k;v\n1;x\n")
+    _write(d / "b.csv", b"v;k;z\ny;2;9\n")
+    rows = sorted(tuple(r) for r in read_delimited(spark, str(d)).select("k", "v", "z").collect())
+    assert rows == [("1", "x", None), ("2", "y", "9")]
