@@ -46,7 +46,7 @@ _PIVOT_ROUNDS = 3
 #: Cost of a list entry, in subset rows.
 _SCAN = 2.0
 #: All pairs of different components follow when they are at most so many per key entry.
-_PAIRS_PER_ENTRY = 4
+_PAIRS_PER_ENTRY = 50
 
 
 #: Bytes whose powers are at hand; words are hashed in runs of about so many.
@@ -216,6 +216,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
 
+def _pivot(rank: Column) -> Column:
+    """The set of the lowest rank, as the struct x of p, pn and pp."""
+    return F.min(F.struct(rank.alias("rank"), F.col("set").alias("p"), F.col("n").alias("pn"),
+                          F.col("place").alias("pp"))).alias("x")
+
+
 def _single_holders(grams: DataFrame, name: str) -> DataFrame:
     """(set, name): how many of its grams no other set of (set, gram) holds."""
     held = grams.groupBy("gram").agg(F.count("*").alias("c"), F.min("set").alias("set"))
@@ -287,7 +293,9 @@ class JaccardJoin:
         return best
 
     def keys(self, prefixes: DataFrame) -> DataFrame:
-        """(key, set, n, part, place): sets that link share one key at least."""
+        """(key, set, n, part, place, p, pn, pp) for the keys of several sets:
+        sets that link share one key at least. p is the key's pivot, the set
+        with the smallest share of grams of its own."""
         small = self.boundary(prefixes)
         lists = (prefixes.filter("inner").filter(F.col("n") * 100 >= F.lit(small * self.percent))
                  .select(F.xxhash64(F.lit(1), "gram").alias("key"), "set", "n", "part", "place"))
@@ -300,8 +308,8 @@ class JaccardJoin:
         subsets = (light.select("set", "n", "part", F.explode(pairs).alias("x"))
                    .select("x.key", "set", "n", "part", "x.place"))
         found = lists.unionByName(subsets)
-        several = found.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1").select("key")
-        return materialize(found.join(several, "key"), "join-keys")
+        pivots = found.groupBy("key").agg(F.count("*").alias("sets"), _pivot(F.col("part"))).filter("sets > 1")
+        return materialize(found.join(pivots.select("key", "x.p", "x.pn", "x.pp"), "key"), "join-keys")
 
     def verify(self, pairs: DataFrame, wholes: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets reach the threshold."""
@@ -318,33 +326,48 @@ class JaccardJoin:
         texts = self.docs.join(checked_broadcast(own), (F.col("id") == F.col("__id")) & (F.col("rid") == F.col("__rid")))
         wholes = materialize(texts.select("set", "text").mapInArrow(
             _whole_sets(self.n, self.percent), "set long, listed int, whole array<long>"), "whole-sets")
-        tried: list[DataFrame] = []
-        edges: DataFrame | None = None
-        roots = None
-        left = keys.withColumn("root", F.col("set"))
-        for turn in range(_PIVOT_ROUNDS + 1):
-            if turn:
-                at = roots.select(F.col("id").alias("set"), "root")
-                named = left.drop("root").join(at, "set", "left").withColumn("root", F.coalesce("root", "set"))
-                mixed = (named.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
-                         .filter("r1 <> r2").select("key"))
-                left = materialize(named.join(mixed, "key"), "mixed-keys")
-                if turn == 1:
-                    left = materialize(self._placed(left, wholes), "placed-keys")
-                if left.isEmpty():
-                    break
-            few = turn and self._cross_pairs(left) <= _PAIRS_PER_ENTRY
-            pairs = self._all_pairs(left) if few or turn == _PIVOT_ROUNDS else self._pivot_pairs(left, turn)
+        left = keys
+        tried = [materialize(self._pivot_pairs(left), "pairs")]
+        edges = materialize(self.verify(tried[0], wholes), "links")
+        roots = connected_components(edges)
+        for turn in range(1, _PIVOT_ROUNDS + 1):
+            left = self._mixed(left, roots)
+            if turn == 1:
+                left = self._mixed(materialize(self._placed(left, wholes), "placed-keys"), None)
+            if left.isEmpty():
+                break
+            last = turn == _PIVOT_ROUNDS or self._cross_pairs(left) <= _PAIRS_PER_ENTRY
+            if last:
+                pairs = self._all_pairs(left)
+            else:
+                pivots = left.groupBy("key").agg(_pivot(F.xxhash64("set", F.lit(turn)).cast("double")))
+                left = materialize(left.drop("p", "pn", "pp").join(pivots.select("key", "x.p", "x.pn", "x.pp"), "key"), "keys")
+                pairs = self._pivot_pairs(left)
             for done in tried:
                 pairs = pairs.join(done, ["a", "b"], "left_anti")
             tried.append(materialize(pairs, "pairs"))
-            new = materialize(self.verify(tried[-1], wholes), "links")
-            edges = new if edges is None else edges.unionByName(new)
+            edges = edges.unionByName(materialize(self.verify(tried[-1], wholes), "links"))
             roots = connected_components(edges)
-            if few:
+            if last:
                 break
         return roots
 
+    def _pivot_pairs(self, left: DataFrame) -> DataFrame:
+        """Each key's sets with the key's pivot."""
+        return (left.filter("set <> p").filter(self._can_share("n", "place", "pn", "pp"))
+                .select(F.least("set", "p").alias("a"), F.greatest("set", "p").alias("b")).distinct())
+
+    def _mixed(self, left: DataFrame, roots: DataFrame | None) -> DataFrame:
+        """The entries, with their components' roots, of the keys whose sets
+        are not all in their first set's component."""
+        if roots is not None:
+            at = checked_broadcast(roots.select(F.col("id").alias("__set"), F.col("root").alias("__root")))
+            left = left.drop("root").join(at, F.col("set") == F.col("__set"), "left")
+            left = left.withColumn("root", F.coalesce("__root", "set")).drop("__set", "__root")
+        mixed = (left.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+                 .filter("r1 <> r2").select("key"))
+        return materialize(left.join(checked_broadcast(mixed), "key"), "mixed-keys")
+
     def _placed(self, left: DataFrame, wholes: DataFrame) -> DataFrame:
         """Key entries with their places in the order that has all grams with a
         single holder first, also those that were not listed: what is then
@@ -362,15 +385,6 @@ class JaccardJoin:
         most = F.least(F.col(n) - F.col(place), F.col(n2) - F.col(place2))
         return (100 + self.percent) * most >= self.percent * (F.col(n) + F.col(n2))
 
-    def _pivot_pairs(self, left: DataFrame, turn: int) -> DataFrame:
-        """Each key's sets with the key's pivot."""
-        rank = F.col("part") if turn == 0 else F.xxhash64("set", F.lit(turn)).cast("double")
-        pivots = left.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), F.col("set").alias("p"), F.col("n").alias("pn"),
-                                                        F.col("place").alias("pp"), F.col("root").alias("pr"))).alias("x"))
-        return (left.join(pivots.select("key", "x.*"), "key").filter("set <> p AND root <> pr")
-                .filter(self._can_share("n", "place", "pn", "pp"))
-                .select(F.least("set", "p").alias("a"), F.greatest("set", "p").alias("b")).distinct())
-
     def _cross_pairs(self, left: DataFrame) -> float:
         """Pairs of different components per key entry."""
         each = left.groupBy("key", "root").agg(F.count("*").alias("c"))
