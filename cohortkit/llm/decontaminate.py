@@ -1,7 +1,7 @@
 """Benchmark decontamination by CGK embedding and bit-sampling LSH.
 
-Texts are words of ``\\w``, lower-cased. A document leaks an item of m words
-if some passage of it is within ``edit_share * m`` word edits of the item.
+Texts are lower-cased and cut into words at ASCII characters other than letters
+and digits. A document leaks an item of m words if some passage of it is within ``edit_share * m`` word edits of the item.
 
 Windows of an item's size are embedded by the CGK random walk: at step j the
 symbol under the pointer is written, and a random bit of (j, symbol) moves the
@@ -21,9 +21,10 @@ blocks of bounded size.
 
 from __future__ import annotations
 
-import re
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-_WORD = re.compile(r"\w+")
+_WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _U = np.uint64
 _PAD, _UNKNOWN = 1, 0
 _MIX1, _MIX2, _MIX3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -45,8 +46,8 @@ def _salt(*numbers: int) -> np.uint64:
     return _U(out)
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def words_of(text: str) -> list[bytes]:
+    return text.lower().encode().translate(_WORDS).split()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -112,7 +113,7 @@ class ItemIndex:
     def __init__(self, items: Sequence[tuple[int, str]], edit_share: float, min_words: int, recall: float,
                  tables: int = 4, bits: int = 4):
         self.tables, self.bits = tables, bits
-        self.vocabulary: dict[str, int] = {}
+        self.vocabulary: dict[bytes, int] = {}
         self.ids: list[int] = []
         self.words: list[np.ndarray] = []
         self.edits: list[int] = []
@@ -169,9 +170,12 @@ class ItemIndex:
         p = max(met / n, 1 / n)
         return max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - min(p, 0.999)))))
 
-    def windows(self, ids: np.ndarray) -> set[tuple[int, int]]:
-        """(size, start) of the windows that have a segment of an item in place."""
-        out: set[tuple[int, int]] = set()
+    def windows(self, texts: list[np.ndarray]) -> set[tuple[int, int, int]]:
+        """(size, text, start) of the windows that have a segment of an item in place."""
+        out: set[tuple[int, int, int]] = set()
+        # One row of all texts, with an unknown word after each.
+        ids = np.concatenate([np.zeros(0, np.int64), *(x for t in texts for x in (t, [_UNKNOWN]))])
+        begins = [0, *np.cumsum([len(t) + 1 for t in texts]).tolist()]
         known = ids != _UNKNOWN
         for g, (hashes, owners) in self.segments.items():
             if len(ids) < g:
@@ -181,20 +185,19 @@ class ItemIndex:
                 continue
             h = gram_hashes(ids, g)[whole]
             low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-            for at in np.flatnonzero(high > low):
-                for item, place in owners[low[at]:high[at]]:
+            for at in np.flatnonzero(high > low).tolist():
+                text = bisect_right(begins, int(whole[at])) - 1
+                for item, place in owners[low[at]:high[at]].tolist():
                     m, k = len(self.words[item]), self.edits[item]
-                    start = int(whole[at]) - int(place)
-                    out.update((m, s) for s in range(start - k, start + k + 1))
+                    start = int(whole[at]) - begins[text] - place
+                    out.update((m, text, s) for s in range(start - k, start + k + 1))
         return out
 
-    def candidates(self, batch: list[tuple[int, np.ndarray]]) -> dict[tuple[int, int], list[int]]:
-        """{(document, item): window starts} that share an LSH key; batch: (document, word ids)."""
-        at = defaultdict(list)
-        for doc, ids in batch:
-            for m, start in self.windows(ids):
-                at[m].append((doc, start))
-        texts, out = dict(batch), defaultdict(set)
+    def candidates(self, texts: list[np.ndarray]) -> dict[tuple[int, int], list[int]]:
+        """{(text, item): window starts} that share an LSH key; texts: word ids."""
+        at, out = defaultdict(list), defaultdict(set)
+        for m, text, start in sorted(self.windows(texts)):
+            at[m].append((text, start))
         for m, places in at.items():
             for part in range(0, len(places), 20_000):
                 some = places[part:part + 20_000]
@@ -213,10 +216,9 @@ class ItemIndex:
                             out[doc, int(item)].add(start)
         return {k: sorted(v) for k, v in out.items()}
 
-    def leaks(self, batch: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, int, int, int]]:
-        """(document, item, edits, first word of the region that was aligned) of the best alignment."""
-        texts = dict(batch)
-        for (doc, item), starts in sorted(self.candidates(batch).items()):
+    def leaks(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, edits, about the first word) of the best alignment."""
+        for (doc, item), starts in sorted(self.candidates(texts).items()):
             w, k, ids = self.words[item], self.edits[item], texts[doc]
             best, done = None, -1
             for start in starts:
@@ -238,9 +240,9 @@ def _search(index: ItemIndex, id_name: str):
             for k in range(0, batch.num_rows, 1000):
                 part = batch.slice(k, 1000)
                 texts = []
-                for doc, text in enumerate(part["text"].to_pylist()):
+                for text in part["text"].to_pylist():
                     words = words_of(text)
-                    texts.append((doc, np.fromiter((get(w, _UNKNOWN) for w in words), np.int64, len(words))))
+                    texts.append(np.fromiter(map(get, words, repeat(_UNKNOWN)), np.int64, len(words)))
                 ids, rids = part["id"].to_pylist(), part["rid"].to_pylist()
                 rows = [(ids[doc], rids[doc], index.ids[item], edits, len(index.words[item]), start)
                         for doc, item, edits, start in index.leaks(texts)]
