@@ -30,8 +30,8 @@ def repeated_words(words: list[bytes], window: int = 3) -> int:
     n = len(words) - window + 1
     if n < 2:
         return 0
-    index: dict[bytes, int] = {}
-    codes = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
+    index = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    codes = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
     grams = codes[:n]
     for k in range(1, window):  # renumbered after each word, so that no product overflows
         _, grams = np.unique(grams * len(index) + codes[k:k + n], return_inverse=True)
