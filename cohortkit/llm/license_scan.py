@@ -72,16 +72,18 @@ def _strings(values: Sequence[str]) -> Column:
 def _starts(words: Column, phrase: str) -> Column:
     """The places where the phrase's words stand one after the other."""
     parts = phrase.split(" ")
-    places = F.sequence(F.lit(0), F.greatest(F.size(words) - len(parts), F.lit(0)))
 
-    def here(i: Column) -> Column:
-        out = F.get(words, i) == parts[0]
-        for k, word in enumerate(parts[1:], 1):
-            out = out & (F.get(words, i + k) == word)
-        return out
-
-    found = F.filter(places, lambda i: F.coalesce(here(i), F.lit(False)))
-    return F.when(F.contains(F.col("padded"), F.lit(f" {phrase} ")), found).otherwise(F.array().cast("array<int>"))
+    def found(own: Column) -> Column:
+        def here(i: Column) -> Column:
+            out = F.get(own, i) == parts[0]
+            for k, word in enumerate(parts[1:], 1):
+                out = out & (F.get(own, i + k) == word)
+            return F.coalesce(out, F.lit(False))
+        return F.filter(F.sequence(F.lit(0), F.greatest(F.size(own) - len(parts), F.lit(0))), here)
+
+    # Inside transform the words are a value; named directly they would be made anew for each place.
+    all_of_them = F.transform(F.array(words), found)[0]
+    return F.when(F.contains(F.col("padded"), F.lit(f" {phrase} ")), all_of_them).otherwise(F.array().cast("array<int>"))
 
 
 def _found_phrases(labels: Sequence[tuple[str, str]]) -> Column:
