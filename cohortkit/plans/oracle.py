@@ -324,6 +324,11 @@ s AS (SELECT CASE WHEN own_n <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b
 SELECT {r6('avg(s)')} AS silhouette, count(*) AS n_rows, CAST((SELECT count(*) FROM st) AS BIGINT) AS n_clusters
 FROM s""",
 
+    "q_delimited": """SELECT CAST(c_custkey AS VARCHAR) AS k,
+       CASE WHEN c_custkey % 10 = 5 THEN NULL WHEN c_custkey % 10 = 6 THEN 'São;' || c_name ELSE 'São ' || c_name END AS name,
+       CASE WHEN c_custkey % 10 IN (4, 5, 7) THEN NULL ELSE c_mktsegment END AS segment
+FROM customer WHERE c_custkey % 10 <> 3""",
+
     "q_sales_many": f"""WITH r AS (SELECT DISTINCT o_custkey AS CLIENTE, o_orderstatus, o_totalprice AS MRR_12M FROM orders
                    WHERE o_orderkey % 3 = 0),
 c AS (SELECT DISTINCT o_custkey AS ID_CLIENTE, o_orderstatus, o_totalprice AS VLR_CONTRATACOES_12M FROM orders

@@ -26,7 +26,9 @@ from ..operators import recommend as RC
 from ..operators import relational as RL
 from ..operators import reports as RP
 from ..operators.quantiles import exact_quantiles
+from ..session import scratch_path
 from ..sources import tables as T
+from ..sources.delimited import read_delimited
 from . import jobs
 from .cohort_run import driver_etl, driver_ownership, run_clustering
 
@@ -113,6 +115,27 @@ def q_tenure(spark, sf):
     return rounded(o.withColumn("tenure_months", tenure_months(F.col("signed"), T.AS_OF)))
 
 
+# --- extracts ----------------------------------------------------------------
+
+def q_delimited(spark, sf):
+    """SRC1, SRC2: customers rendered as two delimited files, UTF-8 and
+    Latin-1, with long, short, quoted and missing fields and another column
+    order, and read back."""
+    folder = scratch_path(spark, "extract")
+    c = T.table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
+    k, kind = F.col("c_custkey"), F.col("c_custkey") % 10
+    name = F.concat(F.when(kind == 6, F.lit('"São;')).otherwise(F.lit("São ")), "c_name", F.when(kind == 6, F.lit('"')).otherwise(F.lit("")))
+    segment = F.when(kind == 4, F.lit("NA")).when(kind == 7, F.lit('""')).otherwise(F.col("c_mktsegment"))
+    own = F.when(kind == 5, k.cast("string")).otherwise(F.concat_ws(";", k, name, segment))
+    line = F.when(kind == 3, F.concat(own, F.lit(";"))).otherwise(own)  # a field too many, and empty
+    other = F.concat_ws(";", segment, k, name)
+    for rows, header, encoding in ((c.where("c_custkey % 2 = 1").select(line), "k;name;segment", "UTF-8"),
+                                   (c.where("c_custkey % 2 = 0").select(other), "segment;k;name", "ISO-8859-1")):
+        (rows.toDF(header).write.mode("append").option("header", True).option("encoding", encoding)
+         .option("sep", "\u0001").option("quote", "\u0000").option("emptyValue", "").csv(folder))
+    return read_delimited(spark, folder).select("k", "name", "segment")
+
+
 # --- ETL jobs -------------------------------------------------------------------
 
 def q_surveys(spark, sf):
