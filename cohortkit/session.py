@@ -117,5 +117,7 @@ def discard(*written: DataFrame) -> None:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    conf = jsc.hadoopConfiguration() if jsc else jvm.org.apache.hadoop.conf.Configuration()  # none once stopped
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(conf).delete(hadoop, True)
