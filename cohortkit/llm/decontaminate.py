@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.relational import checked_broadcast
 from . import common
 
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -284,7 +285,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """``docs`` without the rows that leak an item."""
     bad = (find_leaks(docs, benchmark, id_col=id_col, text_col=text_col, **limits)
            .select(F.col(id_col).alias("__id"), F.col("rid").alias("__rid")).distinct())
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    return docs.join(checked_broadcast(bad), F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
                      & (common.row_hash(text_col) == F.col("__rid")), "left_anti")
 
 

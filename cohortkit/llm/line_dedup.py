@@ -176,7 +176,7 @@ def _with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str, text_col: st
     b = bitmaps.select(F.col("id").alias("__id"), F.col("rid").alias("__rid"), F.col("keep").alias("__keep"))
     return (docs.withColumn("__own", F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)))
             .withColumn("__text_hash", common.row_hash(text_col))
-            .join(b, (F.col("__own") == F.col("__id")) & (F.col("__text_hash") == F.col("__rid")), "left")
+            .join(checked_broadcast(b), (F.col("__own") == F.col("__id")) & (F.col("__text_hash") == F.col("__rid")), "left")
             .drop("__own", "__text_hash", "__id", "__rid"))
 
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.relational import checked_broadcast
 from ..session import materialize
 from . import common
 
@@ -175,7 +176,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that :func:`judge` keeps, with all their columns."""
     bad = (judge(docs, labels, id_col, text_col, **settings).filter(~F.col("kept"))
            .select(F.col("id").alias("__id"), F.col("rid").alias("__rid")).distinct())
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+    return docs.join(checked_broadcast(bad), F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
                      & (common.row_hash(text_col) == F.col("__rid")), "left_anti")
 
 
