@@ -6,8 +6,8 @@ are one class, represented by its smallest id; only representatives go on.
 Order all grams by (few holders first): two sets that link share a gram within
 the first p = n - ceil(t n) + 1 grams of each, and with one more gram each,
 two. Most grams of a corpus have one holder and can be skipped, so each set
-gives only the grams in a fixed fifth of the hash space (and so many more that
-there are p); a set with p grams there that nobody else holds has no partner
+gives only the grams in a fixed part of the hash space, 1.2 (1 - t) of it (and so
+many more that there are p + 1); a set with p grams there that nobody else holds has no partner
 and leaves.
 
 Of the sets that stay, small ones are light: they enumerate all 2-subsets of
@@ -18,9 +18,10 @@ least cost, counted in subset rows against list entries made and scanned.
 
 Sets with a key in common are compared with the key's pivot, the set with the
 smallest share of grams of its own. Links join components; keys whose sets are
-all in one component need nothing more. For the others, further pivots follow
-while they pay, and at last all pairs that lie in different components. No
-link between different sets is lost that the components depend on.
+all in one component need nothing more. For the others, pivots of each size
+follow, more of them while they pay, and at last all pairs that lie in
+different components. No link between different sets is lost that the
+components depend on.
 """
 
 from __future__ import annotations
@@ -40,13 +41,11 @@ from . import common
 
 _LOWEST = -(2 ** 63)
 _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-#: The part of the hash space whose grams are listed for every set.
-_LISTED = 0.18
 _PIVOT_ROUNDS = 3
 #: Cost of a list entry, in subset rows.
 _SCAN = 2.0
 #: All pairs of different components follow when they are at most so many per key entry.
-_PAIRS_PER_ENTRY = 50
+_PAIRS_PER_ENTRY = 20
 
 
 #: Bytes whose powers are at hand; words are hashed in runs of about so many.
@@ -124,13 +123,25 @@ def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
             yield grams(codes[a:b], b - a) if b > a else np.zeros(0, np.uint64)
 
 
+def _bound(percent: int) -> int:
+    """Grams of hashes below it are listed for every set: of these a set has
+    somewhat more than the first grams that its partners must share one of."""
+    return min(2 ** 64 - 1, (100 - percent) * 2 ** 64 * 12 // 1000)
+
+
+def _is_listed(gram: Column, percent: int) -> Column:
+    """Of the unsigned hash in a signed long."""
+    bound = _bound(percent)
+    return (gram >= 0) & (gram < bound) if bound < 2 ** 63 else (gram >= 0) | (gram < bound - 2 ** 64)
+
+
 def _least(n, percent: int):
     """Grams that a set of n shares with any partner."""
     return -(-n * percent // 100)
 
 
 def _sets(n: int, percent: int):
-    bound = np.uint64(int(_LISTED * 2 ** 64))
+    bound = np.uint64(_bound(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -160,7 +171,7 @@ def _listed(n: int, low: int, percent: int) -> int:
 
 
 def _whole_sets(n: int, percent: int):
-    bound = np.uint64(int(_LISTED * 2 ** 64))
+    bound = np.uint64(_bound(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,8 +214,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(checked_broadcast(least), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = checked_broadcast(least)
         small = (large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))))
         e = materialize(small.filter("u <> v").distinct(), "edges")
@@ -247,9 +259,7 @@ class JaccardJoin:
         partner: their first grams, those with a single holder left out.
         ``place`` is the gram's place in the set's order, ``part`` the share
         of the set's listed grams that are its own."""
-        bound = F.lit(int(_LISTED * 2 ** 64))
-        # Hashes are unsigned: the listed ones are those from 0, in signed longs, up to the bound.
-        listed = (F.col("gram") >= 0) & (F.col("gram") < bound)
+        listed = _is_listed(F.col("gram"), self.percent)
         size = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
         own = _single_holders(self.classes.select("set", F.explode("grams").alias("gram")).filter(listed), "own")
         active = (self.classes.join(own, "set", "left").filter(F.coalesce("own", F.lit(0)) < size)
@@ -336,13 +346,11 @@ class JaccardJoin:
                 left = self._mixed(materialize(self._placed(left, wholes), "placed-keys"), None)
             if left.isEmpty():
                 break
-            last = turn == _PIVOT_ROUNDS or self._cross_pairs(left) <= _PAIRS_PER_ENTRY
+            last = turn == _PIVOT_ROUNDS or (turn > 1 and self._cross_pairs(left) <= _PAIRS_PER_ENTRY)
             if last:
                 pairs = self._all_pairs(left)
             else:
-                pivots = left.groupBy("key").agg(_pivot(F.xxhash64("set", F.lit(turn)).cast("double")))
-                left = materialize(left.drop("p", "pn", "pp").join(pivots.select("key", "x.p", "x.pn", "x.pp"), "key"), "keys")
-                pairs = self._pivot_pairs(left)
+                pairs = self._pivots_by_size(left, turn)
             for done in tried:
                 pairs = pairs.join(done, ["a", "b"], "left_anti")
             tried.append(materialize(pairs, "pairs"))
@@ -357,6 +365,20 @@ class JaccardJoin:
         return (left.filter("set <> p").filter(self._can_share("n", "place", "pn", "pp"))
                 .select(F.least("set", "p").alias("a"), F.greatest("set", "p").alias("b")).distinct())
 
+    def _pivots_by_size(self, left: DataFrame, turn: int) -> DataFrame:
+        """Each key's sets with pivots of about their size. Sizes are in steps
+        of the ratio that linked sets may have, and in steps half a step off,
+        so two sets of much the same size are together in one of them."""
+        rank = F.col("part") if turn == 1 else F.xxhash64("set", F.lit(turn)).cast("double")
+        out = None
+        for shift in (0.0, 0.5):
+            step = F.floor(F.log("n") / float(np.log(100 / self.percent)) + shift).cast("int")
+            own = left.drop("p", "pn", "pp").withColumn("step", step)
+            pivots = own.groupBy("key", "step").agg(_pivot(rank)).select("key", "step", "x.p", "x.pn", "x.pp")
+            pairs = self._pivot_pairs(own.join(pivots, ["key", "step"]))
+            out = pairs if out is None else out.unionByName(pairs)
+        return out.distinct()
+
     def _mixed(self, left: DataFrame, roots: DataFrame | None) -> DataFrame:
         """The entries, with their components' roots, of the keys whose sets
         are not all in their first set's component."""
