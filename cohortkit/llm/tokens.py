@@ -8,11 +8,11 @@ fixed number of entries, and gives the library only new ones.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from array import array
 from functools import lru_cache
-from itertools import filterfalse
 
 import numpy as np
 
@@ -35,10 +35,10 @@ class _Generations:
         if len(self.young) > _ENTRIES:
             self.young, self.old = {}, self.young
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """The keys in neither generation; those of the old one return."""
+    def bring(self, keys: set[str]) -> list[str]:
+        """The keys that are in neither generation; those of the old one return."""
         out = []
-        for k in filterfalse(self.young.__contains__, keys):
+        for k in keys:
             if k in self.old:
                 self.young[k] = self.old[k]
             else:
@@ -69,6 +69,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_piece:
             return [np.frombuffer(x, self.dtype) for x in self._direct(texts)]
+        collects = gc.isenabled()
+        gc.disable()  # lists of pieces make no cycles, and there are many to look through
         out: list[bytes | None] = [None] * len(texts)
         size, todo = 0, []
         for i, text in enumerate(texts):
@@ -81,21 +83,29 @@ class Encoder:
                 self._fill(todo, out)
                 size, todo = 0, []
         self._fill(todo, out)
+        if collects:
+            gc.enable()
         return [np.frombuffer(x, self.dtype) for x in out]
 
     def _fill(self, todo: list, out: list) -> None:
         self.pieces.turn()
         first = self._direct([pieces[0] for _, pieces in todo])
-        new: set[str] = set()
-        for _, pieces in todo:
+        ids, gaps, found = self.pieces.young, [], []
+        unknown: set[str] = set()
+        for _, pieces in todo:  # one look at each piece; the gaps are filled once their ids are known
             del pieces[0]
-            new.update(filterfalse(self.pieces.young.__contains__, pieces))
-        unknown = self.pieces.missing(new)
-        ids = self.pieces.young
-        ids.update(zip(unknown, self._direct([" " + p for p in unknown])))
-        for (i, pieces), head in zip(todo, first):
-            out[i] = head + b"".join(map(ids.__getitem__, pieces))
-        for p in unknown:
+            got = list(map(ids.get, pieces))
+            gap = [k for k, x in enumerate(got) if x is None] if None in got else []
+            unknown.update(map(pieces.__getitem__, gap))
+            gaps.append(gap)
+            found.append(got)
+        new = self.pieces.bring(unknown)
+        ids.update(zip(new, self._direct([" " + p for p in new])))
+        for (i, pieces), head, gap, got in zip(todo, first, gaps, found):
+            for k in gap:
+                got[k] = ids[pieces[k]]
+            out[i] = head + b"".join(got)
+        for p in new:
             if len(p) > _LONGEST_KEPT:
                 del ids[p]
 
