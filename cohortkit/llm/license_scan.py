@@ -103,7 +103,7 @@ def scan(docs: DataFrame, base: Mapping[str, str] | None = None,
     row; other columns are not read.
     """
     base, templates = BASE if base is None else base, TEMPLATES if templates is None else templates
-    vocabulary = sorted({w for _, t, keys in templates for p in (t, *keys) for w in p.split(" ")})
+    vocabulary = sorted({w for _, t, keys in templates for p in (t, *keys, *base) for w in p.split(" ")})
     phrases = [p for _, _, keys in templates for p in keys] + list(base)
     rows = docs.select(F.col(id_col).alias("id"), common.row_hash(text_col).alias("rid"),
                        normal_text(text_col).alias("normal"))
@@ -111,17 +111,13 @@ def scan(docs: DataFrame, base: Mapping[str, str] | None = None,
     rows = rows.select(*_KEY, "normal", F.size(words).cast("long").alias("n_words"),
                        F.array_intersect(words, _strings(vocabulary)).alias("found"))
     could = F.lit(False)
-    for p in phrases:  # the words of a phrase that are base words alone need a look too
-        inside = [w for w in p.split(" ") if w in vocabulary]
-        could = could | (F.size(F.array_except(_strings(inside), F.col("found"))) == 0)
+    for p in phrases:
+        could = could | (F.size(F.array_except(_strings(p.split(" ")), F.col("found"))) == 0)
     files = materialize(rows.withColumn("normal", F.when(could, F.col("normal"))), "licence-words")
 
     # IDF over all files: as many rows as there are licence words.
     df = files.select(F.explode("found").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    n_files = files.agg(F.count("*").alias("files"))
-    idf = df.join(F.broadcast(n_files)).select(
-        "word", F.log((F.col("files") + 1) / F.col("df")).alias("idf"))
-    idf = checked_broadcast(idf)
+    idf = checked_broadcast(df.select("word", F.log(F.lit(files.count() + 1) / F.col("df")).alias("idf")))
 
     # The positional index: template words with their places and weights, rarest first.
     session = docs.sparkSession
