@@ -25,6 +25,13 @@ def row_hash(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
+def slices(batches, rows: int = 256):
+    """Smaller record batches: what a task makes of texts at once stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def open_store(uri: str):
     """The pyarrow file system and path of a file on the shared store."""
     from pyarrow import fs

@@ -37,7 +37,7 @@ def _hash_lines(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in common.slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for i, rid, text in zip(batch["id"].to_pylist(), batch["rid"].to_pylist(), batch["text"].to_pylist()):
                 lines = text.split(b"\n")
@@ -183,7 +183,7 @@ def _with_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str, text_col: st
 def line_digests(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_lines, n_dropped, kept_sha256) per row of ``docs``."""
     def run(batches):
-        for batch in batches:
+        for batch in common.slices(batches):
             out = [kept_lines(t, k) for t, k in zip(batch["text"].to_pylist(), batch["keep"].to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch[id_col], pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
@@ -207,8 +207,10 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                          dtype=object)
 
     rows = _with_bitmaps(docs, bitmaps, id_col, text_col)
+    # Texts that keep all lines do not go through Python.
+    changed = F.when(F.col("__keep").isNotNull(), F.col(text_col))
     return rows.withColumn(text_col, F.when(F.col("__keep").isNull(), F.col(text_col))
-                           .otherwise(cut(text_col, "__keep"))).select(*docs.columns)
+                           .otherwise(cut(changed, "__keep"))).select(*docs.columns)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

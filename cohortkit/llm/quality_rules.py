@@ -57,7 +57,7 @@ def text_counts(text: bytes) -> tuple[int, ...]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in common.slices(batches):
         rows = [text_counts(t) for t in batch["text"].to_pylist()]
         columns = list(zip(*rows)) or [[]] * len(_COUNTS)
         yield pa.RecordBatch.from_arrays([batch["id"], batch["rid"], *(pa.array(c, pa.int64()) for c in columns)],

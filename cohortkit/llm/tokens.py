@@ -20,7 +20,7 @@ _BEFORE_WORD = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?=\s)| $")
 _LONGEST_KEPT = 48
 #: Entries of a generation; a cache has two.
-_ENTRIES = 400_000
+_ENTRIES = 150_000
 
 
 class _Generations:
