@@ -2,9 +2,11 @@
 
 One pass over the texts counts the statistics. The forest is fitted on the
 driver from at most ``trees * rows_per_tree`` labelled good rows (that bound
-is the parameter), chosen by the smallest hash of their ids. Every document is
-scored, and the threshold comes from all labelled rows: the lowest one that
-rejects at most ``good_loss`` of the good documents.
+is the parameter), chosen by the smallest hash of their ids. Its cuts also fall
+beyond what a tree has seen, so what good rows never have, such as symbols, is
+parted from them early. Every document is scored, and the threshold comes from
+all labelled rows of both classes: of those that reject at most ``good_loss`` of
+the good documents, the one that rejects most bad ones.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from . import common
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 _SYMBOLS = b"#*$%&|<>"
 _BINS = 10_000
+#: A feature that is the same in all rows of a fit is cut within so much of its value.
+_LEAST_SPREAD = 0.1
 
 
 def repeated_words(words: list[bytes], window: int = 3) -> int:
@@ -74,9 +78,12 @@ def rule_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def features(c: dict[str, np.ndarray]) -> np.ndarray:
+    """Symbols count in three scales, so that trees cut by them often, at low shares too."""
     words = np.maximum(c["n_words"], 1)
-    return np.stack([np.log1p(c["n_words"]), c["word_chars"] / words, c["n_symbols"] / np.maximum(c["word_chars"], 1),
-                     c["n_dup_lines"] / np.maximum(c["n_lines"], 1), c["n_repeat_words"] / words], axis=1)
+    symbols = c["n_symbols"] / np.maximum(c["word_chars"], 1)
+    return np.stack([np.log1p(c["n_words"]), c["word_chars"] / words, symbols,
+                     c["n_dup_lines"] / np.maximum(c["n_lines"], 1), c["n_repeat_words"] / words,
+                     np.sqrt(symbols), np.log1p(c["n_symbols"] / words)], axis=1)
 
 
 def _expected_path(n) -> np.ndarray:
@@ -94,6 +101,7 @@ class IsolationForest:
         self.size = max(2, min(rows_per_tree, len(rows)))
         self.depth = math.ceil(math.log2(self.size))
         nodes = 2 ** (self.depth + 1)
+        self.spread = np.maximum(rows.max(axis=0) - rows.min(axis=0), _LEAST_SPREAD)
         self.feature = np.full((trees, nodes), -1, np.int8)
         self.split = np.zeros((trees, nodes))
         self.path = np.zeros((trees, nodes))
@@ -102,14 +110,13 @@ class IsolationForest:
 
     def _grow(self, t: int, node: int, rows: np.ndarray, depth: int, rng) -> None:
         low, high = rows.min(axis=0), rows.max(axis=0)
-        usable = np.flatnonzero(high > low)
-        if depth == self.depth or not len(usable):
+        if depth == self.depth or not (high > low).any():
             self.path[t, node] = depth + _expected_path(len(rows))
             return
-        f = rng.choice(usable)
+        f = rng.integers(rows.shape[1])
         # The cut is drawn a little beyond the rows too, so a value outside all
-        # that was seen can part from them.
-        margin = 0.1 * (high[f] - low[f])
+        # that was seen can part from them; also where they have one value only.
+        margin = 0.1 * (high[f] - low[f]) or self.spread[f]
         cut = rng.uniform(low[f] - margin, high[f] + margin)
         self.feature[t, node], self.split[t, node] = f, cut
         for child, part in ((2 * node, rows[rows[:, f] < cut]), (2 * node + 1, rows[rows[:, f] >= cut])):
@@ -131,6 +138,26 @@ class IsolationForest:
         return 2.0 ** (-total / len(self.path) / float(_expected_path(self.size)))
 
 
+def _threshold(bins: list[tuple[int, int, int]], good_loss: float) -> int:
+    """The lowest bin to reject, of sorted (bin, good rows, bad rows) with a good row at least.
+
+    At most ``good_loss`` of the good rows are lost, and of these cuts the one
+    that rejects most bad rows, then loses fewest good ones, then is lowest.
+    Without bad rows it is the lowest one.
+    """
+    allowed, any_bad = good_loss * sum(g for _, g, _ in bins), any(b for _, _, b in bins)
+    lost = rejected = 0
+    cuts = []
+    for i in range(len(bins), -1, -1):  # reject bins[i:]
+        if i < len(bins):
+            lost, rejected = lost + bins[i][1], rejected + bins[i][2]
+        if lost > allowed:
+            break
+        cut = bins[i - 1][0] + 1 if i else bins[0][0]
+        cuts.append((rejected, -lost, -cut) if any_bad else (-cut,))
+    return -max(cuts)[-1]
+
+
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = 100,
           rows_per_tree: int = 256, good_loss: float = 0.002, seed: int = 17) -> DataFrame:
     """(id, rid, counts..., base_failed, anomaly, kept) per row of ``docs``.
@@ -160,15 +187,12 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     schema = "id long, rid long, " + ", ".join(f"{c} long" for c in _COUNTS) + ", base_failed boolean, anomaly double"
     scored = materialize(stats.mapInArrow(score, schema), "anomaly-scores")
-    bins = (scored.filter(~F.col("base_failed")).join(known, "id").filter("quality = 1")
-            .groupBy(F.floor(F.col("anomaly") * _BINS).cast("int").alias("bin")).count().orderBy("bin").collect())
-    allowed, threshold = good_loss * sum(r["count"] for r in bins), 2.0
-    for r in reversed(bins):  # at most _BINS rows
-        allowed -= r["count"]
-        if allowed < 0:
-            break
-        threshold = r["bin"] / _BINS
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < threshold))
+    bins = (scored.filter(~F.col("base_failed")).join(known, "id")
+            .groupBy(F.floor(F.col("anomaly") * _BINS).cast("int").alias("bin"))
+            .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad"))
+            .orderBy("bin").collect())  # at most _BINS + 1 rows
+    threshold = _threshold([(r["bin"], r["good"], r["bad"]) for r in bins], good_loss)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("anomaly") * _BINS) < threshold))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

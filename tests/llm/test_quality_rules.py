@@ -50,6 +50,26 @@ def test_threshold_holds_on_other_labels(spark):
     assert np.mean(good) > 0.95
 
 
+def test_bad_rows_held_out_are_rejected(spark):
+    """With the defaults and fewer than 500 good labels: what one half of the labels teaches holds for the other."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = Q.judge(docs, labels.filter("doc_id % 2 = 0"))
+    held = judged.join(labels.filter("doc_id % 2 = 1"), judged.id == labels.doc_id).filter("NOT base_failed").collect()
+    bad, good = ([r.kept for r in held if r.quality == q] for q in (0, 1))
+    assert len(bad) > 10 and np.mean(bad) < 0.1 and np.mean(good) > 0.98
+
+
+def test_threshold_is_from_both_classes():
+    # Just above the highest good score, with few rows too; below it only for bad rows, within good_loss.
+    assert Q._threshold([(3000, 50, 0), (5000, 1, 0), (7000, 0, 9)], 0.002) == 5001
+    assert Q._threshold([(3000, 50, 0), (5000, 1, 0)], 0.002) == 5001
+    assert Q._threshold([(3000, 980, 0), (4000, 0, 5), (5000, 1, 0), (7000, 0, 9)], 0.002) == 3001
+    assert Q._threshold([(3000, 980, 0), (4000, 1, 0), (5000, 1, 0), (7000, 0, 9)], 0.002) == 5001
+    assert Q._threshold([(3000, 980, 0), (4000, 1, 1), (5000, 2, 0), (7000, 0, 9)], 0.002) == 5001
+    assert Q._threshold([(3000, 998, 0), (4000, 1, 0), (5000, 1, 0)], 0.002) == 3001
+
+
 def test_edges(spark, edge, empty):
     labels = spark.createDataFrame([(7, 1, 0), (7, 1, 0), (8, None, 0), (None, 1, 0), (9, 0, 1)],
                                    "doc_id long, quality int, toxic int")
