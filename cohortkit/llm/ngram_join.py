@@ -393,11 +393,17 @@ class JaccardJoin:
     def _placed(self, left: DataFrame, wholes: DataFrame) -> DataFrame:
         """Key entries with their places in the order that has all grams with a
         single holder first, also those that were not listed: what is then
-        beyond a set's first grams goes."""
+        beyond a set's first grams goes. Sets list different parts of their
+        grams, so holders are counted over whole sets; those below the bound
+        are listed by all."""
         here = left.select("set").distinct()
-        rest = (wholes.join(here, "set", "left_semi")
-                .select("set", F.explode(F.slice("whole", F.col("listed") + 1, F.size("whole"))).alias("gram")))
-        more = left.join(_single_holders(rest, "more"), "set", "left")
+        grams = (wholes.join(here, "set", "left_semi")
+                 .select("set", "listed", F.posexplode("whole").alias("pos", "gram"))
+                 .filter(~_is_listed(F.col("gram"), self.percent)))
+        held = (grams.groupBy("gram").agg(F.count("*").alias("c"), F.min("set").alias("set"),
+                                          F.max(F.col("pos") >= F.col("listed")).alias("rest")))
+        own = held.filter("c = 1 AND rest").groupBy("set").agg(F.count("*").alias("more"))
+        more = left.join(own, "set", "left")
         return (more.withColumn("place", F.col("place") + F.coalesce("more", F.lit(0))).drop("more")
                 .filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * self.percent / 100)))
 

@@ -39,6 +39,25 @@ def test_families_and_shared_passages(spark, percent):
     assert got == brute.components(docs, percent)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_short_near_pairs_beside_a_shared_passage(spark, seed):
+    """The grams that a pair has in common are listed for one of it and not for the other."""
+    rng = random.Random(seed)
+    passage, texts = [f"shared{i}" for i in range(60)], []
+    for d in range(150):
+        k = rng.randrange(8, 18)
+        at = rng.randrange(60 - k)
+        base = passage[at:at + k] + [f"near{d}x{i}" for i in range(23 - k)]
+        texts += [" ".join(base), " ".join(base[:-1] + [f"edit{d}"])]
+    for d in range(60):
+        k = rng.randrange(20, 60)
+        at = rng.randrange(61 - k)
+        texts.append(" ".join(passage[at:at + k] + [f"own{d}"]))
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.id: (r.n, r.component_id) for r in J.similar_groups(frame).collect()} == brute.components(docs)
+
+
 def test_small_sets_meet_by_subsets(spark):
     """With the boundary forced up, everything goes by 2-subsets; forced to 0, by lists."""
     docs = list(enumerate(t for s in range(6) for t in family(s, 12, 25 + 5 * s, 2)))
