@@ -1,12 +1,13 @@
 """License scans with a positional index of rare words.
 
 The index lists, for every licence template, the words and where they stand.
-A file is looked up by the licence words in it that the corpus has least
-(highest IDF): each place of such a word, less the word's place in a template,
-is a place where that template would begin, and the rare words of a real
-licence agree on it. A template whose words agree on one beginning with enough
-of their weight is a match once a mandatory key phrase of it stands in the
-file. All of it is DataFrame functions.
+A file is looked up, for every template with a mandatory key phrase in it, by
+that template's words that the corpus has least (highest IDF): each place of
+such a word, less the word's place in the template, is a place where the
+template would begin, and the rare words of a real licence agree on it. A
+template whose words agree on one beginning with enough of their weight is a
+match. Templates are ranked each for itself, so that a file of many licences
+has them all looked up. All of it is DataFrame functions.
 
 Texts are normalised once. What no template can match, for want of the words
 of every key phrase, keeps its word count and drops its text there.
@@ -119,35 +120,29 @@ def scan(docs: DataFrame, base: Mapping[str, str] | None = None,
     df = files.select(F.explode("found").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     idf = checked_broadcast(df.select("word", F.log(F.lit(files.count() + 1) / F.col("df")).alias("idf")))
 
-    # The positional index: template words with their places and weights, rarest first.
+    # The positional index: each template's rarest words with their places and weights.
     session = docs.sparkSession
     postings = session.createDataFrame([(t, label, pos, word) for t, (label, text, _) in enumerate(templates)
                                         for pos, word in enumerate(text.split(" "))],
                                        "template int, label string, tpos int, word string")
-    listed = postings.join(idf, "word")
-    rarest = listed.groupBy("template").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct("idf", "word", "tpos")), asc=False), 1, rare_words).alias("top"))
-    weights = rarest.select("template", F.aggregate("top", F.lit(0.0), lambda a, x: a + x["idf"]).alias("full"))
-    index = listed.join(weights, "template").select("template", "label", "tpos", "word", "full")
+    order = lambda words: F.sort_array(F.collect_list(words), asc=False)
+    weight = lambda words: F.aggregate(words, F.lit(0.0), lambda a, x: a + x["idf"])
+    posting = F.struct("idf", "word", "tpos")
+    rarest = (postings.join(idf, "word").groupBy("template", "label")
+              .agg(F.slice(order(posting), 1, rare_words).alias("top")))
+    index = rarest.select("template", "label", weight("top").alias("full"), F.inline("top"))
 
     held = files.filter(F.col("normal").isNotNull()).dropDuplicates(_KEY)
-    ranked = (held.select(*_KEY, F.explode("found").alias("word")).join(idf, "word")
-              .groupBy(*_KEY).agg(F.slice(F.sort_array(F.collect_list(F.struct("idf", "word")), asc=False),
-                                          1, rare_words).alias("rare")))  # at most the vocabulary per file
-    rare = ranked.select(F.col("id").alias("__id"), F.col("rid").alias("__rid"), "rare")
-    looked = (held.join(rare, F.col("id").eqNullSafe(F.col("__id")) & (F.col("rid") == F.col("__rid")))
-              .withColumn("padded", F.concat(F.lit(" "), F.col("normal"), F.lit(" "))))
     keys = [(k, str(t)) for t, (_, _, ks) in enumerate(templates) for k in ks]
-    places = (looked.select(*_KEY, "rare", _found_phrases(keys).alias("verified"),
-                            F.posexplode(F.split("normal", " ", -1)).alias("pos", "word"))
-              .filter(F.array_contains(F.col("rare.word"), F.col("word"))))
-    begins = (places.join(F.broadcast(index), "word")  # as many rows as the templates have words
+    looked = (held.withColumn("padded", F.concat(F.lit(" "), F.col("normal"), F.lit(" ")))
+              .withColumn("verified", _found_phrases(keys)).filter(F.size("verified") > 0))
+    places = looked.select(*_KEY, "verified", F.posexplode(F.split("normal", " ", -1)).alias("pos", "word"))
+    # A beginning and a place in the template name one word, so each counts once.
+    begins = (places.join(F.broadcast(index), "word")  # rare_words rows per template
               .filter(F.array_contains("verified", F.col("template").cast("string")))
               .groupBy(*_KEY, "template", "label", "full", (F.col("pos") - F.col("tpos")).alias("begin"))
-              .agg(F.collect_set("word").alias("words"), F.first("rare").alias("rare")))
-    weight = F.aggregate(F.filter("rare", lambda x: F.array_contains("words", x["word"])), F.lit(0.0),
-                         lambda a, x: a + x["idf"])
-    matched = (begins.withColumn("score", F.when(F.col("full") > 0, F.least(F.lit(1.0), weight / F.col("full")))
+              .agg(order(posting).alias("agreed")))
+    matched = (begins.withColumn("score", F.when(F.col("full") > 0, F.least(F.lit(1.0), weight("agreed") / F.col("full")))
                                  .otherwise(0.0))
                .filter(F.col("score") >= least_score))
     own = matched.groupBy(F.col("id").alias("__id"), F.col("rid").alias("__rid")).agg(

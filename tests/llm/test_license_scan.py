@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import brute
 import pytest
 from conftest import SF, edge_rows
@@ -49,6 +51,23 @@ def test_places_are_relative(spark):
     assert rows[1].labels == "" and rows[2].labels == "gpl-3"
 
 
+def test_several_whole_licences(spark):
+    """Files of two to five whole licences have the labels of all of them."""
+    texts, want = [], {}
+    for size in (2, 3, 4, 5):
+        for some in combinations(range(len(S.TEMPLATES)), size):
+            if size < 4 or sum(some) % 5 == 0:
+                i = len(texts)
+                texts.append((i, " and then ".join(f"x{i}y{k} {S.TEMPLATES[t][1]}" for k, t in enumerate(some))))
+                want[i] = {S.TEMPLATES[t][0] for t in some if any(f" {k} " in f" {S.TEMPLATES[t][1]} " for k in S.TEMPLATES[t][2])}
+                assert len(want[i]) == len({S.TEMPLATES[t][0] for t in some})
+    fill = [(10_000 + i, f"the of and to a text is {i} in this under that with any") for i in range(3000)]
+    rows = {r.doc_id: r for r in S.scan(spark.createDataFrame(texts + fill, "doc_id long, text string")).collect()}
+    lost = {i: want[i] - set(rows[i].labels.split(",")) for i in want}
+    assert not {i: x for i, x in lost.items() if x}
+    assert all(rows[i].score == 1.0 for i in want)
+
+
 def test_edges(spark, edge, empty):
     rows = S.scan(edge).collect()
     assert len(rows) == len(edge_rows())
