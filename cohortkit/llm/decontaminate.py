@@ -7,9 +7,11 @@ Windows of an item's size are embedded by the CGK random walk: at step j the
 symbol under the pointer is written, and a random bit of (j, symbol) moves the
 pointer or not. Few edits between two windows then leave most steps equal. An
 LSH table samples some steps; windows and items that agree on all of them are
-candidates, and an exact edit distance decides. The number of walks is set by
-trial on the items themselves, edited as much as the limit allows, so that
-one of them meets with the target recall.
+candidates, and an exact edit distance decides. The numbers of walks and of
+steps in a key are set per size class, by trial on its largest items, edited as
+much as the limit allows and searched at all shifts, so that one walk meets with
+the target recall. Where no number of walks in reach does, and for very long
+items, every window that can lie is a candidate.
 
 Windows are only embedded where they can lie: k edits leave one of k + 1
 segments of the item untouched, so a window that has none of its segments in
@@ -37,6 +39,10 @@ from . import common
 _WORDS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _U = np.uint64
 _PAD, _UNKNOWN = 1, 0
+#: Sizes up to this ratio apart have their walks in common.
+_CLASS_RATIO = 1.25
+#: Items of more words, or that need more walks, have all their windows aligned: that costs no more.
+_MOST_WORDS, _MOST_WALKS = 512, 16
 _MIX1, _MIX2, _MIX3 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 
 
@@ -133,47 +139,80 @@ class ItemIndex:
         for g, rows in segments.items():
             rows.sort()
             self.segments[g] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1:] for r in rows], np.int64))
-        self.walks = self._walks_for(recall)
+        self.plan = self._plan(recall)
         self.lsh: dict[int, np.ndarray] = {}
         self.lsh_items: dict[int, np.ndarray] = {}
         by_size = defaultdict(list)
         for i, w in enumerate(self.words):
             by_size[len(w)].append(i)
         for m, items_m in by_size.items():
+            walks, bits = self.plan[m]
+            if not walks:
+                continue
             keys = np.concatenate([lsh_keys(np.stack([self.words[i] for i in items_m]), r, tables, bits)
-                                   for r in range(self.walks)]).ravel()
-            owner = np.tile(np.array(items_m), self.walks * tables)
+                                   for r in range(walks)]).ravel()
+            owner = np.tile(np.array(items_m), walks * tables)
             order = np.argsort(keys, kind="stable")
             self.lsh[m], self.lsh_items[m] = keys[order], owner[order]
 
-    def _walks_for(self, recall: float, trials: int = 64) -> int:
-        """Walks until items, edited to their limit, share a key with the target probability."""
-        rng, met, n = np.random.default_rng(5), 0.0, 0
-        chosen = [i for i in range(len(self.words)) if self.edits[i]]
-        for i in chosen[::max(1, len(chosen) // trials)]:
-            w, k = self.words[i], self.edits[i]
-            edited = list(w)
-            for _ in range(k):
-                at = rng.integers(len(edited))
-                kind = rng.integers(3)
-                if kind == 0:
-                    edited[at] = _UNKNOWN
-                elif kind == 1:
-                    edited.insert(at, _UNKNOWN)
-                elif len(edited) > 1:
-                    del edited[at]
-            window = np.array((edited + [_UNKNOWN] * len(w))[:len(w)])
-            for r in range(8):
-                a, b = (lsh_keys(x[None], r, self.tables, self.bits) for x in (w, window))
-                met, n = met + bool((a == b).any()), n + 1
-        if not n:
-            return 1
-        p = max(met / n, 1 / n)
-        return max(1, int(np.ceil(np.log(1 - recall) / np.log(1 - min(p, 0.999)))))
-
-    def windows(self, texts: list[np.ndarray]) -> set[tuple[int, int, int]]:
-        """(size, text, start) of the windows that have a segment of an item in place."""
+    def _plan(self, recall: float) -> dict[int, tuple[int, int]]:
+        """{size: (walks, bits)}; no walks where all windows are to be aligned. Whole copies always meet."""
+        plan, classes = {}, defaultdict(list)
+        for i, w in enumerate(self.words):
+            if self.edits[i]:
+                classes[int(np.log(len(w)) / np.log(_CLASS_RATIO))].append(i)
+            else:
+                plan[len(w)] = 1, self.bits
+        for own in classes.values():
+            own.sort(key=lambda i: (-len(self.words[i]), i))
+            found = self._walks_for(own[:4], recall)
+            plan.update((len(self.words[i]), found) for i in own)
+        return plan
+
+    def _walks_for(self, items: Sequence[int], recall: float, trials: int = 40) -> tuple[int, int]:
+        """Walks and bits by which the items, edited to their limit, share a key with the target
+        probability, or better by half of what that lacks to 1; most bits that do so in few walks."""
+        if len(self.words[items[0]]) > _MOST_WORDS:
+            return 0, self.bits
+        rng = np.random.default_rng(5)
+        windows = [np.concatenate([self._shifts(i, rng) for _ in range(-(-trials // len(items)))]) for i in items]
+        met = {(b, i): np.zeros(-(-trials // len(items)), bool) for b in range(1, self.bits + 1) for i in items}
+        enough: dict[int, int] = {}
+        for walk in range(_MOST_WALKS):
+            for i, rows in zip(items, windows):
+                w = self.words[i]
+                same = embed(rows, walk) == embed(w[None], walk)
+                for b in range(1, self.bits + 1):
+                    hit = same[:, _sampled(len(w), walk, self.tables, b)].all(axis=2).any(axis=1)
+                    met[b, i] |= hit.reshape(len(met[b, i]), -1).any(axis=1)
+            for b in range(1, self.bits + 1):
+                if b not in enough and np.mean([met[b, i] for i in items]) >= (1 + recall) / 2:
+                    enough[b] = walk + 1
+            if self.bits in enough:
+                break
+        return (enough[max(enough)], max(enough)) if enough else (0, self.bits)
+
+    def _shifts(self, i: int, rng) -> np.ndarray:
+        """The windows at which the item is looked for, edited to its limit among unknown words."""
+        w, k = self.words[i], self.edits[i]
+        edited = list(w)
+        for _ in range(k):
+            at = rng.integers(len(edited))
+            kind = rng.integers(3)
+            if kind == 0:
+                edited[at] = _UNKNOWN
+            elif kind == 1:
+                edited.insert(at, _UNKNOWN)
+            elif len(edited) > 1:
+                del edited[at]
+        around = np.array([_UNKNOWN] * k + edited + [_UNKNOWN] * (len(w) + 2 * k))
+        return np.lib.stride_tricks.sliding_window_view(around, len(w))[:2 * k + 1]
+
+    def windows(self, texts: list[np.ndarray]) -> tuple[set[tuple[int, int, int]], dict[tuple[int, int], set[int]]]:
+        """(size, text, start) of the windows that have a segment of an item in place,
+        and {(text, item): window starts} for the items without walks."""
         out: set[tuple[int, int, int]] = set()
+        all_of_them = defaultdict(set)
         # One row of all texts, with an unknown word after each.
         ids = np.concatenate([np.zeros(0, np.int64), *(x for t in texts for x in (t, [_UNKNOWN]))])
         begins = [0, *np.cumsum([len(t) + 1 for t in texts]).tolist()]
@@ -191,24 +230,30 @@ class ItemIndex:
                 for item, place in owners[low[at]:high[at]].tolist():
                     m, k = len(self.words[item]), self.edits[item]
                     start = int(whole[at]) - begins[text] - place
-                    out.update((m, text, s) for s in range(start - k, start + k + 1))
-        return out
+                    if self.plan[m][0]:
+                        out.update((m, text, s) for s in range(start - k, start + k + 1))
+                    else:
+                        all_of_them[text, item].update(range(start - k, start + k + 1))
+        return out, all_of_them
 
     def candidates(self, texts: list[np.ndarray]) -> dict[tuple[int, int], list[int]]:
-        """{(text, item): window starts} that share an LSH key; texts: word ids."""
-        at, out = defaultdict(list), defaultdict(set)
-        for m, text, start in sorted(self.windows(texts)):
+        """{(text, item): window starts} that share an LSH key or need none; texts: word ids."""
+        windows, out = self.windows(texts)
+        at = defaultdict(list)
+        for m, text, start in sorted(windows):
             at[m].append((text, start))
         for m, places in at.items():
-            for part in range(0, len(places), 20_000):
-                some = places[part:part + 20_000]
+            walks, bits = self.plan[m]
+            step = min(20_000, max(1, 1_200_000 // m))
+            for part in range(0, len(places), step):
+                some = places[part:part + step]
                 windows = np.zeros((len(some), m), np.int64)
                 for row, (doc, start) in zip(windows, some):
                     ids = texts[doc]
                     piece = ids[max(0, start):max(0, start + m)]
                     row[max(0, -start):max(0, -start) + len(piece)] = piece
-                for walk in range(self.walks):
-                    keys = lsh_keys(windows, walk, self.tables, self.bits)
+                for walk in range(walks):
+                    keys = lsh_keys(windows, walk, self.tables, bits)
                     low = np.searchsorted(self.lsh[m], keys, "left")
                     high = np.searchsorted(self.lsh[m], keys, "right")
                     for t, w in zip(*np.nonzero(high > low)):

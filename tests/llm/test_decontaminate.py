@@ -66,6 +66,24 @@ def test_planted_edits_reach_the_recall(spark):
         assert r.edits == least_edits(by_id[r.item_id], texts[r.doc_id].split()) <= 0.2 * len(by_id[r.item_id])
 
 
+def test_long_items_beside_short_ones_reach_the_recall():
+    """Edits at the limit of each size, in an index of mostly short items."""
+    rng = random.Random(6)
+    sizes = [16] * 60 + [150] * 2 + [400] * 2 + [600]
+    items = [(i, " ".join(f"v{rng.randrange(4000)}" for _ in range(m))) for i, m in enumerate(sizes)]
+    index = D.ItemIndex(items, 0.2, 8, 0.95)
+    for m in (16, 150, 400, 600):
+        found = trials = 0
+        for i, text in items:
+            for _ in range(0 if len(text.split()) != m else 1 if m == 16 else 20):
+                k = int(0.2 * m)
+                words = ["around"] * 30 + edited(text.split(), k, rng) + ["around"] * 30
+                ids = np.array([index.vocabulary.get(w.encode(), D._UNKNOWN) for w in words])
+                found += any(item == i and edits <= k for _, item, edits, _ in index.leaks([ids]))
+                trials += 1
+        assert trials >= 20 and found >= 0.9 * trials, (m, found, trials)
+
+
 def test_embedding_keeps_near_windows_near():
     rng = np.random.default_rng(0)
     base = rng.integers(2, 500, 40)
