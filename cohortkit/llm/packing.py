@@ -10,6 +10,9 @@ The deficits after any number of windows follow from the queue totals alone:
 ``taken(k)`` is in closed form, and so a task can place its documents without
 the windows before it. Texts are tokenized once, in range partitions by id; the
 totals of each (partition, source) give every document its place in its queue.
+Sources that have no token for every window share one queue, in which each
+source's documents stand where their part of the source does, so that every
+stretch of it holds all of them alike.
 The windows form one stream that is cut every ``length`` tokens; what remains
 at the end is cut into sequences of powers of two, which need no padding.
 """
@@ -30,9 +33,8 @@ from ..operators.relational import checked_broadcast
 from ..session import materialize
 from . import common, tokens
 
-#: Sources below this part of all tokens could not fill a token of every
-#: sequence; they share one queue, so there are at most this many and one.
-MOST_QUEUES = 1024
+#: A task keeps the queues' numbers after some windows: about so many numbers.
+_KEPT = 500_000
 
 
 class Schedule:
@@ -58,17 +60,24 @@ class Schedule:
     def taken(self, k: int) -> tuple[list[int], list[int]]:
         """Tokens of each queue in the first k windows, and the sums of these up to each queue."""
         if k not in self._kept:
-            if len(self._kept) >= 4096:
+            if len(self._kept) * len(self.sizes) >= _KEPT:
                 self._kept.clear()
-            out = [self.of(q, k) for q in range(len(self.sizes))]
+            out = self.sizes
+            if k < self.windows:
+                begin, sent, active, total = self._phase(k * self.window)
+                gone = k * self.window - begin
+                out = [min(n, s + gone * a // total) for n, s, a in zip(self.sizes, sent, active)]
             self._kept[k] = out, [0, *accumulate(out)]
         return self._kept[k]
 
+    def _phase(self, clock: int) -> tuple[int, list[int], list[int], int]:
+        return self.phases[max(0, bisect_left(self._begins, clock + 1) - 1)]
+
     def of(self, q: int, k: int) -> int:
         if k >= self.windows:
             return self.sizes[q]
         clock = k * self.window
-        begin, sent, active, total = self.phases[max(0, bisect_left(self._begins, clock + 1) - 1)]
+        begin, sent, active, total = self._phase(clock)
         return min(self.sizes[q], sent[q] + (clock - begin) * active[q] // total)
 
     def places(self, q: int, start: int, n: int) -> Iterator[tuple[int, int, int]]:
@@ -125,6 +134,34 @@ def _tokenize(tokenizer: str, end_id: int | None):
     return run
 
 
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the partition and the tokens before each row in it."""
+    from pyspark import TaskContext
+
+    part, seen = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        n = batch["n"].to_numpy()
+        ends = seen + np.cumsum(n)
+        yield pa.RecordBatch.from_arrays([batch["id"], batch["n"], batch["ids"], pa.array(np.full(len(n), part, np.int32)),
+                                          pa.array(ends - n)], names=["id", "n", "ids", "part", "local"])
+        seen = int(ends[-1]) if len(n) else seen
+
+
+def _pooled(rows: DataFrame, queue: int) -> DataFrame:
+    """(id, queue, start, n, ids) of the rows (id, n, ids, source, at, source_n) in one queue: each document
+    at a point, given by its hash, of its own part of its source. Only sums of partitions are gathered."""
+    point = F.pmod(F.xxhash64("source", "id", "at"), F.lit(1 << 20)) / float(1 << 20)
+    key = (F.col("at") + point * F.col("n")) / F.greatest("source_n", F.lit(1))
+    dealt = (rows.withColumn("key", key).select("key", "id", "n", "ids").repartitionByRange("key", "id")
+             .sortWithinPartitions("key", "id").select("id", "n", "ids"))
+    ranked = materialize(dealt.mapInArrow(_running, "id long, n long, ids binary, part int, local long"), "pooled-tokens")
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = (ranked.groupBy("part").agg(F.sum("n").alias("n"))  # a row per partition
+              .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    return (ranked.join(checked_broadcast(starts), "part")
+            .select("id", F.lit(queue).alias("queue"), (F.col("base") + F.col("local")).alias("start"), "n", "ids"))
+
+
 def _place(schedule: Schedule, total: int, length: int, dtype: str, id_name: str, with_ids: bool):
     names = [id_name, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -171,22 +208,27 @@ def pack(docs: DataFrame, length: int = 1024, window: int = 64 * 1024, mixture:
                                            "id long, source string, part int, local long, n long, ids binary"), "tokens")
     totals = materialize(encoded.groupBy("part", "source").agg(F.sum("n").alias("n")), "token-totals")
     total = totals.agg(F.sum("n")).first()[0] or 0
-    by_source = totals.groupBy("source").agg(F.sum("n").alias("n"))
+    by_source = materialize(totals.groupBy("source").agg(F.sum("n").alias("n")), "source-totals")
     named = list(mixture or {})
-    large = (by_source.filter((F.col("n") * MOST_QUEUES >= total) | F.col("source").isin(named))
-             .orderBy("source").collect())  # at most MOST_QUEUES rows and those named
+    large = (by_source.filter((F.col("n") * window >= total) | F.col("source").isin(named))
+             .orderBy("source").collect())  # at most a row per token of a window and those named
     sizes = [r["n"] for r in large]
     pooled = total - sum(sizes)
     scale = 2 ** 20 / max([*mixture.values(), 1e-300]) if mixture else 0
     weights = ([round(mixture.get(r["source"], 0) * scale) for r in large] + [0] if mixture else [*sizes, pooled])
     schedule = Schedule([*sizes, pooled], weights, window)
-    number = F.create_map(*[F.lit(x) for i, r in enumerate(large) for x in (r["source"], i)]) if large else None
-    queue = F.coalesce(number[F.col("source")], F.lit(len(large))) if large else F.lit(0)
-    before = W.partitionBy("queue").orderBy("part", "source").rowsBetween(W.unboundedPreceding, -1)
-    starts = (totals.withColumn("queue", queue)
-              .select("part", "source", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
-    placed = (encoded.join(checked_broadcast(starts), ["part", "source"])
+    numbers = docs.sparkSession.createDataFrame([(r["source"], i) for i, r in enumerate(large)], "source string, queue int")
+    before = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = (totals.select("part", "source", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+              .join(checked_broadcast(numbers), "source", "left"))
+    own = starts.filter(F.col("queue").isNotNull())
+    placed = (encoded.join(checked_broadcast(own), ["part", "source"])
               .select("id", "queue", (F.col("base") + F.col("local")).alias("start"), "n", "ids"))
+    if pooled:
+        shared = starts.filter(F.col("queue").isNull()).drop("queue").join(by_source.withColumnRenamed("n", "source_n"), "source")
+        rows = (encoded.join(checked_broadcast(shared), ["part", "source"])
+                .select("id", "source", (F.col("base") + F.col("local")).alias("at"), "n", "source_n", "ids"))
+        placed = placed.unionByName(_pooled(rows, len(large)))
     dtype = tokens.encoder(tokenizer).dtype.str
     schema = (f"`{id_col}` long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
               "offset long" + ", ids binary" * with_ids)

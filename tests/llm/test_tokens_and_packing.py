@@ -172,3 +172,23 @@ def test_windows_hold_the_target_mixture(spark, documents):
     for r in first:
         share[source[r.doc_id]] += r.length
     assert abs(share["src0"] - 4096) <= 4 and abs(share["src1"] - 2048) <= 4 and abs(share["src2"] - 2048) <= 4
+
+
+@pytest.mark.parametrize("window,sources,bound", [(4096, 1100, 0.25), (512, 1100, 0.35)])
+def test_many_small_sources_keep_their_shares(spark, tokenizer, window, sources, bound):
+    """Sources of like size, more than 1,024, documents of a source side by side: every stretch holds all alike,
+    with queues of their own (a token and more for every window) or in the shared one."""
+    docs = [(i, "one two three four five six", f"d{i * sources // 4400:05d}") for i in range(4400)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = P.pack(frame, window=window).collect()
+    check_pieces(rows, {i: t for i, t, _ in docs}, tokenizer)
+    total = sum(r.length for r in rows)
+    half = sum(r.length for r in rows if r.sequence_id * 1024 < total // 2)
+    low = sum(r.length for r in rows if r.sequence_id * 1024 < total // 2 and r.doc_id < 2200)
+    assert abs(low / half - 0.5) < 0.05  # half of the sources, half of the first half
+    per = defaultdict(int)
+    for r in rows:
+        if r.sequence_id * 1024 < total // 2:
+            per[docs[r.doc_id][2]] += r.length
+    mean = half / sources
+    assert np.mean([abs(per[f"d{i:05d}"] - mean) for i in range(sources)]) < bound * mean
