@@ -47,14 +47,17 @@ class _Generations:
 
 
 class Encoder:
-    """Ids of texts as little-endian arrays, the same as the library's encode(add_special_tokens=False)."""
+    """Ids of texts as little-endian arrays, the same as the library's encode(add_special_tokens=False).
 
-    def __init__(self, path: str):
+    ``plain``: the strings of special tokens are ordinary text."""
+
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 2 ** 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         spec = json.loads(self.tokenizer.to_str())
         pre = spec["pre_tokenizer"] or {}
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
@@ -111,12 +114,12 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One encoder per Python worker."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return Encoder(path)
+    return Encoder(path, plain)
 
 
 def default_tokenizer() -> str:
