@@ -35,11 +35,9 @@ from . import common, tokens
 #: Id pairs that are broadcast, at most.
 HOT_PAIRS = 200_000
 #: Windows whose alignment a worker keeps.
-_WINDOWS = 150_000
+_WINDOWS = 300_000
 #: Texts are aligned so many bytes at a time, or one by one if they are longer.
 _BYTES = 1_500_000
-_PAIR = pa.struct([("pair", pa.int64()), ("times", pa.int64())])
-_GROUPS = pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
 
 
 def byte_level(token: str) -> bytes:
@@ -95,104 +93,142 @@ class PieceSide(Side):
         return [np.array(x, np.int32) for x in self.model.encode(texts, num_threads=1)]
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def _keys(a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[bytes]:
+    """Per window: how many of A's ids it has, these, and B's ids."""
+    n = len(cuts_a) - 1
+    flat = np.empty(len(a) + len(b) + n, np.int32)
+    sizes_a, sizes_b = np.diff(cuts_a), np.diff(cuts_b)
+    begins = cuts_a[:-1] + cuts_b[:-1] + np.arange(n)
+    flat[begins] = sizes_a
+    flat[_ranges(begins + 1, sizes_a)] = a
+    flat[_ranges(begins + 1 + sizes_a, sizes_b)] = b
+    raw, cuts = flat.tobytes(), [*(begins * 4).tolist(), len(flat) * 4]
+    return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
 class Aligner:
     """Alignments of texts, with those of the windows met before."""
 
     def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
+        digits = [[b"%d" % i for i in range(len(s.sizes))] for s in (a, b)]
+        # what a token adds to the groups as text: followed by others of its side, or the last one
+        self.shown = [np.array([x + sep for sep in seps for x in d], object) for d, seps in zip(digits, ((b",", b"|"), (b",", b";")))]
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers: dict[tuple[bytes, bytes], int] = {}
-        self.groups: list[list] = []     # per window: its groups of (a ids, b ids)
-        self.rendered: list[bytes] = []
+        self.numbers: dict[bytes, int] = {}  # by a window's ids: how many of A's, these, B's
+        self.rendered: list[bytes] = []  # per window: its groups, each with a ; behind it
         self.bytes: list[bytes | None] = []
-        self.n_groups: list[int] = []
-        self.n_links: list[int] = []
-        self.links: list[np.ndarray] = []  # per window: numbers of its links' pairs
-        self.pair_numbers: dict[tuple[int, int], int] = {}
-
-    def _window(self, key: tuple[bytes, bytes]) -> int:
-        a, b = (np.frombuffer(x, np.int32).tolist() for x in key)
-        raw_a, raw_b = (b"".join(map(s.bytes_of.__getitem__, x)) for s, x in ((self.a, a), (self.b, b)))
-        ends_a, ends_b = (np.cumsum(s.sizes[x]).tolist() for s, x in ((self.a, a), (self.b, b)))
-        groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
-        at_a = at_b = 0  # begins of tokens i and j
-        while i < len(a) and j < len(b):
-            if ends_a[i] > at_b and ends_b[j] > at_a:
-                links.append(self.pair_numbers.setdefault((a[i], b[j]), len(self.pair_numbers)))
-            end_a, end_b = ends_a[i], ends_b[j]
-            if end_a == end_b:
-                groups.append((a[i0:i + 1], b[j0:j + 1]))
-                i0, j0 = i + 1, j + 1
-            if end_a <= end_b:
-                i, at_a = i + 1, end_a
-            if end_b <= end_a:
-                j, at_b = j + 1, end_b
-        number = len(self.groups)
-        self.groups.append(groups)
-        self.rendered.append(b";".join(b"|".join(b",".join(b"%d" % x for x in side) for side in g) for g in groups))
-        self.bytes.append(raw_a if raw_a == raw_b else None)
-        self.n_groups.append(len(groups))
-        self.n_links.append(len(links))
-        self.links.append(np.array(links, np.int64))
-        self.numbers[key] = number
-        return number
-
-    def windows(self, raws: list[bytes], a: list[np.ndarray], b: list[np.ndarray]) -> list[list[int] | None]:
+        self.n_groups = np.zeros(0, np.int64)
+        self.link_ends = np.zeros(0, np.int64)  # per window: where its links end among all windows' ones
+        self.links = np.zeros(0, np.int64)  # numbers of id pairs
+        self.pair_numbers: dict[int, int] = {}
+
+    def _add(self, keys: list[bytes]) -> None:
+        """Aligns windows that were not met before; the sides of each have the same number of bytes."""
+        flat, sizes = np.frombuffer(b"".join(keys), np.int32), np.fromiter(map(len, keys), np.int64, len(keys)) // 4
+        at = np.cumsum(sizes) - sizes + 1
+        tokens_of = [flat[at - 1].astype(np.int64), sizes - 1 - flat[at - 1]]
+        ids = [flat[_ranges(at, tokens_of[0])], flat[_ranges(at + tokens_of[0], tokens_of[1])]]
+        ends = [np.cumsum(s.sizes[x]) for s, x in zip((self.a, self.b), ids)]
+        starts = [e - s.sizes[x] for e, s, x in zip(ends, (self.a, self.b), ids)]
+        cut_a, cut_b = (np.cumsum(n) for n in tokens_of)
+        bounds = ends[0][cut_a - 1]
+        shared = np.intersect1d(*ends, assume_unique=True)
+        first = np.searchsorted(ends[1], starts[0], "right")  # B tokens that overlap each A token
+        n_over = np.searchsorted(starts[1], ends[0], "left") - first
+        pairs = np.repeat(ids[0].astype(np.int64) << 32, n_over) | ids[1][_ranges(first, n_over)]
+        number = self.pair_numbers
+        links = np.fromiter((number.setdefault(x, len(number)) for x in pairs.tolist()), np.int64, len(pairs))
+        # the groups as text: A's tokens of a group, then B's
+        group_ends = [np.searchsorted(e, shared) + 1 for e in ends]
+        group_of = [np.searchsorted(shared, e) for e in ends]
+        shown = np.empty(len(ids[0]) + len(ids[1]), object)
+        before_b = np.concatenate([[0], group_ends[1][:-1]])
+        places = np.arange(len(ids[0])) + before_b[group_of[0]], np.arange(len(ids[1])) + group_ends[0][group_of[1]]
+        for k in (0, 1):
+            last = np.zeros(len(ids[k]), np.int64)
+            last[group_ends[k] - 1] = len(self.shown[k]) // 2
+            shown[places[k]] = self.shown[k][ids[k] + last]
+        shown, at = shown.tolist(), np.concatenate([[0], cut_a + cut_b]).tolist()
+        raw = [b"".join(map(s.bytes_of.__getitem__, x.tolist())) for s, x in zip((self.a, self.b), ids)]
+        begin = len(self.rendered)
+        self.rendered += [b"".join(shown[i:j]) for i, j in zip(at, at[1:])]
+        cuts = np.concatenate([[0], bounds]).tolist()
+        parts = [raw[0][i:j] for i, j in zip(cuts, cuts[1:])]
+        if raw[0] != raw[1]:
+            parts = [x if x == raw[1][i:j] else None for x, i, j in zip(parts, cuts, cuts[1:])]
+        self.bytes += parts
+        self.n_groups = np.append(self.n_groups, np.diff(np.searchsorted(shared, bounds, "right"), prepend=0))
+        self.link_ends = np.append(self.link_ends, len(self.links) + np.cumsum(n_over)[cut_a - 1])
+        self.links = np.append(self.links, links)
+        self.numbers.update(zip(keys, range(begin, len(self.rendered))))
+
+    def n_links(self, windows: np.ndarray) -> np.ndarray:
+        return self.link_ends[windows] - np.where(windows > 0, self.link_ends[windows - 1], 0)
+
+    def windows(self, raws: list[bytes], a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray | None]:
         """Per text (with its space before it) the numbers of its windows; None without an alignment."""
         if len(self.numbers) > _WINDOWS:
             self._clear()
         sizes = np.array([len(x) for x in raws], np.int64)
         whole = [self.a.sizes[x].sum() == n == self.b.sizes[y].sum() for x, y, n in zip(a, b, sizes.tolist())]
-        at = [i for i, ok in enumerate(whole) if ok]
-        out: list[list[int] | None] = [None] * len(raws)
+        at = [i for i, ok in enumerate(whole) if ok and sizes[i]]
+        out: list[np.ndarray | None] = [None] * len(raws)
         if not at:
             return out
         bounds = np.concatenate([[0], np.cumsum(sizes[at])])
-        starts, flat, cuts = [], [], []
+        starts, flat = [], []
         for side, ids in ((self.a, a), (self.b, b)):
             flat.append(np.concatenate([ids[i] for i in at]))
             n = side.sizes[flat[-1]]
             starts.append(np.cumsum(n) - n)
         spaced = [s[side.spaced[x]] for s, side, x in zip(starts, (self.a, self.b), flat)]
-        anchors = np.union1d(np.intersect1d(*spaced, assume_unique=True), bounds)
-        for s, x in zip(starts, flat):
-            cuts.append((np.append(np.searchsorted(s, anchors[:-1]), len(x)) * 4).tolist())
-        raw_a, raw_b = (x.tobytes() for x in flat)
-        keys = list(zip([raw_a[i:j] for i, j in zip(cuts[0], cuts[0][1:])],
-                        [raw_b[i:j] for i, j in zip(cuts[1], cuts[1][1:])]))
-        numbers = list(map(self.numbers.get, keys))
-        for k, number in enumerate(numbers):
-            if number is None:
-                numbers[k] = self.numbers.get(keys[k])
-                if numbers[k] is None:
-                    numbers[k] = self._window(keys[k])
+        spaced[1] = np.append(spaced[1], bounds[-1])
+        anchors = spaced[0][spaced[1][np.searchsorted(spaced[1], spaced[0])] == spaced[0]]
+        anchors = np.sort(np.concatenate([anchors, bounds]), kind="stable")
+        anchors = anchors[np.append(True, anchors[1:] != anchors[:-1])]
+        keys = _keys(*flat, *(np.append(np.searchsorted(s, anchors[:-1]), len(x)) for s, x in zip(starts, flat)))
+        new = set(keys).difference(self.numbers)
+        if new:
+            self._add(list(new))
+        numbers = np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
         of = np.searchsorted(anchors, bounds).tolist()
         for i, begin, end in zip(at, of, of[1:]):
             own = numbers[begin:end]
-            parts = [self.bytes[k] for k in own]
+            parts = list(map(self.bytes.__getitem__, own.tolist()))
             if None not in parts and b"".join(parts) == raws[i]:
                 out[i] = own
         return out
 
-    def pairs(self, windows: list[list[int] | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per text: numbers of its linked id pairs, and how many of its links hold each."""
-        docs = np.repeat(np.arange(len(windows)), [len(w or ()) for w in windows])
-        used, times = np.unique(docs * len(self.groups) + np.array([k for w in windows for k in w or ()], np.int64),
-                                return_counts=True)
-        docs, own = used // max(len(self.groups), 1), (used % max(len(self.groups), 1)).tolist()
-        links = [self.links[k] for k in own]
-        sizes = [len(x) for x in links]
-        n = max(len(self.pair_numbers), 1)
-        codes = np.repeat(docs, sizes) * n + (np.concatenate(links) if links else np.zeros(0, np.int64))
+    def text(self, windows: np.ndarray) -> bytes:
+        """The groups of a text's windows: a1,a2|b1;a3|b2,b3"""
+        return b"".join(map(self.rendered.__getitem__, windows.tolist()))[:-1]
+
+    def pairs(self, windows: list[np.ndarray | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ends per text, numbers, times): the texts' linked id pairs, and how many of a text's links hold each."""
+        none = np.zeros(0, np.int64)
+        flat = np.concatenate([none if w is None else w for w in windows]) if windows else none
+        if not len(flat):
+            return np.zeros(len(windows), np.int64), none, none
+        docs = np.repeat(np.arange(len(windows)), [0 if w is None else len(w) for w in windows])
+        used, times = np.unique(docs * len(self.link_ends) + flat, return_counts=True)
+        docs, own = np.divmod(used, len(self.link_ends))
+        sizes = self.n_links(own)
+        n = len(self.pair_numbers)
+        codes = np.repeat(docs * n, sizes) + self.links[_ranges(self.link_ends[own] - sizes, sizes)]
         order = np.argsort(codes, kind="stable")
         codes, weights = codes[order], np.repeat(times, sizes)[order]
-        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1])) if len(codes) else np.zeros(0, np.int64)
-        sums = np.add.reduceat(weights, first) if len(codes) else weights
-        codes = codes[first]
-        cut = np.searchsorted(codes // n, np.arange(len(windows) + 1))
-        return [(codes[i:j] % n, sums[i:j]) for i, j in zip(cut, cut[1:])]
+        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
+        docs, numbers = np.divmod(codes[first], n)
+        return np.searchsorted(docs, np.arange(len(windows)), "right"), numbers, np.add.reduceat(weights, first)
 
 
 @lru_cache(maxsize=1)
@@ -233,23 +269,20 @@ def _align(a: str, b: str, with_groups: bool):
             ids_a, ids_b = aligner.a.encode(texts), aligner.b.encode(texts)
             # texts that are empty, or no valid UTF-8, have bytes that differ from those of any tokens
             windows = aligner.windows([b" " + x if x else b"" for x in raw], ids_a, ids_b)
-            codes = np.array([x << 32 | y for x, y in aligner.pair_numbers], np.int64)
-            pairs = aligner.pairs(windows)
-            flat = [np.concatenate([p[k] for p in pairs]) for k in (0, 1)]
-            offsets = np.concatenate([[0], np.cumsum([len(p[0]) for p in pairs])])
-            held = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(codes[flat[0]] if len(codes) else flat[0]), pa.array(flat[1])], names=["pair", "times"]))
-            numbers = [[len(x) if w is not None else 0 for x, w in zip(side, windows)] for side in (ids_a, ids_b)]
-            numbers += [[sum(map(of.__getitem__, w or ())) for w in windows] for of in (aligner.n_groups, aligner.n_links)]
-            digests = ["" if w is None else hashlib.sha256(b";".join(map(aligner.rendered.__getitem__, w))).hexdigest()
-                       for w in windows]
-            arrays = [pa.array(np.arange(row, row + len(raw))), some["id"], *[pa.array(x, pa.int64()) for x in numbers],
+            ends, numbers, times = aligner.pairs(windows)
+            codes = np.fromiter(aligner.pair_numbers, np.int64, len(aligner.pair_numbers))  # in the order of their numbers
+            held = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(codes[numbers]), pa.array(times)], names=["pair", "times"]))
+            sums = [[len(x) if w is not None else 0 for x, w in zip(side, windows)] for side in (ids_a, ids_b)]
+            sums += [[0 if w is None else int(of(w).sum()) for w in windows] for of in (aligner.n_groups.__getitem__, aligner.n_links)]
+            shown = [b"" if w is None else aligner.text(w) for w in windows]
+            digests = [hashlib.sha256(x).hexdigest() if x else "" for x in shown]
+            arrays = [pa.array(np.arange(row, row + len(raw))), some["id"], *[pa.array(x, pa.int64()) for x in sums],
                       pa.array(digests, pa.string()), held]
             names = ["row", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"]
             if with_groups:
                 names.append("groups")
-                arrays.append(pa.array([None if w is None else [{"a": x, "b": y} for k in w for x, y in aligner.groups[k]]
-                                        for w in windows], pa.list_(_GROUPS)))
+                arrays.append(pa.array([x.decode() if x else None for x in shown], pa.string()))
             row += len(raw)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
     return run
@@ -275,7 +308,7 @@ def aligned_tokens(docs: DataFrame, a: str | None = None, b: str | None = None,
     """One row per document: id, tokens of both tokenizers (n_a, n_b), n_groups, n_links, the sums over
     its links of whether their id pair is its B id's most frequent one (n_best) and of their
     id pairs' counts over all documents (count_sum), and the digest of its groups of ids;
-    with the groups themselves on request.
+    with the groups themselves (``a1,a2|b1;a3|b2,b3``) on request.
 
     ``a`` is a byte-level BPE of the tokenizers library, before whose texts a
     space is put; ``b`` a sentencepiece model, which puts one there. Texts that
@@ -290,7 +323,7 @@ def aligned_tokens(docs: DataFrame, a: str | None = None, b: str | None = None,
     a = a or tokens.default_tokenizer()
     b = b or public_tokenizers.path("piece_bpe_32k.model")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), common.utf8(text_col).alias("text"))
-    schema = _COLUMNS + ", groups array<struct<a:array<int>,b:array<int>>>" * with_groups
+    schema = _COLUMNS + ", groups string" * with_groups
     aligned = materialize(rows.mapInArrow(_align(a, b, with_groups), schema), "aligned-tokens")
     links = aligned.select("row", F.inline("pairs"))
     counted = materialize(links.groupBy("pair").agg(F.sum("times").alias("n")), "pair-counts")
