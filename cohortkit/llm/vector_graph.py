@@ -31,6 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.relational import checked_broadcast
@@ -306,7 +307,7 @@ def _shard(path: str) -> Shard:
 
 
 def _build(folder: str, least: float, recall: float):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         rows = table.sort_by("cls")
         vectors = np.frombuffer(b"".join(rows["vec"].to_pylist()), "<f8").reshape(len(rows), -1)
         x = unit(vectors).astype(np.float32)
@@ -419,8 +420,7 @@ class NearVectors:
 
     def links(self) -> DataFrame:
         """(cls, n, root): a class's links found in two shards, and a class that these lead to."""
-        other = self.graphs.select("dim", F.col("shard").alias("other"), F.col("path").alias("b"))
-        order = F.row_number().over(_by_dim())
+        order = F.row_number().over(W.partitionBy("dim").orderBy("shard"))  # a row per shard
         named = materialize(self.graphs.withColumn("k", order), "graph-order")
         pairs = (named.select("dim", F.col("path").alias("a"), F.explode(F.sequence(F.lit(1), "k")).alias("k"))
                  .join(named.select("dim", "k", F.col("path").alias("b")), ["dim", "k"]).select("a", "b"))
@@ -445,11 +445,6 @@ class NearVectors:
                             component.alias("component_id"), (F.col("id") == component).alias("kept"))
 
 
-def _by_dim():
-    from pyspark.sql import Window
-    return Window.partitionBy("dim").orderBy("shard")  # a row per shard
-
-
 def near_vectors(vectors: DataFrame, least: float = 0.95, recall: float = 0.99, id_col: str = "vec_id",
                  vector_col: str = "embedding", **kw) -> DataFrame:
     """One row per vector: id, n_links (other vectors whose cosine with it is ``least`` or more),
