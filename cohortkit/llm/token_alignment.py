@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,7 @@ class Side:
     """One tokenizer: ids of texts, and the bytes of its tokens."""
 
     def __init__(self, bytes_of: list[bytes]):
-        self.bytes_of = bytes_of
+        self.table = np.array(bytes_of, object)
         self.sizes = np.array([len(x) for x in bytes_of], np.int64)
         self.spaced = np.array([x[:1] == b" " for x in bytes_of])
 
@@ -120,6 +121,7 @@ class Aligner:
         digits = [[b"%d" % i for i in range(len(s.sizes))] for s in (a, b)]
         # what a token adds to the groups as text: followed by others of its side, or the last one
         self.shown = [np.array([x + sep for sep in seps for x in d], object) for d, seps in zip(digits, ((b",", b"|"), (b",", b";")))]
+        self.shown_sizes = [np.array([len(x) for x in d], np.int64) for d in self.shown]
         self._clear()
 
     def _clear(self) -> None:
@@ -128,8 +130,7 @@ class Aligner:
         self.bytes: list[bytes | None] = []
         self.n_groups = np.zeros(0, np.int64)
         self.link_ends = np.zeros(0, np.int64)  # per window: where its links end among all windows' ones
-        self.links = np.zeros(0, np.int64)  # numbers of id pairs
-        self.pair_numbers: dict[int, int] = {}
+        self.links = np.zeros(0, np.int64)  # their id pairs: A's id, then 32 bits of B's
 
     def _add(self, keys: list[bytes]) -> None:
         """Aligns windows that were not met before; the sides of each have the same number of bytes."""
@@ -144,23 +145,23 @@ class Aligner:
         shared = np.intersect1d(*ends, assume_unique=True)
         first = np.searchsorted(ends[1], starts[0], "right")  # B tokens that overlap each A token
         n_over = np.searchsorted(starts[1], ends[0], "left") - first
-        pairs = np.repeat(ids[0].astype(np.int64) << 32, n_over) | ids[1][_ranges(first, n_over)]
-        number = self.pair_numbers
-        links = np.fromiter((number.setdefault(x, len(number)) for x in pairs.tolist()), np.int64, len(pairs))
+        links = np.repeat(ids[0].astype(np.int64) << 32, n_over) | ids[1][_ranges(first, n_over)]
         # the groups as text: A's tokens of a group, then B's
         group_ends = [np.searchsorted(e, shared) + 1 for e in ends]
         group_of = [np.searchsorted(shared, e) for e in ends]
         shown = np.empty(len(ids[0]) + len(ids[1]), object)
+        shown_sizes = np.empty(len(shown), np.int64)
         before_b = np.concatenate([[0], group_ends[1][:-1]])
         places = np.arange(len(ids[0])) + before_b[group_of[0]], np.arange(len(ids[1])) + group_ends[0][group_of[1]]
         for k in (0, 1):
             last = np.zeros(len(ids[k]), np.int64)
             last[group_ends[k] - 1] = len(self.shown[k]) // 2
-            shown[places[k]] = self.shown[k][ids[k] + last]
-        shown, at = shown.tolist(), np.concatenate([[0], cut_a + cut_b]).tolist()
-        raw = [b"".join(map(s.bytes_of.__getitem__, x.tolist())) for s, x in zip((self.a, self.b), ids)]
+            last += ids[k]
+            shown[places[k]], shown_sizes[places[k]] = self.shown[k][last], self.shown_sizes[k][last]
+        text, at = b"".join(shown.tolist()), [0, *np.cumsum(shown_sizes)[cut_a + cut_b - 1].tolist()]
+        raw = [b"".join(s.table[x].tolist()) for s, x in zip((self.a, self.b), ids)]
         begin = len(self.rendered)
-        self.rendered += [b"".join(shown[i:j]) for i, j in zip(at, at[1:])]
+        self.rendered += [text[i:j] for i, j in zip(at, at[1:])]
         cuts = np.concatenate([[0], bounds]).tolist()
         parts = [raw[0][i:j] for i, j in zip(cuts, cuts[1:])]
         if raw[0] != raw[1]:
@@ -190,16 +191,23 @@ class Aligner:
             flat.append(np.concatenate([ids[i] for i in at]))
             n = side.sizes[flat[-1]]
             starts.append(np.cumsum(n) - n)
-        spaced = [s[side.spaced[x]] for s, side, x in zip(starts, (self.a, self.b), flat)]
-        spaced[1] = np.append(spaced[1], bounds[-1])
-        anchors = spaced[0][spaced[1][np.searchsorted(spaced[1], spaced[0])] == spaced[0]]
-        anchors = np.sort(np.concatenate([anchors, bounds]), kind="stable")
-        anchors = anchors[np.append(True, anchors[1:] != anchors[:-1])]
-        keys = _keys(*flat, *(np.append(np.searchsorted(s, anchors[:-1]), len(x)) for s, x in zip(starts, flat)))
-        new = set(keys).difference(self.numbers)
-        if new:
-            self._add(list(new))
-        numbers = np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
+        spaced = []  # the places of tokens that begin with a space, or a text
+        for side, s, x in zip((self.a, self.b), starts, flat):
+            mark = side.spaced[x]
+            mark[np.searchsorted(s, bounds[:-1])] = True
+            spaced.append(np.flatnonzero(mark))
+        at_a, at_b = (s[k] for s, k in zip(starts, spaced))
+        near = np.minimum(np.searchsorted(at_b, at_a), len(at_b) - 1)
+        same = at_b[near] == at_a
+        cuts = spaced[0][same], spaced[1][near[same]]
+        anchors = np.append(at_a[same], bounds[-1])
+        keys = _keys(*flat, *(np.append(c, len(x)) for c, x in zip(cuts, flat)))
+        numbers = np.fromiter(map(self.numbers.get, keys, repeat(-1)), np.int64, len(keys))
+        gaps = np.flatnonzero(numbers < 0).tolist()
+        if gaps:
+            new = [keys[k] for k in gaps]
+            self._add(list(dict.fromkeys(new)))
+            numbers[gaps] = list(map(self.numbers.__getitem__, new))
         of = np.searchsorted(anchors, bounds).tolist()
         for i, begin, end in zip(at, of, of[1:]):
             own = numbers[begin:end]
@@ -213,7 +221,7 @@ class Aligner:
         return b"".join(map(self.rendered.__getitem__, windows.tolist()))[:-1]
 
     def pairs(self, windows: list[np.ndarray | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ends per text, numbers, times): the texts' linked id pairs, and how many of a text's links hold each."""
+        """(ends per text, pairs, times): the texts' linked id pairs, and how many of a text's links hold each."""
         none = np.zeros(0, np.int64)
         flat = np.concatenate([none if w is None else w for w in windows]) if windows else none
         if not len(flat):
@@ -222,13 +230,12 @@ class Aligner:
         used, times = np.unique(docs * len(self.link_ends) + flat, return_counts=True)
         docs, own = np.divmod(used, len(self.link_ends))
         sizes = self.n_links(own)
-        n = len(self.pair_numbers)
-        codes = np.repeat(docs * n, sizes) + self.links[_ranges(self.link_ends[own] - sizes, sizes)]
-        order = np.argsort(codes, kind="stable")
-        codes, weights = codes[order], np.repeat(times, sizes)[order]
-        first = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
-        docs, numbers = np.divmod(codes[first], n)
-        return np.searchsorted(docs, np.arange(len(windows)), "right"), numbers, np.add.reduceat(weights, first)
+        docs, weights = np.repeat(docs, sizes), np.repeat(times, sizes)
+        codes = self.links[_ranges(self.link_ends[own] - sizes, sizes)]
+        order = np.lexsort((codes, docs))
+        codes, docs, weights = codes[order], docs[order], weights[order]
+        first = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (docs[1:] != docs[:-1])))
+        return (np.searchsorted(docs[first], np.arange(len(windows)), "right"), codes[first], np.add.reduceat(weights, first))
 
 
 @lru_cache(maxsize=1)
@@ -269,10 +276,9 @@ def _align(a: str, b: str, with_groups: bool):
             ids_a, ids_b = aligner.a.encode(texts), aligner.b.encode(texts)
             # texts that are empty, or no valid UTF-8, have bytes that differ from those of any tokens
             windows = aligner.windows([b" " + x if x else b"" for x in raw], ids_a, ids_b)
-            ends, numbers, times = aligner.pairs(windows)
-            codes = np.fromiter(aligner.pair_numbers, np.int64, len(aligner.pair_numbers))  # in the order of their numbers
+            ends, pairs, times = aligner.pairs(windows)
             held = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(codes[numbers]), pa.array(times)], names=["pair", "times"]))
+                [pa.array(pairs), pa.array(times)], names=["pair", "times"]))
             sums = [[len(x) if w is not None else 0 for x, w in zip(side, windows)] for side in (ids_a, ids_b)]
             sums += [[0 if w is None else int(of(w).sum()) for w in windows] for of in (aligner.n_groups.__getitem__, aligner.n_links)]
             shown = [b"" if w is None else aligner.text(w) for w in windows]
