@@ -4,8 +4,8 @@ assignment, and a column-wise silhouette.
 Spark ML k-means (k-means|| init, distributed Lloyd steps) does the fitting.
 The silhouette is the squared-Euclidean form Spark's ``ClusteringEvaluator``
 computes: it decomposes into per-cluster sums, so it costs one pass and a
-k-row broadcast. The plain Euclidean silhouette needs every pair of points
-and is not offered (see README).
+k-row broadcast. The plain Euclidean silhouette, which is an estimate for large
+clusters, is in ``silhouette.py``; ``fit_best_k`` chooses by either.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .. import spec
 from ..session import materialize
 from .relational import checked_broadcast
+from .silhouette import euclidean_silhouette, overall
 
 
 def kmeans_input(df: DataFrame, key: str, vector: str, partitions: int | None = None,
@@ -56,23 +57,28 @@ class BestK:
 def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features",
                ks: Sequence[int] = spec.K_GRID, seed: int = spec.SEED,
                partitions: int | None = None, max_iter: int = 100,
-               n_starts: int = 1, cluster_col: str = spec.CLUSTER) -> BestK:
+               n_starts: int = 1, cluster_col: str = spec.CLUSTER, silhouette: str = "squared",
+               points: int = spec.SILHOUETTE_POINTS) -> BestK:
     """Fit k-means for each k, score by silhouette, keep the first best (strict >).
 
     A k is skipped (and reported) when the data has fewer than k+1 rows or the
     fit yields a single non-empty cluster: the silhouette is undefined there.
     ``n_starts`` > 1 tries seeds seed, seed+1, ... and keeps the lowest cost.
+    ``silhouette`` is 'squared' or 'euclidean' (estimated from ``points`` rows per cluster).
     """
+    if silhouette not in ("squared", "euclidean"):
+        raise ValueError("silhouette must be 'squared' or 'euclidean'")
     stored = materialize(features.drop(cluster_col), "kmeans-features")
     n = stored.count()
     data = kmeans_input(stored, key, vector, partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_col)
+        return _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_col,
+                       points if silhouette == "euclidean" else None)
     finally:
         data.unpersist()
 
 
-def _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_col) -> BestK:
+def _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_col, points) -> BestK:
     evaluator = ClusteringEvaluator(featuresCol=vector, predictionCol="__pred",
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
     best, best_score, best_k, scores = None, -1.0, None, []
@@ -91,7 +97,12 @@ def _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_
             scores.append({"k": k, "silhouette": None, "cost": model.summary.trainingCost,
                            "skipped": "single cluster"})
             continue
-        score = evaluator.evaluate(model.transform(data))
+        labelled = model.transform(data)
+        if points is None:
+            score = evaluator.evaluate(labelled)
+        else:
+            rows = labelled.select(key, vector_to_array(vector).alias("__x"), "__pred")
+            score = overall(euclidean_silhouette(rows, ["__x"], "__pred", key, points, seed)).first()["silhouette"]
         scores.append({"k": k, "silhouette": score, "cost": model.summary.trainingCost,
                        "sizes": list(sizes)})
         if score > best_score:

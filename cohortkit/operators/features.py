@@ -52,12 +52,14 @@ def category_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = True) -> tuple[DataFrame, list[str]]:
+def one_hot(df: DataFrame, cols: Sequence[str], drop_first: bool = True,
+            levels: dict[str, list[str]] | None = None) -> tuple[DataFrame, list[str]]:
     """0/1 DOUBLE columns ``<col>_<level>`` per sorted level, first level
-    dropped; NULL gives all zeros (same as the dropped level)."""
+    dropped; NULL gives all zeros (same as the dropped level). With ``levels``
+    those are used, and other values give all zeros, too."""
     names: list[str] = []
     exprs = []
-    all_levels = category_levels(df, cols)
+    all_levels = category_levels(df, cols) if levels is None else levels
     for c in cols:
         levels = all_levels[c]
         for lv in (levels[1:] if drop_first else levels):
@@ -86,9 +88,13 @@ def standardise(df: DataFrame, cols: Sequence[str], suffix: str = "",
     row = df.agg(*[m.alias(f"m{j}") for j, m in enumerate(means)],
                  *[F.stddev_pop(c).alias(f"s{j}") for j, c in enumerate(cols)]).first()
     stats = {c: (row[f"m{j}"], row[f"s{j}"]) for j, c in enumerate(cols)}
+    return scale(df, stats, suffix), stats
+
+
+def scale(df: DataFrame, stats: dict, suffix: str = "") -> DataFrame:
+    """Columns scaled by given (mean, sd); see :func:`standardise`."""
     scaled = {}
-    for c in cols:
-        m, s = stats[c]
+    for c, (m, s) in stats.items():
         if m is None:
             scaled[c] = F.lit(None).cast("double")
         elif not s:
@@ -96,8 +102,8 @@ def standardise(df: DataFrame, cols: Sequence[str], suffix: str = "",
         else:
             scaled[c] = (F.col(c) - F.lit(m)) / F.lit(s)
     if suffix:
-        return df.select("*", *[scaled[c].alias(c + suffix) for c in cols]), stats
-    return df.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns]), stats
+        return df.select("*", *[v.alias(c + suffix) for c, v in scaled.items()])
+    return df.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -111,6 +117,7 @@ class Features:
     dropped: list[str] = field(default_factory=list)
     medians: dict = field(default_factory=dict)
     scaling: dict = field(default_factory=dict)
+    levels: dict = field(default_factory=dict)
 
 
 def prepare_features(base: DataFrame, as_of: str, key: str = spec.KEY,
@@ -121,21 +128,25 @@ def prepare_features(base: DataFrame, as_of: str, key: str = spec.KEY,
     the categorical columns present, population-sd scaling, vector column."""
     # Several statistic passes follow (medians, levels, moments): read the
     # base once and cut its lineage, so they do not each re-run the ETL joins.
-    df = materialize(base)
-    if spec.SIGNED in df.columns:
-        df = df.withColumn(spec.SIGNED, parse_date(df, spec.SIGNED))
-        df = df.withColumn(spec.TENURE, tenure_months(F.col(spec.SIGNED), as_of))
-    else:
-        df = df.withColumn(spec.TENURE, F.lit(None).cast("double"))
+    df = typed_features(materialize(base), as_of, numeric, number_style)
     num = [c for c in numeric if c in df.columns]
-    df = df.select(*[to_double(df, c, number_style).alias(c) if c in num else F.col(c)
-                     for c in df.columns])
     df, medians, dropped = impute_median(df, num)
     num = [c for c in num if c not in dropped]
     cats = [c for c in categorical if c in df.columns]
-    df, dummies = one_hot(df, cats)
+    levels = category_levels(df, cats)
+    df, dummies = one_hot(df, cats, levels=levels)
     names = num + dummies
     df, scaling = standardise(df, names, suffix="__z", shift=medians)
     scaled = [c + "__z" for c in names]
     df = assemble(df, scaled, vector).drop(*scaled)
-    return Features(df, names, dropped, medians, scaling)
+    return Features(df, names, dropped, medians, scaling, levels)
+
+
+def typed_features(df: DataFrame, as_of: str, numeric: Sequence[str] = spec.FEATURES, number_style: str = "br") -> DataFrame:
+    """Tenure from the signing date, and numbers in the numeric columns present."""
+    if spec.SIGNED in df.columns:
+        df = df.withColumn(spec.SIGNED, parse_date(df, spec.SIGNED))
+        df = df.withColumn(spec.TENURE, tenure_months(F.col(spec.SIGNED), as_of))
+    else:
+        df = df.withColumn(spec.TENURE, F.lit(None).cast("double"))
+    return df.select(*[to_double(df, c, number_style).alias(c) if c in numeric else F.col(c) for c in df.columns])

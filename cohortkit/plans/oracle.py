@@ -324,6 +324,34 @@ s AS (SELECT CASE WHEN own_n <= 1 THEN 0.0 WHEN a < b THEN 1 - a / b WHEN a > b
 SELECT {r6('avg(s)')} AS silhouette, count(*) AS n_rows, CAST((SELECT count(*) FROM st) AS BIGINT) AS n_clusters
 FROM s""",
 
+    "q_silhouette_euclidean": f"""WITH {FEATURE_CHAIN}, {CL},
+pts AS (SELECT z.*, cl.cluster FROM z JOIN cl ON z.CD_CLIENTE = cl.CD_CLIENTE),
+n AS (SELECT cluster AS c, count(*) AS n FROM pts GROUP BY cluster),
+d AS (SELECT p.CD_CLIENTE, p.cluster, q.cluster AS c,
+             sum(sqrt({' + '.join(f'(p.z_{c} - q.z_{c}) * (p.z_{c} - q.z_{c})' for c in MODEL)})) AS total
+      FROM pts p, pts q GROUP BY p.CD_CLIENTE, p.cluster, q.cluster),
+ab AS (SELECT CD_CLIENTE, cluster, max(CASE WHEN d.c = cluster THEN total / (n.n - 1.0) END) AS a,
+              max(CASE WHEN d.c = cluster THEN n.n END) AS own_n,
+              min(CASE WHEN d.c <> cluster THEN total / n.n END) AS b FROM d JOIN n ON d.c = n.c GROUP BY CD_CLIENTE, cluster),
+s AS (SELECT cluster, CASE WHEN own_n <= 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END AS s FROM ab)
+SELECT cluster, {r6('avg(s)', 9)} AS silhouette, count(*) AS n_rows FROM s GROUP BY cluster""",
+
+    "q_cohort_model": f"""WITH {BASE_CHAIN}, {TYPED}, {CL},
+learn AS (SELECT * FROM typed WHERE MRR_12M IS NOT NULL),
+med AS (SELECT {', '.join(f'median({c}) AS m_{c}' for c in NUMERIC)} FROM learn), {FILLED}, {FEATS},
+fl AS (SELECT f.* FROM feats f JOIN learn l ON f.CD_CLIENTE = l.CD_CLIENTE),
+st AS (SELECT {', '.join(f'avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}' for c in MODEL)} FROM fl),
+z AS (SELECT f.CD_CLIENTE, {', '.join(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - a_{c}) / s_{c} END AS z_{c}' for c in MODEL)}
+      FROM feats f, st),
+zc AS (SELECT z.*, cl.cluster, l.CD_CLIENTE IS NOT NULL AS learned FROM z JOIN cl ON z.CD_CLIENTE = cl.CD_CLIENTE
+       LEFT JOIN learn l ON z.CD_CLIENTE = l.CD_CLIENTE),
+cen AS (SELECT cluster AS c, {', '.join(f'avg(z_{c}) AS c_{c}' for c in MODEL)} FROM zc WHERE learned GROUP BY cluster),
+d AS (SELECT zc.CD_CLIENTE, zc.cluster, cen.c,
+             {' + '.join(f'(zc.z_{c} - cen.c_{c}) * (zc.z_{c} - cen.c_{c})' for c in MODEL)} AS dist
+      FROM zc, cen WHERE NOT learned),
+r AS (SELECT *, row_number() OVER (PARTITION BY CD_CLIENTE ORDER BY dist, c) AS rn FROM d)
+SELECT CD_CLIENTE, cluster, c AS nearest FROM r WHERE rn = 1""",
+
     "q_delimited": """SELECT CAST(c_custkey AS VARCHAR) AS k,
        CASE WHEN c_custkey % 10 = 5 THEN NULL WHEN c_custkey % 10 = 6 THEN 'São;' || c_name ELSE 'São ' || c_name END AS name,
        CASE WHEN c_custkey % 10 IN (4, 5, 7) THEN NULL ELSE c_mktsegment END AS segment

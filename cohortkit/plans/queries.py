@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,9 +23,11 @@ from ..functions.dates import parse_date, tenure_months
 from ..functions.numbers import parse_number, to_double
 from ..operators import cluster as CL
 from ..operators import features as FE
+from ..operators import model as MD
 from ..operators import recommend as RC
 from ..operators import relational as RL
 from ..operators import reports as RP
+from ..operators import silhouette as SI
 from ..operators.quantiles import exact_quantiles
 from ..session import scratch_path
 from ..sources import tables as T
@@ -353,6 +356,25 @@ def q_silhouette(spark, sf):
     return rounded(CL.silhouette(z, zc))
 
 
+def q_silhouette_euclidean(spark, sf):
+    """ML4: plain Euclidean silhouette of each region cohort; exact for cohorts of at most
+    ``spec.SILHOUETTE_POINTS`` clients, else estimated."""
+    feats, z = _scaled_with_regions(spark, sf)
+    zc = [c for c in z.columns if c.startswith("z_")]
+    return rounded(SI.euclidean_silhouette(z, zc, key=spec.KEY), 9)
+
+
+def q_cohort_model(spark, sf):
+    """ML6, ML3: features and cohort centres learned from the clients with revenue in the last twelve months,
+    saved, read again, and the other clients scored."""
+    base = _base_with_regions(spark, sf)
+    stages = [MD.FeaturePreparation(asOf=T.AS_OF), MD.GivenCohorts(labelCol=spec.CLUSTER, predictionCol="nearest")]
+    path = scratch_path(spark, "cohort-model")
+    Pipeline(stages=stages).fit(base.where(F.col(spec.MRR).isNotNull())).write().save(path)
+    model = PipelineModel.load(path)
+    return model.transform(base.where(F.col(spec.MRR).isNull())).select(spec.KEY, spec.CLUSTER, "nearest")
+
+
 def _run(spark, sf):
     etl = driver_etl(spark, sf)
     return run_clustering(etl.base, etl.clients, T.AS_OF)

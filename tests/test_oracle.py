@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
 import math
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -8,14 +9,13 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    for t in Path(SF).glob("*.parquet"):
+        c.execute(f"CREATE VIEW {t.stem} AS SELECT * FROM read_parquet('{t}')")
     return c
 
 
