@@ -38,11 +38,12 @@ def main(argv: list[str] | None = None) -> None:
     e = sub.add_parser("etl")
     e.add_argument("raw_root")
     e.add_argument("out_root")
+    e.add_argument("--file-order", action="store_true", help="keep the first row of a client as the extracts have them")
     c = sub.add_parser("cohorts")
     c.add_argument("base_path")
     c.add_argument("clients_path")
     c.add_argument("out_root")
-    c.add_argument("--tables", help="folder of vendas_tratado and nps_tratado: builds BASE_PATH where it is absent")
+    c.add_argument("--tables", help="folder of vendas_tratado and nps_tratado: builds BASE_PATH where it is absent or they have changed")
     d = sub.add_parser("driver")
     d.add_argument("sf_dir")
     d.add_argument("out_root")
@@ -55,7 +56,7 @@ def main(argv: list[str] | None = None) -> None:
 
     if a.cmd == "etl":
         from .plans.jobs import run_etl
-        out = run_etl(spark, a.raw_root, a.out_root)
+        out = run_etl(spark, a.raw_root, a.out_root, file_order=a.file_order)
     elif a.cmd == "driver":
         from .plans.cohort_run import run_all
         from .sources.tables import AS_OF
@@ -71,7 +72,8 @@ def main(argv: list[str] | None = None) -> None:
             side = lambda name: spark.read.parquet(f"{a.tables.rstrip('/')}/{name}")
             return analytic_base(clients, side("vendas_tratado"), side("nps_tratado"))
 
-        base = load_or_build(spark, a.base_path, build) if a.tables else spark.read.parquet(a.base_path)
+        made_from = [a.clients_path, *(f"{(a.tables or '').rstrip('/')}/{name}" for name in ("vendas_tratado", "nps_tratado"))]
+        base = load_or_build(spark, a.base_path, build, inputs=made_from) if a.tables else spark.read.parquet(a.base_path)
         run = run_clustering(base, clients, a.as_of, ks=tuple(int(k) for k in a.ks.split(",")),
                              seed=a.seed)
         root = a.out_root.rstrip("/")

@@ -23,6 +23,7 @@ from ..functions.numbers import to_double
 from ..functions.text import is_open_status
 from ..operators.relational import (distinct_rows, drop_empty, first_per_key, left_join,
                                     union_sources)
+from ..sources.fingerprint import input_fingerprint, store_fingerprint, stored_fingerprint
 from ..sources.sinks import quarantine, write_table
 
 
@@ -85,8 +86,25 @@ def sales(revenue: DataFrame, contracts: DataFrame, number_style: str = "comma")
         return JobResult(None, {"mrr": revenue, "contratacoes": contracts})
     # distinct(A join B) == distinct(A) join distinct(B) for an equi-join; deduping
     # the inputs first keeps duplicate rows from fanning out through the join.
-    joined = left_join(distinct_rows(revenue), distinct_rows(contracts), spec.KEY)
-    return JobResult(drop_empty(joined))
+    joined = left_join(_distinct(revenue), _distinct(contracts, "_1"), spec.KEY)
+    return JobResult(_drop_empty(joined))
+
+
+def _order_columns(df: DataFrame) -> list[str]:
+    """Columns of the rows' places in their extracts, if the extracts were read with them."""
+    return sorted(c for c in df.columns if c.startswith(spec.ROW_ORDER))
+
+
+def _distinct(df: DataFrame, suffix: str = "") -> DataFrame:
+    """Full-row distinct; where rows have a place, the first of equal rows keeps its own, under a name of its side."""
+    if spec.ROW_ORDER not in df.columns:
+        return distinct_rows(df)
+    rest = [c for c in df.columns if c != spec.ROW_ORDER]
+    return df.groupBy(*[F.col(f"`{c}`") for c in rest]).agg(F.min(spec.ROW_ORDER).alias(spec.ROW_ORDER + suffix))
+
+
+def _drop_empty(df: DataFrame) -> DataFrame:
+    return drop_empty(df, [c for c in df.columns if c not in _order_columns(df)])
 
 
 def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | None,
@@ -101,16 +119,16 @@ def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | Non
     if spec.KEY not in master.columns:
         return JobResult(None, {"dados_clientes": master})
     q: dict[str, DataFrame] = {}
-    df = distinct_rows(master)
-    for name, side in (("clientes_desde", since), ("historico", history)):
+    df = _distinct(master)
+    for i, (name, side) in enumerate((("clientes_desde", since), ("historico", history)), 1):
         if side is None:
             continue
         side = unify_key(side)
         if spec.KEY in side.columns:
-            df = left_join(df, distinct_rows(side), spec.KEY)
+            df = left_join(df, _distinct(side, f"_{i}"), spec.KEY)
         else:
             q[name] = side
-    return JobResult(drop_empty(df), q)
+    return JobResult(_drop_empty(df), q)
 
 
 def telemetry(frames: Mapping[str, DataFrame], origin_col: str = spec.TELEMETRY_ORIGIN) -> DataFrame:
@@ -131,16 +149,21 @@ def analytic_base(clients_df: DataFrame, sales_df: DataFrame | None, surveys_df:
                   order_by: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """One row per client: profile columns, sales columns, mean score.
 
-    Duplicate clients keep their first row under ``order_by[table]``
-    (default: all kept columns, i.e. the smallest row).
+    Duplicate clients keep their first row under ``order_by[table]`` (default: as
+    the rows stand in their extracts, where these were read with row numbers;
+    else all kept columns, i.e. the smallest row).
     """
     order_by = dict(order_by or {})
-    cl = select_present(unify_key(clients_df), spec.CLIENT_COLUMNS, "table")
-    cl = first_per_key(cl, spec.KEY, order_by.get("clients") or cl.columns)
-    base = cl
+
+    def first(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
+        df = unify_key(df)
+        kept, places = select_present(df, columns, "table").columns, _order_columns(df)
+        order = order_by.get(table) or [*places, *kept]
+        return first_per_key(df.select(*kept, *places), spec.KEY, order).select(*kept)
+
+    base = first(clients_df, spec.CLIENT_COLUMNS, "clients")
     if sales_df is not None:
-        sa = select_present(unify_key(sales_df), spec.SALES_COLUMNS, "table")
-        sa = first_per_key(sa, spec.KEY, order_by.get("sales") or sa.columns)
+        sa = first(sales_df, spec.SALES_COLUMNS, "sales")
         base = base.join(sa.where(F.col(spec.KEY).isNotNull()), spec.KEY, "left")
     if surveys_df is not None:
         base = base.join(score_by_client(unify_key(surveys_df)), spec.KEY, "left")
@@ -149,11 +172,25 @@ def analytic_base(clients_df: DataFrame, sales_df: DataFrame | None, surveys_df:
     return base
 
 
-def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-                  reuse: bool = True, fmt: str = "parquet") -> DataFrame:
-    """Read the table at ``path`` if there is one (and ``reuse``), else build,
-    write and read it back. Only an absent path leads to building: a table
-    that is there and cannot be read raises, and is not overwritten."""
+def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], reuse: bool = True,
+                  fmt: str = "parquet", inputs: Sequence[str | DataFrame] | None = None,
+                  params: Mapping | None = None) -> DataFrame:
+    """Read the table at ``path`` if it may be used again (and ``reuse``), else
+    build, write and read it back.
+
+    With ``inputs`` (paths or DataFrames that ``build`` reads) and ``params`` (what else its
+    result depends on) a table is used again only if their fingerprint is the
+    one stored with it: changed, added or removed files, another schema or
+    another parameter lead to building, as does a table without a fingerprint.
+    Without ``inputs`` any table that is there is used; only an absent path leads to
+    building. A table that is there and cannot be read raises, and is not
+    overwritten, unless its inputs have changed."""
+    if inputs is not None:
+        now = input_fingerprint(spark, inputs, params)
+        if not (reuse and stored_fingerprint(spark, path) == now):
+            write_table(build(), path, fmt)
+            store_fingerprint(spark, path, now)
+        return spark.read.format(fmt).load(path)
     if reuse:
         try:
             return spark.read.format(fmt).load(path)
@@ -165,18 +202,23 @@ def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
 
 
 def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
-            number_style: str = "comma") -> dict[str, str]:
+            number_style: str = "comma", file_order: bool = False) -> dict[str, str]:
     """Entry A: every extract under ``raw_root`` -> cleaned tables and the
     analytic base under ``out_root``. Returns {table: path or reason}: each
     extract that is absent or unreadable is named as ``skipped:<name>`` with
     the reason, and each table that cannot be built without it as
-    ``missing:<table>``; all others are built."""
+    ``missing:<table>``; all others are built.
+
+    ``file_order``: of several rows of a client the base keeps the first as they stand in
+    the extracts, not the smallest; the client and sales tables then have the
+    rows' places in columns beginning with ``spec.ROW_ORDER``."""
     from ..sources.delimited import read_delimited, read_sources
     reader = reader or read_delimited
+    placed = (lambda *a, **kw: reader(*a, row_number=spec.ROW_ORDER, **kw)) if file_order else reader
     done: dict[str, str] = {}
     out = out_root.rstrip("/")
 
-    def read(names: Sequence[str]) -> dict[str, DataFrame]:
+    def read(names: Sequence[str], reader=reader) -> dict[str, DataFrame]:
         frames, skipped = read_sources(spark, raw_root, names, reader=reader)
         done.update({f"skipped:{name}": why for name, why in skipped.items()})
         return frames
@@ -194,7 +236,7 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
             done["tickets_agg_organizacao"] = write_table(tickets_by_org(t),
                                                           f"{out}/tickets_agg_organizacao")
 
-    sa = read(spec.SALES_SOURCES)
+    sa = read(spec.SALES_SOURCES, placed)
     sales_df = None
     if len(sa) < 2:
         done["missing:vendas_tratado"] = "needs " + " and ".join(spec.SALES_SOURCES)
@@ -207,7 +249,7 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
             done["vendas_tratado"] = write_table(sales_df, f"{out}/vendas_tratado")
 
     master, since, history = spec.CLIENT_SOURCES
-    cl = read(spec.CLIENT_SOURCES)
+    cl = read(spec.CLIENT_SOURCES, placed)
     if master not in cl:
         done["missing:clientes_tratado"] = f"needs {master}"
     else:

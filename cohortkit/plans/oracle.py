@@ -357,6 +357,19 @@ SELECT CD_CLIENTE, cluster, c AS nearest FROM r WHERE rn = 1""",
        CASE WHEN c_custkey % 10 IN (4, 5, 7) THEN NULL ELSE c_mktsegment END AS segment
 FROM customer WHERE c_custkey % 10 <> 3""",
 
+    "q_first_in_file": f"""WITH r AS (
+  SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS row_number FROM orders),
+f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY row_number) AS rn FROM r)
+SELECT CAST(o_custkey AS VARCHAR) AS CD_CLIENTE, CAST(o_orderkey AS VARCHAR) AS pedido, o_orderstatus AS DS_SEGMENTO,
+       {r6('round(o_totalprice, 2)')} AS VL_TOTAL_CONTRATO, row_number FROM f WHERE rn = 1""",
+    "q_quoted_breaks": """SELECT CAST(c_custkey AS VARCHAR) AS k,
+       CASE WHEN c_custkey % 3 = 0 THEN 'said "' || c_name || '";' || chr(10) || chr(10) || ' k=' || c_custkey || ';' || chr(10)
+            ELSE c_name END AS name, c_mktsegment AS segment FROM customer""",
+    "q_load_or_build": """SELECT c_custkey AS k, c_name AS name, CAST(2 AS INTEGER) AS builds FROM customer
+UNION ALL SELECT -s_suppkey, s_name, 2 FROM supplier""",
+    "q_published": """WITH j AS (SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
+SELECT c_custkey, n_name, CASE WHEN n_name IS NOT NULL THEN count(*) OVER (PARTITION BY n_name) END AS clients FROM j""",
+
     "q_sales_many": f"""WITH r AS (SELECT DISTINCT o_custkey AS CLIENTE, o_orderstatus, o_totalprice AS MRR_12M FROM orders
                    WHERE o_orderkey % 3 = 0),
 c AS (SELECT DISTINCT o_custkey AS ID_CLIENTE, o_orderstatus, o_totalprice AS VLR_CONTRATACOES_12M FROM orders

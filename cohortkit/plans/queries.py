@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException as SparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from ..operators.quantiles import exact_quantiles
 from ..session import scratch_path
 from ..sources import tables as T
 from ..sources.delimited import read_delimited
+from ..sources.publish import clear_unpublished, publish, read_published
 from . import jobs
 from .cohort_run import driver_etl, driver_ownership, run_clustering
 
@@ -139,6 +141,80 @@ def q_delimited(spark, sf):
     return read_delimited(spark, folder).select("k", "name", "segment")
 
 
+def q_first_in_file(spark, sf):
+    """DED2 in file order: orders rendered as a client extract of several files, and per client the row that
+    stands first there, with its number."""
+    folder = scratch_path(spark, "extract")
+    o = T.table(spark, sf, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    line = F.concat_ws(";", "o_custkey", "o_orderkey", "o_orderstatus", F.translate(F.format_number("o_totalprice", 2), ".,", ","))
+    (o.orderBy(F.col("o_totalprice").desc(), "o_orderkey").select(line.alias("CLIENTE;pedido;DS_SEGMENTO;VL_TOTAL_CONTRATO"))
+     .write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(folder))
+    rows = read_delimited(spark, folder, row_number=spec.ROW_ORDER)
+    base = jobs.analytic_base(jobs.clients(rows, None, None).frame, None, None)
+    first = RL.first_per_key(rows, "CLIENTE", [spec.ROW_ORDER]).select(
+        F.col("CLIENTE").alias(spec.KEY), "pedido", F.col(spec.ROW_ORDER).alias("row_number"))
+    return rounded(base.drop(spec.SCORE_MEAN).join(first, spec.KEY))
+
+
+def _headed(header: str):
+    """Puts a header before each partition's lines."""
+    def run(batches):
+        import pyarrow as pa
+        for i, batch in enumerate(batches):
+            if i == 0:
+                yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], schema=batch.schema)
+            yield batch
+    return run
+
+
+def q_quoted_breaks(spark, sf):
+    """SRC1 with line breaks in quoted fields, read by many tasks a file."""
+    folder = scratch_path(spark, "extract")
+    c = T.table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
+    k, quote = F.col("c_custkey"), F.lit('"')
+    text = F.concat(quote, F.lit("said "), F.lit('""'), "c_name", F.lit('"";\n\n k='), k, F.lit(";\n"), quote)
+    name = F.when(k % 3 == 0, text).when(k % 3 == 1, F.concat(quote, "c_name", quote)).otherwise(F.col("c_name"))
+    lines = c.select(F.concat_ws(";", k, name, F.coalesce("c_mktsegment", F.lit(""))).alias("value"))
+    lines.mapInArrow(_headed("k;name;segment"), "value string").write.text(folder)
+    return read_delimited(spark, folder, multi_line="split").select("k", "name", "segment")
+
+
+def q_load_or_build(spark, sf):
+    """SRC9: a table of clients is built, used again, and built again once its extract has a file more."""
+    folder, path, builds = scratch_path(spark, "extract"), scratch_path(spark, "stage"), []
+
+    def build():
+        builds.append(1)
+        return spark.read.parquet(folder).withColumn("builds", F.lit(len(builds)))
+
+    T.table(spark, sf, "customer").select("c_custkey", "c_name").toDF("k", "name").write.parquet(folder)
+    for _ in range(2):
+        jobs.load_or_build(spark, path, build, inputs=[folder], params={"as_of": T.AS_OF})
+    T.table(spark, sf, "supplier").select(-F.col("s_suppkey"), "s_name").toDF("k", "name").write.mode("append").parquet(folder)
+    return jobs.load_or_build(spark, path, build, inputs=[folder], params={"as_of": T.AS_OF})
+
+
+def q_published(spark, sf):
+    """SNK1, SNK6: two tables are published, a second publication fails on the way, a third one succeeds for one
+    table more; what readers get after each."""
+    root = scratch_path(spark, "published")
+    c = T.table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    n = T.table(spark, sf, "nation", "n_nationkey", "n_name")
+    publish(spark, {"clients": c, "states": n}, root)
+    broken = c.withColumn("c_nationkey", F.when(F.col("c_custkey") < 0, 0).otherwise(F.raise_error(F.lit("lost")).cast("int")))
+    try:
+        publish(spark, {"states": n.limit(0), "clients": broken}, root)
+        raise AssertionError("a broken table was published")
+    except SparkException:
+        pass
+    after = read_published(spark, root, "clients").join(F.broadcast(read_published(spark, root, "states")),  # nation: 25 rows
+                                                        F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    clear_unpublished(spark, root)
+    publish(spark, {"clients": after.select("c_custkey", "n_name"), "per_state": after.groupBy("n_name").count()}, root)
+    again = read_published(spark, root, "per_state").select("n_name", F.col("count").alias("clients"))
+    return read_published(spark, root, "clients").join(F.broadcast(again), "n_name", "left")  # a row per nation
+
+
 # --- ETL jobs -------------------------------------------------------------------
 
 def q_surveys(spark, sf):

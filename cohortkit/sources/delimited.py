@@ -17,11 +17,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import spec
+from ..operators.relational import checked_broadcast
+from ..session import materialize
+from .quoted import AT, BLOCK, FILE, quoted_records
 
 OVERFLOW = "_overflow"
 RAW = "_raw"
@@ -86,39 +89,73 @@ def file_encodings(spark: SparkSession, paths: str | Sequence[str]) -> dict[str,
     return {f: r["encoding"] for r in file_layouts(spark, paths).collect() for f in r["files"]}
 
 
-def _read(spark, paths, columns, sep, encoding, multi_line):
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(OVERFLOW, T.StringType()), T.StructField(RAW, T.StringType())])
-    df = (spark.read.schema(schema)
-          .option("header", True).option("enforceSchema", True)
-          .option("sep", sep).option("quote", '"').option("escape", '"')
-          .option("encoding", encoding).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
-          .option("multiLine", multi_line)
-          .csv(paths))
+def _read(spark, paths, columns, sep, encoding, multi_line, place=False):
+    options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW}
+    if multi_line == "split":
+        # Plain names: the schema is parsed from text. The first record of a file is its header.
+        schema = ", ".join(f"c{i} string" for i in range(len(columns))) + f", {OVERFLOW} string, {RAW} string"
+        records = quoted_records(spark, paths, sep, encoding).where("block > 0 OR at > 0")
+        df = records.select(F.col("file").alias(FILE), F.col("block").alias(BLOCK), F.col("at").alias(AT),
+                            F.from_csv("text", schema, options).alias("r"))
+        df = df.select(FILE, BLOCK, AT, *[F.col(f"r.c{i}").alias(c) for i, c in enumerate(columns)], f"r.{OVERFLOW}", f"r.{RAW}")
+        where = [FILE, BLOCK, AT]
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                              + [T.StructField(OVERFLOW, T.StringType()), T.StructField(RAW, T.StringType())])
+        df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+              .option("encoding", encoding).options(**options).option("multiLine", multi_line).csv(paths))
+        where = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
+                 F.monotonically_increasing_id().alias(AT)]
     outside = F.regexp_replace(RAW, '"[^"]*"', "")
     fields = F.length(outside) - F.length(F.replace(outside, F.lit(sep), F.lit(""))) + 1
     rows = df.where(F.col(OVERFLOW).isNull() & F.col(RAW).isNotNull() & (fields <= len(columns)))
-    return rows.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in columns])
+    values = [F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in columns]
+    return rows.select(*values, *(where if place else []))
+
+
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Rows with their number in place of file, block and place in the block: the rows of the blocks before
+    (files by path, blocks by begin) and those before it in its block."""
+    written = materialize(rows, "placed-rows")
+    # A block is read by one task in its order, so places in it ascend; records mended at its end come last.
+    starts = written.groupBy(FILE, BLOCK).agg(F.count(F.lit(1)).alias("__n"), F.min(AT).alias("__first"), F.max(AT).alias("__last"))
+    before = Window.orderBy(FILE, BLOCK).rowsBetween(Window.unboundedPreceding, -1)  # a row per block
+    above = starts.withColumn("__above", F.coalesce(F.sum(F.col("__last") - F.col("__first") + 1).over(before), F.lit(0)))
+    here = checked_broadcast(above.select(F.col(FILE).alias("__f"), F.col(BLOCK).alias("__b"), "__first", "__above"))
+    joined = written.join(here, (F.col(FILE) == F.col("__f")) & (F.col(BLOCK) == F.col("__b")))
+    number = (F.col("__above") + F.col(AT) - F.col("__first")).cast("long").alias(name)
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns if c not in (FILE, BLOCK, AT)], number)
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str | None = None,
-                   multi_line: bool = False) -> DataFrame:
+                   multi_line: bool | str = False, row_number: str | None = None) -> DataFrame:
     """Read one extract: a file, or a folder of files.
 
     ``encoding=None`` decides per file (UTF-8 if valid, else Latin-1); pass
     'UTF-8' or 'ISO-8859-1' to force one. Files are read in groups of one
     encoding and one header line, and put together by column name: columns
     may stand in another order in another file.
+
+    Fields with line breaks in quotes need ``multi_line``: 'split' lets many
+    tasks read one file (lines end with ``\\n`` or ``\\r\\n``), True reads each
+    file in one task.
+
+    ``row_number`` names a column for the rows' order in the extract: ascending
+    numbers, files by path and rows as they stand in them, however the files
+    are split. The rows are written once for it. Within a block the numbers of
+    skipped lines may be left out or not.
     """
     groups = [(r["encoding"], r["files"]) for r in file_layouts(spark, path).orderBy("encoding", "header").collect()]
+    place = row_number is not None
     if not groups:  # no lines at all
-        return _read(spark, path, header_columns(spark, path, sep), sep, "UTF-8", multi_line)
+        out = _read(spark, path, header_columns(spark, path, sep), sep, "UTF-8", multi_line is True, place)
+        return _numbered(out, row_number) if place else out
     out = None
     for enc, files in groups:
         cs = encoding or ENCODINGS[enc]
-        part = _read(spark, files, header_columns(spark, files[0], sep, cs), sep, cs, multi_line)
+        part = _read(spark, files, header_columns(spark, files[0], sep, cs), sep, cs, multi_line, place)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    return _numbered(out, row_number) if place else out
 
 
 def read_sources(spark: SparkSession, root: str, names: Iterable[str], suffix: str = spec.EXTRACT_SUFFIX,
