@@ -20,27 +20,35 @@ def unify_key(df: DataFrame, key: str = spec.KEY,
     No-op when ``key`` already exists or no alias is present. The alias
     column itself is kept, as the source project does.
     """
-    present = [a for a in aliases if a in df.columns]
-    if not present or key in df.columns:
-        return df
-    return df.withColumn(key, F.col(present[0]))
+    source = key_source(df.columns, key, aliases)
+    return df if source is None else df.withColumn(key, F.col(source))
+
+
+def key_source(columns: Sequence[str], key: str = spec.KEY, aliases: Sequence[str] = spec.KEY_ALIASES) -> str | None:
+    """The alias that ``key`` is to be copied from; None if there is none, or the key is there."""
+    present = [a for a in aliases if a in columns]
+    return present[0] if present and key not in columns else None
 
 
 def resolve_score(df: DataFrame, aliases: Iterable[str] = spec.SCORE_ALIASES,
                   target: str = spec.SCORE) -> DataFrame:
     """Rename the first column (in table order) whose lower-case name is an
     alias to ``target``. Two candidates that would collide raise."""
+    first = score_source(df.columns, aliases, target)
+    return df if first is None else df.withColumnRenamed(first, target)
+
+
+def score_source(columns: Sequence[str], aliases: Iterable[str] = spec.SCORE_ALIASES, target: str = spec.SCORE) -> str | None:
+    """The column that is to be named ``target``; None if there is none, or it has the name."""
     wanted = {a.lower() for a in aliases}
-    candidates = [c for c in df.columns if c.lower() in wanted]
-    if not candidates:
-        return df
+    candidates = [c for c in columns if c.lower() in wanted]
+    if not candidates or candidates[0] == target:
+        return None
     first = candidates[0]
-    if first == target:
-        return df
-    clash = [c for c in df.columns if c.lower() == target.lower() and c != first]
+    clash = [c for c in columns if c.lower() == target.lower() and c != first]
     if clash:
         raise ValueError(f"score column {first!r} would collide with existing {clash[0]!r}")
-    return df.withColumnRenamed(first, target)
+    return first
 
 
 def find_duration_column(columns: Iterable[str], stem: str = spec.DURATION_STEM,

@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,32 +82,41 @@ def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features
 def _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_col, points) -> BestK:
     evaluator = ClusteringEvaluator(featuresCol=vector, predictionCol="__pred",
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
+    data.count()  # stored once, before the fits share it
+
+    def fit(k: int, s: int) -> KMeansModel:
+        return KMeans(k=k, seed=s, maxIter=max_iter, featuresCol=vector, predictionCol="__pred").fit(data)
+
+    def score(model: KMeansModel) -> float:
+        labelled = model.transform(data)
+        if points is None:
+            return evaluator.evaluate(labelled)
+        rows = labelled.select(key, vector_to_array(vector).alias("__x"), "__pred")
+        return overall(euclidean_silhouette(rows, ["__x"], "__pred", key, points, seed)).first()["silhouette"]
+
+    # All fits are independent jobs over one stored input: they run side by side and fill the cluster.
+    spark, usable = data.sparkSession, [k for k in ks if n > k]
+    with ThreadPoolExecutor(spec.PARALLEL_FITS) as pool:
+        run = lambda f, *args: pool.submit(inheritable_thread_target(spark)(f), *args)
+        fits = {k: [run(fit, k, s) for s in range(seed, seed + max(1, n_starts))] for k in usable}
+        starts = {k: [f.result() for f in fits[k]] for k in usable}
+        models = {k: min(starts[k], key=lambda m: m.summary.trainingCost) for k in usable}  # the first of equal costs
+        scored = {k: run(score, m) for k, m in models.items() if sum(1 for z in m.summary.clusterSizes if z > 0) >= 2}
+        found = {k: f.result() for k, f in scored.items()}
     best, best_score, best_k, scores = None, -1.0, None, []
     for k in ks:
-        if n <= k:
+        if k not in models:
             scores.append({"k": k, "silhouette": None, "cost": None, "skipped": f"{n} rows <= k"})
             continue
-        model = None
-        for s in range(seed, seed + max(1, n_starts)):
-            m = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol=vector,
-                       predictionCol="__pred").fit(data)
-            if model is None or m.summary.trainingCost < model.summary.trainingCost:
-                model = m
-        sizes = model.summary.clusterSizes
-        if sum(1 for z in sizes if z > 0) < 2:
-            scores.append({"k": k, "silhouette": None, "cost": model.summary.trainingCost,
-                           "skipped": "single cluster"})
+        model = models[k]
+        row = {"k": k, "silhouette": found.get(k), "cost": model.summary.trainingCost,
+               "starts": [m.summary.trainingCost for m in starts[k]]}
+        if k not in found:
+            scores.append(row | {"skipped": "single cluster"})
             continue
-        labelled = model.transform(data)
-        if points is None:
-            score = evaluator.evaluate(labelled)
-        else:
-            rows = labelled.select(key, vector_to_array(vector).alias("__x"), "__pred")
-            score = overall(euclidean_silhouette(rows, ["__x"], "__pred", key, points, seed)).first()["silhouette"]
-        scores.append({"k": k, "silhouette": score, "cost": model.summary.trainingCost,
-                       "sizes": list(sizes)})
-        if score > best_score:
-            best, best_score, best_k = model, score, k
+        scores.append(row | {"sizes": list(model.summary.clusterSizes)})
+        if found[k] > best_score:
+            best, best_score, best_k = model, found[k], k
     if best is None:
         raise ValueError(f"no k in {list(ks)} could be scored: {scores}")
     labelled = renumber(best, best.transform(stored), cluster_col)

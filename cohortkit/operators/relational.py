@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import spec
 from ..functions.columns import rename_clashes
@@ -58,6 +61,41 @@ def union_sources(frames: Mapping[str, DataFrame], origin_col: str | None = None
         out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
     return out
 
+
+@dataclass(frozen=True)
+class Routed:
+    """Several sources that are parts of one table: per source a condition on its rows and its columns by
+    name. As many sources as there are, the table is scanned once."""
+
+    frame: DataFrame
+    routes: Mapping[str, tuple[Column, Mapping[str, Column]]]
+
+    def rename(self, sources: Callable[[str], str] | None = None,
+               columns: Callable[[dict[str, Column]], dict[str, Column]] | None = None) -> Routed:
+        """With other source names, or other columns of each."""
+        return Routed(self.frame, {sources(n) if sources else n: (where, columns(dict(cols)) if columns else cols)
+                                   for n, (where, cols) in self.routes.items()})
+
+    def frames(self) -> dict[str, DataFrame]:
+        """The sources as frames of their own, each with a scan."""
+        return {n: self.frame.where(where).select(*[v.alias(c) for c, v in cols.items()]) for n, (where, cols) in self.routes.items()}
+
+    def union(self, origin_col: str) -> DataFrame:
+        """As :func:`union_sources` of the sources without their all-NULL rows: a row is in every
+        source whose condition it meets."""
+        types: dict[str, T.DataType] = {}
+        for _, cols in self.routes.values():
+            for f in self.frame.select(*[v.alias(c) for c, v in cols.items()]).schema.fields:
+                types.setdefault(f.name, f.dataType)
+
+        def row(name: str, cols: Mapping[str, Column]) -> Column:
+            return F.struct(*[cols.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()], F.lit(name).alias(origin_col))
+
+        rows = [F.when(where & reduce(Column.__or__, [v.isNotNull() for v in cols.values()]), row(n, cols))
+                for n, (where, cols) in self.routes.items()]
+        return self.frame.select(F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull())))
+
+
 def left_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
               null_safe: bool = False, suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Left join on key column(s); clashing non-key columns get suffixes.

@@ -13,15 +13,15 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import spec
-from ..functions.columns import (find_duration_column, require_columns, resolve_score,
-                                 select_present, unify_key)
+from ..functions.columns import (find_duration_column, key_source, require_columns, resolve_score,
+                                 score_source, select_present, unify_key)
 from ..functions.numbers import to_double
 from ..functions.text import is_open_status
-from ..operators.relational import (distinct_rows, drop_empty, first_per_key, left_join,
+from ..operators.relational import (Routed, distinct_rows, drop_empty, first_per_key, left_join,
                                     union_sources)
 from ..sources.fingerprint import input_fingerprint, store_fingerprint, stored_fingerprint
 from ..sources.sinks import quarantine, write_table
@@ -33,11 +33,25 @@ class JobResult:
     quarantined: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def surveys(frames: Mapping[str, DataFrame], origin_col: str = spec.SURVEY_ORIGIN,
+def _keyed(columns: dict[str, Column]) -> dict[str, Column]:
+    source = key_source(list(columns))
+    return columns if source is None else columns | {spec.KEY: columns[source]}
+
+
+def _scored(columns: dict[str, Column]) -> dict[str, Column]:
+    source = score_source(list(columns))
+    return {spec.SCORE if c == source else c: v for c, v in columns.items()}
+
+
+def surveys(frames: Mapping[str, DataFrame] | Routed, origin_col: str = spec.SURVEY_ORIGIN,
             score_style: str = "plain") -> DataFrame:
-    """Union of survey extracts, keyed and with a numeric ``NPS`` column."""
-    prepared = {name: resolve_score(unify_key(drop_empty(df))) for name, df in frames.items()}
-    out = distinct_rows(union_sources(prepared, origin_col))
+    """Union of survey extracts, keyed and with a numeric ``NPS`` column. Extracts that are parts of one
+    table (``Routed``) are read in one scan."""
+    if isinstance(frames, Routed):
+        out = distinct_rows(frames.rename(columns=lambda c: _scored(_keyed(c))).union(origin_col))
+    else:
+        prepared = {name: resolve_score(unify_key(drop_empty(df))) for name, df in frames.items()}
+        out = distinct_rows(union_sources(prepared, origin_col))
     if spec.SCORE in out.columns:
         out = out.withColumn(spec.SCORE, to_double(out, spec.SCORE, score_style))
     return out
@@ -131,8 +145,10 @@ def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | Non
     return JobResult(_drop_empty(df), q)
 
 
-def telemetry(frames: Mapping[str, DataFrame], origin_col: str = spec.TELEMETRY_ORIGIN) -> DataFrame:
+def telemetry(frames: Mapping[str, DataFrame] | Routed, origin_col: str = spec.TELEMETRY_ORIGIN) -> DataFrame:
     """Union of telemetry extracts, each keyed on its own, tagged by its file name."""
+    if isinstance(frames, Routed):
+        return distinct_rows(frames.rename(lambda name: f"{name}{spec.EXTRACT_SUFFIX}", _keyed).union(origin_col))
     prepared = {f"{name}{spec.EXTRACT_SUFFIX}": unify_key(drop_empty(df)) for name, df in frames.items()}
     return distinct_rows(union_sources(prepared, origin_col))
 
@@ -270,4 +286,8 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
         done["base_analitica"] = write_table(base, f"{out}/base_analitica")
     else:
         done["missing:base_analitica"] = "needs clientes_tratado"
+    # What was not read or not built, and what was set aside, as a table: kind, name, reason (for what is set aside, its place).
+    told = [(*k.split(":", 1), v) for k, v in done.items() if ":" in k]
+    report = spark.createDataFrame(told, "kind string, name string, reason string")
+    done["extract_report"] = write_table(report.coalesce(1), f"{out}/extract_report")
     return done

@@ -357,6 +357,8 @@ SELECT CD_CLIENTE, cluster, c AS nearest FROM r WHERE rn = 1""",
        CASE WHEN c_custkey % 10 IN (4, 5, 7) THEN NULL ELSE c_mktsegment END AS segment
 FROM customer WHERE c_custkey % 10 <> 3""",
 
+    "q_broken_extract": """SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, origin,
+       'absent,historico,mrr/zz-truncated.csv.gz' AS reported FROM customer, (VALUES ('mrr'), ('tickets')) o(origin)""",
     "q_first_in_file": f"""WITH r AS (
   SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS row_number FROM orders),
 f AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY row_number) AS rn FROM r)

@@ -9,6 +9,7 @@ customer's region as the given cohort.
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException as SparkException
@@ -32,7 +33,8 @@ from ..operators import silhouette as SI
 from ..operators.quantiles import exact_quantiles
 from ..session import scratch_path
 from ..sources import tables as T
-from ..sources.delimited import read_delimited
+from ..sources import store
+from ..sources.delimited import read_delimited, read_sources
 from ..sources.publish import clear_unpublished, publish, read_published
 from . import jobs
 from .cohort_run import driver_etl, driver_ownership, run_clustering
@@ -215,6 +217,22 @@ def q_published(spark, sf):
     return read_published(spark, root, "clients").join(F.broadcast(again), "n_name", "left")  # a row per nation
 
 
+def q_broken_extract(spark, sf):
+    """SRC3, SRC4: an extract of several files, one of them a truncated archive and one empty; the others are read and
+    the broken ones reported."""
+    root = scratch_path(spark, "extracts")
+    c = T.table(spark, sf, "customer", "c_custkey", "c_name")
+    lines = c.select(F.concat_ws(";", "c_custkey", "c_name").alias("value")).mapInArrow(_headed("k;name"), "value string")
+    lines.write.text(f"{root}/mrr.csv")
+    lines.write.option("compression", "gzip").text(f"{root}/tickets.csv")
+    whole = gzip.compress(b"k;name\n" + b"".join(b"%d;lost\n" % i for i in range(2000)))
+    store.write_bytes(spark, f"{root}/mrr.csv/zz-truncated.csv.gz", whole[:len(whole) // 2])
+    store.write_bytes(spark, f"{root}/historico.csv", b"")
+    frames, skipped = read_sources(spark, root, ["mrr", "tickets", "historico", "absent"])
+    told = ",".join(sorted(skipped))
+    return RL.union_sources(frames, "origin").withColumn("reported", F.lit(told))
+
+
 # --- ETL jobs -------------------------------------------------------------------
 
 def q_surveys(spark, sf):

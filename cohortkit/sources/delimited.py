@@ -16,7 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 from .. import spec
 from ..operators.relational import checked_broadcast
 from ..session import materialize
+from . import store
 from .quoted import AT, BLOCK, FILE, quoted_records
 
 OVERFLOW = "_overflow"
@@ -103,7 +105,9 @@ def _read(spark, paths, columns, sep, encoding, multi_line, place=False):
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                               + [T.StructField(OVERFLOW, T.StringType()), T.StructField(RAW, T.StringType())])
         df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-              .option("encoding", encoding).options(**options).option("multiLine", multi_line).csv(paths))
+              .option("encoding", encoding).options(**options).option("multiLine", multi_line)
+              .option("columnPruning", False)  # the raw line of a row is there only if all its fields are parsed
+              .csv(paths))
         where = [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
                  F.monotonically_increasing_id().alias(AT)]
     outside = F.regexp_replace(RAW, '"[^"]*"', "")
@@ -127,9 +131,9 @@ def _numbered(rows: DataFrame, name: str) -> DataFrame:
     return joined.select(*[F.col(f"`{c}`") for c in rows.columns if c not in (FILE, BLOCK, AT)], number)
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str | None = None,
+def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";", encoding: str | None = None,
                    multi_line: bool | str = False, row_number: str | None = None) -> DataFrame:
-    """Read one extract: a file, or a folder of files.
+    """Read one extract: a file, a folder of files, or a list of files.
 
     ``encoding=None`` decides per file (UTF-8 if valid, else Latin-1); pass
     'UTF-8' or 'ISO-8859-1' to force one. Files are read in groups of one
@@ -148,6 +152,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str
     groups = [(r["encoding"], r["files"]) for r in file_layouts(spark, path).orderBy("encoding", "header").collect()]
     place = row_number is not None
     if not groups:  # no lines at all
+        path = path if isinstance(path, str) else list(path)
         out = _read(spark, path, header_columns(spark, path, sep), sep, "UTF-8", multi_line is True, place)
         return _numbered(out, row_number) if place else out
     out = None
@@ -158,16 +163,55 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";", encoding: str
     return _numbered(out, row_number) if place else out
 
 
+def _reason(e: Exception) -> str:
+    """The innermost cause that the error names, else its first line."""
+    lines = [x.strip() for x in str(e).splitlines() if x.strip()]
+    causes = [x for x in lines if x.startswith("Caused by: ")]
+    return (causes[-1].removeprefix("Caused by: ") if causes else lines[0] if lines else type(e).__name__)[:500]
+
+
+def broken_files(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """{file: reason} of the files that cannot be read to their end, or have no line."""
+    out = {}
+    for f in files:  # a job per file; asked for only when their extract has failed as a whole
+        try:
+            if not file_layouts(spark, f).collect():
+                out[f] = "no lines"
+        except (PySparkException, Py4JJavaError) as e:
+            out[f] = _reason(e)
+    return out
+
+
 def read_sources(spark: SparkSession, root: str, names: Iterable[str], suffix: str = spec.EXTRACT_SUFFIX,
                  reader=read_delimited, **kw) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Read each named extract under ``root``; a missing or unreadable one is
-    skipped and reported (name -> error), not fatal."""
+    skipped and reported (name -> error), not fatal.
+
+    The reader looks through all files once to tell their encodings, so a file that breaks
+    off (a truncated archive, say) is found here. Of an extract of several files
+    the others are read, and the broken ones reported as ``name/file``. One without any line
+    is skipped.
+    """
     frames: dict[str, DataFrame] = {}
     skipped: dict[str, str] = {}
     for name in names:
         path = f"{root.rstrip('/')}/{name}{suffix}"
         try:
-            frames[name] = reader(spark, path, **kw)
+            frame = reader(spark, path, **kw)
         except AnalysisException as e:
             skipped[name] = str(e).splitlines()[0]
+            continue
+        except (PySparkException, Py4JJavaError) as e:
+            files = store.files(spark, path)
+            broken = broken_files(spark, files) if len(files) > 1 else {}
+            good = [f for f in files if f not in broken]
+            if not broken or not good:
+                skipped[name] = _reason(e)
+                continue
+            skipped |= {f"{name}/{f.rpartition('/')[2]}": why for f, why in broken.items()}
+            frame = reader(spark, good, **kw)
+        if frame.columns:
+            frames[name] = frame
+        else:
+            skipped[name] = "no lines"
     return frames, skipped

@@ -10,12 +10,25 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """The file at a path, or the files in a folder that Spark's readers see."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    found = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(p) if s.isFile()]
+    return sorted(f for name, f in found if not name.startswith(("_", ".")))
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Writes a file; one that is there is replaced."""
+    write_bytes(spark, path, text.encode())
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Writes a small file; one that is there is replaced."""
     fs, p = _path(spark, path)
     out = fs.create(p, True)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import spec
+from ..operators.relational import Routed
 
 AS_OF = "2002-01-01"
 
@@ -121,14 +122,11 @@ def _of_type(etype, layout) -> F.Column:
     return ~F.coalesce(F.col("event_type").isin([t for t in layout if t]), F.lit(False))
 
 
-def survey_sources(spark, sf_dir) -> dict[str, DataFrame]:
+def survey_sources(spark, sf_dir) -> Routed:
     ev = _events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "value")
-    out = {}
-    for etype, (name, key_alias, score_name) in SURVEY_LAYOUT.items():
-        out[name] = (ev.where(_of_type(etype, SURVEY_LAYOUT))
-                     .select("event_id", "ts", F.col("user_id").alias(key_alias),
-                             F.col("value").alias(score_name)))
-    return out
+    return Routed(ev, {name: (_of_type(etype, SURVEY_LAYOUT),
+                              {"event_id": F.col("event_id"), "ts": F.col("ts"), key_alias: F.col("user_id"), score_name: F.col("value")})
+                       for etype, (name, key_alias, score_name) in SURVEY_LAYOUT.items()})
 
 
 def tickets_raw(spark, sf_dir) -> DataFrame:
@@ -140,14 +138,14 @@ def tickets_raw(spark, sf_dir) -> DataFrame:
                     F.col("user_id").alias("IdCliente")))
 
 
-def telemetry_sources(spark, sf_dir) -> dict[str, DataFrame]:
+def telemetry_sources(spark, sf_dir) -> Routed:
     ev = _events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "props")
     out = {name: (alias, _of_type(etype, TELEMETRY_LAYOUT)) for etype, (name, alias) in TELEMETRY_LAYOUT.items()}
     size = F.coalesce(F.length("event_type"), F.lit(0)) % len(TELEMETRY_REST)
     for i, (name, alias) in enumerate(TELEMETRY_REST):
         out[name] = (alias, _of_type(None, TELEMETRY_LAYOUT) & (size == i))
-    return {name: ev.where(own).select("event_id", "ts", F.col("user_id").alias(alias), "props")
-            for name, (alias, own) in out.items()}
+    return Routed(ev, {name: (own, {"event_id": F.col("event_id"), "ts": F.col("ts"), alias: F.col("user_id"), "props": F.col("props")})
+                       for name, (alias, own) in out.items()})
 
 
 def region_cohorts(spark, sf_dir, key: str = spec.KEY, cluster_col: str = spec.CLUSTER) -> DataFrame:

@@ -138,3 +138,5 @@ KMEANS_LEAST_PARTITIONS = 16
 SILHOUETTE_POINTS = 1024
 # Columns of a row's place in its extract (prefix: one per joined extract).
 ROW_ORDER = "__row"
+# K-means fits and scores that run side by side.
+PARALLEL_FITS = 4

@@ -70,3 +70,11 @@ def test_header_order_per_file(spark, tmp_path):
     _write(d / "b.csv", b"v;k;z\ny;2;9\n")
     rows = sorted(tuple(r) for r in read_delimited(spark, str(d)).select("k", "v", "z").collect())
     assert rows == [("1", "x", None), ("2", "y", "9")]
+
+
+def test_rows_do_not_depend_on_the_columns_asked_for(spark, tmp_path):
+    path = _write(tmp_path / "r.csv", b'a;b;c\n1;x;2\n3;;\n4\n5;"q;z";6\n6;w;7;extra\n')
+    for mode in (False, True, "split"):
+        df = read_delimited(spark, path, multi_line=mode)
+        assert df.count() == 4 and [r.a for r in df.select("a").orderBy("a").collect()] == ["1", "3", "4", "5"]
+        assert df.where("b IS NOT NULL").select("c").count() == 2
