@@ -233,6 +233,16 @@ SELECT CD_CLIENTE, {', '.join(f"{r6(c)} AS {c}" for c in NUMERIC)} FROM filled""
 SELECT CD_CLIENTE, {', '.join(f"CAST({e.split(' AS ')[0]} AS DOUBLE) AS {e.split(' AS ')[1]}"
                                for e in DUMMY_EXPRS)} FROM master""",
 
+    "q_one_hot_wide": f"""WITH lv AS (
+  SELECT 0 AS c, c_name AS v, count(*) AS n FROM customer WHERE c_name IS NOT NULL GROUP BY c_name
+  UNION ALL SELECT 1, c_mktsegment, count(*) FROM customer WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY v) - 2 AS i, n / (SELECT count(*) FROM customer) AS p FROM lv),
+l AS (SELECT c, v, CASE WHEN c = 0 THEN i ELSE i + (SELECT count(*) - 1 FROM lv WHERE c = 0) END AS place,
+             1 / sqrt(p * (1 - p)) AS w FROM r WHERE i >= 0)
+SELECT c_custkey, a.place AS c_name__place, {r6('a.w')} AS c_name__weight, b.place AS c_mktsegment__place,
+       {r6('b.w')} AS c_mktsegment__weight, (SELECT count(*) FROM lv) - 2 AS width
+FROM customer LEFT JOIN l a ON a.c = 0 AND a.v = c_name LEFT JOIN l b ON b.c = 1 AND b.v = c_mktsegment""",
+
     "q_standardise": f"""WITH {FEATURE_CHAIN}
 SELECT CD_CLIENTE, {', '.join(f"round(z_{c}, 9) AS z_{c}" for c in MODEL)} FROM z""",
 

@@ -30,6 +30,7 @@ from ..operators import recommend as RC
 from ..operators import relational as RL
 from ..operators import reports as RP
 from ..operators import silhouette as SI
+from ..operators import wide as WD
 from ..operators.quantiles import exact_quantiles
 from ..session import scratch_path
 from ..sources import tables as T
@@ -348,6 +349,14 @@ def q_one_hot(spark, sf):
     return out.select(spec.KEY, *names)
 
 
+def q_one_hot_wide(spark, sf):
+    """ML1 with a level per client: places and entries of the sparse vectors, from a table of levels."""
+    c = T.table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
+    out = WD.wide_features(c, ["c_name", "c_mktsegment"])
+    cols = [f"{n}__{x}" for n in ("c_name", "c_mktsegment") for x in ("place", "weight")]
+    return rounded(out.frame.select("c_custkey", *cols, F.lit(out.width).cast("long").alias("width")))
+
+
 def _scaled(spark, sf):
     feats = FE.prepare_features(driver_etl(spark, sf).base, T.AS_OF)
     arr = vector_to_array("features")
