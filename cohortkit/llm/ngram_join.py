@@ -13,7 +13,8 @@ and leaves.
 Of the sets that stay, small ones are light: they enumerate all 2-subsets of
 their first p + 1 grams, and share a subset with each partner. Large sets are
 heavy: their first p grams are looked up in inverted lists. Small sets within
-reach of a large one are listed too. The size that parts the two is the one of
+reach of a large one are listed too, and those so small that one gram in
+common can be enough for a link. The size that parts the two is the one of
 least cost, counted in subset rows against list entries made and scanned.
 
 Sets with a key in common are compared with the key's pivot, the set with the
@@ -73,7 +74,8 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Of the words data[start:end]: polynomials of their bytes from one running sum, mixed."""
+    """Of the words data[start:end]: polynomials of their bytes, each counted from 1, from one running
+    sum, mixed with their lengths."""
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
@@ -82,11 +84,11 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         size = int(ends[stop - 1]) - begin
         up, down = _powers(max(_RUN, 1 << (size - 1).bit_length()))
         total = np.zeros(size + 1, np.uint64)
-        np.cumsum(data[begin:begin + size] * up[:size], out=total[1:])
+        np.cumsum((data[begin:begin + size] + np.uint64(1)) * up[:size], out=total[1:])
         s, e = starts[at:stop] - begin, ends[at:stop] - begin
         out[at:stop] = (total[e] - total[s]) * down[s]
         at = stop
-    return _mix(out)
+    return _mix(out ^ ((ends - starts).astype(np.uint64) * _K2))
 
 
 def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -244,7 +246,10 @@ class JaccardJoin:
     """The tables of one join, from sets to components."""
 
     def __init__(self, docs: DataFrame, n: int, percent: int, id_col: str, text_col: str):
+        if not 0 < percent <= 100:
+            raise ValueError("percent must be above 0, and 100 at most")
         self.n, self.percent = n, percent
+        self._ratio = max(float(np.log(100 / percent)), 0.01)  # of the sizes of sets that link, as a logarithm
         self.docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("id"),
                                 common.row_hash(text_col).alias("rid"), common.utf8(text_col).alias("text"))
         self.sets = materialize(self.docs.mapInArrow(
@@ -287,7 +292,7 @@ class JaccardJoin:
     def boundary(self, prefixes: DataFrame) -> int:
         """The size up to which sets enumerate subsets, by cost. Sizes are
         counted in steps of the ratio that linked sets may have: a few hundred rows."""
-        ratio = float(np.log(100 / self.percent))
+        ratio = self._ratio
         per_set = prefixes.groupBy("set", "n").agg(F.count("*").alias("s"), F.sum(F.col("inner").cast("int")).alias("p"))
         rows = (per_set.groupBy(F.floor(F.log("n") / ratio).cast("int").alias("step"))
                 .agg(F.sum(F.col("s") * (F.col("s") - 1) / 2).alias("subsets"), F.sum("p").alias("lists"))
@@ -307,7 +312,9 @@ class JaccardJoin:
         sets that link share one key at least. p is the key's pivot, the set
         with the smallest share of grams of its own."""
         small = self.boundary(prefixes)
-        lists = (prefixes.filter("inner").filter(F.col("n") * 100 >= F.lit(small * self.percent))
+        # Sets that may share a single gram with a partner have no subset in common with it: they are listed.
+        listed = (F.col("n") * 100 >= F.lit(small * self.percent)) | (F.col("n") * self.percent <= 100)
+        lists = (prefixes.filter("inner").filter(listed)
                  .select(F.xxhash64(F.lit(1), "gram").alias("key"), "set", "n", "part", "place"))
         light = (prefixes.filter(F.col("n") <= small).groupBy("set", "n", "part")
                  .agg(F.sort_array(F.collect_list(F.struct("gram", "place"))).alias("g")))
@@ -372,7 +379,7 @@ class JaccardJoin:
         rank = F.col("part") if turn == 1 else F.xxhash64("set", F.lit(turn)).cast("double")
         out = None
         for shift in (0.0, 0.5):
-            step = F.floor(F.log("n") / float(np.log(100 / self.percent)) + shift).cast("int")
+            step = F.floor(F.log("n") / self._ratio + shift).cast("int")
             own = left.drop("p", "pn", "pp").withColumn("step", step)
             pivots = own.groupBy("key", "step").agg(_pivot(rank)).select("key", "step", "x.p", "x.pn", "x.pp")
             pairs = self._pivot_pairs(own.join(pivots, ["key", "step"]))

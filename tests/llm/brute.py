@@ -77,9 +77,9 @@ def shingles(text, n=4):
     return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))}
 
 
-def components(docs, percent=85):
+def components(docs, percent=85, n=4):
     """{doc_id: (n_shingles, component)}"""
-    sets = {i: shingles(t) for i, t in docs}
+    sets = {i: shingles(t, n) for i, t in docs}
     index = defaultdict(list)
     for i, s in sets.items():
         for x in s:
@@ -92,8 +92,8 @@ def components(docs, percent=85):
         return i
 
     for i, s in sets.items():
-        for j, n in Counter(j for x in s for j in index[x] if j < i).items():
-            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+        for j, both in Counter(j for x in s for j in index[x] if j < i).items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), find(i)) for i in sets}

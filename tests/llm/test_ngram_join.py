@@ -58,6 +58,28 @@ def test_short_near_pairs_beside_a_shared_passage(spark, seed):
     assert {r.id: (r.n, r.component_id) for r in J.similar_groups(frame).collect()} == brute.components(docs)
 
 
+@pytest.mark.parametrize("percent", [100, 95, 50, 34, 10])
+def test_thresholds_down_to_one_gram_in_common(spark, percent):
+    rng = random.Random(percent)
+    words = [f"v{i}" for i in range(400)]
+    docs = [" ".join(rng.sample(words, rng.choice([1, 2, 3, 4, 6, 9]))) for _ in range(150)]
+    docs += ["lone", "lone wolf", "lone wolf pack", *family(3, 8, 40, 12), *family(4, 8, 12, 6)]
+    docs = list(enumerate(docs))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for n in (1, 2):
+        want = brute.components(docs, percent, n)
+        assert {r.id: (r.n, r.component_id) for r in J.similar_groups(frame, n=n, percent=percent).collect()} == want
+    with pytest.raises(ValueError):
+        J.similar_groups(frame, percent=0)
+
+
+def test_words_with_nul_characters(spark):
+    docs = list(enumerate(["a b c d e f g h", "a b c d e f g h\0", "a b c d a\0 b c d", "\0", "\0\0", "a\0b c", "ab c", "\0a b", "a b"]))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.id: (r.n, r.component_id) for r in J.similar_groups(frame).collect()}
+    assert got == brute.components(docs) and got[0] != got[1] and got[2] == (5, 2)
+
+
 def test_small_sets_meet_by_subsets(spark):
     """With the boundary forced up, everything goes by 2-subsets; forced to 0, by lists."""
     docs = list(enumerate(t for s in range(6) for t in family(s, 12, 25 + 5 * s, 2)))
