@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,25 @@ def slices(batches, rows: int = 256):
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
+        give_back()
+
+
+def give_back() -> None:
+    """Returns the memory of freed buffers to the system: a Python worker lives on after its task, and
+    what it keeps would add to what the next stage needs."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _libc():
+    import ctypes
+
+    return ctypes.CDLL(None)
 
 
 def open_store(uri: str):

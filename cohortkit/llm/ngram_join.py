@@ -148,22 +148,20 @@ def _sets(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                sizes, low, f1, f2, grams = [], [], [], [], []
-                for s in gram_sets(part["text"], n):
-                    fp = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                    listed = int(np.searchsorted(s, bound))
-                    sizes.append(len(s))
-                    low.append(listed)
-                    f1.append(int(fp[0]))
-                    f2.append(int(fp[1]))
-                    grams.append(s[:_listed(len(s), listed, percent)].view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [part["id"], part["rid"], pa.array(sizes, pa.int64()), pa.array(low, pa.int64()),
-                     pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(grams, pa.list_(pa.int64()))],
-                    names=["id", "rid", "n", "low", "f1", "f2", "grams"])
+        for part in common.slices(batches, 500):
+            sizes, low, f1, f2, grams = [], [], [], [], []
+            for s in gram_sets(part["text"], n):
+                fp = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+                listed = int(np.searchsorted(s, bound))
+                sizes.append(len(s))
+                low.append(listed)
+                f1.append(int(fp[0]))
+                f2.append(int(fp[1]))
+                grams.append(s[:_listed(len(s), listed, percent)].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [part["id"], part["rid"], pa.array(sizes, pa.int64()), pa.array(low, pa.int64()),
+                 pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(grams, pa.list_(pa.int64()))],
+                names=["id", "rid", "n", "low", "f1", "f2", "grams"])
     return run
 
 
@@ -176,14 +174,12 @@ def _whole_sets(n: int, percent: int):
     bound = np.uint64(_bound(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part = batch.slice(k, 500)
-                sets = list(gram_sets(part["text"], n))
-                listed = [_listed(len(s), int(np.searchsorted(s, bound)), percent) for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [part["set"], pa.array(listed, pa.int32()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    names=["set", "listed", "whole"])
+        for part in common.slices(batches, 500):
+            sets = list(gram_sets(part["text"], n))
+            listed = [_listed(len(s), int(np.searchsorted(s, bound)), percent) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [part["set"], pa.array(listed, pa.int32()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                names=["set", "listed", "whole"])
     return run
 
 
@@ -194,7 +190,7 @@ def _link(percent: int):
         return [values[i:j] for i, j in zip(ends[:-1], ends[1:])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches, 2000):
             keep = []
             for a, b in zip(lists(batch["x"]), lists(batch["y"])):
                 if len(a) > len(b):
