@@ -3,7 +3,11 @@
 A byte-level tokenizer cuts texts before each space that a non-space follows,
 whatever else it does. So a text's ids are those of its pieces, and the pieces
 of a corpus repeat. The encoder keeps the ids of pieces it has met, within a
-fixed number of entries, and gives the library only new ones.
+fixed number of entries, and gives the library only new ones: many in one
+text, whose ids are cut where a token begins with the space mark, as each piece
+has one space, its first character. Pieces of Latin letters are words as they
+stand, so they skip the cutting rules, the slowest part of the library;
+punctuation after them is a word of its own.
 """
 
 from __future__ import annotations
@@ -13,12 +17,23 @@ import json
 import re
 from array import array
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?=\s)| $")
 _LONGEST_KEPT = 48
+#: The byte-level alphabet's sign for a space.
+_MARK = "\u0120"
+#: Letters up to here are letters to the library, too, whatever its Unicode version.
+_LAST_LETTER = "\u024f"
+#: Punctuation after a word that is looked up by itself, in characters.
+_TAIL = 3
+#: The byte-level alphabet: printable bytes stand for themselves, the others are counted from 256 on.
+_SIGNS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+#: New pieces that go to the library as one text.
+_TOGETHER = 200
 #: Entries of a generation; a cache has two.
 _ENTRIES = 150_000
 
@@ -63,12 +78,66 @@ class Encoder:
         self.by_piece = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space") and not spec["normalizer"] and not spec["truncation"])
         self.pieces = _Generations()
+        if self.by_piece:
+            from tokenizers.pre_tokenizers import CharDelimiterSplit
+
+            self.words = Tokenizer.from_file(path)
+            self.words.pre_tokenizer = CharDelimiterSplit(" ")
+            vocabulary = self.tokenizer.get_vocab(True)
+            self.tails: dict[str, bytes] = {}  # ids of runs of punctuation: at most 32 ** _TAIL and shorter ones
+            self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.opens[[i for t, i in vocabulary.items() if t.startswith(_MARK)]] = True
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.dtype.itemsize == 2 else "I"
         return [array(kind, e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _together(self, tokenizer, pieces: list[str], mark: str) -> list[bytes] | None:
+        """Ids of pieces without a space, each with one before it; None if they cannot be told apart."""
+        texts = [mark + (" " * (mark != " ") + mark).join(pieces[i:i + _TOGETHER])
+                 for i in range(0, len(pieces), _TOGETHER)]
+        ids = np.concatenate([np.zeros(0, self.dtype)] + [
+            np.array(e.ids, self.dtype) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        at = np.flatnonzero(self.opens[ids])
+        if len(at) != len(pieces) or (len(at) and at[0]):
+            return None
+        data, width = ids.tobytes(), self.dtype.itemsize
+        ends = (np.append(at[1:], len(ids)) * width).tolist()
+        return [data[i:j] for i, j in zip((at * width).tolist(), ends)]
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            self.tails[tail] = self._direct([tail])[0]
+        return self.tails[tail]
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces, each after a space; and of the words that some of them hold before punctuation."""
+        words, closed, some, other = [], [], [], []
+        for p in pieces:
+            core = p.rstrip(punctuation)
+            if not core.isalpha() or not (core.isascii() or max(core) <= _LAST_LETTER):
+                (other if not p or " " in p else some).append(p)
+            elif core == p:
+                words.append(p)
+            elif len(p) - len(core) <= _TAIL:
+                closed.append((p, core))
+            else:
+                some.append(p)
+        young, old = self.pieces.young, self.pieces.old
+        known = {w: young.get(w) or old.get(w) for w in {core for _, core in closed}}
+        words = list(dict.fromkeys(words + [w for w, x in known.items() if x is None]))
+        signs = [w if w.isascii() else w.encode().decode("latin-1").translate(_SIGNS) for w in words]
+        for part, texts, tokenizer, mark in ((words, signs, self.words, _MARK), (some, some, self.tokenizer, " ")):
+            ids = self._together(tokenizer, texts, mark)
+            if ids is None:
+                other += part
+            else:
+                known.update(zip(part, ids))
+        known.update(zip(other, self._direct([" " + p for p in other])))
+        known.update([(p, known[core] + self._tail(p[len(core):])) for p, core in closed])
+        return known
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_piece:
             return [np.frombuffer(x, self.dtype) for x in self._direct(texts)]
@@ -103,12 +172,13 @@ class Encoder:
             gaps.append(gap)
             found.append(got)
         new = self.pieces.bring(unknown)
-        ids.update(zip(new, self._direct([" " + p for p in new])))
+        some = self._new(new)
+        ids.update(some)
         for (i, pieces), head, gap, got in zip(todo, first, gaps, found):
             for k in gap:
                 got[k] = ids[pieces[k]]
             out[i] = head + b"".join(got)
-        for p in new:
+        for p in some:
             if len(p) > _LONGEST_KEPT:
                 del ids[p]
 

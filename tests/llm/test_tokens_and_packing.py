@@ -192,3 +192,16 @@ def test_many_small_sources_keep_their_shares(spark, tokenizer, window, sources,
             per[docs[r.doc_id][2]] += r.length
     mean = half / sources
     assert np.mean([abs(per[f"d{i:05d}"] - mean) for i in range(sources)]) < bound * mean
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_encoder_cuts_as_the_library_does(plain):
+    """Spaces, breaks, quotes, runs of punctuation, letters of several scripts, NUL and special tokens, in any order."""
+    signs = "aab Z'''1.,é\n\t  ĠßñǅªµЖ×÷ \x1c\x85　中 ssTtre_\0<|>$$$"
+    rng = random.Random(5)
+    enc = tokens.Encoder(tokens.default_tokenizer(), plain)
+    for _ in range(30):
+        texts = ["".join(rng.choices(signs, k=rng.randrange(80))) + rng.choice(["", "<|endoftext|>", " <|endoftext|> x"])
+                 for _ in range(40)]
+        assert [x.tobytes() for x in enc.encode(texts)] == enc._direct(texts)
+    assert len(enc.tails) <= 33 ** tokens._TAIL
