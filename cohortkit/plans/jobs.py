@@ -31,6 +31,12 @@ from ..sources.sinks import quarantine, write_table
 class JobResult:
     frame: DataFrame | None
     quarantined: dict[str, DataFrame] = field(default_factory=dict)
+    #: Why each of the quarantined was set aside.
+    reasons: dict[str, str] = field(default_factory=dict)
+
+
+def _unkeyed(df: DataFrame) -> str:
+    return "no client key among its columns " + ", ".join(df.columns)
 
 
 def _keyed(columns: dict[str, Column]) -> dict[str, Column]:
@@ -97,7 +103,10 @@ def sales(revenue: DataFrame, contracts: DataFrame, number_style: str = "comma")
         if c in contracts.columns:
             contracts = contracts.withColumn(c, to_double(contracts, c, number_style))
     if spec.KEY not in revenue.columns or spec.KEY not in contracts.columns:
-        return JobResult(None, {"mrr": revenue, "contratacoes": contracts})
+        sides = {"mrr": revenue, "contratacoes": contracts}
+        reasons = {name: _unkeyed(df) if spec.KEY not in df.columns else "nothing to join: no client key in "
+                   + next(n for n in sides if n != name) for name, df in sides.items()}
+        return JobResult(None, sides, reasons)
     # distinct(A join B) == distinct(A) join distinct(B) for an equi-join; deduping
     # the inputs first keeps duplicate rows from fanning out through the join.
     joined = left_join(_distinct(revenue), _distinct(contracts, "_1"), spec.KEY)
@@ -131,7 +140,7 @@ def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | Non
     if spec.CONTRACT_VALUE in master.columns:
         master = master.withColumn(spec.CONTRACT_VALUE, to_double(master, spec.CONTRACT_VALUE, number_style))
     if spec.KEY not in master.columns:
-        return JobResult(None, {"dados_clientes": master})
+        return JobResult(None, {"dados_clientes": master}, {"dados_clientes": _unkeyed(master)})
     q: dict[str, DataFrame] = {}
     df = _distinct(master)
     for i, (name, side) in enumerate((("clientes_desde", since), ("historico", history)), 1):
@@ -142,7 +151,7 @@ def clients(master: DataFrame, since: DataFrame | None, history: DataFrame | Non
             df = left_join(df, _distinct(side, f"_{i}"), spec.KEY)
         else:
             q[name] = side
-    return JobResult(_drop_empty(df), q)
+    return JobResult(_drop_empty(df), q, {name: _unkeyed(side) for name, side in q.items()})
 
 
 def telemetry(frames: Mapping[str, DataFrame] | Routed, origin_col: str = spec.TELEMETRY_ORIGIN) -> DataFrame:
@@ -232,11 +241,12 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
     reader = reader or read_delimited
     placed = (lambda *a, **kw: reader(*a, row_number=spec.ROW_ORDER, **kw)) if file_order else reader
     done: dict[str, str] = {}
+    why: dict[str, str] = {}
     out = out_root.rstrip("/")
 
     def read(names: Sequence[str], reader=reader) -> dict[str, DataFrame]:
         frames, skipped = read_sources(spark, raw_root, names, reader=reader)
-        done.update({f"skipped:{name}": why for name, why in skipped.items()})
+        done.update({f"skipped:{name}": reason for name, reason in skipped.items()})
         return frames
 
     sv = read(spec.SURVEY_SOURCES)
@@ -259,7 +269,8 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
     else:
         r = sales(*[sa[name] for name in spec.SALES_SOURCES], number_style=number_style)
         for name, q in r.quarantined.items():
-            done[f"quarantine:{name}"] = quarantine(q, out, name)
+            done[f"quarantine:{name}"] = quarantine(q, out, name, reason=r.reasons[name])
+            why[f"quarantine:{name}"] = r.reasons[name]
         if r.frame is not None:
             sales_df = r.frame
             done["vendas_tratado"] = write_table(sales_df, f"{out}/vendas_tratado")
@@ -271,7 +282,8 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
     else:
         r = clients(cl[master], cl.get(since), cl.get(history), number_style)
         for name, q in r.quarantined.items():
-            done[f"quarantine:{name}"] = quarantine(q, out, name)
+            done[f"quarantine:{name}"] = quarantine(q, out, name, reason=r.reasons[name])
+            why[f"quarantine:{name}"] = r.reasons[name]
         if r.frame is not None:
             done["clientes_tratado"] = write_table(r.frame, f"{out}/clientes_tratado")
 
@@ -286,8 +298,9 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, reader=None,
         done["base_analitica"] = write_table(base, f"{out}/base_analitica")
     else:
         done["missing:base_analitica"] = "needs clientes_tratado"
-    # What was not read or not built, and what was set aside, as a table: kind, name, reason (for what is set aside, its place).
-    told = [(*k.split(":", 1), v) for k, v in done.items() if ":" in k]
+    # What was not read or not built, and what was set aside, as a table: kind, name, reason (for what is set
+    # aside, its place follows).
+    told = [(*k.split(":", 1), f"{why[k]}: {v}" if k in why else v) for k, v in done.items() if ":" in k]
     report = spark.createDataFrame(told, "kind string, name string, reason string")
     done["extract_report"] = write_table(report.coalesce(1), f"{out}/extract_report")
     return done

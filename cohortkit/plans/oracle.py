@@ -379,6 +379,21 @@ SELECT CAST(o_custkey AS VARCHAR) AS CD_CLIENTE, CAST(o_orderkey AS VARCHAR) AS
             ELSE c_name END AS name, c_mktsegment AS segment FROM customer""",
     "q_load_or_build": """SELECT c_custkey AS k, c_name AS name, CAST(2 AS INTEGER) AS builds FROM customer
 UNION ALL SELECT -s_suppkey, s_name, 2 FROM supplier""",
+    "q_quarantine": f"""SELECT 'built' AS name, NULL AS reason, c_custkey AS who, {r6('c_acctbal')} AS amount
+FROM (SELECT DISTINCT c_custkey, c_acctbal FROM customer)
+UNION ALL SELECT 'clientes_desde', 'no client key among its columns person, amount', c_custkey, {r6('c_acctbal')} FROM customer
+UNION ALL SELECT 'contratacoes', 'no client key among its columns buyer, VLR_CONTRATACOES_12M', o_custkey, {r6('o_totalprice')} FROM orders
+UNION ALL SELECT 'mrr', 'nothing to join: no client key in contratacoes', o_custkey, {r6('o_totalprice')} FROM orders""",
+
+    "q_columns_in_list_order": """SELECT c_nationkey, c_name, c_custkey, 'c_nationkey,c_name,c_custkey' AS "order",
+'customer lacks required column(s) [''lost'', ''gone'']' AS refused FROM customer""",
+
+    "q_stored_profile": f"""WITH {BASE_CHAIN}, {CL}, {BC},
+prof AS (SELECT cluster, {', '.join(f'avg({c}) AS {c}' for c in REPORT_METRICS)} FROM bc WHERE cluster IS NOT NULL GROUP BY cluster),
+var AS ({_var_union('prof', REPORT_METRICS)}),
+top AS (SELECT feature, {r6('variance', 9)} AS variance FROM var ORDER BY variance DESC NULLS LAST, feature LIMIT 8)
+SELECT feature, variance, profile FROM top, (VALUES ('stored'), ('computed')) p(profile)""",
+
     "q_published": """WITH j AS (SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
 SELECT c_custkey, n_name, CASE WHEN n_name IS NOT NULL THEN count(*) OVER (PARTITION BY n_name) END AS clients FROM j""",
 

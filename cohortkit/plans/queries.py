@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .. import spec
-from ..functions.columns import numeric_column_counts
+from ..functions.columns import numeric_column_counts, require_columns, select_present
 from ..functions.dates import parse_date, tenure_months
 from ..functions.numbers import parse_number, to_double
 from ..operators import cluster as CL
@@ -37,8 +37,9 @@ from ..sources import tables as T
 from ..sources import store
 from ..sources.delimited import read_delimited, read_sources
 from ..sources.publish import clear_unpublished, publish, read_published
+from ..sources.sinks import QUARANTINE_REASON, quarantine
 from . import jobs
-from .cohort_run import driver_etl, driver_ownership, run_clustering
+from .cohort_run import driver_etl, driver_ownership, run_clustering, stored_profile
 
 SIGNIFICANT = 12
 
@@ -234,6 +235,39 @@ def q_broken_extract(spark, sf):
     return RL.union_sources(frames, "origin").withColumn("reported", F.lit(told))
 
 
+def q_quarantine(spark, sf):
+    """SNK2: contracts and client-since tables without a client key are set aside, and with the former the revenue that has
+    nothing to join; each row says why. The clients are built without the latter."""
+    root = scratch_path(spark, "quarantined")
+    o = T.table(spark, sf, "orders", "o_custkey", "o_totalprice")
+    c = T.table(spark, sf, "customer", "c_custkey", "c_acctbal")
+    sales = jobs.sales(o.select(F.col("o_custkey").alias("CLIENTE"), F.col("o_totalprice").alias(spec.MRR)),
+                       o.select(F.col("o_custkey").alias("buyer"), F.col("o_totalprice").alias(spec.CONTRACTS_VALUE)))
+    clients = jobs.clients(c.toDF("CLIENTE", "amount"), c.toDF("person", "amount"), None)
+    out = clients.frame.select(F.lit("built").alias("name"), F.lit(None).cast("string").alias("reason"),
+                               F.col(spec.KEY).cast("long").alias("who"), "amount")
+    columns = {"mrr": ("CLIENTE", spec.MRR), "contratacoes": ("buyer", spec.CONTRACTS_VALUE), "clientes_desde": ("person", "amount")}
+    for job in (sales, clients):
+        for name, df in job.quarantined.items():
+            who, amount = columns[name]
+            back = spark.read.parquet(quarantine(df, root, name, reason=job.reasons[name]))
+            out = out.unionByName(back.select(F.lit(name).alias("name"), F.col(QUARANTINE_REASON).alias("reason"),
+                                              F.col(who).cast("long").alias("who"), F.col(amount).alias("amount")))
+    return rounded(out)
+
+
+def q_columns_in_list_order(spark, sf):
+    """PRJ7, PRJ12: the wanted columns that exist, in the order of the list; what is missing of the required ones."""
+    c = T.table(spark, sf, "customer")
+    got = select_present(c, ["c_nationkey", "absent", "c_name", "c_custkey"], order="list")
+    try:
+        require_columns(c, "c_name", "lost", "c_custkey", "gone", what="customer")
+        refused = "nothing"
+    except ValueError as e:
+        refused = str(e).partition(";")[0]
+    return got.withColumns({"order": F.lit(",".join(got.columns)), "refused": F.lit(refused)})
+
+
 # --- ETL jobs -------------------------------------------------------------------
 
 def q_surveys(spark, sf):
@@ -427,6 +461,17 @@ def q_top_features(spark, sf):
     return rounded(RP.top_features(profile, feats.names), 9)
 
 
+def q_stored_profile(spark, sf):
+    """SRC8: the profile that was stored, read for the report, and the one computed where none is stored."""
+    base, cohorts, path = driver_etl(spark, sf).base, T.region_cohorts(spark, sf), scratch_path(spark, "profile")
+    RP.cluster_profile(_base_with_regions(spark, sf), REPORT_METRICS).write.parquet(path)
+    stored, none = stored_profile(spark, path), stored_profile(spark, path + "-absent")
+    if none is None:
+        none = RP.cluster_profile(RP.with_clusters(base, cohorts), REPORT_METRICS)
+    both = [RP.top_features(p, REPORT_METRICS).withColumn("profile", F.lit(name)) for name, p in (("stored", stored), ("computed", none))]
+    return rounded(both[0].unionByName(both[1]), 9)
+
+
 def q_personas(spark, sf):
     """ML8, AGG11, SCL12-13: persona label per client."""
     return RP.personas(driver_etl(spark, sf).base, T.region_cohorts(spark, sf))

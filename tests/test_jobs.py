@@ -141,3 +141,19 @@ def test_one_hot_past_a_thousand_levels(spark):
     df = spark.range(1100).selectExpr("id", "concat('l', id) AS c")
     out, names = one_hot(df, ["c"])
     assert len(names) == 1099 and out.filter("id = 7").first()["c_l7"] == 1.0
+
+
+def test_each_quarantined_table_has_its_reason(spark):
+    keyed = spark.createDataFrame([("1", "5,0")], "CLIENTE string, MRR_12M string")
+    other = spark.createDataFrame([("x",)], "produto string")
+    r = jobs.sales(keyed, other)
+    assert r.frame is None and set(r.reasons) == set(r.quarantined) == {"mrr", "contratacoes"}
+    assert r.reasons["contratacoes"] == "no client key among its columns produto" and "contratacoes" in r.reasons["mrr"]
+    r = jobs.sales(other, keyed)
+    assert r.reasons["mrr"].endswith("produto") and r.reasons["contratacoes"].endswith("no client key in mrr")
+    r = jobs.sales(other, other)
+    assert all(x.endswith("columns produto") for x in r.reasons.values())
+    r = jobs.clients(other, keyed, keyed)
+    assert r.frame is None and set(r.reasons) == {"dados_clientes"}
+    r = jobs.clients(keyed, keyed, None)
+    assert r.reasons == {} and r.frame.count() == 1

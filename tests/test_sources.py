@@ -78,3 +78,12 @@ def test_rows_do_not_depend_on_the_columns_asked_for(spark, tmp_path):
         df = read_delimited(spark, path, multi_line=mode)
         assert df.count() == 4 and [r.a for r in df.select("a").orderBy("a").collect()] == ["1", "3", "4", "5"]
         assert df.where("b IS NOT NULL").select("c").count() == 2
+
+
+def test_quarantined_rows_say_why(spark, tmp_path):
+    df = spark.createDataFrame([(1, "mine"), (2, None)], "k long, Quarantine_Reason string")
+    back = spark.read.parquet(quarantine(df, str(tmp_path), "bad", reason="no key"))
+    assert back.columns == ["k", "quarantine_reason_x", "quarantine_reason"]
+    assert sorted(map(tuple, back.collect())) == [(1, "mine", "no key"), (2, None, "no key")]
+    none = spark.read.parquet(quarantine(df.limit(0), str(tmp_path), "none", reason="no key"))
+    assert none.count() == 0 and "quarantine_reason" in none.columns
