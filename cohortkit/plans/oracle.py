@@ -398,9 +398,9 @@ SELECT feature, variance, profile FROM top, (VALUES ('stored'), ('computed')) p(
 SELECT c_custkey, n_name, CASE WHEN n_name IS NOT NULL THEN count(*) OVER (PARTITION BY n_name) END AS clients FROM j""",
 
     "q_sales_many": f"""WITH r AS (SELECT DISTINCT o_custkey AS CLIENTE, o_orderstatus, o_totalprice AS MRR_12M FROM orders
-                   WHERE o_orderkey % 3 = 0),
+                   WHERE o_orderstatus = 'F'),
 c AS (SELECT DISTINCT o_custkey AS ID_CLIENTE, o_orderstatus, o_totalprice AS VLR_CONTRATACOES_12M FROM orders
-      WHERE o_orderkey % 3 = 1)
+      WHERE o_orderstatus IS DISTINCT FROM 'F')
 SELECT r.CLIENTE, r.CLIENTE AS CD_CLIENTE, r.o_orderstatus AS o_orderstatus_x, {r6('r.MRR_12M')} AS MRR_12M,
        c.ID_CLIENTE, c.o_orderstatus AS o_orderstatus_y, {r6('c.VLR_CONTRATACOES_12M')} AS VLR_CONTRATACOES_12M
 FROM r LEFT JOIN c ON r.CLIENTE = c.ID_CLIENTE""",

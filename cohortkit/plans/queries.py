@@ -297,11 +297,12 @@ def q_sales(spark, sf):
 
 
 def q_sales_many(spark, sf):
-    """JN1, PRJ9: revenue and contracts with several rows per client each, and a column name on both sides."""
-    o = T.table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderkey")
-    revenue = o.where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("CLIENTE"), "o_orderstatus",
+    """JN1, PRJ9: revenue (filled orders) and contracts (all other orders) with several rows per client each, and a
+    column name on both sides."""
+    o = T.table(spark, sf, "orders", "o_custkey", "o_orderstatus", "o_totalprice")
+    revenue = o.where("o_orderstatus <=> 'F'").select(F.col("o_custkey").alias("CLIENTE"), "o_orderstatus",
                                                    F.col("o_totalprice").alias(spec.MRR))
-    contracts = o.where("o_orderkey % 3 = 1").select(F.col("o_custkey").alias("ID_CLIENTE"), "o_orderstatus",
+    contracts = o.where("NOT o_orderstatus <=> 'F'").select(F.col("o_custkey").alias("ID_CLIENTE"), "o_orderstatus",
                                                      F.col("o_totalprice").alias(spec.CONTRACTS_VALUE))
     return rounded(jobs.sales(revenue, contracts).frame)
 
