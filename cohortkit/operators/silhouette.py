@@ -37,20 +37,49 @@ from .. import spec
 from ..session import discard, materialize
 from .relational import checked_broadcast
 
-#: Rows whose distances are worked out at a time.
-_ROWS = 512
+#: Rows whose distances are worked out at a time: the tables to a cluster's drawn rows stay in a core's cache.
+_ROWS = 64
+#: Squares of distances below this share of the squared norms are worked out again from differences.
+_CLOSE = 1e-4
+#: Rows per partition of the table that the passes read.
+_PARTITION_ROWS = 50_000
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), width)
 
 
-def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Of all rows of x and y, by differences: equal points are at 0."""
-    total = np.zeros((len(x), len(y)))
-    for j in range(x.shape[1]):
-        total += np.square(x[:, j, None] - y[None, :, j])
-    return np.sqrt(total)
+class _To:
+    """Distances to the rows of y, by one matrix product around their middle.
+
+    Where the product cancels (points close together for their distance from the middle) the
+    coordinates' differences are taken, so equal points are at 0.
+    """
+
+    def __init__(self, y: np.ndarray):
+        self.y, self.middle = y, y.mean(0)
+        near = y - self.middle
+        self.turned, self.squares = np.ascontiguousarray(-2.0 * near.T), np.square(near).sum(1)
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        near = x - self.middle
+        norms = np.square(near).sum(1)[:, None] + self.squares
+        total = near @ self.turned
+        total += norms
+        norms *= _CLOSE
+        at = np.flatnonzero(~(total > norms))  # what is not a number, too
+        if len(at) > total.size // 16:
+            total = self._by_differences(x)
+        elif len(at):
+            i, j = np.divmod(at, len(self.y))
+            total.ravel()[at] = np.square(x[i] - self.y[j]).sum(1)
+        return np.sqrt(total, out=total)
+
+    def _by_differences(self, x: np.ndarray) -> np.ndarray:
+        total = np.zeros((len(x), len(self.y)))
+        for k in range(x.shape[1]):
+            total += np.square(x[:, k, None] - self.y[None, :, k])
+        return total
 
 
 def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -64,11 +93,11 @@ def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.n
 def _sums_to(first: dict[int, np.ndarray], width: int):
     """(code, j, w): the distances of a task's rows to row j of those first drawn from their cluster."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {c: np.zeros(len(y)) for c, y in first.items()}
+        sums, to = {c: np.zeros(len(y)) for c, y in first.items()}, {c: _To(y) for c, y in first.items()}
         for codes, x, _ in _parts(batches, width):
             for c in np.unique(codes).tolist():
                 if c in first:
-                    sums[c] += _distances(x[codes == c], first[c]).sum(0)
+                    sums[c] += to[c].distances(x[codes == c]).sum(0)
         rows = [(c, j, w) for c, s in sums.items() for j, w in enumerate(s.tolist())]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
             (pa.int32(), pa.int32(), pa.float64()))], names=["code", "j", "w"])
@@ -78,6 +107,7 @@ def _sums_to(first: dict[int, np.ndarray], width: int):
 def _draw(first: dict[int, np.ndarray], sums: dict[int, np.ndarray], sizes: Sequence[int], points: int, width: int):
     """(code, weight, x) of the rows drawn in proportion to their distances."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to = {c: _To(y) for c, y in first.items()}
         for codes, x, u in _parts(batches, width):
             p = np.empty(len(codes))
             for c in np.unique(codes).tolist():
@@ -85,7 +115,7 @@ def _draw(first: dict[int, np.ndarray], sums: dict[int, np.ndarray], sizes: Sequ
                 share = np.full(int(own.sum()), 1 / sizes[c])
                 if c in first:
                     total = np.where(sums[c] > 0, sums[c], np.inf)
-                    share = np.maximum(share, (_distances(x[own], first[c]) / total).max(1))
+                    share = np.maximum(share, (to[c].distances(x[own]) / total).max(1))
                 p[own] = np.minimum(1.0, points * share)
             at = np.flatnonzero(u < p)
             yield pa.RecordBatch.from_arrays([pa.array(codes[at]), pa.array(1 / p[at]), pa.array(list(x[at]), pa.list_(pa.float64()))],
@@ -97,8 +127,9 @@ def _score(drawn: dict[int, tuple[np.ndarray, np.ndarray]], sizes: Sequence[int]
     """(code, s, n): sum of the silhouettes and number of a task's rows, per cluster."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total, count = np.array(sizes, float), np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
+        to = [(_To(y), weight) for _, (y, weight) in sorted(drawn.items())]
         for codes, x, _ in _parts(batches, width):
-            w = np.stack([_distances(x, y) @ weight for _, (y, weight) in sorted(drawn.items())], axis=1)
+            w = np.stack([t.distances(x) @ weight for t, weight in to], axis=1)
             at = np.arange(len(codes))
             a = w[at, codes] / np.maximum(n[codes] - 1, 1)
             w /= n
@@ -134,8 +165,9 @@ def euclidean_silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str =
     named = clusters.withColumnRenamed("c", "own")
     rows = pts.join(checked_broadcast(named), F.col("c").eqNullSafe(F.col("own")))
     uniform = lambda turn: _uniform(F.lit(seed + turn), *(["k"] if key else []), "x")
-    table = materialize(rows.select("code", "x", uniform(0).alias("u"), uniform(1).alias("v")), "coded-points")
     sizes = [r["n"] for r in clusters.orderBy("code").collect()]
+    spread = rows.repartition(max(spec.KMEANS_LEAST_PARTITIONS, math.ceil(sum(sizes) / _PARTITION_ROWS)))
+    table = materialize(spread.select("code", "x", uniform(0).alias("u"), uniform(1).alias("v")), "coded-points")
     if len(sizes) < 2:
         return clusters.select(F.col("c").alias(cluster_col), F.lit(None).cast("double").alias("silhouette"), F.col("n").alias("n_rows"))
     width = len(table.select("x").first()["x"])

@@ -1,11 +1,15 @@
 """Euclidean silhouette: exact on small clusters, close on drawn rows, and k chosen by it."""
 
+import pathlib
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 
 from cohortkit.operators.cluster import fit_best_k
-from cohortkit.operators.silhouette import euclidean_silhouette, overall
+from cohortkit.operators import silhouette
+from cohortkit.operators.silhouette import _To, euclidean_silhouette, overall
+from cohortkit.session import materialize
 
 
 def brute(x, lab):
@@ -87,3 +91,34 @@ def test_fit_chooses_by_it(spark):
     assert best.k == max(best.scores, key=lambda s: (s["silhouette"], -s["k"]))["k"]
     with pytest.raises(ValueError):
         fit_best_k(feats, silhouette="cosine")
+
+
+def test_distances_are_those_of_the_differences():
+    """One product instead of a pass per coordinate; nothing is lost where it cancels."""
+    rng = np.random.default_rng(3)
+    for far in (0.0, 1e6):
+        y = rng.standard_normal((300, 12)) + far
+        y[:10] += 500
+        x = np.concatenate([rng.standard_normal((50, 12)) + far, y[:20], y[20:40] + 1e-7])
+        want = np.sqrt(np.square(x[:, None, :] - y[None, :, :]).sum(-1))
+        got = _To(y).distances(x)
+        assert np.allclose(got, want, rtol=1e-10, atol=0) and (got[50:70][want[50:70] == 0] == 0).all()
+    same = np.zeros((40, 2)) + 7
+    assert (_To(same).distances(same) == 0).all()
+
+
+def test_rows_are_spread_over_tasks(spark, monkeypatch):
+    """The passes over all rows have a partition per so many rows, however few files the input is in."""
+    written = {}
+
+    def keep(df, name="table"):
+        out = materialize(df, name)
+        written[name] = len(list(pathlib.Path(out._scratch_path).glob("part-*")))
+        return out
+
+    monkeypatch.setattr(silhouette, "materialize", keep)
+    monkeypatch.setattr(silhouette, "_PARTITION_ROWS", 100)
+    x, lab = blobs(4000, 2)
+    df, names = frame(spark, x, lab)
+    euclidean_silhouette(df.coalesce(1), names, key="CD_CLIENTE", points=64)
+    assert written["coded-points"] == 40
