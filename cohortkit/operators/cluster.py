@@ -84,8 +84,12 @@ def _choose(stored, data, n, key, vector, ks, seed, max_iter, n_starts, cluster_
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
     data.count()  # stored once, before the fits share it
 
+    # A fit keeps its own points where its input is not kept itself: over the stored columns alone, each of its
+    # steps would decode all of them again. The layout is that of the stored input.
+    points_of = data.select(vector)
+
     def fit(k: int, s: int) -> KMeansModel:
-        return KMeans(k=k, seed=s, maxIter=max_iter, featuresCol=vector, predictionCol="__pred").fit(data)
+        return KMeans(k=k, seed=s, maxIter=max_iter, featuresCol=vector, predictionCol="__pred").fit(points_of)
 
     def score(model: KMeansModel) -> float:
         labelled = model.transform(data)

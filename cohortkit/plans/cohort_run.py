@@ -75,18 +75,19 @@ class CohortRun:
         return segment_counts(labelled) if spec.SEGMENT in labelled.columns else None
 
     @cached_property
-    def _pairs(self) -> DataFrame:
+    def pairs(self) -> DataFrame:
+        """key, product, n: the distinct ownership pairs, worked out once and read from a table after that"""
         return materialize(ownership_pairs(self.ownership), "pairs")
 
     @cached_property
     def ranking(self) -> DataFrame:
         """cluster, product, QTD, rank"""
-        return popularity(self.clusters, self.ownership, count_mode=self.count_mode, pairs=self._pairs)
+        return popularity(self.clusters, self.ownership, count_mode=self.count_mode, pairs=self.pairs)
 
     @cached_property
     def recommendations(self) -> DataFrame:
         """key, cluster, RECOMENDACOES"""
-        return top_unowned(self.clusters, self.ownership, ranking=self.ranking, pairs=self._pairs)
+        return top_unowned(self.clusters, self.ownership, ranking=self.ranking, pairs=self.pairs)
 
     @cached_property
     def scores(self) -> DataFrame:

@@ -96,3 +96,12 @@ def test_contract_errors(spark):
         top_unowned(clusters, no_product)
     with pytest.raises(ValueError, match="QTD"):
         top_products(spark.createDataFrame([(0, "a")], "cluster int, DS_PROD string"))
+
+
+def test_query_reads_the_pairs_it_has(spark):
+    """The ownership that recommendations are checked against is read from the pairs' table, not joined again."""
+    from cohortkit.plans.queries import q_kmeans_recommend
+
+    df = q_kmeans_recommend(spark, "/root/testdata/sf0.001")
+    assert df.inputFiles() and not any("testdata" in p for p in df.inputFiles())
+    assert df.where("already_owned > 0 OR twice > 0 OR NOT within_n").count() == 0
