@@ -291,6 +291,7 @@ def _align(a: str, b: str, with_groups: bool):
                 arrays.append(pa.array([x.decode() if x else None for x in shown], pa.string()))
             row += len(raw)
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+            common.give_back()
     return run
 
 

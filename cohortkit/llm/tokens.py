@@ -30,10 +30,16 @@ _MARK = "\u0120"
 _LAST_LETTER = "\u024f"
 #: Punctuation after a word that is looked up by itself, in characters.
 _TAIL = 3
-#: The byte-level alphabet: printable bytes stand for themselves, the others are counted from 256 on.
-_SIGNS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+#: The byte-level alphabet by byte: printable bytes stand for themselves, the others are counted from 256 on.
+_OTHERS = [*range(33), *range(127, 161), 173]
+_SIGNS = [chr(256 + _OTHERS.index(i)) if i in _OTHERS else chr(i) for i in range(256)]
+#: A word of letters, and the punctuation after it that is looked up by itself.
+_WORD = re.compile("([%s]+)([%s]{0,%d})" % ("".join(c for c in map(chr, range(ord(_LAST_LETTER) + 1)) if c.isalpha()),
+                                            re.escape(punctuation), _TAIL)).fullmatch
 #: New pieces that go to the library as one text.
 _TOGETHER = 200
+#: Characters whose pieces are looked up together.
+_BATCH = 4_000_000
 #: Entries of a generation; a cache has two.
 _ENTRIES = 150_000
 
@@ -50,15 +56,12 @@ class _Generations:
         if len(self.young) > _ENTRIES:
             self.young, self.old = {}, self.young
 
-    def bring(self, keys: set[str]) -> list[str]:
+    def bring(self, keys: set[str]) -> set[str]:
         """The keys that are in neither generation; those of the old one return."""
-        out = []
-        for k in keys:
-            if k in self.old:
-                self.young[k] = self.old[k]
-            else:
-                out.append(k)
-        return out
+        new = keys.difference(self.old)
+        old = self.old
+        self.young.update([(k, old[k]) for k in keys - new])
+        return new
 
 
 class Encoder:
@@ -81,7 +84,10 @@ class Encoder:
         if self.by_piece:
             from tokenizers.pre_tokenizers import CharDelimiterSplit
 
-            self.words = Tokenizer.from_file(path)
+            # The model is shared. Added tokens stay out, as no text of words has one: each holds an ASCII sign.
+            added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+            signed = all(any(c.isascii() and c != " " and not c.isalpha() for c in t) for t in added)
+            self.words = Tokenizer(self.tokenizer.model) if signed else Tokenizer.from_file(path)
             self.words.pre_tokenizer = CharDelimiterSplit(" ")
             vocabulary = self.tokenizer.get_vocab(True)
             self.tails: dict[str, bytes] = {}  # ids of runs of punctuation: at most 32 ** _TAIL and shorter ones
@@ -111,23 +117,22 @@ class Encoder:
             self.tails[tail] = self._direct([tail])[0]
         return self.tails[tail]
 
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
+    def _new(self, pieces: set[str]) -> dict[str, bytes]:
         """The ids of pieces, each after a space; and of the words that some of them hold before punctuation."""
         words, closed, some, other = [], [], [], []
-        for p in pieces:
-            core = p.rstrip(punctuation)
-            if not core.isalpha() or not (core.isascii() or max(core) <= _LAST_LETTER):
+        for p, m in zip(pieces, map(_WORD, pieces)):
+            if m is None:
                 (other if not p or " " in p else some).append(p)
-            elif core == p:
+            elif m.end(1) == len(p):
                 words.append(p)
-            elif len(p) - len(core) <= _TAIL:
-                closed.append((p, core))
             else:
-                some.append(p)
+                closed.append((p, *m.groups()))
         young, old = self.pieces.young, self.pieces.old
-        known = {w: young.get(w) or old.get(w) for w in {core for _, core in closed}}
+        known = {core: young.get(core) or old.get(core) for _, core, _ in closed}
         words = list(dict.fromkeys(words + [w for w, x in known.items() if x is None]))
-        signs = [w if w.isascii() else w.encode().decode("latin-1").translate(_SIGNS) for w in words]
+        signs = words
+        if not all(map(str.isascii, words)):
+            signs = "\n".join(words).encode().decode("latin-1").translate(_SIGNS).split(_SIGNS[10])
         for part, texts, tokenizer, mark in ((words, signs, self.words, _MARK), (some, some, self.tokenizer, " ")):
             ids = self._together(tokenizer, texts, mark)
             if ids is None:
@@ -135,7 +140,8 @@ class Encoder:
             else:
                 known.update(zip(part, ids))
         known.update(zip(other, self._direct([" " + p for p in other])))
-        known.update([(p, known[core] + self._tail(p[len(core):])) for p, core in closed])
+        tails = {t: self._tail(t) for t in {t for _, _, t in closed}}
+        known.update([(p, known[core] + tails[t]) for p, core, t in closed])
         return known
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -151,7 +157,7 @@ class Encoder:
                 continue
             todo.append((i, _BEFORE_WORD.split(text) if _ODD.search(text) else text.split(" ")))
             size += len(text)
-            if size > 4_000_000:
+            if size > _BATCH:
                 self._fill(todo, out)
                 size, todo = 0, []
         self._fill(todo, out)

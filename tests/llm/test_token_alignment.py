@@ -126,3 +126,25 @@ def test_windows_are_cleared_when_full(spark, documents, libraries, monkeypatch)
         assert aligner.n_links(found).sum() == w[3] and aligner.n_groups[found].sum() == w[2]
         ends, pairs, times = aligner.pairs([found])
         assert times.sum() == w[3] and len(set(pairs.tolist())) == len(pairs) == ends[0]
+
+
+def test_freed_memory_is_given_back(monkeypatch):
+    """A worker keeps no freed memory from one part of its texts to the next."""
+    import public_tokenizers
+    import pyarrow as pa
+    import pyspark
+
+    from cohortkit.llm import common, token_alignment, tokens
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    given = []
+    monkeypatch.setattr(pyspark, "TaskContext", Task)
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(token_alignment, "_BYTES", 30)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.array([b"some words of a text"] * 4)], names=["id", "text"])
+    run = token_alignment._align(tokens.default_tokenizer(), public_tokenizers.path("piece_bpe_32k.model"), False)
+    parts = list(run(iter([batch])))
+    assert len(parts) > 1 and len(given) == len(parts) and sum(p.num_rows for p in parts) == 4

@@ -205,3 +205,31 @@ def test_encoder_cuts_as_the_library_does(plain):
                  for _ in range(40)]
         assert [x.tobytes() for x in enc.encode(texts)] == enc._direct(texts)
     assert len(enc.tails) <= 33 ** tokens._TAIL
+
+
+def test_new_words_are_sorted_by_one_pattern(tmp_path):
+    """Words of Latin letters, with signs after them or without, have the library's ids; the model of words is the
+    tokenizer's own, unless an added token could stand in a word."""
+    import json
+
+    from tokenizers import AddedToken, Tokenizer
+
+    from cohortkit.llm import tokens
+
+    letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+    cores = ["plain", "äöüß", "İstanbul", letters[52:90], "ɐx", "x1", "naïve", letters[90:]]
+    text = "a " + " ".join(c + t for c in cores for t in ("", ",", "?!)", "....", "'s", "-\n")) + "  end \n x"
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    for _ in range(2):  # at first all are new, then known
+        assert encoder.encode([text])[0].tolist() == want
+    assert tokens._WORD("naïve?!)").groups() == ("naïve", "?!)") and not tokens._WORD("x1") and not tokens._WORD("ab....")
+    assert not encoder.words.get_added_tokens_decoder()  # not a second copy of the tokenizer
+    with_word = Tokenizer.from_file(tokens.default_tokenizer())
+    with_word.add_tokens([AddedToken("plain", normalized=False)])
+    path = str(tmp_path / "with_word.json")
+    with_word.save(path)
+    assert json.load(open(path))["added_tokens"]
+    other = tokens.Encoder(path)
+    assert other.encode(["so plain, so explaining"])[0].tolist() == \
+        with_word.encode("so plain, so explaining", add_special_tokens=False).ids
