@@ -34,6 +34,18 @@ def slices(batches, rows: int = 256):
         give_back()
 
 
+def by_bytes(batch, size: int):
+    """Parts of a batch, of about so many bytes of text each; a longer text is a part of its own."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    part = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for i, j in zip(cuts, cuts[1:]):
+        if j > i:
+            yield batch.slice(i, j - i)
+
+
 def give_back() -> None:
     """Returns the memory of freed buffers to the system: a Python worker lives on after its task, and
     what it keeps would add to what the next stage needs."""

@@ -119,8 +119,7 @@ def _tokenize(tokenizer: str, end_id: int | None):
         enc, part, seen = tokens.encoder(tokenizer), TaskContext.get().partitionId(), {}
         tail = np.array([] if end_id is None else [end_id], enc.dtype)
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                some = batch.slice(k, 512)
+            for some in common.by_bytes(batch, tokens.TOGETHER):
                 ids = [np.concatenate([x, tail]) for x in enc.encode(some["text"].to_pylist())]
                 sources, starts = some["source"].to_pylist(), []
                 for source, x in zip(sources, ids):

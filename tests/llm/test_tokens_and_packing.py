@@ -233,3 +233,46 @@ def test_new_words_are_sorted_by_one_pattern(tmp_path):
     other = tokens.Encoder(path)
     assert other.encode(["so plain, so explaining"])[0].tolist() == \
         with_word.encode("so plain, so explaining", add_special_tokens=False).ids
+
+
+class Counting:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.inner, self.characters = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.characters += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_simple_pieces_skip_the_cutting_rules():
+    rng = random.Random(4)
+    words = ["Ab", "naïve", "x1", "2024", "co-op", "a.b", "(so)", "###", "end....", "ª", "q_r"]
+    pieces = ["\n".join(rng.choice(words) + rng.choice(["", ".", ',"', "?!..!"]) for _ in range(rng.choice([1, 1, 2, 3]))) for _ in range(4000)]
+    text = "first " + " ".join(pieces)
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    assert encoder.encode([text])[0].tolist() == want
+    assert encoder.tokenizer.characters < 500  # the first piece and the runs of punctuation
+
+
+def test_a_vocabulary_across_cuts_keeps_the_cutting_rules(tmp_path):
+    import json
+    from tokenizers import Tokenizer
+    for left, right in (("d", "."), (".", "Ċ"), ("Ċ", "x"), ("x", "1"), ("d", "Ġ"), ("Ġ", "Ġ")):
+        spec = json.loads(Tokenizer.from_file(tokens.default_tokenizer()).to_str())
+        vocabulary = spec["model"]["vocab"]
+        if left + right not in vocabulary:
+            vocabulary[left + right] = max(vocabulary.values()) + 1
+        spec["model"]["merges"].insert(0, [left, right])
+        path = tmp_path / "tokenizer.json"
+        path.write_text(json.dumps(spec))
+        encoder = tokens.Encoder(str(path))
+        assert (encoder.words is None) == (right != "Ġ" or left != "Ġ")
+        text = "The end.\nx1 and. the  end\n\nx1 d x. " * 3
+        assert encoder.encode([text])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
