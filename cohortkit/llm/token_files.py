@@ -217,8 +217,7 @@ def _write(folder: str, tokenizer: str, end_id: int | None, percentile: float):
         enc, path, writer = tokens.encoder(tokenizer), common.task_file(folder, ".pfor"), None
         tail = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
+            for part in common.by_bytes(batch, tokens.TOGETHER):
                 for doc_id, ids in zip(part["doc_id"].to_pylist(), enc.encode(part["text"].to_pylist())):
                     writer = writer or TokenWriter(common.create(path), percentile)
                     writer.add(doc_id, np.concatenate([ids, tail]))
