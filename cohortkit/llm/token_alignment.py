@@ -243,16 +243,6 @@ def _aligner(a: str, b: str) -> Aligner:
     return Aligner(ByteLevelSide(a), PieceSide(b))
 
 
-def _by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch, of about ``_BYTES`` of text each."""
-    sizes = np.fromiter((len(x.as_buffer()) for x in batch["text"]), np.int64, batch.num_rows)
-    part = np.cumsum(sizes) // _BYTES
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for i, j in zip(cuts, cuts[1:]):
-        if j > i:
-            yield batch.slice(i, j - i)
-
-
 def _text(raw: bytes) -> str:
     """The text, or nothing where it has no tokens anyway."""
     try:
@@ -270,7 +260,7 @@ def _align(a: str, b: str, with_groups: bool):
         from pyspark import TaskContext
 
         aligner, row = _aligner(a, b), TaskContext.get().partitionId() << 40
-        for some in (x for batch in batches for x in _by_bytes(batch)):
+        for some in (x for batch in batches for x in common.by_bytes(batch, _BYTES)):
             raw = some["text"].to_pylist()
             texts = [_text(x) for x in raw]
             ids_a, ids_b = aligner.a.encode(texts), aligner.b.encode(texts)
