@@ -34,6 +34,14 @@ def slices(batches, rows: int = 256):
         give_back()
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """From here on the session's Arrow batches have at most so many rows: they hold whole texts, and a
+    batch is in an executor's memory twice, in its JVM outside the heap and in the Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def by_bytes(batch, size: int):
     """Parts of a batch, of about so many bytes of text each; a longer text is a part of its own."""
     import numpy as np

@@ -23,6 +23,12 @@ all in one component need nothing more. For the others, pivots of each size
 follow, more of them while they pay, and at last all pairs that lie in
 different components. No link between different sets is lost that the
 components depend on.
+
+Beside its whole grams a set has a bitmap: the parities of its grams by 9 bits
+of their hashes. Two bitmaps differ in no more bits than the sets have grams
+apart, so a pair whose bitmaps differ in too many cannot link; such pairs go
+before any whole set is moved. Sets with equal minima of two permutations meet
+once as well, so that groups of near copies are one component early.
 """
 
 from __future__ import annotations
@@ -45,6 +51,10 @@ _K1, _K2, _K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np
 _PIVOT_ROUNDS = 3
 #: Cost of a list entry, in subset rows.
 _SCAN = 2.0
+#: Longs of a bitmap, and pairs of permutations whose minima are compared.
+_LONGS, _MEETINGS = 8, 4
+_BITMAP = [f"b{i}" for i in range(_LONGS)]
+_ORDERS = [np.uint64((int(_K1) + 2 * i * int(_K2)) % 2 ** 64) for i in range(2 * _MEETINGS)]
 #: All pairs of different components follow when they are at most so many per key entry.
 _PAIRS_PER_ENTRY = 20
 
@@ -170,6 +180,19 @@ def _listed(n: int, low: int, percent: int) -> int:
     return max(low, n - _least(n, percent) + 2)
 
 
+def _bitmap(grams: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of grams by the low bits of their hashes, as longs."""
+    bits = 64 * _LONGS
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _minima(grams: np.ndarray) -> np.ndarray:
+    """The least grams in the orders of some permutations, mixed two by two."""
+    both = np.array([(grams * x).min() for x in _ORDERS], np.uint64).reshape(_MEETINGS, 2)
+    return _mix(both[:, 0] * _K3 + both[:, 1] + np.arange(_MEETINGS, dtype=np.uint64)).view(np.int64)
+
+
 def _whole_sets(n: int, percent: int):
     bound = np.uint64(_bound(percent))
 
@@ -177,9 +200,12 @@ def _whole_sets(n: int, percent: int):
         for part in common.slices(batches, 500):
             sets = list(gram_sets(part["text"], n))
             listed = [_listed(len(s), int(np.searchsorted(s, bound)), percent) for s in sets]
+            bitmaps = np.array([_bitmap(s) for s in sets], np.int64).reshape(-1, _LONGS)
             yield pa.RecordBatch.from_arrays(
-                [part["set"], pa.array(listed, pa.int32()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                names=["set", "listed", "whole"])
+                [part["set"], pa.array([len(s) for s in sets], pa.int64()), pa.array(listed, pa.int32()),
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([_minima(s) for s in sets], pa.list_(pa.int64())), *map(pa.array, bitmaps.T.copy())],
+                names=["set", "size", "listed", "whole", "minima", *_BITMAP])
     return run
 
 
@@ -325,12 +351,24 @@ class JaccardJoin:
         return materialize(found.join(pivots.select("key", "x.p", "x.pn", "x.pp"), "key"), "join-keys")
 
     def verify(self, pairs: DataFrame, wholes: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets reach the threshold."""
-        rows = (pairs.select("a", "b").distinct()
-                .join(wholes.select(F.col("set").alias("b"), F.col("whole").alias("y")), "b")
-                .join(wholes.select(F.col("set").alias("a"), F.col("whole").alias("x")), "a"))
+        """The pairs (a, b) whose sets reach the threshold; only sets of pairs that can are moved."""
+        marks = wholes.select("set", "size", *_BITMAP)
+        sides = [marks.select(F.col("set").alias(side), *[F.col(c).alias(side + c) for c in ("size", *_BITMAP)])
+                 for side in ("a", "b")]
+        near = materialize(pairs.select("a", "b").distinct().join(sides[1], "b").join(sides[0], "a")
+                           .filter(self._bitmaps_allow("a{}", "b{}")).select("a", "b"), "near-pairs")
+        here = checked_broadcast(near.select(F.explode(F.array("a", "b")).alias("set")).distinct())
+        some = wholes.select("set", "whole").join(here, "set", "left_semi")
+        rows = (near.join(some.select(F.col("set").alias("b"), F.col("whole").alias("y")), "b")
+                .join(some.select(F.col("set").alias("a"), F.col("whole").alias("x")), "a"))
         return rows.mapInArrow(_link(self.percent), "a long, b long")
 
+    def _bitmaps_allow(self, one: str, other: str) -> Column:
+        """Whether two sets can link by their sizes and bitmaps; the names of these are made from the patterns."""
+        apart = sum((F.bit_count(F.col(one.format(c)).bitwiseXOR(F.col(other.format(c)))) for c in _BITMAP), F.lit(0))
+        both = F.col(one.format("size")) + F.col(other.format("size"))
+        return (100 + self.percent) * (both - apart) >= 2 * self.percent * both
+
     def links(self) -> DataFrame:
         """(id, root) of sets in components of more than one set."""
         keys = self.keys(self.prefixes())
@@ -338,9 +376,10 @@ class JaccardJoin:
                .select(F.col("id").alias("__id"), F.col("rid").alias("__rid"), "set"))
         texts = self.docs.join(checked_broadcast(own), (F.col("id") == F.col("__id")) & (F.col("rid") == F.col("__rid")))
         wholes = materialize(texts.select("set", "text").mapInArrow(
-            _whole_sets(self.n, self.percent), "set long, listed int, whole array<long>"), "whole-sets")
+            _whole_sets(self.n, self.percent), "set long, size long, listed int, whole array<long>, minima array<long>, "
+            + ", ".join(f"{c} long" for c in _BITMAP)), "whole-sets")
         left = keys
-        tried = [materialize(self._pivot_pairs(left), "pairs")]
+        tried = [materialize(self._pivot_pairs(left).unionByName(self._meetings(wholes)).distinct(), "pairs")]
         edges = materialize(self.verify(tried[0], wholes), "links")
         roots = connected_components(edges)
         for turn in range(1, _PIVOT_ROUNDS + 1):
@@ -351,7 +390,7 @@ class JaccardJoin:
                 break
             last = turn == _PIVOT_ROUNDS or (turn > 1 and self._cross_pairs(left) <= _PAIRS_PER_ENTRY)
             if last:
-                pairs = self._all_pairs(left)
+                pairs = self._all_pairs(left, wholes)
             else:
                 pairs = self._pivots_by_size(left, turn)
             for done in tried:
@@ -363,6 +402,13 @@ class JaccardJoin:
                 break
         return roots
 
+    def _meetings(self, wholes: DataFrame) -> DataFrame:
+        """Each set with the smallest one that has the same minima: near copies do in most cases."""
+        rows = wholes.select("set", F.posexplode("minima").alias("order", "least"))
+        first = rows.groupBy("order", "least").agg(F.min("set").alias("p"), F.count("*").alias("c")).filter("c > 1").drop("c")
+        return (rows.join(first, ["order", "least"]).filter("set <> p")
+                .select(F.least("set", "p").alias("a"), F.greatest("set", "p").alias("b")).distinct())
+
     def _pivot_pairs(self, left: DataFrame) -> DataFrame:
         """Each key's sets with the key's pivot."""
         return (left.filter("set <> p").filter(self._can_share("n", "place", "pn", "pp"))
@@ -372,9 +418,10 @@ class JaccardJoin:
         """Each key's sets with pivots of about their size. Sizes are in steps
         of the ratio that linked sets may have, and in steps half a step off,
         so two sets of much the same size are together in one of them."""
-        rank = F.col("part") if turn == 1 else F.xxhash64("set", F.lit(turn)).cast("double")
+        # What lies before a first gram in common is not shared: a pivot with little of that has the most partners.
+        rank = F.col("place") / F.col("n")
         out = None
-        for shift in (0.0, 0.5):
+        for shift in (0.0, 0.5) if turn == 1 else (0.25, 0.75):
             step = F.floor(F.log("n") / self._ratio + shift).cast("int")
             own = left.drop("p", "pn", "pp").withColumn("step", step)
             pivots = own.groupBy("key", "step").agg(_pivot(rank)).select("key", "step", "x.p", "x.pn", "x.pp")
@@ -399,7 +446,7 @@ class JaccardJoin:
         beyond a set's first grams goes. Sets list different parts of their
         grams, so holders are counted over whole sets; those below the bound
         are listed by all."""
-        here = left.select("set").distinct()
+        here = checked_broadcast(left.select("set").distinct())
         grams = (wholes.join(here, "set", "left_semi")
                  .select("set", "listed", F.posexplode("whole").alias("pos", "gram"))
                  .filter(~_is_listed(F.col("gram"), self.percent)))
@@ -423,11 +470,15 @@ class JaccardJoin:
         r = per_key.agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("q")) / 2).alias("pairs"), F.sum("m").alias("m")).first()
         return r["pairs"] / r["m"]
 
-    def _all_pairs(self, left: DataFrame) -> DataFrame:
-        """The pairs of different components with a key in common that may be their first."""
-        other = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("set", "n", "root", "place")])
-        return (left.join(other, "key").filter("set < set2 AND root <> root2")
+    def _all_pairs(self, left: DataFrame, wholes: DataFrame) -> DataFrame:
+        """The pairs of different components with a key in common that may be their first, if sizes and
+        bitmaps allow a link."""
+        marked = left.join(wholes.select("set", "size", *_BITMAP), "set")
+        columns = ("set", "n", "root", "place", "size", *_BITMAP)
+        other = marked.select("key", *[F.col(c).alias(f"{c}2") for c in columns])
+        return (marked.select("key", *columns).join(other, "key").filter("set < set2 AND root <> root2")
                 .filter(self._can_share("n", "place", "n2", "place2"))
+                .filter(self._bitmaps_allow("{}", "{}2"))
                 .select(F.col("set").alias("a"), F.col("set2").alias("b")).distinct())
 
     def components(self) -> DataFrame:
@@ -473,5 +524,6 @@ def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents by 4-word shingles at a similarity of 0.85."""
+    common.small_batches(spark)
     groups = similar_groups(common.table(spark, sf_dir, "documents"))
     return groups.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")

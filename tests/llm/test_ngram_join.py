@@ -1,6 +1,7 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from conftest import SF, edge_rows
 from cohortkit.llm import ngram_join as J
@@ -111,3 +112,32 @@ def test_edges(spark, edge, empty):
     ids = [r.doc_id for r in kept.collect()]
     assert {1, 2, 3, None}.issubset(ids) and not {7, 8, 9} & set(ids) and ids.count(14) == 2 and ids.count(None) == 1
     assert J.similar_groups(empty).count() == 0 and J.keep_one_per_group(empty).count() == 0
+
+
+def test_pairs_stay_few_where_many_sets_share_a_passage(spark, monkeypatch):
+    """Most link with many others, and fewer pairs are verified than link; only sets of such pairs are moved."""
+    rng = random.Random(3)
+    passage = [f"shared{i}" for i in range(100)]
+    docs = [passage + [f"own{d}x{i}" for i in range(rng.randrange(3, 20))] for d in range(400)]
+    docs = list(enumerate(" ".join(d) for d in docs))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    seen, link = [], J.JaccardJoin.verify
+
+    def verify(self, pairs, wholes):
+        seen.append(pairs.select("a", "b").distinct().count())
+        return link(self, pairs, wholes)
+    monkeypatch.setattr(J.JaccardJoin, "verify", verify)
+    got = {r.id: (r.n, r.component_id) for r in J.similar_groups(frame).collect()}
+    assert got == brute.components(docs)
+    sets = [frozenset(brute.WORD.findall(t)) for _, t in docs]
+    links = sum(len(a & b) >= 0.85 * len(a | b) for a in sets for b in sets) / 2
+    assert links > 25 * len(docs) and sum(seen) < 6 * len(docs)
+
+
+def test_bitmaps_never_tell_more_than_the_sets():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a, b, c = (rng.integers(0, 2 ** 63, n).astype(np.uint64) for n in rng.integers(1, 400, 3))
+        x, y = np.unique(np.concatenate([a, c])), np.unique(np.concatenate([b, c]))
+        apart = sum(int(v).bit_count() for v in (J._bitmap(x) ^ J._bitmap(y)).view(np.uint64))
+        assert apart <= len(np.setxor1d(x, y)) and (J._bitmap(x) == J._bitmap(x[::-1])).all()
