@@ -85,3 +85,15 @@ def test_packed(spark, stages, tokenizer):
     key = ["doc_id", "start"]
     a, b = (x[list(rows.columns)].sort_values(key).reset_index(drop=True) for x in (after, rows))
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_stages_bound_the_rows_of_arrow_batches(spark, documents):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("10000", "1000"), ("0", "1000"), ("64", "64")):
+            spark.conf.set(key, given)
+            C.STAGES[-1][1](spark, spark.createDataFrame(documents.head(3)), SF)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
