@@ -4,8 +4,8 @@ assignment, and a column-wise silhouette.
 Spark ML k-means (k-means|| init, distributed Lloyd steps) does the fitting.
 The silhouette is the squared-Euclidean form Spark's ``ClusteringEvaluator``
 computes: it decomposes into per-cluster sums, so it costs one pass and a
-k-row broadcast. The plain Euclidean silhouette, which is an estimate for large
-clusters, is in ``silhouette.py``; ``fit_best_k`` chooses by either.
+k-row broadcast. The plain Euclidean silhouette, which takes all pairs of rows, is
+in ``silhouette.py``; ``fit_best_k`` chooses by either.
 """
 
 from __future__ import annotations
@@ -65,7 +65,7 @@ def fit_best_k(features: DataFrame, key: str = spec.KEY, vector: str = "features
     A k is skipped (and reported) when the data has fewer than k+1 rows or the
     fit yields a single non-empty cluster: the silhouette is undefined there.
     ``n_starts`` > 1 tries seeds seed, seed+1, ... and keeps the lowest cost.
-    ``silhouette`` is 'squared' or 'euclidean' (estimated from ``points`` rows per cluster).
+    ``silhouette`` is 'squared' or 'euclidean' (all pairs of rows; ``points`` is taken and changes nothing).
     """
     if silhouette not in ("squared", "euclidean"):
         raise ValueError("silhouette must be 'squared' or 'euclidean'")

@@ -128,7 +128,7 @@ class KMeansCohorts(_CohortParams, Estimator, _Stage):
     maxIter = _param(Params._dummy(), "maxIter", "Lloyd steps", TypeConverters.toInt)
     nStarts = _param(Params._dummy(), "nStarts", "starts per k", TypeConverters.toInt)
     silhouette = _param(Params._dummy(), "silhouette", "'squared' or 'euclidean'", TypeConverters.toString)
-    points = _param(Params._dummy(), "points", "rows drawn per cluster for the Euclidean one", TypeConverters.toInt)
+    points = _param(Params._dummy(), "points", "taken for stages saved before; the Euclidean one counts all rows", TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, *, featuresCol=None, predictionCol=None, keyCol=None, ks=None, seed=None, maxIter=None, nStarts=None,

@@ -1,25 +1,17 @@
-"""Plain Euclidean silhouette of a clustering, estimated without pairs of rows.
+"""Plain Euclidean silhouette of a clustering, from all pairs of rows.
 
 A row's silhouette needs its mean distance to every cluster. These are sums of
-distances, and a sum over a cluster is estimated without bias from a
-sample whose rows are drawn with known probabilities p and count 1 / p each.
-Drawing them in proportion to their distances from a few rows of the cluster
-(probability proportional to size) keeps far rows, which make up much of a
-sum, and makes the error small for every row at once. Per cluster of n rows:
-
-1. about ``2 ln(2 k / 0.01)`` rows are drawn evenly;
-2. one pass sums the distances of all rows to each of these;
-3. a row is drawn with ``p = min(1, points * max(1 / n, its largest share of
-   such a sum))``: about ``points`` to ``2 points`` rows;
-4. one pass gives every row its mean distance to each cluster from the drawn
-   rows, whose weights 1 / p are scaled to add up to n (so that their number, which
-   varies, does not), and its silhouette.
-
-Clusters of at most ``points`` rows are drawn whole, and the result is exact for
-them. Draws follow from a hash of the row, so a lost task draws the same rows.
-What is gathered is the drawn rows: ``points`` bounds it, not the data. The
-method follows Altieri, Pietracaprina, Pucci and Vandin (Scalable Distributed
-Approximation of Internal Measures for Clustering Evaluation, SDM 2021).
+distances, which, unlike sums of squares, do not follow from the clusters' means: every
+pair of rows is worked out. So that this spreads and no machine needs all rows:
+
+1. the rows are dealt into tiles of at most about 50,000, each one row of a table, sorted by cluster;
+2. each two tiles meet in a task of a Cartesian product, which reads the tiles from one shuffle and
+   stores no copies of them. A distance is worked out once and counts for both of its rows;
+3. a tile's sums, a number per row and cluster from each tile met, are added up, and
+   give the mean distances and the silhouettes.
+
+For n rows these are n * n / 2 distances. What a task holds is two tiles and their sums. What is
+gathered is the clusters' sizes.
 """
 
 from __future__ import annotations
@@ -29,6 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,12 +30,18 @@ from .. import spec
 from ..session import discard, materialize
 from .relational import checked_broadcast
 
-#: Rows whose distances are worked out at a time: the tables to a cluster's drawn rows stay in a core's cache.
-_ROWS = 64
+#: Distances are worked out for so many rows to so many rows at a time, which stay in a core's cache.
+_ROWS, _TO_ROWS = 128, 512
 #: Squares of distances below this share of the squared norms are worked out again from differences.
 _CLOSE = 1e-4
-#: Rows per partition of the table that the passes read.
-_PARTITION_ROWS = 50_000
+#: Rows per tile, at most about; fewer where they are wide or the clusters many (numbers per tile).
+_PARTITION_ROWS, _TILE_VALUES = 50_000, 1 << 20
+#: Rows below which a tile is not made smaller for more tasks, and for what it holds.
+_LEAST_ROWS, _LEAST_WIDE_ROWS = 4_000, 256
+
+_TILE = "tile int, codes array<int>, counts array<int>, points binary"
+_SUMS = "tile int, codes array<int>, counts array<int>, others array<int>, sums binary"
+_INTS = pa.list_(pa.int32())
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -53,83 +52,122 @@ class _To:
     """Distances to the rows of y, by one matrix product around their middle.
 
     Where the product cancels (points close together for their distance from the middle) the
-    coordinates' differences are taken, so equal points are at 0.
+    coordinates' differences are taken, so equal points are at 0. Both sides are gone through
+    by distance from the middle: rows worked out together then have much the same norms, and one
+    look at the least square tells whether any could cancel.
     """
 
     def __init__(self, y: np.ndarray):
-        self.y, self.middle = y, y.mean(0)
-        near = y - self.middle
-        self.turned, self.squares = np.ascontiguousarray(-2.0 * near.T), np.square(near).sum(1)
+        self.middle = y.mean(0)
+        near, squares, self.order = self._by_norm(y)
+        self.y, self.squares = y[self.order], squares
+        turned = np.vstack([-2.0 * near.T, np.ones(len(y)), squares])
+        self.turned = [np.ascontiguousarray(turned[:, b:b + _TO_ROWS]) for b in range(0, len(y), _TO_ROWS)]
 
-    def distances(self, x: np.ndarray) -> np.ndarray:
+    def _by_norm(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         near = x - self.middle
-        norms = np.square(near).sum(1)[:, None] + self.squares
-        total = near @ self.turned
-        total += norms
-        norms *= _CLOSE
-        at = np.flatnonzero(~(total > norms))  # what is not a number, too
+        norms = np.square(near).sum(1)
+        order = np.argsort(norms)
+        return near[order], norms[order], order
+
+    def _blocks(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """(rows of x, first row of y by norm, distances); what is yielded is overwritten by the next."""
+        near, norms, order = self._by_norm(x)
+        left = np.column_stack([near, norms, np.ones(len(x))])
+        store = np.empty(_ROWS * _TO_ROWS)
+        for a in range(0, len(x), _ROWS):
+            some, rows = left[a:a + _ROWS], order[a:a + _ROWS]
+            for b, turned in zip(range(0, len(self.y), _TO_ROWS), self.turned):
+                total = np.matmul(some, turned, out=store[:len(some) * turned.shape[1]].reshape(len(some), -1))
+                y, squares = self.y[b:b + _TO_ROWS], self.squares[b:b + _TO_ROWS]
+                if not total.min() > _CLOSE * (some[-1, -2] + squares[-1]):  # what is not a number, too
+                    self._again(total, x[rows], y, _CLOSE * (some[:, -2:-1] + squares))
+                yield rows, b, np.sqrt(total, out=total)
+
+    @staticmethod
+    def _again(total: np.ndarray, x: np.ndarray, y: np.ndarray, least: np.ndarray) -> None:
+        at = np.flatnonzero(~(total > least))
         if len(at) > total.size // 16:
-            total = self._by_differences(x)
+            total[:] = 0
+            for k in range(x.shape[1]):
+                total += np.square(x[:, k, None] - y[None, :, k])
         elif len(at):
-            i, j = np.divmod(at, len(self.y))
-            total.ravel()[at] = np.square(x[i] - self.y[j]).sum(1)
-        return np.sqrt(total, out=total)
-
-    def _by_differences(self, x: np.ndarray) -> np.ndarray:
-        total = np.zeros((len(x), len(self.y)))
-        for k in range(x.shape[1]):
-            total += np.square(x[:, k, None] - self.y[None, :, k])
-        return total
+            i, j = np.divmod(at, len(y))
+            total[i, j] = np.square(x[i] - y[j]).sum(1)
 
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        out = np.empty((len(x), len(self.y)))
+        for rows, b, d in self._blocks(x):
+            out[rows[:, None], self.order[b:b + d.shape[1]]] = d
+        return out
+
+    def sums(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of the distances, for each row of x and for each row of y."""
+        of_x, of_y, ones = np.zeros(len(x)), np.zeros(len(self.y)), np.ones(max(_ROWS, _TO_ROWS))
+        for rows, b, d in self._blocks(x):
+            of_x[rows] += d @ ones[:d.shape[1]]
+            of_y[b:b + d.shape[1]] += ones[:len(d)] @ d
+        back = np.empty_like(of_y)
+        back[self.order] = of_y
+        return of_x, back
+
+
+def _pack(width: int):
+    """A tile: a task's rows, sorted by their cluster's code."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [(b["code"].to_numpy(), _matrix(b["x"], width)) for b in batches if b.num_rows]
+        if got:
+            codes, x = (np.concatenate(v) for v in zip(*got))
+            own, counts = np.unique(codes, return_counts=True)
+            points = x[np.argsort(codes, kind="stable")].tobytes()
+            yield _record(_TILE, TaskContext.get().partitionId(), own, counts, points)
+    return run
 
-def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(codes, points, draws) of a few rows at a time."""
-    for batch in batches:
-        for k in range(0, batch.num_rows, _ROWS):
-            some = batch.slice(k, _ROWS)
-            yield some["code"].to_numpy(), _matrix(some["x"], width), some["u"].to_numpy()
 
+def _record(schema: str, tile: int, *values: np.ndarray | bytes) -> pa.RecordBatch:
+    columns = [pa.array([v], pa.binary()) if isinstance(v, bytes) else pa.array([v.tolist()], _INTS) for v in values]
+    return pa.RecordBatch.from_arrays([pa.array([tile], pa.int32()), *columns], names=[c.split()[0] for c in schema.split(", ")])
 
-def _sums_to(first: dict[int, np.ndarray], width: int):
-    """(code, j, w): the distances of a task's rows to row j of those first drawn from their cluster."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, to = {c: np.zeros(len(y)) for c, y in first.items()}, {c: _To(y) for c, y in first.items()}
-        for codes, x, _ in _parts(batches, width):
-            for c in np.unique(codes).tolist():
-                if c in first:
-                    sums[c] += to[c].distances(x[codes == c]).sum(0)
-        rows = [(c, j, w) for c, s in sums.items() for j, w in enumerate(s.tolist())]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-            (pa.int32(), pa.int32(), pa.float64()))], names=["code", "j", "w"])
-    return run
 
+def _pair_sums(width: int):
+    """Of two tiles that meet: for each one's rows, the sums of the distances to the other's clusters."""
+    def tiles(batch: pa.RecordBatch, side: str) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        for tile, codes, counts, points in zip(*[batch[side + c] for c in ("tile", "codes", "counts", "points")]):
+            x = np.frombuffer(points.as_buffer()).reshape(-1, width)
+            yield tile.as_py(), np.array(codes.as_py()), np.array(counts.as_py()), x
 
-def _draw(first: dict[int, np.ndarray], sums: dict[int, np.ndarray], sizes: Sequence[int], points: int, width: int):
-    """(code, weight, x) of the rows drawn in proportion to their distances."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = {c: _To(y) for c, y in first.items()}
-        for codes, x, u in _parts(batches, width):
-            p = np.empty(len(codes))
-            for c in np.unique(codes).tolist():
-                own = codes == c
-                share = np.full(int(own.sum()), 1 / sizes[c])
-                if c in first:
-                    total = np.where(sums[c] > 0, sums[c], np.inf)
-                    share = np.maximum(share, (to[c].distances(x[own]) / total).max(1))
-                p[own] = np.minimum(1.0, points * share)
-            at = np.flatnonzero(u < p)
-            yield pa.RecordBatch.from_arrays([pa.array(codes[at]), pa.array(1 / p[at]), pa.array(list(x[at]), pa.list_(pa.float64()))],
-                                             names=["code", "weight", "x"])
+        for batch in batches:
+            for (i, codes, counts, x), (j, others, sizes, y) in zip(tiles(batch, ""), tiles(batch, "to_")):
+                of_x = np.zeros((len(others), len(x)))
+                of_y = of_x if i == j else np.zeros((len(codes), len(y)))
+                for q, t in enumerate(np.cumsum(sizes)):
+                    theirs = slice(t - sizes[q], t)
+                    to = _To(y[theirs])
+                    for p, s in enumerate(np.cumsum(counts)[:q + 1 if i == j else None]):
+                        own = slice(s - counts[p], s)
+                        of_x[q, own], back = to.sums(x[own])
+                        if i != j or p != q:
+                            of_y[p, theirs] = back
+                yield _record(_SUMS, i, codes, counts, others, of_x.tobytes())
+                if i != j:
+                    yield _record(_SUMS, j, others, sizes, codes, of_y.tobytes())
     return run
 
 
-def _score(drawn: dict[int, tuple[np.ndarray, np.ndarray]], sizes: Sequence[int], width: int):
+def _score(sizes: Sequence[int]):
     """(code, s, n): sum of the silhouettes and number of a task's rows, per cluster."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total, count = np.array(sizes, float), np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
-        to = [(_To(y), weight) for _, (y, weight) in sorted(drawn.items())]
-        for codes, x, _ in _parts(batches, width):
-            w = np.stack([t.distances(x) @ weight for t, weight in to], axis=1)
+        tiles: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for tile, codes, counts, others, sums in zip(*batch.columns):
+                if tile.as_py() not in tiles:
+                    own = np.repeat(codes.as_py(), counts.as_py())
+                    tiles[tile.as_py()] = own, np.zeros((len(own), len(n)))
+                own, w = tiles[tile.as_py()]
+                w[:, others.as_py()] += np.frombuffer(sums.as_buffer()).reshape(-1, len(own)).T
+        for codes, w in tiles.values():
             at = np.arange(len(codes))
             a = w[at, codes] / np.maximum(n[codes] - 1, 1)
             w /= n
@@ -143,61 +181,41 @@ def _score(drawn: dict[int, tuple[np.ndarray, np.ndarray]], sizes: Sequence[int]
     return run
 
 
-def _uniform(*cols) -> F.Column:
-    """In [0, 1), from a hash."""
-    return F.shiftrightunsigned(F.xxhash64(*cols), 11) * F.lit(2.0 ** -53)
-
-
 def euclidean_silhouette(df: DataFrame, cols: Sequence[str], cluster_col: str = spec.CLUSTER, key: str | None = None,
                          points: int = spec.SILHOUETTE_POINTS, seed: int = spec.SEED) -> DataFrame:
     """Per cluster: its mean silhouette and its rows (cluster, silhouette, n_rows); see :func:`overall`.
 
-    ``cols`` are numeric columns, or one array column of doubles, without NULLs. ``points`` is
-    the least number of rows drawn from a cluster (up to about twice as many are); smaller
-    clusters are exact. ``key`` tells equal rows apart in the draws. Rows of a
-    one-row cluster score 0; a NULL cluster is a cluster; one cluster alone has no silhouette (NULL).
+    ``cols`` are numeric columns, or one array column of doubles, without NULLs. Every pair of rows
+    counts, whatever the clusters' sizes. Rows of a one-row cluster score 0; a NULL cluster is a
+    cluster; one cluster alone has no silhouette (NULL). ``key``, ``points`` and ``seed`` said which rows
+    to draw when this was an estimate; they are still taken, and change nothing.
     """
     x = F.col(cols[0]) if dict(df.dtypes)[cols[0]].startswith("array") else F.array(*[F.col(c).cast("double") for c in cols])
-    tell = [F.col(key)] if key else []
-    pts = materialize(df.select(F.col(cluster_col).alias("c"), x.alias("x"), *[k.alias("k") for k in tell]), "points")
+    pts = materialize(df.select(F.col(cluster_col).alias("c"), x.alias("x")), "points")
     sizes_table = pts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))  # a row per cluster
     clusters = materialize(sizes_table.withColumn("code", F.row_number().over(W.orderBy("c")) - 1), "clusters")
     named = clusters.withColumnRenamed("c", "own")
     rows = pts.join(checked_broadcast(named), F.col("c").eqNullSafe(F.col("own")))
-    uniform = lambda turn: _uniform(F.lit(seed + turn), *(["k"] if key else []), "x")
     sizes = [r["n"] for r in clusters.orderBy("code").collect()]
-    spread = rows.repartition(max(spec.KMEANS_LEAST_PARTITIONS, math.ceil(sum(sizes) / _PARTITION_ROWS)))
-    table = materialize(spread.select("code", "x", uniform(0).alias("u"), uniform(1).alias("v")), "coded-points")
     if len(sizes) < 2:
+        discard(pts)
         return clusters.select(F.col("c").alias(cluster_col), F.lit(None).cast("double").alias("silhouette"), F.col("n").alias("n_rows"))
-    width = len(table.select("x").first()["x"])
-    few = math.ceil(2 * math.log(2 * len(sizes) / 0.01))
-    rate = F.element_at(F.lit([float(few) / n for n in sizes]), F.col("code") + 1)
-    first = _by_code(table.where(F.col("v") < rate).select("code", "x"), ["x"])  # a few rows per cluster
-    first = {c: v[0] for c, v in first.items()}
-    own = table.select("code", "x", "u")
-    sums: dict[int, np.ndarray] = {c: np.zeros(len(y)) for c, y in first.items()}
-    for r in (own.mapInArrow(_sums_to(first, width), "code int, j int, w double").groupBy("code", "j")
-              .agg(F.sum("w").alias("w")).collect()):
-        sums[r["code"]][r["j"]] = r["w"]
-    drawn = _by_code(own.mapInArrow(_draw(first, sums, sizes, points, width), "code int, weight double, x array<double>"), ["x", "weight"])
-    drawn = {c: (y, w * (sizes[c] / w.sum())) for c, (y, w) in drawn.items()}
-    scored = (own.mapInArrow(_score(drawn, sizes, width), "code int, s double, n long").groupBy("code")
-              .agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
+    width = len(pts.select("x").first()["x"])
+    held = max(_LEAST_WIDE_ROWS, _TILE_VALUES // max(width, len(sizes)))
+    count = max(math.ceil(sum(sizes) / min(_PARTITION_ROWS, held)),
+                min(spec.KMEANS_LEAST_PARTITIONS, math.ceil(sum(sizes) / _LEAST_ROWS)))
+    tiles = materialize(rows.select("code", "x").repartition(count).mapInArrow(_pack(width), _TILE), "coded-points")
+    apart = tiles.repartitionById(count, "tile")  # a tile per task of either side
+    to = apart.select(*[F.col(c).alias(f"to_{c}") for c in apart.columns])
+    pairs = apart.hint("shuffle_replicate_nl").join(to, F.col("tile") <= F.col("to_tile"))
+    scored = (pairs.mapInArrow(_pair_sums(width), _SUMS).repartition("tile").mapInArrow(_score(sizes), "code int, s double, n long")
+              .groupBy("code").agg(F.sum("s").alias("s"), F.sum("n").alias("n")))
     out = materialize(scored.join(clusters.select("code", "c"), "code")
                       .select(F.col("c").alias(cluster_col), (F.col("s") / F.col("n")).alias("silhouette"), F.col("n").alias("n_rows")), "silhouettes")
-    discard(pts, table)
+    discard(pts, tiles)
     return out
 
 
-def _by_code(rows: DataFrame, columns: Sequence[str]) -> dict[int, tuple[np.ndarray, ...]]:
-    """{code: arrays of the columns}; the rows are those of a sample of bounded size."""
-    t = rows.toArrow()
-    codes = t["code"].to_numpy()
-    values = [np.array(t[c].to_pylist(), float) for c in columns]
-    return {c: tuple(v[codes == c] for v in values) for c in np.unique(codes).tolist()}
-
-
 def overall(per_cluster: DataFrame) -> DataFrame:
     """One row: silhouette over all rows, n_rows, n_clusters."""
     return per_cluster.agg((F.sum(F.col("silhouette") * F.col("n_rows")) / F.sum("n_rows")).alias("silhouette"),

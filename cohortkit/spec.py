@@ -134,7 +134,7 @@ QUANTILE_BRACKET = 200_000
 # gets the same layout (repeatable fits) and spreads over many tasks.
 KMEANS_ROWS_PER_PARTITION = 50_000
 KMEANS_LEAST_PARTITIONS = 16
-# Rows drawn from each cluster, at least, for the Euclidean silhouette.
+# Default of ``points``, which the Euclidean silhouette still takes; it counts all rows.
 SILHOUETTE_POINTS = 1024
 # Columns of a row's place in its extract (prefix: one per joined extract).
 ROW_ORDER = "__row"

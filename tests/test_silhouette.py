@@ -122,3 +122,33 @@ def test_rows_are_spread_over_tasks(spark, monkeypatch):
     df, names = frame(spark, x, lab)
     euclidean_silhouette(df.coalesce(1), names, key="CD_CLIENTE", points=64)
     assert written["coded-points"] == 40
+
+
+def test_large_clusters_are_exact(spark, monkeypatch):
+    """All rows count: nothing is drawn, whatever the cluster's size, the number of tiles and ``points``."""
+    x, lab = blobs(5000, 4)
+    x[10:30] = x[10]  # equal rows
+    lab[0] = 9  # a cluster of one row
+    df, names = frame(spark, x, lab)
+    s = brute(x, lab)
+    want = {c: (s[lab == c].mean(), int((lab == c).sum())) for c in set(lab.tolist())}
+    assert max(n for _, n in want.values()) > 2 * 1024
+    for rows, points in ((50_000, 1024), (400, 1024), (1300, 8)):
+        monkeypatch.setattr(silhouette, "_PARTITION_ROWS", rows)
+        got = {r.cluster: (r.silhouette, r.n_rows) for r in euclidean_silhouette(df, names, key="CD_CLIENTE", points=points).collect()}
+        assert {c: n for c, (_, n) in got.items()} == {c: n for c, (_, n) in want.items()}
+        assert all(abs(got[c][0] - want[c][0]) < 1e-12 for c in want)
+
+
+def test_sums_are_those_of_the_distances():
+    """Of more rows than are worked out together, for the rows of both sides; a row that is no number spoils its own."""
+    rng = np.random.default_rng(5)
+    x, y = rng.standard_t(2, (150, 3)) + 1e4, rng.standard_t(2, (2500, 3)) + 1e4
+    x[:40] = y[:40]
+    d = np.sqrt(np.square(x[:, None, :] - y[None, :, :]).sum(-1))
+    of_x, of_y = _To(y).sums(x)
+    assert np.allclose(of_x, d.sum(1), rtol=1e-11, atol=0) and np.allclose(of_y, d.sum(0), rtol=1e-11, atol=0)
+    x[7] = np.nan
+    of_x, of_y = _To(y).sums(x)
+    assert np.isnan(of_x[7]) and np.isnan(of_y).all()
+    assert np.allclose(np.delete(of_x, 7), np.delete(d, 7, 0).sum(1), rtol=1e-11, atol=0)
